@@ -8,7 +8,9 @@ fixtures grow with the input table.
 
 from __future__ import annotations
 
+import hashlib
 import os
+import threading
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -114,8 +116,8 @@ def envelopes_from(events: DataFrame) -> DataFrame:
     )
 
 
-def load(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """All fixtures of one scale factor as lazy DataFrames."""
+def derive(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """All fixtures of one scale factor as lazy projections of ``events``."""
     events = read_table(spark, sf_dir, "events")
     fills = fills_from_events(events)
     return {
@@ -124,4 +126,49 @@ def load(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         "fills": fills,
         "processed_fills": processed_fills_from(fills),
         "km_checkpoint": km_checkpoint_from(events),
+        "envelopes": envelopes_from(events),
     }
+
+
+_LOCK = threading.Lock()
+
+
+def _stamp(sf_dir: str) -> str:
+    st = os.stat(os.path.join(sf_dir, "events.parquet"))
+    key = f"{os.path.abspath(sf_dir)}:{st.st_size}:{st.st_mtime_ns}"
+    return hashlib.sha1(key.encode()).hexdigest()[:16]
+
+
+def load(spark: SparkSession, sf_dir: str, materialize: bool = True) -> dict[str, DataFrame]:
+    """All fixtures of one scale factor.
+
+    With ``materialize`` the derived tables are written once per session to
+    the shared folder the way the ETL lays out its cleaned zone — signals
+    partitioned by ``year/month/day`` and sorted by (vin, ts) inside each
+    file — and read back from there, so KPI queries scan a signal table with
+    partition pruning and ``stype`` filters pushed into Parquet instead of
+    re-deriving the fan-out from ``events`` every time.
+    """
+    derived = derive(spark, sf_dir)
+    if not materialize:
+        return derived
+    from .session import path_exists, shared_dir
+    from .sources.sinks import write_by_date
+
+    root = os.path.join(shared_dir(spark), f"fixtures-{_stamp(sf_dir)}")
+    out = {"events": derived["events"]}
+    with _LOCK:
+        for name, df in derived.items():
+            if name == "events":
+                continue
+            path = os.path.join(root, name)
+            if not path_exists(spark, os.path.join(path, "_SUCCESS")):
+                if name == "signals":
+                    write_by_date(df, path, "ts", mode="overwrite", sort_by=("vin", "ts"))
+                else:
+                    df.write.mode("overwrite").parquet(path)
+            back = spark.read.parquet(path)
+            if name == "signals":
+                back = back.select("vin", "ts", "stype", "value")
+            out[name] = back
+    return out

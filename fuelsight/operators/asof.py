@@ -13,7 +13,8 @@ stage.  Instead the time axis is cut into chunks:
 3. the answer is ``greatest(carry, in-chunk running max)``.
 
 The in-chunk window and the join with the summaries share one hash
-partitioning on (key, chunk), so the big side is shuffled once.
+partitioning on (key, chunk), so the big side is shuffled once; the summary
+branch re-reads the (pruned) columns but shuffles only partial maxima.
 """
 
 from __future__ import annotations
@@ -31,21 +32,31 @@ def chunk_of(ts: Column, chunk_seconds: int) -> Column:
 
 
 def asof_running_max(df: DataFrame, keys: list[str], ts: str, value: str, out: str,
-                     chunk_seconds: int = DEFAULT_CHUNK_SECONDS) -> DataFrame:
+                     chunk_seconds: int = DEFAULT_CHUNK_SECONDS,
+                     key_max: str | None = None) -> DataFrame:
     """Add ``out`` = running max of ``value`` per ``keys`` up to and including ``ts``.
 
     Rows with equal ``ts`` see each other (RANGE frame), so the result does not
     depend on row order.  ``value`` may be any orderable type (structs compare
-    field by field); nulls are ignored.
+    field by field); nulls are ignored.  ``key_max`` also adds the maximum
+    over the whole key, taken from the same chunk summaries (no extra pass).
     """
     d = df.withColumn("_chunk", chunk_of(F.col(ts), chunk_seconds))
     part = [*keys, "_chunk"]
+    # rows with a null key or time can never be matched
+    not_null = F.col("_chunk").isNotNull()
+    for k in keys:
+        not_null = not_null & F.col(k).isNotNull()
+    d = d.where(not_null)
+    # each chunk's own max: a partial aggregate straight off the scan, so this
+    # branch shuffles one small row per (key, chunk, map task), not readings
+    summary = d.groupBy(*part).agg(F.max(value).alias("_chunk_max"))
     w_in = (Window.partitionBy(*part).orderBy(F.col(ts))
             .rangeBetween(Window.unboundedPreceding, Window.currentRow))
     d = d.withColumn("_in_chunk", F.max(value).over(w_in))
-    summary = d.groupBy(*part).agg(F.max(value).alias("_chunk_max"))
     w_prev = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    carry = summary.select(*part, F.max("_chunk_max").over(w_prev).alias("_carry"))
+    extra = [F.max("_chunk_max").over(Window.partitionBy(*keys)).alias(key_max)] if key_max else []
+    carry = summary.select(*part, F.max("_chunk_max").over(w_prev).alias("_carry"), *extra)
     return (
         d.join(carry, part, "inner")
         .withColumn(out, F.greatest(F.col("_carry"), F.col("_in_chunk")))

@@ -15,7 +15,7 @@ from .. import schemas as S
 from ..functions.predicates import in_range, is_driving, is_idle, of_type
 from .asof import DEFAULT_CHUNK_SECONDS, asof_running_max
 from .incremental import after_checkpoint
-from .wide import km_bucket, tenth_of, to_second_rows
+from .wide import _sum_of, km_bucket, second_of, tenth_of, to_second_rows
 
 STATES = {"idle": is_idle, "driving": is_driving}
 DAY_CODES = {"idle": S.D_IDLE_FUEL, "driving": S.D_DRIVING_FUEL}
@@ -130,14 +130,16 @@ def mileage_by_day(signals: DataFrame, start=None, end=None) -> DataFrame:
     return day_fact(agg, S.D_MILEAGE)
 
 
-def asof_km(signals: DataFrame, chunk_seconds: int = DEFAULT_CHUNK_SECONDS) -> DataFrame:
+def asof_km(signals: DataFrame, chunk_seconds: int = DEFAULT_CHUNK_SECONDS,
+            newest: str | None = None) -> DataFrame:
     """Give every reading the 100-km bucket of the highest odometer seen so far.
 
     Readings before a vehicle's first odometer sample get a null bucket.
+    ``newest`` names a column holding the vehicle's highest bucket overall.
     """
     odo_bucket = F.when(F.col("stype") == S.ODOMETER, km_bucket(F.col("value")))
     d = signals.withColumn("_odo_km", odo_bucket)
-    return asof_running_max(d, ["vin"], "ts", "_odo_km", "km", chunk_seconds).drop("_odo_km")
+    return asof_running_max(d, ["vin"], "ts", "_odo_km", "km", chunk_seconds, newest).drop("_odo_km")
 
 
 def total_fuel_by_km(signals: DataFrame, checkpoint: DataFrame | None = None,
@@ -153,18 +155,87 @@ def total_fuel_by_km(signals: DataFrame, checkpoint: DataFrame | None = None,
     sig = of_type(signals, S.INJECTION, S.ODOMETER)
     if checkpoint is not None:
         sig = after_checkpoint(sig, checkpoint, S.INJECTION)
-    tagged = asof_km(sig, chunk_seconds)
+    tagged = asof_km(sig, chunk_seconds, newest="newest_km")
     fuel = tagged.where((F.col("stype") == S.INJECTION) & F.col("km").isNotNull())
-    agg = fuel.groupBy("vin", "km").agg(F.sum(F.col("value") * 100).alias("data_value"))
     if complete_only:
-        newest = sig.where(F.col("stype") == S.ODOMETER).groupBy("vin").agg(
-            km_bucket(F.max("value")).alias("newest_km"))
-        agg = agg.join(newest, "vin").where(F.col("km") < F.col("newest_km"))
+        fuel = fuel.where(F.col("km") < F.col("newest_km"))
+    agg = fuel.groupBy("vin", "km").agg(F.sum(F.col("value") * 100).alias("data_value"))
     return km_fact(agg, S.KM_TOTAL_FUEL)
 
 
-def daily_kpis(signals: DataFrame, rate: DataFrame | None = None) -> DataFrame:
-    """D001-D004 and D006 of every vehicle-day in one long fact table."""
+def _rate_factor(signals: DataFrame, rate) -> Column:
+    if rate is None:
+        return aircon_rate(signals).select("rate").scalar()
+    if isinstance(rate, DataFrame):
+        return rate.select("rate").scalar()
+    if isinstance(rate, Column):
+        return rate
+    return F.lit(float(rate))
+
+
+def daily_kpis(signals: DataFrame, rate: DataFrame | Column | float | None = None,
+               start=None, end=None) -> DataFrame:
+    """D001-D004 and D006 of every vehicle-day from ONE pass over the readings.
+
+    Level 1 groups by (vehicle, second) and carries everything the daily
+    KPIs need: the state sums of the second (idle/driving/air-con), the
+    odometer extremes, and the 100-ms de-duplicated injection of D001 — the
+    largest value of each tenth of the second, kept as ten conditional
+    maxima (one per tenth digit) and added up.  Level 2 groups by
+    (vehicle, day); presence counts decide which KPI rows a day gets, exactly
+    as the separate operators would emit them.  Both levels have a partial
+    aggregate, so the signal table is scanned and shuffled once (the air-con
+    rate, a fleet-wide scalar, is one more pass unless given).
+    """
+    types = [S.SPEED, S.RPM, S.INJECTION, S.AIRCON, S.ODOMETER]
+    sig = in_range(of_type(signals, *types), start, end)
+    is_inj = F.col("stype") == S.INJECTION
+    is_odo = F.col("stype") == S.ODOMETER
+    digit = tenth_of(F.col("ts")) % 10
+    tenth_max = [F.max(F.when(is_inj & (digit == d), F.col("value"))) for d in range(10)]
+    per_sec = sig.groupBy(
+        "vin", second_of(F.col("ts")).alias("sec"), F.to_date("ts").alias("day")
+    ).agg(
+        _sum_of(S.SPEED).alias("speed"),
+        _sum_of(S.RPM).alias("rpm"),
+        _sum_of(S.INJECTION).alias("fuel"),
+        F.count(F.when((F.col("stype") == S.AIRCON) & (F.col("value") != 0), 1)).alias("ac_votes"),
+        F.count(F.when(is_inj, 1)).alias("n_inj"),
+        sum((F.coalesce(m, F.lit(0.0)) for m in tenth_max[1:]), F.coalesce(tenth_max[0], F.lit(0.0)))
+        .alias("dedup_fuel"),
+        F.max(F.when(is_odo, F.col("value"))).alias("odo_max"),
+        F.min(F.when(is_odo, F.col("value"))).alias("odo_min"),
+    )
+    idle, driving, ac_on = is_idle(), is_driving(), F.col("ac_votes") > 0
+    per_day = per_sec.groupBy("vin", "day").agg(
+        F.sum("n_inj").alias("n_inj"),
+        F.sum("dedup_fuel").alias("total"),
+        F.count(F.when(idle, 1)).alias("n_idle"),
+        F.sum(F.when(idle, F.col("fuel"))).alias("idle"),
+        F.count(F.when(driving, 1)).alias("n_driving"),
+        F.sum(F.when(driving, F.col("fuel"))).alias("driving"),
+        F.count(F.when(ac_on, 1)).alias("n_ac"),
+        F.sum(F.when(ac_on, F.col("fuel"))).alias("aircon"),
+        (F.max("odo_max") - F.min("odo_min")).alias("mileage"),
+    )
+    factor = _rate_factor(signals, rate)
+    def fact(code: str, value: Column, present: Column) -> Column:
+        return F.struct(F.lit(code).alias("k"), value.cast("double").alias("v"), present.alias("p"))
+
+    facts = F.array(
+        fact(S.D_TOTAL_FUEL, F.col("total"), F.col("n_inj") > 0),
+        fact(S.D_IDLE_FUEL, F.col("idle"), F.col("n_idle") > 0),
+        fact(S.D_DRIVING_FUEL, F.col("driving"), F.col("n_driving") > 0),
+        fact(S.D_AIRCON_FUEL, F.col("aircon") * factor, F.col("n_ac") > 0),
+        fact(S.D_MILEAGE, F.col("mileage"), F.col("mileage").isNotNull()),
+    )
+    return (per_day.select("vin", F.col("day").alias("now_date"), F.inline(facts))
+            .where(F.col("p"))
+            .select("vin", "now_date", F.col("k").alias("data_key"), F.col("v").cast("double").alias("data_value")))
+
+
+def daily_kpis_separate(signals: DataFrame, rate: DataFrame | None = None) -> DataFrame:
+    """The same fact table as :func:`daily_kpis`, one operator per KPI (for tests)."""
     wide = to_second_rows(signals)
     parts = [
         total_fuel_by_day(signals),

@@ -174,7 +174,7 @@ def q_refuel_steps(spark, sf_dir):
 
 
 def _envelope_readings(spark, sf_dir):
-    return explode_envelopes(FX.envelopes_from(FX.read_table(spark, sf_dir, "events")))
+    return explode_envelopes(_fx(spark, sf_dir)["envelopes"])
 
 
 def q_explode(spark, sf_dir):
@@ -227,7 +227,7 @@ def q_write_by_date(spark, sf_dir):
 
 
 def q_etl_clean(spark, sf_dir):
-    envelopes = FX.envelopes_from(FX.read_table(spark, sf_dir, "events"))
+    envelopes = _fx(spark, sf_dir)["envelopes"]
     raw, clean = scratch_path(spark, "raw-zone"), scratch_path(spark, "clean-zone")
     etl_job(envelopes, raw, clean)
     return spark.read.parquet(clean).select("vin", "ts", "stype", "value")

@@ -22,6 +22,7 @@ def local_session(cores: int | str = "*", partitions: int = 8, app: str = "fuels
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "16g")
         .getOrCreate()
     )
@@ -46,3 +47,10 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique location under the shared folder."""
     return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Existence test through Hadoop's FileSystem (works for any shared store)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
