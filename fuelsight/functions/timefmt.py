@@ -11,14 +11,14 @@ COMPACT_FORMAT = "yyyyMMddHHmmss[.SSS]"
 
 
 def parse_ts(c: Column | str) -> Column:
-    """Parse ``yyyy-MM-dd HH:mm:ss[.ffffff]`` or ``yyyyMMddHHmmss[SSS]``.
+    """Parse ``yyyy-MM-dd HH:mm:ss[.ffffff]`` (also with ``T``) or ``yyyyMMddHHmmss[SSS]``.
 
     The compact form has no separator before the fraction, which the
     pattern parser cannot read, so a dot is inserted after 14 digits first.
     Unparseable strings give null (D23: 24-hour clock).
     """
     c = F.col(c) if isinstance(c, str) else c
-    s = F.trim(c.cast("string"))
+    s = F.regexp_replace(F.trim(c.cast("string")), r"^(\d{4}-\d{2}-\d{2})T", "$1 ")
     compact = F.regexp_replace(s, r"^(\d{14})(\d+)$", "$1.$2")
     return F.coalesce(
         F.try_to_timestamp(s, F.lit(ISO_FORMAT)),
@@ -60,7 +60,8 @@ SQL_FUNCTIONS = {
     "fs_date_of_parts": ("y INT, m INT, d INT", "STRING", "date_format(make_date(y, m, d), 'yyyy-MM-dd')"),
     "fs_parse_ts": (
         "s STRING", "TIMESTAMP_NTZ",
-        "cast(coalesce(try_to_timestamp(trim(s), 'yyyy-MM-dd HH:mm:ss[.SSSSSS]'), "
+        "cast(coalesce(try_to_timestamp(regexp_replace(trim(s), '^([0-9]{4}-[0-9]{2}-[0-9]{2})T', '$1 '), "
+        "'yyyy-MM-dd HH:mm:ss[.SSSSSS]'), "
         "try_to_timestamp(regexp_replace(trim(s), '^([0-9]{14})([0-9]+)$', '$1.$2'), "
         "'yyyyMMddHHmmss[.SSS]')) AS TIMESTAMP_NTZ)",
     ),

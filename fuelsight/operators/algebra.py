@@ -18,14 +18,17 @@ OTHER_INPUTS = {
 def other_fuel(kpi: DataFrame, grain: str = "day") -> DataFrame:
     """A11 (D005) / A12 (KM005): total - idle - driving - air-con.
 
-    One pivot (a single grouped aggregate, one shuffle) replaces the 4-way
-    self-join; keys missing any of the four inputs give no row.  The result
-    may be negative (air-con seconds overlap idle/driving ones) and is kept.
+    A pivot written as one conditional sum per code — a single grouped
+    aggregate, one shuffle (``GroupedData.pivot`` would plan two) — replaces
+    the 4-way self-join; keys missing any of the four inputs give no row.
+    The result may be negative (air-con seconds overlap idle/driving ones)
+    and is kept.
     """
     key, codes, out_code = OTHER_INPUTS[grain]
     total, idle, driving, aircon = codes
     wide = (kpi.where(F.col("data_key").isin(*codes))
-            .groupBy("vin", key).pivot("data_key", codes).agg(F.sum("data_value")))
+            .groupBy("vin", key)
+            .agg(*[F.sum(F.when(F.col("data_key") == c, F.col("data_value"))).alias(c) for c in codes]))
     value = F.col(total) - F.col(idle) - F.col(driving) - F.col(aircon)
     return (wide.where(F.col(total).isNotNull() & F.col(idle).isNotNull()
                        & F.col(driving).isNotNull() & F.col(aircon).isNotNull())

@@ -29,12 +29,12 @@ def parse_signals(df: DataFrame, col: str = "value") -> DataFrame:
 
     Accepts both ``VIN``/``vin`` and ``timestamp``/``ts`` key spellings.
     """
-    js = F.from_json(F.col(col), "VIN string, vin string, timestamp string, ts string, stype string, value double")
-    return df.select(js.alias("_j")).select(
-        F.coalesce(F.col("_j.vin"), F.col("_j.VIN")).alias("vin"),
-        parse_ts(F.coalesce(F.col("_j.ts"), F.col("_j.timestamp"))).alias("ts"),
-        F.col("_j.stype").alias("stype"),
-        F.col("_j.value").alias("value"),
+    m = F.from_json(F.col(col), "map<string,string>")  # keys stay case-sensitive
+    return df.select(
+        F.coalesce(m["vin"], m["VIN"]).alias("vin"),
+        parse_ts(F.coalesce(m["ts"], m["timestamp"])).alias("ts"),
+        m["stype"].alias("stype"),
+        m["value"].try_cast("double").alias("value"),
     )
 
 

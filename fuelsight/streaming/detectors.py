@@ -53,8 +53,8 @@ def low_fuel_alerts(windows: DataFrame) -> DataFrame:
 
 def fuel_summary(signals: DataFrame, step: str = MICRO_BATCH, watermark: str | None = None) -> DataFrame:
     """Per vehicle and step: mean level (over level rows only), last level
-    (latest reading; ties by larger value), and ``is_drive`` = moving samples
-    outnumber standing ones (D25)."""
+    (the latest reading; ``max_by`` keeps it a hash aggregate), and
+    ``is_drive`` = moving samples outnumber standing ones (D25)."""
     rows = signals.where(F.col("stype").isin(S.FUEL_LEVEL, S.SPEED))
     ts = F.col("ts")
     if watermark is not None:
@@ -64,12 +64,12 @@ def fuel_summary(signals: DataFrame, step: str = MICRO_BATCH, watermark: str | N
     vote = F.when(F.col("stype") == S.SPEED, F.when(F.col("value") > 0, 1).otherwise(-1)).otherwise(0)
     agg = rows.groupBy("vin", F.window(ts, step).alias("w")).agg(
         F.avg(F.when(is_level, F.col("value"))).alias("mean_level"),
-        F.max(F.when(is_level, F.struct(F.col("ts"), F.col("value")))).alias("_last"),
+        F.max_by(F.col("value"), F.when(is_level, F.col("ts"))).alias("last_level"),
         F.sum(vote).alias("_votes"),
     )
     return agg.select("vin", F.col("w.start").cast("timestamp_ntz").alias("window_start"),
                       F.col("w.end").cast("timestamp_ntz").alias("window_end"), "mean_level",
-                      F.col("_last.value").alias("last_level"), (F.col("_votes") > 0).alias("is_drive"))
+                      "last_level", (F.col("_votes") > 0).alias("is_drive"))
 
 
 def stream_signals(raw: DataFrame) -> DataFrame:
@@ -91,8 +91,10 @@ def run_detectors(signals_stream: DataFrame, out_dir: str, checkpoint_dir: str,
     low_fuel = {"watermark": "1 minute", **(low_fuel or {})}
 
     def sink(name: str):
+        # one folder per epoch, overwritten: a micro-batch replayed after a
+        # failure replaces its own output instead of appending it twice
         def write(batch: DataFrame, epoch_id: int) -> None:
-            batch.write.mode("append").parquet(f"{out_dir}/{name}")
+            batch.write.mode("overwrite").parquet(f"{out_dir}/{name}/epoch={epoch_id}")
         return write
 
     lf = low_fuel_alerts(low_fuel_windows(signals_stream, **low_fuel))

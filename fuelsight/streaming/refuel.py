@@ -135,9 +135,11 @@ def level_samples(df: DataFrame, step: str | None) -> DataFrame:
     us = _step_us(step)
     if us is None:
         return lv
-    last = F.max(F.struct("t_us", "level"))
-    return (lv.groupBy("vin", F.floor(F.col("t_us") / us).alias("_step")).agg(last.alias("_l"))
-            .select("vin", F.col("_l.t_us").alias("t_us"), F.col("_l.level").alias("level")))
+    # max_by on primitives keeps this a hash aggregate (a struct max would
+    # force a sort-based one); equal timestamps give any one of the readings
+    return (lv.groupBy("vin", F.floor(F.col("t_us") / us).alias("_step"))
+            .agg(F.max("t_us").alias("t_us"), F.max_by("level", "t_us").alias("level"))
+            .drop("_step"))
 
 
 def _replay_partitions(step_us: int | None):
