@@ -42,9 +42,9 @@ def date_string(c: Column) -> Column:
 
 
 def epoch_millis(c: Column) -> Column:
-    """Epoch milliseconds of a wall-clock timestamp (read as UTC)."""
-    return F.timestamp_diff("MILLISECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"),
-                           c.cast("timestamp_ntz"))
+    """Epoch milliseconds of a wall-clock timestamp (read as UTC, truncated)."""
+    from ..operators.wide import epoch_micros
+    return F.floor(epoch_micros(c.cast("timestamp_ntz")) / 1000)
 
 
 def date_of_parts(year: Column, month: Column, day: Column) -> Column:

@@ -22,13 +22,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .wide import epoch
+from .wide import epoch_micros
 
 DEFAULT_CHUNK_SECONDS = 3600
 
 
 def chunk_of(ts: Column, chunk_seconds: int) -> Column:
-    return F.floor(F.timestamp_diff("SECOND", epoch(), ts) / chunk_seconds)
+    return F.floor(epoch_micros(ts) / (chunk_seconds * 1_000_000))
 
 
 def asof_running_max(df: DataFrame, keys: list[str], ts: str, value: str, out: str,

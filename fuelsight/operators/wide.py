@@ -21,14 +21,27 @@ def epoch() -> Column:
     return F.lit(EPOCH_NTZ).cast("timestamp_ntz")
 
 
+def epoch_micros(ts: Column) -> Column:
+    """Microseconds from 1970-01-01 00:00 to a wall-clock ``timestamp_ntz``.
+
+    Built from the date and clock fields, so it never passes through the
+    session time zone (a cast to ``timestamp`` would, and shift readings
+    taken under daylight-saving time).
+    """
+    return (F.unix_date(F.to_date(ts)).cast("bigint") * 86_400_000_000
+            + F.hour(ts).cast("bigint") * 3_600_000_000
+            + F.minute(ts).cast("bigint") * 60_000_000
+            + (F.date_part(F.lit("SECOND"), ts) * 1_000_000).cast("bigint"))
+
+
 def second_of(ts: Column) -> Column:
-    """Whole-second bucket as epoch seconds (timezone free)."""
-    return F.floor(F.timestamp_diff("MICROSECOND", epoch(), ts) / 1_000_000)
+    """Whole-second bucket as epoch seconds."""
+    return F.floor(epoch_micros(ts) / 1_000_000)
 
 
 def tenth_of(ts: Column) -> Column:
     """100-ms bucket as a count of tenths of a second since the epoch."""
-    return F.floor(F.timestamp_diff("MICROSECOND", epoch(), ts) / 100_000)
+    return F.floor(epoch_micros(ts) / 100_000)
 
 
 def km_bucket(value: Column, step: int = 100) -> Column:

@@ -18,7 +18,7 @@ from .. import schemas as S
 from ..functions.timefmt import date_of_parts, date_string, epoch_millis, parse_ts, register_functions
 from ..operators import algebra, fills, incremental, kpi
 from ..operators.etl import drop_future_readings, explode_envelopes
-from ..operators.wide import epoch, to_second_rows
+from ..operators.wide import epoch, epoch_micros, to_second_rows
 from ..session import scratch_path
 from ..sources.readers import read_range
 from ..sources.sinks import JSON_TS_OPTIONS, etl_job, to_json_lines, write_by_date, write_kpi
@@ -210,7 +210,7 @@ def q_sql_functions(spark, sf_dir):
 
 def q_read_range(spark, sf_dir):
     ev = FX.read_table(spark, sf_dir, "events")
-    hours = F.floor(F.timestamp_diff("SECOND", epoch(), F.col("ts")) / 3600)
+    hours = F.floor(epoch_micros(F.col("ts")) / 3_600_000_000)
     table = ev.select(FX.vin_of(F.col("user_id")).alias("vin"),
                       F.timestamp_add("HOUR", hours, epoch()).alias("bucket_ts"),
                       F.col("event_id").alias("version"), "value")
