@@ -251,9 +251,28 @@ def daily_kpis_separate(signals: DataFrame, rate: DataFrame | None = None) -> Da
 
 
 def km_kpis(signals: DataFrame, checkpoint: DataFrame | None = None) -> DataFrame:
-    """KM001-KM004 in one long fact table."""
+    """KM001-KM004 in one long fact table.
+
+    KM001 is the as-of total (:func:`total_fuel_by_km`); KM002-KM004 come
+    from ONE aggregate over the second rows per (vehicle, bucket), with
+    presence counts deciding which rows exist — the same rows the three
+    separate operators emit.
+    """
     wide = to_second_rows(signals, with_km=True)
-    return (total_fuel_by_km(signals, checkpoint)
-            .unionByName(fuel_by_km(wide, "idle"))
-            .unionByName(fuel_by_km(wide, "driving"))
-            .unionByName(aircon_by_km(wide)))
+    idle, driving, ac_on = is_idle(), is_driving(), F.col("aircon_on_votes") > 0
+    per_km = wide.groupBy("vin", "km").agg(
+        F.count(F.when(idle, 1)).alias("n_idle"), F.sum(F.when(idle, F.col("fuel"))).alias("idle"),
+        F.count(F.when(driving, 1)).alias("n_driving"), F.sum(F.when(driving, F.col("fuel"))).alias("driving"),
+        F.count(F.when(ac_on, 1)).alias("n_ac"), F.sum(F.when(ac_on, F.col("fuel"))).alias("aircon"),
+    )
+
+    def fact(code: str, value: str, count: str) -> Column:
+        return F.struct(F.lit(code).alias("k"), F.col(value).cast("double").alias("v"),
+                        (F.col(count) > 0).alias("p"))
+
+    facts = F.array(fact(S.KM_IDLE_FUEL, "idle", "n_idle"), fact(S.KM_DRIVING_FUEL, "driving", "n_driving"),
+                    fact(S.KM_AIRCON_FUEL, "aircon", "n_ac"))
+    parts = (per_km.select("vin", F.col("km").cast("int").alias("mileage"), F.inline(facts))
+             .where(F.col("p"))
+             .select("vin", "mileage", F.col("k").alias("data_key"), F.col("v").alias("data_value")))
+    return total_fuel_by_km(signals, checkpoint).unionByName(parts)

@@ -15,10 +15,19 @@ from pyspark.sql import functions as F
 from .. import schemas as S
 from ..functions.predicates import default_range, in_range
 from ..operators import algebra, fills, kpi
-from ..operators.wide import to_second_rows
+from ..session import scratch_path
 from ..sources.sinks import write_kpi
 
 
+def _stage(df: DataFrame, name: str) -> DataFrame:
+    """Write this run's rows to a fresh table in the shared folder and read it
+    back: derived KPIs then read the table (cut lineage) instead of
+    recomputing the pass, and only this run's rows are used."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def aircon_rate_job(signals: DataFrame, out: str) -> None:
     """A7 as its own run: the fleet rate, written for the daily job to read."""
     kpi.aircon_rate(signals).write.mode("overwrite").parquet(out)
@@ -28,19 +37,16 @@ def daily_job(signals: DataFrame, out: str, start=None, end=None, rate: DataFram
               partitioned: bool = False, **sink) -> DataFrame:
     """D001-D004, D006 for ``[start, end)`` (default: yesterday) plus D005.
 
-    One pass over the readings (fused daily operator).  The D001-D004 rows
-    are checkpointed to ``out`` first, so D005 is computed from the written
-    table instead of re-running the pass.
+    One pass over the readings (fused daily operator); the rows are staged
+    in the shared folder, D005 is derived from the staged table, and both go
+    to the sink together.
     """
     if start is None and end is None:
         start, end = default_range()
     rows = in_range(signals, start, end, partitioned=partitioned)
-    facts = kpi.daily_kpis(rows, rate=rate)
-    write_kpi(facts, "day", target=out, **sink)
-    written = facts.sparkSession.read.parquet(out) if sink.get("fmt", "parquet") == "parquet" else facts
-    day_range = (F.col("now_date") >= F.to_date(F.lit(str(start)))) & (F.col("now_date") < F.to_date(F.lit(str(end))))
-    other = algebra.other_fuel(written.where(day_range), "day")
-    write_kpi(other, "day", target=out, **sink)
+    run = _stage(kpi.daily_kpis(rows, rate=rate), "kpi-day-run")
+    other = algebra.other_fuel(run, "day")
+    write_kpi(run.unionByName(other), "day", target=out, **sink)
     return other
 
 
@@ -50,15 +56,9 @@ def km_job(signals: DataFrame, checkpoint: DataFrame, out: str, checkpoint_out:
     Afterwards each vehicle's next bucket index is appended to
     ``checkpoint_out``, so a rerun on the same readings adds no bucket twice.
     """
-    total = kpi.total_fuel_by_km(signals, checkpoint)
-    wide = to_second_rows(signals, with_km=True)
-    facts = (total.unionByName(kpi.fuel_by_km(wide, "idle"))
-             .unionByName(kpi.fuel_by_km(wide, "driving"))
-             .unionByName(kpi.aircon_by_km(wide)))
-    write_kpi(facts, "km", target=out, **sink)
-    written = signals.sparkSession.read.parquet(out) if sink.get("fmt", "parquet") == "parquet" else facts
-    write_kpi(algebra.other_fuel(written, "km"), "km", target=out, **sink)
-    advanced = (written.where(F.col("data_key") == S.KM_TOTAL_FUEL)
+    run = _stage(kpi.km_kpis(signals, checkpoint), "kpi-km-run")
+    write_kpi(run.unionByName(algebra.other_fuel(run, "km")), "km", target=out, **sink)
+    advanced = (run.where(F.col("data_key") == S.KM_TOTAL_FUEL)
                 .groupBy("vin").agg((F.max("mileage") / 100 + 1).cast("int").alias("per100"))
                 .select("vin", F.lit(S.INJECTION).alias("stype"), "per100"))
     advanced.write.mode("append").parquet(checkpoint_out)

@@ -37,6 +37,8 @@ def test_km_job_resumes_without_repeating_buckets(spark):
     total = spark.read.parquet(out).where(F.col("data_key") == S.KM_TOTAL_FUEL)
     assert total.count() == n_first
     assert total.groupBy("vin", "mileage").count().where("count > 1").count() == 0
+    other = spark.read.parquet(out).where(F.col("data_key") == S.KM_OTHER_FUEL)
+    assert other.groupBy("vin", "mileage").count().where("count > 1").count() == 0
 
 
 def test_fill_job_processes_each_interval_once(spark):
