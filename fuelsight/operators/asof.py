@@ -62,3 +62,26 @@ def asof_running_max(df: DataFrame, keys: list[str], ts: str, value: str, out: s
         .withColumn(out, F.greatest(F.col("_carry"), F.col("_in_chunk")))
         .drop("_chunk", "_in_chunk", "_carry")
     )
+
+
+def next_time(df: DataFrame, keys: list[str], ts: str, tiebreak: str, out: str,
+              chunk_seconds: int = 86_400) -> DataFrame:
+    """Add ``out`` = ``ts`` of the next row per ``keys`` in (ts, tiebreak) order.
+
+    ``lead`` over a window partitioned by the key alone would put a hot key
+    in one task.  Here ``lead`` runs inside (key, chunk); the last row of a
+    chunk takes the earliest ``ts`` of the key's next non-empty chunk, from a
+    window over per-chunk minima (one row per key and chunk).  The last row
+    of a key gets null.
+    """
+    d = df.withColumn("_chunk", chunk_of(F.col(ts), chunk_seconds))
+    part = [*keys, "_chunk"]
+    w_in = Window.partitionBy(*part).orderBy(F.col(ts), F.col(tiebreak))
+    d = d.withColumn("_lead", F.lead(F.col(ts)).over(w_in))
+    firsts = df.withColumn("_chunk", chunk_of(F.col(ts), chunk_seconds)) \
+        .groupBy(*part).agg(F.min(ts).alias("_first"))
+    w_next = Window.partitionBy(*keys).orderBy("_chunk")
+    nxt = firsts.select(*part, F.lead("_first").over(w_next).alias("_next_chunk_first"))
+    return (d.join(nxt, part, "left")
+            .withColumn(out, F.coalesce(F.col("_lead"), F.col("_next_chunk_first")))
+            .drop("_chunk", "_lead", "_next_chunk_first"))

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..functions.predicates import of_type
-from .asof import DEFAULT_CHUNK_SECONDS, asof_running_max
+from .asof import DEFAULT_CHUNK_SECONDS, asof_running_max, next_time
 from .ranking import rank_within
 
 INTERVAL_KEYS = ["vin", "gas_id", "fill_grade", "start_ts", "price"]
@@ -26,17 +26,16 @@ def new_fills(fills: DataFrame, marks: DataFrame) -> DataFrame:
             .drop("_mark"))
 
 
-def fill_intervals(fills: DataFrame) -> DataFrame:
+def fill_intervals(fills: DataFrame, chunk_seconds: int = 86_400) -> DataFrame:
     """Each fill paired with the next one of the same vehicle.
 
     Order is (start, station id) so two fills at one instant are paired
     deterministically (D13); the last fill has no end and is dropped (F9).
-    The window holds one vehicle's fills — a handful per week — not readings.
+    The pairing is a chunked ``lead`` (:func:`next_time`), so even a vehicle
+    holding a large share of all fills is spread over day-sized tasks.
     """
-    w = Window.partitionBy("vin").orderBy("fill_start_time", "gas_id")
-    return (fills.select("vin", "gas_id", "fill_grade", "price",
-                         F.col("fill_start_time").alias("start_ts"),
-                         F.lead("fill_start_time").over(w).alias("end_ts"))
+    base = fills.select("vin", "gas_id", "fill_grade", "price", F.col("fill_start_time").alias("start_ts"))
+    return (next_time(base, ["vin"], "start_ts", "gas_id", "end_ts", chunk_seconds)
             .where(F.col("end_ts").isNotNull()))
 
 
