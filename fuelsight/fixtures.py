@@ -151,9 +151,8 @@ def load(spark: SparkSession, sf_dir: str, materialize: bool = True) -> dict[str
     partition pruning and ``stype`` filters pushed into Parquet instead of
     re-deriving the fan-out from ``events`` every time.
     """
-    derived = derive(spark, sf_dir)
     if not materialize:
-        return derived
+        return derive(spark, sf_dir)
     from .session import path_exists, shared_dir
     from .sources.sinks import write_by_date
 
@@ -162,6 +161,7 @@ def load(spark: SparkSession, sf_dir: str, materialize: bool = True) -> dict[str
     with _LOCK:
         if key in _LOADED:
             return dict(_LOADED[key])
+        derived = derive(spark, sf_dir)
         out = {"events": derived["events"]}
         for name, df in derived.items():
             if name == "events":

@@ -22,13 +22,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .wide import epoch_micros
+from .wide import micros_sql
 
 DEFAULT_CHUNK_SECONDS = 3600
 
 
-def chunk_of(ts: Column, chunk_seconds: int) -> Column:
-    return F.floor(epoch_micros(ts) / (chunk_seconds * 1_000_000))
+def chunk_of(ts: str, chunk_seconds: int) -> Column:
+    return F.expr(f"floor({micros_sql(ts)} / {chunk_seconds * 1_000_000}L)")
 
 
 def asof_running_max(df: DataFrame, keys: list[str], ts: str, value: str, out: str,
@@ -41,7 +41,7 @@ def asof_running_max(df: DataFrame, keys: list[str], ts: str, value: str, out: s
     field by field); nulls are ignored.  ``key_max`` also adds the maximum
     over the whole key, taken from the same chunk summaries (no extra pass).
     """
-    d = df.withColumn("_chunk", chunk_of(F.col(ts), chunk_seconds))
+    d = df.withColumn("_chunk", chunk_of(ts, chunk_seconds))
     part = [*keys, "_chunk"]
     # rows with a null key or time can never be matched
     not_null = F.col("_chunk").isNotNull()
@@ -74,11 +74,11 @@ def next_time(df: DataFrame, keys: list[str], ts: str, tiebreak: str, out: str,
     window over per-chunk minima (one row per key and chunk).  The last row
     of a key gets null.
     """
-    d = df.withColumn("_chunk", chunk_of(F.col(ts), chunk_seconds))
+    d = df.withColumn("_chunk", chunk_of(ts, chunk_seconds))
     part = [*keys, "_chunk"]
     w_in = Window.partitionBy(*part).orderBy(F.col(ts), F.col(tiebreak))
     d = d.withColumn("_lead", F.lead(F.col(ts)).over(w_in))
-    firsts = df.withColumn("_chunk", chunk_of(F.col(ts), chunk_seconds)) \
+    firsts = df.withColumn("_chunk", chunk_of(ts, chunk_seconds)) \
         .groupBy(*part).agg(F.min(ts).alias("_first"))
     w_next = Window.partitionBy(*keys).orderBy("_chunk")
     nxt = firsts.select(*part, F.lead("_first").over(w_next).alias("_next_chunk_first"))

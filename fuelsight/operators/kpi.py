@@ -15,7 +15,7 @@ from .. import schemas as S
 from ..functions.predicates import in_range, is_driving, is_idle, of_type
 from .asof import DEFAULT_CHUNK_SECONDS, asof_running_max
 from .incremental import after_checkpoint
-from .wide import _sum_of, km_bucket, second_of, tenth_of, to_second_rows
+from .wide import _sum_of, km_bucket, micros_sql, second_of, tenth_of, to_second_rows
 
 STATES = {"idle": is_idle, "driving": is_driving}
 DAY_CODES = {"idle": S.D_IDLE_FUEL, "driving": S.D_DRIVING_FUEL}
@@ -65,25 +65,21 @@ def aircon_rate(signals: DataFrame) -> DataFrame:
     with hours from the durations (D5); null when a state is absent (D6).
     """
     sig = of_type(signals, S.INJECTION, S.AIRCON)
-    is_inj = F.col("stype") == S.INJECTION
+    inj = f"stype = '{S.INJECTION}'"
     per_instant = sig.groupBy("vin", "ts").agg(
-        F.sum(F.when(F.col("stype") == S.AIRCON,
-                     F.when(F.col("value") == 0, -1).otherwise(1)).otherwise(0)).alias("votes"),
-        F.coalesce(F.sum(F.when(is_inj, F.col("value"))), F.lit(0.0)).alias("fuel"),
-        (F.count(F.when(is_inj, 1)) * 100).alias("dur_ms"),
+        F.expr(f"sum(CASE WHEN stype = '{S.AIRCON}' THEN (CASE WHEN value = 0 THEN -1 ELSE 1 END) ELSE 0 END)")
+        .alias("votes"),
+        F.expr(f"coalesce(sum(CASE WHEN {inj} THEN value END), 0D)").alias("fuel"),
+        F.expr(f"count(CASE WHEN {inj} THEN 1 END) * 100").alias("dur_ms"),
     )
-    on = F.col("votes") >= 0
     totals = per_instant.agg(
-        F.sum(F.when(on, F.col("dur_ms"))).alias("on_ms"),
-        F.sum(F.when(~on, F.col("dur_ms"))).alias("off_ms"),
-        F.sum(F.when(on, F.col("fuel"))).alias("on_fuel"),
-        F.sum(F.when(~on, F.col("fuel"))).alias("off_fuel"),
+        F.expr("sum(CASE WHEN votes >= 0 THEN dur_ms END)").alias("on_ms"),
+        F.expr("sum(CASE WHEN votes < 0 THEN dur_ms END)").alias("off_ms"),
+        F.expr("sum(CASE WHEN votes >= 0 THEN fuel END)").alias("on_fuel"),
+        F.expr("sum(CASE WHEN votes < 0 THEN fuel END)").alias("off_fuel"),
     )
-    on_h = F.col("on_ms") / F.lit(3_600_000.0)
-    off_h = F.col("off_ms") / F.lit(3_600_000.0)
-    on_per_h = F.try_divide(F.col("on_fuel"), on_h)
-    off_per_h = F.try_divide(F.col("off_fuel"), off_h)
-    rate = F.try_divide((on_per_h - off_per_h) * on_h, F.col("on_fuel") + F.col("off_fuel"))
+    rate = F.expr("try_divide((try_divide(on_fuel, on_ms / 3600000D) - try_divide(off_fuel, off_ms / 3600000D))"
+                  " * (on_ms / 3600000D), on_fuel + off_fuel)")
     return totals.select("on_ms", "off_ms", "on_fuel", "off_fuel", rate.alias("rate"))
 
 
@@ -116,7 +112,7 @@ def aircon_by_km(wide: DataFrame, state: str = "on") -> DataFrame:
 def total_fuel_by_day(signals: DataFrame, start=None, end=None) -> DataFrame:
     """A8 (D001): one injection value per 100-ms bucket (the largest, D8), summed per day."""
     inj = in_range(of_type(signals, S.INJECTION), start, end)
-    per_tenth = inj.groupBy("vin", tenth_of(F.col("ts")).alias("tenth"), F.to_date("ts").alias("day")) \
+    per_tenth = inj.groupBy("vin", tenth_of("ts").alias("tenth"), F.to_date("ts").alias("day")) \
         .agg(F.max("value").alias("v"))
     agg = per_tenth.groupBy("vin", "day").agg(F.sum("v").alias("data_value"))
     return day_fact(agg, S.D_TOTAL_FUEL)
@@ -189,34 +185,31 @@ def daily_kpis(signals: DataFrame, rate: DataFrame | Column | float | None = Non
     """
     types = [S.SPEED, S.RPM, S.INJECTION, S.AIRCON, S.ODOMETER]
     sig = in_range(of_type(signals, *types), start, end)
-    is_inj = F.col("stype") == S.INJECTION
-    is_odo = F.col("stype") == S.ODOMETER
-    digit = tenth_of(F.col("ts")) % 10
-    tenth_max = [F.max(F.when(is_inj & (digit == d), F.col("value"))) for d in range(10)]
-    per_sec = sig.groupBy(
-        "vin", second_of(F.col("ts")).alias("sec"), F.to_date("ts").alias("day")
-    ).agg(
+    inj, odo = f"stype = '{S.INJECTION}'", f"stype = '{S.ODOMETER}'"
+    digit = f"(floor({micros_sql('ts')} / 100000) % 10)"
+    tenth_max = " + ".join(
+        f"coalesce(max(CASE WHEN {inj} AND {digit} = {d} THEN value END), 0D)" for d in range(10))
+    per_sec = sig.groupBy("vin", second_of("ts").alias("sec"), F.to_date("ts").alias("day")).agg(
         _sum_of(S.SPEED).alias("speed"),
         _sum_of(S.RPM).alias("rpm"),
         _sum_of(S.INJECTION).alias("fuel"),
-        F.count(F.when((F.col("stype") == S.AIRCON) & (F.col("value") != 0), 1)).alias("ac_votes"),
-        F.count(F.when(is_inj, 1)).alias("n_inj"),
-        sum((F.coalesce(m, F.lit(0.0)) for m in tenth_max[1:]), F.coalesce(tenth_max[0], F.lit(0.0)))
-        .alias("dedup_fuel"),
-        F.max(F.when(is_odo, F.col("value"))).alias("odo_max"),
-        F.min(F.when(is_odo, F.col("value"))).alias("odo_min"),
+        F.expr(f"count(CASE WHEN stype = '{S.AIRCON}' AND value != 0 THEN 1 END)").alias("ac_votes"),
+        F.expr(f"count(CASE WHEN {inj} THEN 1 END)").alias("n_inj"),
+        F.expr(tenth_max).alias("dedup_fuel"),
+        F.expr(f"max(CASE WHEN {odo} THEN value END)").alias("odo_max"),
+        F.expr(f"min(CASE WHEN {odo} THEN value END)").alias("odo_min"),
     )
-    idle, driving, ac_on = is_idle(), is_driving(), F.col("ac_votes") > 0
+    idle, driving, ac_on = "speed = 0 AND rpm > 0", "speed > 0 AND rpm > 0", "ac_votes > 0"
     per_day = per_sec.groupBy("vin", "day").agg(
         F.sum("n_inj").alias("n_inj"),
         F.sum("dedup_fuel").alias("total"),
-        F.count(F.when(idle, 1)).alias("n_idle"),
-        F.sum(F.when(idle, F.col("fuel"))).alias("idle"),
-        F.count(F.when(driving, 1)).alias("n_driving"),
-        F.sum(F.when(driving, F.col("fuel"))).alias("driving"),
-        F.count(F.when(ac_on, 1)).alias("n_ac"),
-        F.sum(F.when(ac_on, F.col("fuel"))).alias("aircon"),
-        (F.max("odo_max") - F.min("odo_min")).alias("mileage"),
+        F.expr(f"count(CASE WHEN {idle} THEN 1 END)").alias("n_idle"),
+        F.expr(f"sum(CASE WHEN {idle} THEN fuel END)").alias("idle"),
+        F.expr(f"count(CASE WHEN {driving} THEN 1 END)").alias("n_driving"),
+        F.expr(f"sum(CASE WHEN {driving} THEN fuel END)").alias("driving"),
+        F.expr(f"count(CASE WHEN {ac_on} THEN 1 END)").alias("n_ac"),
+        F.expr(f"sum(CASE WHEN {ac_on} THEN fuel END)").alias("aircon"),
+        F.expr("max(odo_max) - min(odo_min)").alias("mileage"),
     )
     factor = _rate_factor(signals, rate)
     def fact(code: str, value: Column, present: Column) -> Column:

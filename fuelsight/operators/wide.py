@@ -21,27 +21,36 @@ def epoch() -> Column:
     return F.lit(EPOCH_NTZ).cast("timestamp_ntz")
 
 
-def epoch_micros(ts: Column) -> Column:
+def micros_sql(ts: str = "ts") -> str:
+    """SQL text of :func:`epoch_micros` for a column name."""
+    return (f"(unix_date(to_date({ts})) * 86400000000L + hour({ts}) * 3600000000L"
+            f" + minute({ts}) * 60000000L + CAST(date_part('SECOND', {ts}) * 1000000 AS BIGINT))")
+
+
+def epoch_micros(ts: Column | str) -> Column:
     """Microseconds from 1970-01-01 00:00 to a wall-clock ``timestamp_ntz``.
 
     Built from the date and clock fields, so it never passes through the
     session time zone (a cast to ``timestamp`` would, and shift readings
-    taken under daylight-saving time).
+    taken under daylight-saving time).  Given a column *name* the expression
+    is sent as one SQL string (one round trip instead of a dozen).
     """
+    if isinstance(ts, str):
+        return F.expr(micros_sql(ts))
     return (F.unix_date(F.to_date(ts)).cast("bigint") * 86_400_000_000
             + F.hour(ts).cast("bigint") * 3_600_000_000
             + F.minute(ts).cast("bigint") * 60_000_000
             + (F.date_part(F.lit("SECOND"), ts) * 1_000_000).cast("bigint"))
 
 
-def second_of(ts: Column) -> Column:
+def second_of(ts: str = "ts") -> Column:
     """Whole-second bucket as epoch seconds."""
-    return F.floor(epoch_micros(ts) / 1_000_000)
+    return F.expr(f"floor({micros_sql(ts)} / 1000000)")
 
 
-def tenth_of(ts: Column) -> Column:
+def tenth_of(ts: str = "ts") -> Column:
     """100-ms bucket as a count of tenths of a second since the epoch."""
-    return F.floor(epoch_micros(ts) / 100_000)
+    return F.expr(f"floor({micros_sql(ts)} / 100000)")
 
 
 def km_bucket(value: Column, step: int = 100) -> Column:
@@ -50,7 +59,7 @@ def km_bucket(value: Column, step: int = 100) -> Column:
 
 
 def _sum_of(stype: str) -> Column:
-    return F.coalesce(F.sum(F.when(F.col("stype") == stype, F.col("value"))), F.lit(0.0))
+    return F.expr(f"coalesce(sum(CASE WHEN stype = '{stype}' THEN value END), 0D)")
 
 
 def to_second_rows(signals: DataFrame, with_km: bool = False) -> DataFrame:
@@ -66,11 +75,9 @@ def to_second_rows(signals: DataFrame, with_km: bool = False) -> DataFrame:
         _sum_of(SPEED).alias("speed"),
         _sum_of(RPM).alias("rpm"),
         _sum_of(INJECTION).alias("fuel"),
-        F.count(F.when((F.col("stype") == AIRCON) & (F.col("value") != 0), 1)).alias("aircon_on_votes"),
+        F.expr(f"count(CASE WHEN stype = '{AIRCON}' AND value != 0 THEN 1 END)").alias("aircon_on_votes"),
     ]
     if with_km:
-        aggs.append(F.coalesce(km_bucket(F.max(F.when(F.col("stype") == ODOMETER, F.col("value")))),
-                               F.lit(0)).alias("km"))
-    return sig.groupBy(
-        "vin", second_of(F.col("ts")).alias("sec"), F.to_date("ts").alias("day")
-    ).agg(*aggs)
+        aggs.append(F.expr(f"coalesce(CAST(floor(max(CASE WHEN stype = '{ODOMETER}' THEN value END) / 100)"
+                           " * 100 AS INT), 0)").alias("km"))
+    return sig.groupBy("vin", second_of("ts").alias("sec"), F.to_date("ts").alias("day")).agg(*aggs)

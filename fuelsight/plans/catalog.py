@@ -210,7 +210,7 @@ def q_sql_functions(spark, sf_dir):
 
 def q_read_range(spark, sf_dir):
     ev = FX.read_table(spark, sf_dir, "events")
-    hours = F.floor(epoch_micros(F.col("ts")) / 3_600_000_000)
+    hours = F.floor(epoch_micros("ts") / 3_600_000_000)
     table = ev.select(FX.vin_of(F.col("user_id")).alias("vin"),
                       F.timestamp_add("HOUR", hours, epoch()).alias("bucket_ts"),
                       F.col("event_id").alias("version"), "value")

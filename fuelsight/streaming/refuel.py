@@ -130,7 +130,7 @@ def level_samples(df: DataFrame, step: str | None) -> DataFrame:
     on Spark to the last reading of each (vehicle, step) — a grouped aggregate
     with a partial step, so the Python side sees at most one row per step."""
     lv = df.where(F.col("stype") == S.FUEL_LEVEL).select(
-        "vin", epoch_micros(F.col("ts")).alias("t_us"),
+        "vin", epoch_micros("ts").alias("t_us"),
         F.col("value").alias("level"))
     us = _step_us(step)
     if us is None:
@@ -186,7 +186,7 @@ def refuel_events_stream(signals_stream: DataFrame, step: str | None = "5 second
     """T8 streaming form: same machine, state kept per vehicle between micro-batches."""
     us = _step_us(step)
     lv = signals_stream.where(F.col("stype") == S.FUEL_LEVEL).select(
-        "vin", epoch_micros(F.col("ts")).alias("t_us"),
+        "vin", epoch_micros("ts").alias("t_us"),
         F.col("value").alias("level"))
 
     def update(key: tuple, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
