@@ -28,16 +28,26 @@ def local_session(cores: int | str = "*", partitions: int = 8, app: str = "fuels
     )
 
 
+_FALLBACK: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder shared by all executors, taken from ``spark.checkpoint.dir``.
 
     On a cluster the operator names it; only where it is unset (tests, local
-    runs) a fresh scratch folder is chosen and recorded in the session.
+    runs) a fresh scratch folder is chosen once per application and made the
+    context's checkpoint directory.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
-        path = tempfile.mkdtemp(prefix="fuelsight-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
+        app = spark.sparkContext.applicationId
+        path = _FALLBACK.get(app)
+        if path is None:
+            path = _FALLBACK[app] = tempfile.mkdtemp(prefix="fuelsight-ckpt-")
+            try:
+                spark.conf.set("spark.checkpoint.dir", path)
+            except Exception:  # noqa: BLE001 - core conf may be read-only at runtime
+                pass
     jsc = spark.sparkContext._jsc
     if jsc.sc().getCheckpointDir().isEmpty():
         spark.sparkContext.setCheckpointDir(path)

@@ -24,6 +24,18 @@ def read_signals(spark: SparkSession, path: str, fmt: str = "parquet", **options
     return raw.select("vin", parse_ts(F.col("ts")).alias("ts"), "stype", "value")
 
 
+def split_corrupt(signals: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Typed readings that can be used, and the rest as a side output.
+
+    A reading is unusable when its vehicle, time (e.g. an unparseable
+    timestamp), type or value is missing.  Both outputs are lazy filters of
+    the same scan; nothing is dropped silently.
+    """
+    ok = (F.col("vin").isNotNull() & F.col("ts").isNotNull() & F.col("stype").isNotNull()
+          & F.col("value").isNotNull())
+    return signals.where(ok), signals.where(~ok | ok.isNull())
+
+
 def parse_signals(df: DataFrame, col: str = "value") -> DataFrame:
     """JSON signal strings -> typed columns (``from_json``, one pass).
 
@@ -90,6 +102,10 @@ def read_stream(spark: SparkSession, fmt: str = "parquet", path: str | None = No
     ``path`` with ``maxFilesPerTrigger``.  Offsets live in the query's
     checkpoint, not in an external store.
     """
+    if fmt == "kafka":
+        # resume from the checkpoint; on the first run start at the earliest
+        # offset still available, and skip (not fail on) aged-out offsets
+        options = {"startingOffsets": "earliest", "failOnDataLoss": "false", **options}
     reader = spark.readStream.format(fmt).options(**options)
     if fmt == "kafka":
         if max_per_trigger:

@@ -114,3 +114,13 @@ def test_read_range_keeps_newest_version(spark):
     got = sorted((r.vin, r.data) for r in read_range(df, "2024-01-05", "2024-01-07", ("vin", "ts")).collect())
     assert got == [("V1", "new"), ("V2", "only")]
     assert read_range(df, "2024-01-05", "2024-01-07", latest=False).count() == 3
+
+
+def test_split_corrupt_rows(spark):
+    from fuelsight.sources.readers import split_corrupt
+    df = spark.createDataFrame([("V1", "2024-01-01 00:00:00", "fuelLevel", 1.0),
+                                ("V1", "garbage", "fuelLevel", 1.0), (None, "2024-01-01 00:00:00", "x", 1.0)],
+                               "vin string, ts string, stype string, value double")
+    typed = df.withColumn("ts", parse_ts(F.col("ts")))
+    good, bad = split_corrupt(typed)
+    assert good.count() == 1 and bad.count() == 2
