@@ -7,23 +7,41 @@ from pyspark.sql import functions as F
 
 # --- fixed values: the two timestamp spellings found in vehicle data ---
 ISO_FORMAT = "yyyy-MM-dd HH:mm:ss[.SSSSSS]"
-COMPACT_FORMAT = "yyyyMMddHHmmss[.SSS]"
+COMPACT_FORMAT = "yyyyMMddHHmmss[.SSSSSS]"
 
 
 def parse_ts(c: Column | str) -> Column:
     """Parse ``yyyy-MM-dd HH:mm:ss[.ffffff]`` (also with ``T``) or ``yyyyMMddHHmmss[SSS]``.
 
-    The compact form has no separator before the fraction, which the
-    pattern parser cannot read, so a dot is inserted after 14 digits first.
-    Unparseable strings give null (D23: 24-hour clock).
+    The spelling is picked from the fifth character (``-`` = ISO), so each
+    value is parsed once.  The compact form has no separator before the
+    fraction, which the pattern parser cannot read, so a dot is inserted
+    after 14 digits.  Unparseable strings give null (D23: 24-hour clock).
     """
-    c = F.col(c) if isinstance(c, str) else c
-    s = F.regexp_replace(F.trim(c.cast("string")), r"^(\d{4}-\d{2}-\d{2})T", "$1 ")
-    compact = F.regexp_replace(s, r"^(\d{14})(\d+)$", "$1.$2")
-    return F.coalesce(
-        F.try_to_timestamp(s, F.lit(ISO_FORMAT)),
-        F.try_to_timestamp(compact, F.lit(COMPACT_FORMAT)),
-    ).cast("timestamp_ntz")
+    name = c if isinstance(c, str) else None
+    if name is None:
+        return parse_ts_column(c)
+    return F.expr(parse_ts_sql(f"`{name}`"))
+
+
+def parse_ts_sql(x: str) -> str:
+    """SQL text of :func:`parse_ts` for an expression ``x``."""
+    s = f"trim(CAST({x} AS STRING))"
+    return (f"CAST(CASE WHEN substr({s}, 5, 1) = '-' "
+            f"THEN try_to_timestamp(translate({s}, 'T', ' '), '{ISO_FORMAT}') "
+            f"ELSE try_to_timestamp(CASE WHEN length({s}) > 14 "
+            f"THEN concat(substr({s}, 1, 14), '.', substr({s}, 15)) ELSE {s} END, '{COMPACT_FORMAT}') "
+            f"END AS TIMESTAMP_NTZ)")
+
+
+def parse_ts_column(c: Column) -> Column:
+    """:func:`parse_ts` for an arbitrary column expression."""
+    s = F.trim(c.cast("string"))
+    compact = F.when(F.length(s) > 14, F.concat(F.substring(s, 1, 14), F.lit("."), F.substring(s, 15, 1 << 20))) \
+        .otherwise(s)
+    return F.when(F.substring(s, 5, 1) == "-",
+                  F.try_to_timestamp(F.translate(s, "T", " "), F.lit(ISO_FORMAT))) \
+        .otherwise(F.try_to_timestamp(compact, F.lit(COMPACT_FORMAT))).cast("timestamp_ntz")
 
 
 def add_date_parts(df: DataFrame, ts_col: str = "ts") -> DataFrame:
@@ -58,13 +76,7 @@ SQL_FUNCTIONS = {
     "fs_day": ("x TIMESTAMP_NTZ", "INT", "dayofmonth(x)"),
     "fs_date_string": ("x TIMESTAMP_NTZ", "STRING", "date_format(x, 'yyyy-MM-dd')"),
     "fs_date_of_parts": ("y INT, m INT, d INT", "STRING", "date_format(make_date(y, m, d), 'yyyy-MM-dd')"),
-    "fs_parse_ts": (
-        "s STRING", "TIMESTAMP_NTZ",
-        "cast(coalesce(try_to_timestamp(regexp_replace(trim(s), '^([0-9]{4}-[0-9]{2}-[0-9]{2})T', '$1 '), "
-        "'yyyy-MM-dd HH:mm:ss[.SSSSSS]'), "
-        "try_to_timestamp(regexp_replace(trim(s), '^([0-9]{14})([0-9]+)$', '$1.$2'), "
-        "'yyyyMMddHHmmss[.SSS]')) AS TIMESTAMP_NTZ)",
-    ),
+    "fs_parse_ts": ("s STRING", "TIMESTAMP_NTZ", None),
 }
 
 
@@ -75,5 +87,6 @@ def register_functions(spark: SparkSession) -> list[str]:
     the plan like any built-in expression (no Python on the executors).
     """
     for name, (params, ret, body) in SQL_FUNCTIONS.items():
+        body = body or parse_ts_sql("s")
         spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}({params}) RETURNS {ret} RETURN {body}")
     return list(SQL_FUNCTIONS)

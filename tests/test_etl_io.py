@@ -22,10 +22,13 @@ from fuelsight.sources.sinks import etl_job, to_json_lines, write_by_date, write
 
 def test_parse_both_spellings(spark):
     df = spark.createDataFrame([("2017-10-31 12:32:27",), ("20171031123227890",), ("20171231235959",),
-                                ("2024-12-31 00:00:00.123456",), ("not a time",), (None,)], "s string")
-    got = [r[0] for r in df.select(parse_ts(F.col("s"))).collect()]
-    assert got == [dt.datetime(2017, 10, 31, 12, 32, 27), dt.datetime(2017, 10, 31, 12, 32, 27, 890000),
-                   dt.datetime(2017, 12, 31, 23, 59, 59), dt.datetime(2024, 12, 31, 0, 0, 0, 123456), None, None]
+                                ("2024-12-31 00:00:00.123456",), ("not a time",), (None,),
+                                ("2024-01-01T10:00:00.5",), ("20240101100000123456",)], "s string")
+    want = [dt.datetime(2017, 10, 31, 12, 32, 27), dt.datetime(2017, 10, 31, 12, 32, 27, 890000),
+            dt.datetime(2017, 12, 31, 23, 59, 59), dt.datetime(2024, 12, 31, 0, 0, 0, 123456), None, None,
+            dt.datetime(2024, 1, 1, 10, 0, 0, 500000), dt.datetime(2024, 1, 1, 10, 0, 0, 123456)]
+    assert [r[0] for r in df.select(parse_ts(F.col("s"))).collect()] == want
+    assert [r[0] for r in df.select(parse_ts("s")).collect()] == want
 
 
 def test_date_helpers(spark):
