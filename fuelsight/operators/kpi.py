@@ -243,7 +243,7 @@ def daily_kpis_separate(signals: DataFrame, rate: DataFrame | None = None) -> Da
     return out
 
 
-def km_kpis(signals: DataFrame, checkpoint: DataFrame | None = None) -> DataFrame:
+def km_kpis(signals: DataFrame, checkpoint: DataFrame | None = None, bucket: str = "same_second") -> DataFrame:
     """KM001-KM004 in one long fact table.
 
     KM001 is the as-of total (:func:`total_fuel_by_km`); KM002-KM004 come
@@ -251,7 +251,7 @@ def km_kpis(signals: DataFrame, checkpoint: DataFrame | None = None) -> DataFram
     presence counts deciding which rows exist — the same rows the three
     separate operators emit.
     """
-    wide = to_second_rows(signals, with_km=True)
+    wide = to_second_rows(signals, with_km=True, bucket=bucket)
     idle, driving, ac_on = is_idle(), is_driving(), F.col("aircon_on_votes") > 0
     per_km = wide.groupBy("vin", "km").agg(
         F.count(F.when(idle, 1)).alias("n_idle"), F.sum(F.when(idle, F.col("fuel"))).alias("idle"),

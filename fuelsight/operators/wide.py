@@ -62,14 +62,8 @@ def _sum_of(stype: str) -> Column:
     return F.expr(f"coalesce(sum(CASE WHEN stype = '{stype}' THEN value END), 0D)")
 
 
-def to_second_rows(signals: DataFrame, with_km: bool = False) -> DataFrame:
-    """P5: one row per (vehicle, second) with the readings of that second.
-
-    Columns: ``vin, sec, day, speed, rpm, fuel, aircon_on_votes`` and, with
-    ``with_km``, ``km`` = the 100-km bucket of that second's odometer (0 when
-    the second has no odometer reading).  Missing readings count as 0.
-    """
-    types = [SPEED, RPM, INJECTION, AIRCON] + ([ODOMETER] if with_km else [])
+def _second_rows(signals: DataFrame, with_km: bool, keep_odo: bool) -> DataFrame:
+    types = [SPEED, RPM, INJECTION, AIRCON] + ([ODOMETER] if with_km or keep_odo else [])
     sig = of_type(signals, *types)
     aggs = [
         _sum_of(SPEED).alias("speed"),
@@ -80,4 +74,28 @@ def to_second_rows(signals: DataFrame, with_km: bool = False) -> DataFrame:
     if with_km:
         aggs.append(F.expr(f"coalesce(CAST(floor(max(CASE WHEN stype = '{ODOMETER}' THEN value END) / 100)"
                            " * 100 AS INT), 0)").alias("km"))
+    if keep_odo:
+        aggs.append(F.expr(f"CAST(floor(max(CASE WHEN stype = '{ODOMETER}' THEN value END) / 100)"
+                           " * 100 AS INT)").alias("_odo_km"))
+        aggs.append(F.min("ts").alias("_sec_ts"))
     return sig.groupBy("vin", second_of("ts").alias("sec"), F.to_date("ts").alias("day")).agg(*aggs)
+
+
+def to_second_rows(signals: DataFrame, with_km: bool = False, bucket: str = "same_second") -> DataFrame:
+    """P5: one row per (vehicle, second) with the readings of that second.
+
+    Columns: ``vin, sec, day, speed, rpm, fuel, aircon_on_votes`` and, with
+    ``with_km``, ``km`` = the 100-km bucket of that second's odometer (0 when
+    the second has no odometer reading).  ``bucket='asof'`` instead gives
+    each second the bucket of the highest odometer seen up to and including
+    it (skew-safe running max over the second rows; 0 before the first
+    reading).  Missing readings count as 0.
+    """
+    if bucket == "same_second" or not with_km:
+        return _second_rows(signals, with_km, keep_odo=False)
+    if bucket != "asof":
+        raise ValueError(f"unknown bucket {bucket!r}")
+    from .asof import asof_running_max
+    rows = _second_rows(signals, with_km=False, keep_odo=True)
+    out = asof_running_max(rows, ["vin"], "_sec_ts", "_odo_km", "km")
+    return out.withColumn("km", F.coalesce(F.col("km"), F.lit(0))).drop("_odo_km", "_sec_ts")

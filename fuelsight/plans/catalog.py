@@ -60,6 +60,10 @@ def _km(state):
     return lambda spark, sf_dir: kpi.fuel_by_km(to_second_rows(_signals(spark, sf_dir), with_km=True), state)
 
 
+def q_driving_km_asof(spark, sf_dir):
+    return kpi.fuel_by_km(to_second_rows(_signals(spark, sf_dir), with_km=True, bucket="asof"), "driving")
+
+
 def q_aircon_rate(spark, sf_dir):
     return kpi.aircon_rate(_signals(spark, sf_dir))
 
@@ -252,6 +256,7 @@ QUERIES: dict[str, Query] = {
     "idle_fuel_km": _km("idle"),
     "driving_fuel_day": _day("driving"),
     "driving_fuel_km": _km("driving"),
+    "driving_fuel_km_asof": q_driving_km_asof,
     "aircon_rate": q_aircon_rate,
     "aircon_fuel_day": q_aircon_day,
     "aircon_fuel_km": q_aircon_km,

@@ -14,6 +14,7 @@ H = "cast(3600000 AS double)"
 def _sec(types: list[str], with_km: bool) -> str:
     type_list = ", ".join(f"'{t}'" for t in types)
     km = (",\n   coalesce(cast(floor(max(CASE WHEN stype = 'drivingMileage' THEN value END) / 100) * 100 AS int), 0) AS km"
+          ",\n   count(CASE WHEN stype = 'drivingMileage' THEN 1 END) > 0 AS has_odo"
           if with_km else "")
     return f"""sec AS (
   SELECT vin, cast(floor(epoch_us(ts) / 1000000) AS bigint) AS sec, cast(ts AS date) AS day,
@@ -188,6 +189,13 @@ SQL: dict[str, str] = {
     "idle_fuel_km": f"{SEC_KM}\n{_fuel_km('idle', 'KM002')}",
     "driving_fuel_day": f"{SEC_DAY}\n{_fuel_day('driving', 'D003')}",
     "driving_fuel_km": f"{SEC_KM}\n{_fuel_km('driving', 'KM003')}",
+    "driving_fuel_km_asof": SEC_KM + """,
+sec_asof AS (
+  SELECT vin, sec, day, speed, rpm, fuel,
+    coalesce(max(odo_km) OVER (PARTITION BY vin ORDER BY sec RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 0) AS km
+  FROM (SELECT *, CASE WHEN has_odo THEN km END AS odo_km FROM sec))
+SELECT vin, km AS mileage, 'KM003' AS data_key, cast(sum(fuel) AS double) AS data_value
+FROM sec_asof WHERE speed > 0 AND rpm > 0 GROUP BY vin, km""",
     "aircon_rate": f"{RATE}\nSELECT on_ms, off_ms, on_fuel, off_fuel, rate FROM rate",
     "aircon_fuel_day": f"{SEC_DAY},\n{RATE}\n{AIRCON_DAY}",
     "aircon_fuel_km": f"{SEC_KM}\n{AIRCON_KM}",

@@ -165,3 +165,18 @@ def test_asof_running_max_matches_plain_window(spark):
     plain = df.withColumn("m", F.max("x").over(w))
     assert sorted(map(tuple, ours.select("k", "ts", "x", "m").collect()), key=repr) == \
         sorted(map(tuple, plain.select("k", "ts", "x", "m").collect()), key=repr)
+
+
+def test_km_bucket_same_second_vs_asof(signals_df):
+    sig = signals_df([
+        ("V1", "2024-01-01 10:00:00", ODO, 250), ("V1", "2024-01-01 10:00:00", SP, 5),
+        ("V1", "2024-01-01 10:00:00", RPM, 900), ("V1", "2024-01-01 10:00:00", INJ, 1.0),
+        ("V1", "2024-01-01 10:00:01", SP, 5), ("V1", "2024-01-01 10:00:01", RPM, 900),
+        ("V1", "2024-01-01 10:00:01", INJ, 2.0),                      # no odometer in this second
+        ("V1", "2024-01-01 09:59:59", SP, 5), ("V1", "2024-01-01 09:59:59", RPM, 900),
+        ("V1", "2024-01-01 09:59:59", INJ, 4.0),                      # before the first odometer
+    ])
+    same = facts(kpi.fuel_by_km(to_second_rows(sig, with_km=True), "driving"), "mileage")
+    asof = facts(kpi.fuel_by_km(to_second_rows(sig, with_km=True, bucket="asof"), "driving"), "mileage")
+    assert same == {("V1", "200", "KM003"): 1.0, ("V1", "0", "KM003"): 6.0}
+    assert asof == {("V1", "200", "KM003"): 3.0, ("V1", "0", "KM003"): 4.0}
