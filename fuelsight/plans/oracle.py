@@ -180,6 +180,39 @@ ENVELOPE_ROWS = """ex AS (
   FROM signals s JOIN ev e ON s.vin = e.vin AND s.ts = e.ts)"""
 
 
+def _refuel(steps: bool) -> str:
+    """Recursive walk over each vehicle's ordered tank levels (the T8 rule)."""
+    if steps:
+        src = """lvs AS (
+  SELECT vin, max(ts) AS ts, arg_max(value, ts) AS value
+  FROM signals WHERE stype = 'fuelLevel' GROUP BY vin, floor(epoch_us(ts) / 5000000)),
+lvn AS (SELECT *, row_number() OVER (PARTITION BY vin ORDER BY ts) AS rn,
+               count(*) OVER (PARTITION BY vin) AS cnt FROM lvs),
+lv AS (SELECT vin, ts, value, rn FROM lvn WHERE rn < cnt)"""
+    else:
+        src = """lv AS (SELECT vin, ts, value, row_number() OVER (PARTITION BY vin ORDER BY ts) AS rn
+       FROM signals WHERE stype = 'fuelLevel')"""
+    return src + """,
+st(vin, rn, n, f, f_t, l3, l2, l, l_t, ev) AS (
+  SELECT vin, rn, 1, value, ts, cast(NULL AS double), cast(NULL AS double), value, ts, false FROM lv WHERE rn = 1
+  UNION ALL
+  SELECT vin, rn, n0 + 1, f1, f_t1, l2_old, l_old, x, ts,
+         (n0 + 1 > 4 AND x - f1 > 10 AND abs(x - l_old) < 1 AND abs(l_old - l2_old) < 1)
+  FROM (
+    SELECT vin, rn, x, ts, l_old, l2_old, n0,
+           CASE WHEN n0 = 0 THEN x ELSE f_old END AS f1,
+           CASE WHEN n0 = 0 THEN ts ELSE f_t_old END AS f_t1
+    FROM (
+      SELECT lv.vin, lv.rn, lv.value AS x, lv.ts, st.l AS l_old, st.l2 AS l2_old, st.f AS f_old, st.f_t AS f_t_old,
+             CASE WHEN st.ev THEN 0
+                  WHEN st.n > 0 AND lv.value < st.l AND lv.value < st.f THEN 0
+                  ELSE st.n END AS n0
+      FROM st JOIN lv ON lv.vin = st.vin AND lv.rn = st.rn + 1) a) b)
+SELECT vin, l3 AS fuel_mass, l3 - f AS fill_amount, f_t AS fill_start_time, l_t AS fill_end_time,
+       cast(0 AS double) AS gps_latitude, cast(0 AS double) AS gps_longitude
+FROM st WHERE ev"""
+
+
 SQL: dict[str, str] = {
     "signals_from_events": "SELECT vin, ts, stype, value FROM signals",
     "fill_records": "SELECT vin, fill_start_time, gas_id, fill_grade, price FROM fills",
@@ -250,6 +283,8 @@ FROM lw GROUP BY vin, window_start HAVING avg(value) < 20""",
   arg_max(value, ts) FILTER (WHERE stype = 'fuelLevel') AS last_level,
   sum(CASE WHEN stype = 'drivingSpeed' THEN (CASE WHEN value > 0 THEN 1 ELSE -1 END) ELSE 0 END) > 0 AS is_drive
 FROM signals WHERE stype IN ('fuelLevel', 'drivingSpeed') GROUP BY vin, date_trunc('day', ts)""",
+    "refuel_events": _refuel(False),
+    "refuel_events_steps": _refuel(True),
     "explode_envelopes": f"{ENVELOPE_ROWS}\nSELECT * FROM ex",
     "drop_future_readings": f"{ENVELOPE_ROWS}\nSELECT * FROM ex WHERE send_ts > ts",
     "date_functions": """SELECT event_id, cast(year(ts) AS int) AS year, cast(month(ts) AS int) AS month,
@@ -270,5 +305,8 @@ GROUP BY vin, bucket_ts""",
 }
 
 
+RECURSIVE = {"refuel_events", "refuel_events_steps"}
+
+
 def oracle_sql() -> dict[str, str]:
-    return {name: with_fixtures(body) for name, body in SQL.items()}
+    return {name: with_fixtures(body, name in RECURSIVE) for name, body in SQL.items()}

@@ -40,9 +40,10 @@ km_checkpoint AS (
   WHERE cast(right(vin, 5) AS int) % 2 = 0)"""
 
 
-def with_fixtures(body: str) -> str:
+def with_fixtures(body: str, recursive: bool = False) -> str:
     """Prefix a query body (which may add its own CTEs after a comma)."""
     body = body.strip()
+    head = "WITH RECURSIVE " if recursive else "WITH "
     if body.upper().startswith("SELECT"):
-        return "WITH " + FILLS.strip() + "\n" + body
-    return "WITH " + FILLS.strip() + ",\n" + body
+        return head + FILLS.strip() + "\n" + body
+    return head + FILLS.strip() + ",\n" + body

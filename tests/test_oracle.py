@@ -52,7 +52,7 @@ def test_every_query_has_a_builder_and_most_have_oracles():
     qs = E.queries()
     assert set(SQL) <= set(qs)
     rows_only = set(qs) - set(SQL)
-    assert rows_only == {"refuel_events", "refuel_events_steps", "json_lines"}
+    assert rows_only == {"json_lines"}
 
 
 def test_entry_smoke(spark):
