@@ -11,6 +11,7 @@ from __future__ import annotations
 import hashlib
 import os
 import threading
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -136,11 +137,27 @@ _LOADED: dict[tuple[str, str], dict[str, DataFrame]] = {}
 
 
 def _stamp(sf_dir: str) -> str:
+    """Identity of the derived tables: input file and the deriving code."""
     st = os.stat(os.path.join(sf_dir, "events.parquet"))
-    key = f"{os.path.abspath(sf_dir)}:{st.st_size}:{st.st_mtime_ns}"
+    with open(__file__, "rb") as f:
+        code = hashlib.sha1(f.read()).hexdigest()
+    key = f"{os.path.abspath(sf_dir)}:{st.st_size}:{st.st_mtime_ns}:{code}"
     return hashlib.sha1(key.encode()).hexdigest()[:16]
 
 
+def _publish(spark: SparkSession, write, path: str) -> None:
+    """Write to a private folder, then rename it into place (atomic on a
+    shared file system); a concurrent writer that got there first wins."""
+    from .session import path_exists
+    jvm = spark.sparkContext._jvm
+    tmp = f"{path}.tmp-{uuid.uuid4().hex[:12]}"
+    write(tmp)
+    dst = jvm.org.apache.hadoop.fs.Path(path)
+    fs = dst.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not path_exists(spark, path):
+        fs.rename(jvm.org.apache.hadoop.fs.Path(tmp), dst)
+
+
 def load(spark: SparkSession, sf_dir: str, materialize: bool = True) -> dict[str, DataFrame]:
     """All fixtures of one scale factor.
 
@@ -169,9 +186,10 @@ def load(spark: SparkSession, sf_dir: str, materialize: bool = True) -> dict[str
             path = os.path.join(root, name)
             if not path_exists(spark, os.path.join(path, "_SUCCESS")):
                 if name == "signals":
-                    write_by_date(df, path, "ts", mode="overwrite", sort_by=("vin", "ts"))
+                    _publish(spark, lambda p, d=df: write_by_date(d, p, "ts", mode="overwrite",
+                                                                  sort_by=("vin", "ts")), path)
                 else:
-                    df.write.mode("overwrite").parquet(path)
+                    _publish(spark, lambda p, d=df: d.write.mode("overwrite").parquet(p), path)
             if name == "signals":
                 schema = T.StructType(S.SIGNAL.fields + [
                     T.StructField(c, T.IntegerType()) for c in ("year", "month", "day")])
