@@ -302,6 +302,10 @@ GROUP BY vin, bucket_ts""",
     "write_by_date_roundtrip": "SELECT vin, ts, stype, value FROM signals",
     "etl_clean_zone": f"{ENVELOPE_ROWS}\nSELECT vin, ts, stype, value FROM ex WHERE send_ts > ts",
     "kpi_sink_roundtrip": f"{KPI_DAY_CTE}\nSELECT * FROM kd",
+    "json_lines": f"""{TOTAL_DAY_CTE},
+t AS ({TOTAL_DAY})
+SELECT to_json(struct_pack(vin := vin, now_date := now_date, data_key := data_key, data_value := data_value)) AS value
+FROM t""",
 }
 
 
