@@ -23,6 +23,12 @@ MICRO_BATCH = "5 seconds"
 RATE_PER_PARTITION = 100
 
 
+def rate_cap(partitions: int, per_second: int = RATE_PER_PARTITION, trigger_seconds: int = 5) -> int:
+    """The reference's ingest cap (records per second per partition) as a
+    per-trigger cap for ``maxOffsetsPerTrigger`` / ``read_stream(max_per_trigger=...)``."""
+    return per_second * trigger_seconds * partitions
+
+
 def low_fuel_windows(signals: DataFrame, window: str = LOW_FUEL_WINDOW, slide: str = LOW_FUEL_SLIDE,
                      threshold: float = LOW_FUEL_THRESHOLD, watermark: str | None = None) -> DataFrame:
     """Mean tank level per vehicle and sliding window, kept when below ``threshold``.

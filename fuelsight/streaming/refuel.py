@@ -121,10 +121,6 @@ def _events_frame(vin: str, events: list) -> pd.DataFrame:
     })
 
 
-def _micros(series: pd.Series) -> np.ndarray:
-    return series.to_numpy(dtype="datetime64[us]").astype("int64")
-
-
 def level_samples(df: DataFrame, step: str | None) -> DataFrame:
     """Tank-level readings as (vin, t_us, level); with ``step`` already reduced
     on Spark to the last reading of each (vehicle, step) — a grouped aggregate
