@@ -82,3 +82,33 @@ def test_stream_equals_batch(spark):
         got = sorted(map(tuple, spark.table(name).collect()))
         want = sorted(map(tuple, refuel_events(sig, step).collect()))
         assert got == want and len(want) > 0
+
+
+def test_stream_restart_from_checkpoint_equals_batch(spark):
+    """Stop after two files, add the third, restart on the same checkpoint."""
+    sig = FX.load(spark, SF_SMALL)["signals"].where(F.col("stype") == S.FUEL_LEVEL)
+    src, ckpt = tempfile.mkdtemp(prefix="refuel-restart-"), tempfile.mkdtemp(prefix="refuel-ckpt-")
+    out = tempfile.mkdtemp(prefix="refuel-out-")
+    bounds = ["2024-01-01", "2024-01-11", "2024-01-21", "2024-02-01"]
+
+    def add_file(i):
+        part = sig.where((F.col("ts") >= F.lit(bounds[i]).cast("timestamp_ntz"))
+                         & (F.col("ts") < F.lit(bounds[i + 1]).cast("timestamp_ntz")))
+        part.coalesce(1).write.parquet(os.path.join(src, f"batch={i}"))
+
+    def run_once():
+        stream = (spark.readStream.schema(S.SIGNAL).option("maxFilesPerTrigger", 1)
+                  .option("recursiveFileLookup", "true").parquet(src))
+        q = (refuel_events_stream(stream, "5 seconds").writeStream
+             .foreachBatch(lambda b, e: b.write.mode("overwrite").parquet(os.path.join(out, f"epoch={e}")))
+             .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+        q.awaitTermination(300)
+
+    add_file(0)
+    add_file(1)
+    run_once()
+    add_file(2)
+    run_once()
+    got = sorted(map(tuple, spark.read.parquet(out).drop("epoch").collect()))
+    want = sorted(map(tuple, refuel_events(sig, "5 seconds").collect()))
+    assert got == want and len(want) > 0

@@ -73,3 +73,19 @@ def test_run_detectors_end_to_end(spark):
     refuel = spark.read.parquet(os.path.join(out, "refuel"))
     assert refuel.count() > 0 and "payload" in refuel.columns
     assert spark.read.parquet(os.path.join(out, "low_fuel")).count() > 0
+
+
+def test_fuel_summary_stream_equals_batch(spark):
+    sig = FX.load(spark, SF_SMALL)["signals"]
+    closing = spark.createDataFrame([("ZZZ", T("2024-03-01 00:00:00"), S.FUEL_LEVEL, 50.0)], S.SIGNAL)
+    src = _split_files(spark, sig.unionByName(closing), ["2024-01-01", "2024-01-15", "2024-02-01", "2024-04-01"],
+                       "summary-")
+    stream = (spark.readStream.schema(S.SIGNAL).option("maxFilesPerTrigger", 1)
+              .option("recursiveFileLookup", "true").parquet(src))
+    q = (fuel_summary(stream, "1 day", watermark="1 hour").writeStream.format("memory")
+         .queryName("summary_stream").outputMode("append")
+         .option("checkpointLocation", tempfile.mkdtemp()).trigger(availableNow=True).start())
+    q.awaitTermination(300)
+    got = sorted(map(tuple, spark.table("summary_stream").collect()))
+    want = sorted(map(tuple, fuel_summary(sig, "1 day").collect()))
+    assert got == want and len(want) > 0
