@@ -181,7 +181,8 @@ def daily_kpis(signals: DataFrame, rate: DataFrame | Column | float | None = Non
     (vehicle, day); presence counts decide which KPI rows a day gets, exactly
     as the separate operators would emit them.  Both levels have a partial
     aggregate, so the signal table is scanned and shuffled once (the air-con
-    rate, a fleet-wide scalar, is one more pass unless given).
+    rate, a fleet-wide scalar over the same range, is one more pass unless
+    given).
     """
     types = [S.SPEED, S.RPM, S.INJECTION, S.AIRCON, S.ODOMETER]
     sig = in_range(of_type(signals, *types), start, end)
@@ -211,7 +212,8 @@ def daily_kpis(signals: DataFrame, rate: DataFrame | Column | float | None = Non
         F.expr(f"sum(CASE WHEN {ac_on} THEN fuel END)").alias("aircon"),
         F.expr("max(odo_max) - min(odo_min)").alias("mileage"),
     )
-    factor = _rate_factor(signals, rate)
+    factor = _rate_factor(in_range(signals, start, end), rate)
+
     def fact(code: str, value: Column, present: Column) -> Column:
         return F.struct(F.lit(code).alias("k"), value.cast("double").alias("v"), present.alias("p"))
 
