@@ -33,6 +33,7 @@ HEADLINE = [
     "cost_per_km",
     "average_speed",
     "fuel_heating",
+    "fill_kpis",
     "economy_ranking",
     "assign_fill_interval",
     "assign_fill_interval_asof",

@@ -153,6 +153,41 @@ def fuel_heating(signals: DataFrame, fills: DataFrame, marks: DataFrame | None =
     return fill_fact(agg, S.FF_HEATING_VALUE, F.col("v"))
 
 
+def fill_kpis(signals: DataFrame, fills: DataFrame, marks: DataFrame | None = None,
+              sample_ms: int = 10, strategy: str = "range") -> DataFrame:
+    """FF001-FF003 from ONE interval join and ONE grouped aggregate.
+
+    The same rows as :func:`average_speed`, :func:`fuel_heating` and
+    :func:`cost_per_km` together, but the readings are joined to their
+    intervals once instead of three times; presence flags decide which
+    KPI rows an interval gets.
+    """
+    rows = interval_readings(signals, fills, marks, [S.INJECTION, S.ODOMETER, S.RPM, S.FUEL_SUPPLY], strategy)
+    inj, odo, sup = f"stype = '{S.INJECTION}'", f"stype = '{S.ODOMETER}'", f"stype = '{S.FUEL_SUPPLY}'"
+    agg = rows.groupBy(*INTERVAL_KEYS).agg(
+        F.expr(f"sum(CASE WHEN {inj} THEN value * 100 END)").alias("fuel"),
+        F.expr(f"max(CASE WHEN {odo} THEN value END) - min(CASE WHEN {odo} THEN value END)").alias("km"),
+        F.expr(f"count(CASE WHEN stype = '{S.RPM}' AND value > 0 THEN 1 END)").alias("n_on"),
+        F.expr(f"count(CASE WHEN {sup} THEN 1 END)").alias("n_sup"),
+        F.expr(f"avg(CASE WHEN {sup} THEN try_divide(1D, value) END)").alias("heat"),
+    )
+    speed = F.try_divide(F.col("km"), F.col("n_on") * sample_ms / F.lit(3_600_000.0))
+    cost = F.try_divide(F.col("fuel"), F.col("km")) * F.col("price")
+
+    def fact(code: str, value, present) -> object:
+        return F.struct(F.lit(code).alias("k"), value.cast("double").alias("v"), present.alias("p"))
+
+    facts = F.array(
+        fact(S.FF_AVG_SPEED, speed, F.col("km").isNotNull() & (F.col("n_on") > 0)),
+        fact(S.FF_HEATING_VALUE, F.col("heat"), F.col("n_sup") > 0),
+        fact(S.FF_ECONOMY, cost, F.col("fuel").isNotNull() & F.col("km").isNotNull()),
+    )
+    return (agg.select("vin", "gas_id", "fill_grade", F.col("start_ts").alias("fill_date"), F.inline(facts))
+            .where(F.col("p"))
+            .select("vin", "gas_id", "fill_grade", "fill_date", F.col("k").alias("data_key"),
+                    F.col("v").alias("data_value")))
+
+
 def economy_ranking(cost: DataFrame) -> DataFrame:
     """Rank intervals by cost per km within each fuel grade (1 = cheapest).
 

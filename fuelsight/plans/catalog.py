@@ -1,7 +1,8 @@
 """Registered queries: ``name -> (spark, sf_dir) -> DataFrame``.
 
 Every query reads the scale factor's ``events`` table through the fixture
-views (whole tables, no sampling) and runs one operator or job of the
+views (whole tables, no sampling; derived tables written once per session
+to the shared folder, as an ETL would) and runs one operator or job of the
 library on it.  The DuckDB twins live in :mod:`.oracle`.
 """
 
@@ -281,6 +282,7 @@ QUERIES: dict[str, Query] = {
     "economy_ranking": q_ranking,
     "average_speed": _per_fill(fills.average_speed),
     "fuel_heating": _per_fill(fills.fuel_heating),
+    "fill_kpis": _per_fill(fills.fill_kpis),
     "low_fuel_windows": q_low_fuel,
     "fuel_summary": q_fuel_summary,
     "refuel_events": q_refuel,

@@ -66,14 +66,10 @@ def km_job(signals: DataFrame, checkpoint: DataFrame, out: str, checkpoint_out:
 
 def fill_job(signals: DataFrame, fill_records: DataFrame, marks: DataFrame, out: str, marks_out: str,
              sample_ms: int = 10, strategy: str = "range", **sink) -> None:
-    """FF001-FF003 for intervals between fills not processed yet; then the
-    start of each vehicle's last closed interval is appended to the marks."""
-    parts = [
-        fills.average_speed(signals, fill_records, marks, sample_ms, strategy),
-        fills.fuel_heating(signals, fill_records, marks, strategy),
-        fills.cost_per_km(signals, fill_records, marks, strategy),
-    ]
-    facts = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    """FF001-FF003 (one interval join, fused) for intervals between fills not
+    processed yet; then the start of each vehicle's last closed interval is
+    appended to the marks."""
+    facts = fills.fill_kpis(signals, fill_records, marks, sample_ms, strategy)
     write_kpi(facts, "fill", target=out, **sink)
     iv = fills.fill_intervals(fills.new_fills(fill_records, marks))
     iv.groupBy("vin").agg(F.max("start_ts").alias("fill_ts")).write.mode("append").parquet(marks_out)

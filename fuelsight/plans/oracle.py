@@ -271,6 +271,22 @@ sagg AS (
 SELECT vin, gas_id, fill_grade, start_ts AS fill_date, 'FF001' AS data_key,
        km / nullif(n_on * 10 / {H}, 0) AS data_value
 FROM sagg WHERE km IS NOT NULL AND n_on > 0""",
+    "fill_kpis": _rows(["InsFuelInjection", "drivingMileage", "rotationlSpeed", "fuelSupplyC-1"]) + f""",
+fagg AS (
+  SELECT vin, gas_id, fill_grade, start_ts, price,
+    sum(CASE WHEN stype = 'InsFuelInjection' THEN value * 100 END) AS fuel,
+    max(CASE WHEN stype = 'drivingMileage' THEN value END) - min(CASE WHEN stype = 'drivingMileage' THEN value END) AS km,
+    count(CASE WHEN stype = 'rotationlSpeed' AND value > 0 THEN 1 END) AS n_on,
+    count(CASE WHEN stype = 'fuelSupplyC-1' THEN 1 END) AS n_sup,
+    avg(CASE WHEN stype = 'fuelSupplyC-1' THEN cast(1 AS double) / nullif(value, 0) END) AS heat
+  FROM irows GROUP BY 1, 2, 3, 4, 5)
+SELECT vin, gas_id, fill_grade, start_ts AS fill_date, 'FF001' AS data_key, km / nullif(n_on * 10 / {H}, 0) AS data_value
+FROM fagg WHERE km IS NOT NULL AND n_on > 0
+UNION ALL
+SELECT vin, gas_id, fill_grade, start_ts, 'FF002', heat FROM fagg WHERE n_sup > 0
+UNION ALL
+SELECT vin, gas_id, fill_grade, start_ts, 'FF003', (fuel / nullif(km, 0)) * price FROM fagg
+WHERE fuel IS NOT NULL AND km IS NOT NULL""",
     "fuel_heating": _rows(["fuelSupplyC-1"]) + """
 SELECT vin, gas_id, fill_grade, start_ts AS fill_date, 'FF002' AS data_key,
        avg(cast(1 AS double) / nullif(value, 0)) AS data_value

@@ -122,3 +122,14 @@ def test_chunked_lead_equals_plain_lead(spark):
     # rows equal in (vin, ts, g) are interchangeable; compare as multisets
     assert sorted(map(tuple, ours.select(*key).collect()), key=repr) == \
         sorted(map(tuple, plain.select(*key).collect()), key=repr)
+
+
+def test_fused_fill_kpis_equal_separate_operators(spark):
+    fx = FX.load(spark, SF_SMALL)
+    args = (fx["signals"], fx["fills"], fx["processed_fills"])
+    fused = fills.fill_kpis(*args)
+    separate = (fills.average_speed(*args).unionByName(fills.fuel_heating(*args))
+                .unionByName(fills.cost_per_km(*args)))
+    assert sorted(map(tuple, fused.collect()), key=repr) == sorted(map(tuple, separate.collect()), key=repr)
+    plan = fused._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert sum("Join" in line and "_day" in line for line in plan.splitlines()) == 1
