@@ -35,21 +35,29 @@ def other_fuel(kpi: DataFrame, grain: str = "day") -> DataFrame:
             .select("vin", key, F.lit(out_code).alias("data_key"), value.alias("data_value")))
 
 
+# Lifetime sums run over years of daily values; summed as doubles their last
+# digits would depend on how rows are partitioned.  A DECIMAL(38,12) sum is
+# exact, so the totals are the same on every run and cluster size.
+EXACT_SUM = "decimal(38,12)"
+
+
 def lifetime_totals(kpi_day: DataFrame) -> DataFrame:
     """A13 (C001-C005): per vehicle, the sum of each daily KPI.
 
-    The code mapping is a literal map expression, so no join is needed.
+    The code mapping is a literal map expression, so no join is needed; the
+    sum is exact (see ``EXACT_SUM``).
     """
     mapping = F.create_map(*chain.from_iterable(
         (F.lit(d), F.lit(c)) for c, d in S.LIFETIME_FROM_DAY.items()))
     return (kpi_day.where(F.col("data_key").isin(*S.LIFETIME_FROM_DAY.values()))
             .groupBy("vin", mapping[F.col("data_key")].alias("attribute_type"))
-            .agg(F.sum("data_value").alias("attribute_value")))
+            .agg(F.sum(F.col("data_value").cast(EXACT_SUM)).cast("double").alias("attribute_value")))
 
 
 def avg_fuel_per_100km(kpi_km: DataFrame) -> DataFrame:
     """A14 (C006): mean of KM001 per vehicle."""
     return (kpi_km.where(F.col("data_key") == S.KM_TOTAL_FUEL)
             .groupBy("vin")
-            .agg((F.sum("data_value") / F.count("data_value")).alias("attribute_value"))
+            .agg((F.sum(F.col("data_value").cast(EXACT_SUM)).cast("double") / F.count("data_value"))
+                 .alias("attribute_value"))
             .select("vin", F.lit(S.C_FUEL_PER_100KM).alias("attribute_type"), "attribute_value"))

@@ -243,10 +243,11 @@ FROM sec_asof WHERE speed > 0 AND rpm > 0 GROUP BY vin, km""",
     "lifetime_totals": f"""{KPI_DAY_CTE}
 SELECT vin, CASE data_key WHEN 'D006' THEN 'C001' WHEN 'D001' THEN 'C002' WHEN 'D003' THEN 'C003'
                           WHEN 'D002' THEN 'C004' WHEN 'D004' THEN 'C005' END AS attribute_type,
-       sum(data_value) AS attribute_value
+       cast(sum(cast(data_value AS DECIMAL(38, 12))) AS double) AS attribute_value
 FROM kd WHERE data_key IN ('D006', 'D001', 'D003', 'D002', 'D004') GROUP BY 1, 2""",
     "avg_fuel_per_100km": f"""{_km_total(False)}
-SELECT vin, 'C006' AS attribute_type, sum(data_value) / count(data_value) AS attribute_value
+SELECT vin, 'C006' AS attribute_type,
+       cast(sum(cast(data_value AS DECIMAL(38, 12))) AS double) / count(data_value) AS attribute_value
 FROM km_total GROUP BY vin""",
     "after_checkpoint": f"""{RESTART}
 SELECT s.vin, s.ts, s.stype, s.value FROM signals s JOIN restart r ON s.vin = r.vin WHERE s.ts >= r.restart_ts""",
