@@ -1,0 +1,62 @@
+"""A vehicle holding a third of the rows must not land in one task.
+
+The frames here are built from the fixture: one vehicle's readings are
+repeated at shifted times until it holds well over a third of all rows.
+Task load is measured with ``spark_partition_id()`` right after the operator's
+own shuffle (no extra exchange in between).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from conftest import SF_SMALL
+from fuelsight import fixtures as FX
+from fuelsight import schemas as S
+from fuelsight.operators.asof import asof_running_max, next_time
+
+
+def _skewed(spark):
+    sig = FX.load(spark, SF_SMALL)["signals"].where(F.col("stype").isin(S.INJECTION, S.ODOMETER))
+    hot = sig.where(F.col("vin") == "VIN00001")
+    # repeat the hot vehicle's readings 40x, each copy shifted by whole minutes
+    extra = hot.withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(39)))).select(
+        "vin", F.timestamp_add("MINUTE", F.col("k"), F.col("ts")).alias("ts"), "stype", "value")
+    return sig.unionByName(extra)
+
+
+def _max_share(df, col: str) -> float:
+    # referencing the operator's output column keeps the operator in the plan
+    counts = [r["n"] for r in df.groupBy(F.spark_partition_id().alias("p"))
+              .agg(F.count("*").alias("n"), F.max(col).alias("_m")).collect()]
+    return max(counts) / sum(counts)
+
+
+def test_hot_vehicle_is_a_third_of_the_rows(spark):
+    df = _skewed(spark)
+    share = df.where(F.col("vin") == "VIN00001").count() / df.count()
+    assert share > 0.33
+
+
+def test_asof_spreads_a_hot_vehicle(spark):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")   # keep the 8 hash partitions as planned
+    try:
+        df = _skewed(spark).withColumn("b", F.when(F.col("stype") == S.ODOMETER, F.col("value")))
+        ours = asof_running_max(df, ["vin"], "ts", "b", "m", chunk_seconds=3600)
+        naive = df.withColumn("m", F.max("b").over(
+            Window.partitionBy("vin").orderBy("ts").rangeBetween(Window.unboundedPreceding, 0)))
+        assert _max_share(naive, "m") > 0.33          # the hot vehicle sits in one task
+        assert _max_share(ours, "m") < 0.25           # spread over (vehicle, hour) partitions
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_chunked_lead_spreads_a_hot_vehicle(spark):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        df = _skewed(spark).where(F.col("stype") == S.INJECTION).withColumn("g", F.lit(0))
+        ours = next_time(df, ["vin"], "ts", "g", "nxt", chunk_seconds=86_400)
+        assert _max_share(ours, "nxt") < 0.25
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
