@@ -60,3 +60,20 @@ def test_chunked_lead_spreads_a_hot_vehicle(spark):
         assert _max_share(ours, "nxt") < 0.25
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_interval_join_spreads_a_hot_vehicle(spark):
+    from fuelsight.operators import fills
+    fx = FX.load(spark, SF_SMALL)
+    saved = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")    # force the shuffled join
+    try:
+        iv = fills.fill_intervals(fills.new_fills(fx["fills"], fx["processed_fills"]))
+        hot_iv = iv.where(F.col("vin") == "VIN00001").count()
+        assert hot_iv > 0
+        rows = fills.assign_fill_interval(_skewed(spark), iv)
+        assert _max_share(rows, "gas_id") < 0.25                     # (vehicle, day) keys spread it
+    finally:
+        for k, v in saved.items():
+            spark.conf.set(k, v)
