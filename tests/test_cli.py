@@ -1,0 +1,50 @@
+"""The command line jobs, run in-process on the test session."""
+
+from __future__ import annotations
+
+import os
+import tempfile
+
+from pyspark.sql import functions as F
+
+from conftest import SF_SMALL
+from fuelsight import fixtures as FX
+from fuelsight.__main__ import main
+
+
+def test_cli_jobs_chain(spark):
+    fx = FX.load(spark, SF_SMALL)
+    root = tempfile.mkdtemp(prefix="cli-")
+    p = {n: os.path.join(root, n) for n in ("signals", "fills", "marks", "ckpt", "rate", "day", "km", "ckpt2",
+                                            "fill", "marks2", "rank", "attr", "env", "raw", "clean")}
+    fx["signals"].write.parquet(p["signals"])
+    fx["fills"].write.parquet(p["fills"])
+    fx["processed_fills"].write.parquet(p["marks"])
+    fx["km_checkpoint"].write.parquet(p["ckpt"])
+    FX.derive(spark, SF_SMALL)["envelopes"].write.parquet(p["env"])
+
+    assert main(["etl", "--envelopes", p["env"], "--raw", p["raw"], "--clean", p["clean"]]) == 0
+    assert main(["aircon-rate", "--signals", p["signals"], "--out", p["rate"]]) == 0
+    assert main(["daily", "--signals", p["signals"], "--out", p["day"], "--start", "2024-01-01",
+                 "--end", "2024-02-01", "--rate", p["rate"]]) == 0
+    assert main(["km", "--signals", p["signals"], "--checkpoint", p["ckpt"], "--out", p["km"],
+                 "--checkpoint-out", p["ckpt2"]]) == 0
+    assert main(["fill", "--signals", p["signals"], "--fills", p["fills"], "--marks", p["marks"],
+                 "--out", p["fill"], "--marks-out", p["marks2"]]) == 0
+    assert main(["ranking", "--fill-kpis", p["fill"], "--out", p["rank"]]) == 0
+    assert main(["attributes", "--kpi-day", p["day"], "--kpi-km", p["km"], "--out", p["attr"]]) == 0
+
+    assert spark.read.parquet(p["clean"]).count() > 0
+    assert spark.read.parquet(p["day"]).where(F.col("data_key") == "D005").count() > 0
+    assert spark.read.parquet(p["rank"]).count() > 0
+    assert spark.read.parquet(p["attr"]).select("attribute_type").distinct().count() == 6
+
+
+def test_cli_stream_on_files(spark):
+    root = tempfile.mkdtemp(prefix="cli-stream-")
+    env = os.path.join(root, "env")
+    FX.derive(spark, SF_SMALL)["envelopes"].repartition(2).write.parquet(env)
+    out, ckpt = os.path.join(root, "alerts"), os.path.join(root, "ckpt")
+    assert main(["stream", "--source-format", "parquet", "--source", env, "--out", out,
+                 "--checkpoint-dir", ckpt, "--available-now"]) == 0
+    assert spark.read.parquet(os.path.join(out, "refuel")).count() > 0
