@@ -321,7 +321,8 @@ GROUP BY vin, bucket_ts""",
     "kpi_sink_roundtrip": f"{KPI_DAY_CTE}\nSELECT * FROM kd",
     "json_lines": f"""{TOTAL_DAY_CTE},
 t AS ({TOTAL_DAY})
-SELECT to_json(struct_pack(vin := vin, now_date := now_date, data_key := data_key, data_value := data_value)) AS value
+SELECT CAST(to_json(struct_pack(vin := vin, now_date := now_date, data_key := data_key, data_value := data_value))
+            AS VARCHAR) AS value
 FROM t""",
 }
 
