@@ -39,13 +39,17 @@ def daily_job(signals: DataFrame, out: str, start=None, end=None, rate: DataFram
 
     One pass over the readings (fused daily operator); the rows are staged
     in the shared folder, D005 is derived from the staged table, and both go
-    to the sink together.
+    to the sink together.  File sinks are partitioned by ``now_date`` and
+    written with dynamic overwrite, so running a day again replaces it; a
+    JDBC sink appends, as the table's own keys decide.
     """
     if start is None and end is None:
         start, end = default_range()
     rows = in_range(signals, start, end, partitioned=partitioned)
     run = _stage(kpi.daily_kpis(rows, rate=rate), "kpi-day-run")
     other = algebra.other_fuel(run, "day")
+    if sink.get("fmt", "parquet") != "jdbc":
+        sink = {"mode": "replace", "partition_by": ("now_date",), **sink}
     write_kpi(run.unionByName(other), "day", target=out, **sink)
     return other
 

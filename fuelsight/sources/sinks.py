@@ -59,14 +59,17 @@ KPI_TABLES = {
 def write_kpi(df: DataFrame, kind: str, target: str | None = None, fmt: str = "parquet",
               mode: str = "append", url: str | None = None, batch_size: int = 1000,
               isolation_level: str = "READ_COMMITTED", num_connections: int | None = None,
-              **options) -> None:
+              partition_by: tuple[str, ...] = (), **options) -> None:
     """Write a KPI fact table.
 
     ``fmt='jdbc'`` uses Spark's JDBC writer: each partition opens one
     connection and inserts in batches of ``batch_size`` inside one
     transaction (S14); ``num_connections`` caps parallel writers by
     coalescing; ``mode='truncate'`` empties the table and keeps its schema
-    (S15).  Other formats write files to ``target``.
+    (S15).  Other formats write files to ``target``; with ``partition_by``
+    and ``mode='replace'`` only the partitions present in ``df`` are
+    rewritten (dynamic overwrite), which makes a rerun of the same day
+    idempotent.
     """
     target = target or KPI_TABLES[kind]
     truncate = mode == "truncate"
@@ -80,7 +83,14 @@ def write_kpi(df: DataFrame, kind: str, target: str | None = None, fmt: str = "p
          .option("truncate", "true" if truncate else "false")
          .options(**options).save())
         return
-    df.write.format(fmt).mode(mode).options(**options).save(target)
+    writer = df.write.format(fmt).options(**options)
+    if mode == "replace":
+        writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    else:
+        writer = writer.mode(mode)
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.save(target)
 
 
 def write_alerts(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "append") -> None:

@@ -22,6 +22,10 @@ def test_daily_job_writes_kpis_and_other_fuel(spark):
     counts = {r["data_key"]: r["count"] for r in got.groupBy("data_key").count().collect()}
     assert set(counts) == {"D001", "D002", "D003", "D004", "D005", "D006"}
     assert counts["D005"] == algebra.other_fuel(kpi.daily_kpis(sig), "day").count()
+    # a rerun of part of the range replaces those days instead of appending them again
+    total = got.count()
+    jobs.daily_job(sig, out, "2024-01-10", "2024-01-12")
+    assert spark.read.parquet(out).count() == total
 
 
 def test_km_job_resumes_without_repeating_buckets(spark):
