@@ -48,6 +48,7 @@ def etl_job(envelopes: DataFrame, raw_path: str, clean_path: str, fmt: str = "pa
     write_by_date(clean, clean_path, "ts", fmt)
 
 
+# --- fixed values: names of the KPI tables the reporting side reads ---
 KPI_TABLES = {
     "day": "t_car_used_day",
     "km": "t_car_used_km",
