@@ -112,3 +112,37 @@ def test_stream_restart_from_checkpoint_equals_batch(spark):
     got = sorted(map(tuple, spark.read.parquet(out).drop("epoch").collect()))
     want = sorted(map(tuple, refuel_events(sig, "5 seconds").collect()))
     assert got == want and len(want) > 0
+
+
+def _literal_rule(levels, times):
+    """The rule with an explicit list buffer, exactly as stated."""
+    buf, events = [], []
+    for t, x in zip(times, levels):
+        if buf and x < buf[-1][1] and x < buf[0][1]:
+            buf = []
+        buf.append((t, x))
+        if len(buf) > 4:
+            (ft, f), (lt, last) = buf[0], buf[-1]
+            l2, l3 = buf[-2][1], buf[-3][1]
+            if last - f > 10 and abs(last - l2) < 1 and abs(l2 - l3) < 1:
+                events.append((l3, l3 - f, ft, lt))
+                buf = []
+    return events
+
+
+from hypothesis import given, settings, strategies as st  # noqa: E402
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from([0.0, 5.0, 9.5, 10.0, 12.0, 20.0, 20.5, 21.0, 30.0, 30.25, 30.5, 31.0, 45.0, 60.0]),
+                min_size=0, max_size=60))
+def test_compact_state_equals_list_buffer(levels):
+    times = list(range(len(levels)))
+    assert run(levels, spacing_us=1) == _literal_rule(levels, times)
+    # step mode (2 readings per step): the machine sees the later reading of each
+    # complete step; the newest step stays open and is not fed
+    fed = levels[1::2]
+    if len(levels) % 2 == 0:
+        fed = fed[:-1]
+    stepped = run(levels, step_us=2, spacing_us=1)
+    assert [e[:2] for e in stepped] == [e[:2] for e in _literal_rule(fed, list(range(len(fed))))]
