@@ -11,6 +11,8 @@ import __spark_entry__ as E
 from conftest import SF_SMALL
 
 SQL = E.oracle_sql()
+SPARK_TO_DUCK = {"string": "VARCHAR", "double": "DOUBLE", "int": "INTEGER", "bigint": "BIGINT", "date": "DATE",
+                 "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
 NAMES = sorted(SQL)
 
 
@@ -43,6 +45,8 @@ def test_query_matches_oracle(spark, con, name):
     res = con.execute(SQL[name])
     dcols = [d[0] for d in res.description]
     assert sorted(dcols) == cols
+    assert {f.name: SPARK_TO_DUCK[f.dataType.simpleString()] for f in df.schema.fields} == \
+        {d[0]: str(d[1]) for d in res.description}
     want = _rows([dict(zip(dcols, r)) for r in res.fetchall()], cols)
     assert len(got) == len(want)
     assert got == want
