@@ -1,4 +1,4 @@
-"""Skew-safe "as-of" running maximum per key.
+"""Skew-safe "as-of" running maximum and "next row" per key.
 
 ``value_at(t) = max(value of rows with the same key and ts <= t)``.  A window
 ``partitionBy(key).orderBy(ts)`` would give this directly but puts all rows of
@@ -15,6 +15,9 @@ stage.  Instead the time axis is cut into chunks:
 The in-chunk window and the join with the summaries share one hash
 partitioning on (key, chunk), so the big side is shuffled once; the summary
 branch re-reads the (pruned) columns but shuffles only partial maxima.
+
+:func:`next_time` is the same idea for ``lead``: the next row inside the
+chunk, else the first row of the key's next non-empty chunk.
 """
 
 from __future__ import annotations
