@@ -127,3 +127,20 @@ def test_split_corrupt_rows(spark):
     typed = df.withColumn("ts", parse_ts(F.col("ts")))
     good, bad = split_corrupt(typed)
     assert good.count() == 1 and bad.count() == 2
+
+
+def test_parse_ts_round_trips_both_spellings(spark):
+    import random
+    rnd = random.Random(5)
+    base = dt.datetime(2000, 1, 1)
+    stamps = [base + dt.timedelta(microseconds=rnd.randrange(0, 40 * 365 * 86400 * 10**6)) for _ in range(500)]
+    df = spark.createDataFrame([(t,) for t in stamps], "ts timestamp_ntz")
+    out = df.select(
+        "ts",
+        parse_ts(F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS")).alias("iso"),
+        parse_ts(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")).alias("iso_t"),
+        parse_ts(F.date_format("ts", "yyyyMMddHHmmssSSS")).alias("compact"),
+    ).collect()
+    for r in out:
+        assert r.iso == r.ts and r.iso_t == r.ts
+        assert r.compact == r.ts.replace(microsecond=r.ts.microsecond // 1000 * 1000)
