@@ -1,6 +1,6 @@
 """Command line entry points for the scheduled jobs.
 
-    spark-submit --py-files fuelsight.zip fuelsight/__main__.py daily --signals s3://.../clean --out s3://.../kpi_day
+    spark-submit --py-files fuelsight.zip run_job.py daily --signals s3://.../clean --out s3://.../kpi_day
     python -m fuelsight km --signals ... --checkpoint ... --out ... --checkpoint-out ...
 
 The session comes from ``SparkSession.builder.getOrCreate()`` (so the
