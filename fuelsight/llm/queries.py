@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from fuelsight.llm.decontaminate import op1_benchmark_decontamination
+from fuelsight.llm.packing import op3_packing
 
 QUERIES = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
+    "op3_packing": op3_packing,
 }
 
 ORACLE: dict[str, str] = {}
