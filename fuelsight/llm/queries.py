@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from fuelsight.llm.decontaminate import op1_benchmark_decontamination
 from fuelsight.llm.packing import op3_packing
+from fuelsight.llm.quality import op2_quality_rules
 
 QUERIES = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
+    "op2_quality_rules": op2_quality_rules,
     "op3_packing": op3_packing,
 }
 
