@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from fuelsight.llm.decontaminate import op1_benchmark_decontamination
+from fuelsight.llm.jaccard import op9_ngram_jaccard_join
 from fuelsight.llm.packing import op3_packing
 from fuelsight.llm.quality import op2_quality_rules
 
@@ -10,6 +11,7 @@ QUERIES = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op2_quality_rules": op2_quality_rules,
     "op3_packing": op3_packing,
+    "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
 }
 
 ORACLE: dict[str, str] = {}
