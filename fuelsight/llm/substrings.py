@@ -293,8 +293,8 @@ def repeated(slim: DataFrame, window: int = WINDOW, bucket_bytes: int = BUCKET_B
 
 
 def remove(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, bucket_bytes: int = BUCKET_BYTES,
-           keep: list[str] | None = None) -> DataFrame:
-    """``keep`` columns (all) and the struct ``_cut``: ``n_words``, ``n_removed`` and ``text``, the words that stay, one space between."""
+           keep: list[str] | None = None, made: str = "_cut") -> DataFrame:
+    """``keep`` columns (all) and the struct ``made``: ``n_words``, ``n_removed`` and ``text``, the words that stay, one space between."""
     keep = docs.columns if keep is None else keep
     names = {c: f"c{i}" for i, c in enumerate(keep)}
     key = F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(_NO_ID))
@@ -323,7 +323,20 @@ def remove(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wind
             yield pa.RecordBatch.from_arrays([b.column(c) for c in carried] + [pa.array(made, cut)], names=[*carried, "_cut"])
 
     out = joined.mapInArrow(work, schema)
-    return out.select(*[F.col(a).alias(c) for c, a in names.items()], "_cut")
+    return out.select(*[F.col(a).alias(c) for c, a in names.items()], F.col("_cut").alias(made))
+
+
+def replace(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length_col: str = "n_chars", **names) -> DataFrame:
+    """The documents with shortened texts (and, where there is such a column, their new lengths); a text without repeats stays as it is."""
+    made = "_cut"
+    while made in docs.columns:
+        made += "_"
+    found = remove(docs, id_col, text_col, made=made, **names)
+    cut, new = F.col(f"{made}.n_removed") > 0, F.col(f"{made}.text")
+    changed = {text_col: F.when(cut, new).otherwise(F.col(f"`{text_col}`"))}
+    if length_col in docs.columns:
+        changed[length_col] = F.when(cut, F.length(new)).otherwise(F.col(f"`{length_col}`")).cast(docs.schema[length_col].dataType)
+    return found.select(*[changed[c].alias(c) if c in changed else F.col(f"`{c}`") for c in docs.columns])
 
 
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
