@@ -13,7 +13,7 @@ does not.  A Dirichlet prior in which bad votes are rarer among good documents
 keeps the classes from swapping their names.
 
 Repeated words are counted exactly: windows are compared by 64-bit hashes
-first, and only texts in which two hashes meet compare the words themselves.
+first (of 2, 4, then 8 words), and only texts in which two hashes meet compare the words themselves.
 
 Defined cases: a null or empty text has no words, fails the base limits and
 gets no vote from the rules; an empty table has no patterns and gives no rows;
@@ -29,7 +29,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fuelsight.llm.common import table
+from fuelsight.llm.common import materialize, table
 
 WINDOW = 8
 MIN_WORDS = 20
@@ -43,8 +43,6 @@ START, PRIOR = 0.8, 10.0
 GOOD, BAD = {-1: 0.02, 0: 0.18, 1: 0.8}, {-1: 0.3, 0: 0.2, 1: 0.5}
 
 _SPACE = "[\\x20\\x09-\\x0D]+"
-_SPACES = " \t\n\x0b\f\r"
-_SYMBOLS = "#*$%&|<>"
 
 
 def _let(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -52,9 +50,8 @@ def _let(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), use)[0]
 
 
-def _repeat_words(words: Column, window: int) -> Column:
-    """Words inside windows of ``window`` words that stand in the text twice or more."""
-    places = lambda n: F.sequence(F.lit(1), n - window + 1)
+def _repeat_words(words: Column, hashes: Column, window: int) -> Column:
+    """Words inside windows of ``window`` words that stand in the text twice or more; ``hashes`` are those of ``words``."""
 
     def covered(windows: Column) -> Column:
         tagged = F.array_sort(F.transform(windows, lambda w, i: F.struct(w.alias("w"), i.alias("i"))))
@@ -70,40 +67,45 @@ def _repeat_words(words: Column, window: int) -> Column:
 
         return _let(_let(tagged, twice), total)
 
-    def exact(w: Column) -> Column:
-        return _let(F.transform(places(F.size(w)), lambda i: F.array_join(F.slice(w, i, window), " ")), covered)
+    exact = _let(F.transform(F.sequence(F.lit(1), F.size(words) - window + 1), lambda i: F.array_join(F.slice(words, i, window), " ")), covered)
 
-    def hashed(w: Column, h: Column) -> Column:
-        keys = F.transform(places(F.size(h)), lambda i: F.xxhash64(F.slice(h, i, window)))
-        return _let(keys, lambda k: F.when(F.size(F.array_distinct(k)) < F.size(k), exact(w)).otherwise(0))
+    def joined(keys: Column, width: int) -> Column:
+        """Hashes of sequences twice as long, from those at ``width`` words' distance."""
+        return F.zip_with(F.slice(keys, 1, F.size(keys) - width), F.slice(keys, width + 1, F.size(keys)), lambda x, y: F.xxhash64(x, y))
 
-    some = _let(F.transform(words, lambda x: F.xxhash64(x)), lambda h: hashed(words, h))
-    return F.when(F.size(words) > window, some).otherwise(0).cast("long")
+    def repeats(keys: Column) -> Column:
+        return F.size(F.array_distinct(keys)) < F.size(keys)
+
+    def test(keys: Column, width: int) -> Column:
+        if width == window:
+            return F.when(repeats(keys), exact).otherwise(0)
+        longer = _let(joined(keys, width), lambda k: test(k, 2 * width))
+        # a window that stands twice holds shorter sequences that do: where half a window never does, nothing is left to do
+        return F.when(repeats(keys), longer).otherwise(0) if 2 * width == window else longer
+
+    return F.when(F.size(words) > window, test(hashes, 1)).otherwise(0).cast("long")
 
 
 def base_counts(docs: DataFrame, text_col: str = "text", window: int = WINDOW) -> DataFrame:
-    """``docs`` with the struct ``_q``: the base counts and what the rules look at."""
+    """``docs`` with the struct ``_q``: the base counts and what the rules look at.  ``window`` is a power of two."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    without = lambda chars: F.length(text) - F.length(F.translate(text, chars, ""))
+    count = lambda chars: (F.length(text) - F.length(F.regexp_replace(text, chars, ""))).cast("long")
     words = F.filter(F.split(text, _SPACE), lambda w: w != "")
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike("[^\\x20\\x09-\\x0D]"))
-    first = docs.select("*", F.struct(
-        words.alias("words"), lines.alias("lines"), (F.length(text) - without(_SPACES)).cast("long").alias("word_chars"),
-        without(_SYMBOLS).cast("long").alias("n_symbols"), without("0123456789").cast("long").alias("n_digits"),
-        without("!?").cast("long").alias("n_marks"),
-        F.length(F.regexp_replace(text, "[^\\p{Lu}]", "")).cast("long").alias("n_upper"),
-        F.length(F.regexp_replace(text, "[^\\p{L}]", "")).cast("long").alias("n_letters"),
-    ).alias("_w"))
-    w = F.col("_w")
+    first = docs.select("*", F.struct(words.alias("words"), lines.alias("lines")).alias("_w"))
+    first = first.withColumn("_h", F.transform(F.col("_w.words"), lambda x: F.xxhash64(x)))
+    w, h = F.col("_w"), F.col("_h")
+    neighbours = F.zip_with(F.slice(h, 1, F.size(h) - 1), F.slice(h, 2, F.size(h)), lambda x, y: x == y)
     return first.withColumn("_q", F.struct(
-        F.size(w["words"]).cast("long").alias("n_words"), w["word_chars"].alias("word_chars"), w["n_symbols"].alias("n_symbols"),
+        F.size(w["words"]).cast("long").alias("n_words"), (F.length(text).cast("long") - count(_SPACE)).alias("word_chars"),
+        count("[#*$%&|<>]").alias("n_symbols"),
         (F.size(w["lines"]) - F.size(F.array_distinct(w["lines"]))).cast("long").alias("n_dup_lines"),
-        _repeat_words(w["words"], window).alias("n_repeat_words"),
+        _repeat_words(w["words"], h, window).alias("n_repeat_words"),
         F.size(w["lines"]).cast("long").alias("n_lines"),
-        F.size(F.filter(w["words"], lambda x: x.rlike("[#*$%&|<>]"))).cast("long").alias("n_symbol_words"),
-        F.size(F.filter(w["words"], lambda x, i: (i > 0) & (F.get(w["words"], i - 1) == x))).cast("long").alias("n_stutter"),
-        w["n_digits"].alias("n_digits"), w["n_marks"].alias("n_marks"), w["n_upper"].alias("n_upper"), w["n_letters"].alias("n_letters"),
-    )).drop("_w")
+        F.regexp_count(text, F.lit("[#*$%&|<>][^\\x20\\x09-\\x0D]*")).cast("long").alias("n_symbol_words"),
+        F.when(F.size(h) > 1, F.size(F.filter(neighbours, lambda x: x))).otherwise(0).cast("long").alias("n_stutter"),
+        count("[0-9]").alias("n_digits"), count("[!?]").alias("n_marks"), count("\\p{Lu}").alias("n_upper"), count("\\p{L}").alias("n_letters"),
+    )).drop("_w", "_h")
 
 
 def _vote(good: Column, bad: Column) -> Column:
@@ -163,12 +165,15 @@ def posterior(pattern: tuple[int, ...], share: float, rates: list[dict[int, tupl
     return 1 / (1 + math.exp(-max(-700.0, min(700.0, z))))
 
 
-def judge(docs: DataFrame, text_col: str = "text", keep_from: float = KEEP) -> DataFrame:
-    """``docs`` with ``_q`` (counts) and ``_p`` (probability, ``base_failed`` and ``kept``)."""
-    counted = base_counts(docs, text_col)
+def judge(docs: DataFrame, text_col: str = "text", keep: list[str] | None = None, keep_from: float = KEEP) -> DataFrame:
+    """``keep`` columns (all), ``_q`` (counts) and ``_p`` (probability, ``base_failed`` and ``kept``).
+
+    The counts are taken once and written, with ``keep``, to the shared folder: the rates need all of them first.
+    """
+    counted = base_counts(docs, text_col).select(*(docs.columns if keep is None else keep), "_q")
+    counted = materialize(counted, "quality")
     rules = votes(F.col("_q"))
-    slim = base_counts(docs.select(text_col), text_col).select(*[rules[r].alias(r) for r in RULES])
-    rows = slim.groupBy(*RULES).count().collect()  # at most 3 ** len(RULES) rows
+    rows = counted.select(*[rules[r].alias(r) for r in RULES]).groupBy(*RULES).count().collect()  # at most 3 ** len(RULES) rows
     patterns = sorted((tuple(r[:-1]), r[-1]) for r in rows)
     share, rates = fit(patterns)
     z = F.lit(math.log(share) - math.log(1 - share))
@@ -189,7 +194,7 @@ def keep(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts, probability of good quality and verdict for every document."""
-    out = judge(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    out = judge(table(spark, sf_dir, "documents").select("doc_id", "text"), keep=["doc_id"])
     q, p = F.col("_q"), F.col("_p")
     return out.select("doc_id", *[q[c].alias(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")],
                       p["base_failed"].alias("base_failed"), p["kept"].alias("kept"), p["quality"].alias("quality"))
