@@ -6,14 +6,19 @@ from fuelsight.llm.decontaminate import op1_benchmark_decontamination
 from fuelsight.llm.jaccard import op9_ngram_jaccard_join
 from fuelsight.llm.packing import op3_packing
 from fuelsight.llm.quality import op2_quality_rules
+from fuelsight.llm.sharding import op5_sharding
+from fuelsight.llm.sharding import oracle as sharding_oracle
 from fuelsight.llm.substrings import op7_substring_dedup
 
 QUERIES = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op2_quality_rules": op2_quality_rules,
     "op3_packing": op3_packing,
+    "op5_sharding": op5_sharding,
     "op7_substring_dedup": op7_substring_dedup,
     "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op5_sharding": sharding_oracle(),
+}
