@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from fuelsight.llm.chat import ORACLE as CHAT_ORACLE
+from fuelsight.llm.chat import op8_chat_formatting
 from fuelsight.llm.decontaminate import op1_benchmark_decontamination
 from fuelsight.llm.jaccard import op9_ngram_jaccard_join
 from fuelsight.llm.packing import op3_packing
@@ -16,9 +18,11 @@ QUERIES = {
     "op3_packing": op3_packing,
     "op5_sharding": op5_sharding,
     "op7_substring_dedup": op7_substring_dedup,
+    "op8_chat_formatting": op8_chat_formatting,
     "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
 }
 
 ORACLE: dict[str, str] = {
     "op5_sharding": sharding_oracle(),
+    "op8_chat_formatting": CHAT_ORACLE,
 }
