@@ -20,6 +20,8 @@ no pieces; other columns are not carried.
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right, insort
+
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
@@ -32,18 +34,20 @@ from fuelsight.llm.subwords import subwords, vocabulary_path
 
 CAPACITY = 4096
 END_ID = 2
-POOL_TOKENS = 4 << 20
+POOL_TOKENS = 1 << 20
 
 
-def best_fill(counts: dict[int, int], capacity: int) -> dict[int, int]:
-    """How many pieces of each length come closest to ``capacity`` from below.
+def best_fill(counts: dict[int, int], capacity: int, order: list[int] | None = None) -> dict[int, int]:
+    """How many pieces of each length come closest to ``capacity`` from below; ``order`` has the lengths, ascending.
 
     ``reach`` has bit ``s`` set if some taken pieces sum up to ``s``; a length
     with ``c`` pieces enters as 1, 2, 4, ... pieces at once (binary splitting).
     """
     reach, steps, mask, goal = 1, [], (1 << (capacity + 1)) - 1, 1 << capacity
-    for length in sorted((x for x in counts if x <= capacity), reverse=True):
-        left, k = min(counts[length], capacity // length), 1
+    order = sorted(counts) if order is None else order
+    for i in range(bisect_right(order, capacity) - 1, -1, -1):
+        length = order[i]
+        left, k = min(counts.get(length, 0), capacity // length), 1
         while left and not reach & goal:
             k = min(k, left)
             steps.append((length, k, reach))
@@ -64,7 +68,7 @@ class Packer:
     """Pieces wait here by length; ``windows`` are lists of pieces (doc, start, ids, doc_tokens)."""
 
     def __init__(self, capacity: int):
-        self.capacity, self.pool, self.tokens = capacity, {}, 0
+        self.capacity, self.pool, self.counts, self.order, self.tokens = capacity, {}, {}, [], 0
 
     def add(self, doc, ids: np.ndarray):
         """Whole windows of a document; the rest of it waits."""
@@ -76,20 +80,25 @@ class Packer:
 
     def _put(self, piece) -> None:
         length = len(piece[2]) // 4
-        self.pool.setdefault(length, []).append(piece)
+        if length not in self.pool:
+            self.pool[length] = []
+            insort(self.order, length)
+        self.pool[length].append(piece)
+        self.counts[length] = len(self.pool[length])
         self.tokens += length
 
     def _take(self, length: int):
         pieces = self.pool[length]
         piece = pieces.pop()
+        self.counts[length] = len(pieces)
         if not pieces:
-            del self.pool[length]
+            del self.pool[length], self.counts[length], self.order[bisect_left(self.order, length)]
         self.tokens -= length
         return piece
 
     def _cut(self, room: int):
         """The head of the longest piece that waits; its tail waits on."""
-        doc, start, ids, n = self._take(max(self.pool))
+        doc, start, ids, n = self._take(self.order[-1])
         if len(ids) > 4 * room:
             self._put((doc, start + room, ids[4 * room :], n))
         return doc, start, ids[: 4 * room], n
@@ -97,10 +106,10 @@ class Packer:
     def drain(self, keep: int):
         """Full windows until at most ``keep`` tokens wait (never fewer than a window's)."""
         while self.tokens >= max(keep, self.capacity):
-            longest = max(self.pool)
-            counts = {x: len(p) for x, p in self.pool.items()}
-            counts[longest] -= 1
-            taken = best_fill(counts, self.capacity - longest)
+            longest = self.order[-1]
+            self.counts[longest] -= 1
+            taken = best_fill(self.counts, self.capacity - longest, self.order)
+            self.counts[longest] += 1
             taken[longest] = taken.get(longest, 0) + 1
             slack = self.capacity - sum(x * k for x, k in taken.items())
             for _ in range(1 if slack else min(len(self.pool[x]) // k for x, k in taken.items())):

@@ -9,11 +9,12 @@ of the words that it has met (at most ``CACHE_WORDS``; then it begins anew).
 from __future__ import annotations
 
 import os
+from itertools import repeat
 
 import numpy as np
 
 VOCABULARY = "word_bpe_49k.json"
-CACHE_WORDS = 500_000
+CACHE_WORDS = 1_200_000
 _JOINED = 400
 
 
@@ -36,59 +37,81 @@ class Subwords:
 
     def clear(self) -> None:
         self.known: dict[bytes, int] = {}
+        self.stems: dict[bytes, int] = {}
         self.flat = np.zeros(1 << 16, np.uint32)
-        self.offsets = np.zeros(1 << 15, np.int64)
+        self.n_flat = 0
+        self.begin = np.zeros(1 << 15, np.int64)
+        self.length = np.zeros(1 << 15, np.int64)
 
-    def encode_words(self, words: list[bytes]) -> list[list[int]]:
-        """The ids of each word; many words a call, parted by a word that only the zero character gives."""
+    def encode(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of some words, one after the other, and their numbers; many words a call, parted by a zero character."""
         texts = [w.decode("utf-8", "replace") for w in words]
-        if len(self.mark) != 1:
-            return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        plain = [i for i, t in enumerate(texts) if "\0" not in t]
-        out: list[list[int]] = [[]] * len(texts)
-        groups = [plain[i : i + _JOINED] for i in range(0, len(plain), _JOINED)]
-        found = self.tokenizer.encode_batch_fast([" \0 ".join(texts[i] for i in g) for g in groups], add_special_tokens=False)
-        for g, e in zip(groups, found, strict=True):
-            ids, at, mark = e.ids, 0, self.mark[0]
-            for i in g[:-1]:
-                to = ids.index(mark, at)
-                out[i] = ids[at:to]
-                at = to + 1
-            out[g[-1]] = ids[at:]
-        for i, t in enumerate(texts):
-            if "\0" in t:
-                out[i] = self.tokenizer.encode(t, add_special_tokens=False).ids
-        return out
+        if len(self.mark) != 1 or any("\0" in t for t in texts):
+            found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+            return np.array([i for x in found for i in x], np.uint32), np.fromiter(map(len, found), np.int64, len(found))
+        joined = [" \0 ".join(texts[i : i + _JOINED]) + " \0" for i in range(0, len(texts), _JOINED)]
+        flat = [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)]
+        ids = np.concatenate(flat) if flat else np.zeros(0, np.uint32)
+        ends = np.flatnonzero(ids == self.mark[0])
+        return np.delete(ids, ends), np.diff(ends, prepend=-1) - 1
+
+    def _place(self, numbers: np.ndarray, ids: np.ndarray, lengths: np.ndarray) -> None:
+        while self.n_flat + len(ids) > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+        self.flat[self.n_flat : self.n_flat + len(ids)] = ids
+        self.begin[numbers] = self.n_flat + np.cumsum(lengths) - lengths
+        self.length[numbers] = lengths
+        self.n_flat += len(ids)
 
     def learn(self, words: list[bytes]) -> None:
-        """Adds words that are not known yet."""
-        found = self.encode_words(words)
-        n, base = len(self.known), int(self.offsets[len(self.known)])
-        lengths = np.fromiter(map(len, found), np.int64, len(found))
-        total = int(lengths.sum())
-        while base + total > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        while n + len(found) + 1 > len(self.offsets):
-            self.offsets = np.concatenate([self.offsets, np.zeros_like(self.offsets)])
-        self.flat[base : base + total] = np.fromiter((i for x in found for i in x), np.uint32, total)
-        self.offsets[n + 1 : n + 1 + len(found)] = base + np.cumsum(lengths)
+        """Adds words that are not known yet; those that differ by capitals only (in ASCII) are encoded once."""
+        n = len(self.known)
+        while n + len(words) > len(self.begin):
+            self.begin = np.concatenate([self.begin, np.zeros_like(self.begin)])
+            self.length = np.concatenate([self.length, np.zeros_like(self.length)])
+        fresh, first, again, like = [], [], [], []
+        for k, w in enumerate(words, n):
+            stem = w.lower() if w.isascii() else w
+            seen = self.stems.setdefault(stem, k)
+            if seen == k:
+                fresh.append(stem)
+                first.append(k)
+            else:
+                again.append(k)
+                like.append(seen)
+        special = [i for i, w in enumerate(fresh) if b"\0" in w]
+        for i in special:
+            self._place(np.array([first[i]]), *self.encode([fresh[i]]))
+        for i in reversed(special):
+            del fresh[i], first[i]
+        self._place(np.array(first, np.int64), *self.encode(fresh))
+        self.begin[again] = self.begin[like]
+        self.length[again] = self.length[like]
         self.known.update(zip(words, range(n, n + len(words)), strict=True))
 
+    def _numbers(self, words: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(self.known.get, words, repeat(-1)), np.int64, len(words))
+
     def ids(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        split = [t.split() for t in texts]
-        words = [w for x in split for w in x]
-        fresh = set(words) - self.known.keys()
-        if len(fresh) + len(self.known) > CACHE_WORDS and self.known:
-            self.clear()
-            fresh = set(words)
-        if fresh:
+        words, counts = [], [0]
+        for t in texts:
+            words += t.split()
+            counts.append(len(words))
+        numbers = self._numbers(words)
+        missing = np.flatnonzero(numbers < 0)
+        if len(missing):
+            fresh = {words[i] for i in missing.tolist()}
+            if len(fresh) + len(self.known) > CACHE_WORDS and self.known:
+                self.clear()
+                fresh = set(words)
+                missing = slice(None)
             self.learn(list(fresh))
-        numbers = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
-        begin = self.offsets[numbers]
-        lengths = self.offsets[numbers + 1] - begin
+            numbers[missing] = self._numbers([words[i] for i in missing.tolist()] if isinstance(missing, np.ndarray) else words)
+        lengths = self.length[numbers]
         ends = np.cumsum(lengths)
-        at = np.repeat(begin - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)
-        edges = np.concatenate([[0], ends])[np.cumsum([0] + [len(x) for x in split])]
+        at = np.repeat(self.begin[numbers] - (ends - lengths), lengths)
+        at += np.arange(len(at))
+        edges = np.concatenate([[0], ends])[counts]
         return self.flat[at], np.diff(edges)
 
 
