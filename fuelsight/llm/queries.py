@@ -11,12 +11,15 @@ from fuelsight.llm.quality import op2_quality_rules
 from fuelsight.llm.sharding import op5_sharding
 from fuelsight.llm.sharding import oracle as sharding_oracle
 from fuelsight.llm.substrings import op7_substring_dedup
+from fuelsight.llm.warc import ORACLE as WARC_ORACLE
+from fuelsight.llm.warc import op6_warc
 
 QUERIES = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op2_quality_rules": op2_quality_rules,
     "op3_packing": op3_packing,
     "op5_sharding": op5_sharding,
+    "op6_warc": op6_warc,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_chat_formatting": op8_chat_formatting,
     "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
@@ -25,4 +28,5 @@ QUERIES = {
 ORACLE: dict[str, str] = {
     "op5_sharding": sharding_oracle(),
     "op8_chat_formatting": CHAT_ORACLE,
+    "op6_warc": WARC_ORACLE,
 }
