@@ -8,6 +8,7 @@ from fuelsight.llm.decontaminate import op1_benchmark_decontamination
 from fuelsight.llm.jaccard import op9_ngram_jaccard_join
 from fuelsight.llm.packing import op3_packing
 from fuelsight.llm.quality import op2_quality_rules
+from fuelsight.llm.scoring import op10_lm_scoring
 from fuelsight.llm.sharding import op5_sharding
 from fuelsight.llm.sharding import oracle as sharding_oracle
 from fuelsight.llm.substrings import op7_substring_dedup
@@ -23,6 +24,7 @@ QUERIES = {
     "op7_substring_dedup": op7_substring_dedup,
     "op8_chat_formatting": op8_chat_formatting,
     "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
+    "op10_lm_scoring": op10_lm_scoring,
 }
 
 ORACLE: dict[str, str] = {
