@@ -6,6 +6,7 @@ from fuelsight.llm.chat import ORACLE as CHAT_ORACLE
 from fuelsight.llm.chat import op8_chat_formatting
 from fuelsight.llm.decontaminate import op1_benchmark_decontamination
 from fuelsight.llm.jaccard import op9_ngram_jaccard_join
+from fuelsight.llm.language import op4_language_id
 from fuelsight.llm.packing import op3_packing
 from fuelsight.llm.quality import op2_quality_rules
 from fuelsight.llm.scoring import op10_lm_scoring
@@ -19,6 +20,7 @@ QUERIES = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op2_quality_rules": op2_quality_rules,
     "op3_packing": op3_packing,
+    "op4_language_id": op4_language_id,
     "op5_sharding": op5_sharding,
     "op6_warc": op6_warc,
     "op7_substring_dedup": op7_substring_dedup,
