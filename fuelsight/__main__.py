@@ -14,9 +14,10 @@ import sys
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import schemas as S
 from .functions.predicates import default_range
 from .plans import jobs
-from .sources.readers import read_stream
+from .sources.readers import date_partitioned, read_signals, read_stream
 from .sources.sinks import etl_job
 
 
@@ -24,6 +25,10 @@ def _read(spark: SparkSession, path: str, fmt: str) -> DataFrame:
     return spark.read.format(fmt).load(path)
 
 
+def _signals(spark: SparkSession, path: str, fmt: str) -> DataFrame:
+    return read_signals(spark, path, fmt)
+
+
 def build_parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="fuelsight", description=__doc__.splitlines()[0])
     p.add_argument("--format", default="parquet", help="format of the input tables")
@@ -33,6 +38,8 @@ def build_parser() -> argparse.ArgumentParser:
     e.add_argument("--envelopes", required=True)
     e.add_argument("--raw", required=True)
     e.add_argument("--clean", required=True)
+    e.add_argument("--corrupt", required=True, help="where unreadable uploads and readings go")
+    e.add_argument("--load", help="name of this input; running it again replaces its rows")
 
     r = sub.add_parser("aircon-rate", help="fleet air-conditioning consumption rate")
     r.add_argument("--signals", required=True)
@@ -76,6 +83,8 @@ def build_parser() -> argparse.ArgumentParser:
     s.add_argument("--out", required=True)
     s.add_argument("--checkpoint-dir", required=True)
     s.add_argument("--available-now", action="store_true")
+    s.add_argument("--watermark", required=True, help="how long windows wait for late readings, e.g. '10 minutes'")
+    s.add_argument("--partitions", type=int, help="source partitions: cap intake at the usual rate for each")
     return p
 
 
@@ -84,39 +93,43 @@ def main(argv: list[str] | None = None) -> int:
     spark = SparkSession.builder.appName(f"fuelsight-{args.job}").getOrCreate()
     fmt = args.format
     if args.job == "etl":
-        etl_job(_read(spark, args.envelopes, fmt), args.raw, args.clean)
+        envelopes = spark.read.schema(S.ENVELOPE).format(fmt).load(args.envelopes)
+        etl_job(envelopes, args.raw, args.clean, args.corrupt, load=args.load)
     elif args.job == "aircon-rate":
-        jobs.aircon_rate_job(_read(spark, args.signals, fmt), args.out)
+        jobs.aircon_rate_job(_signals(spark, args.signals, fmt), args.out)
     elif args.job == "daily":
-        start, end = (args.start, args.end) if args.start and args.end else default_range()
+        if bool(args.start) != bool(args.end):
+            build_parser().error("--start and --end go together")
+        start, end = (args.start, args.end) if args.start else default_range()
         rate = None
         if args.rate:
             try:
                 rate = float(args.rate)
             except ValueError:
                 rate = spark.read.parquet(args.rate)
-        jobs.daily_job(_read(spark, args.signals, fmt), args.out, start, end, rate, args.partitioned)
+        partitioned = args.partitioned or date_partitioned(spark, args.signals)
+        jobs.daily_job(_signals(spark, args.signals, fmt), args.out, start, end, rate, partitioned)
     elif args.job == "km":
-        jobs.km_job(_read(spark, args.signals, fmt), spark.read.parquet(args.checkpoint), args.out,
+        jobs.km_job(_signals(spark, args.signals, fmt), spark.read.parquet(args.checkpoint), args.out,
                     args.checkpoint_out)
     elif args.job == "fill":
-        jobs.fill_job(_read(spark, args.signals, fmt), _read(spark, args.fills, fmt),
+        jobs.fill_job(_signals(spark, args.signals, fmt), _read(spark, args.fills, fmt),
                       spark.read.parquet(args.marks), args.out, args.marks_out, args.sample_ms)
     elif args.job == "ranking":
         jobs.ranking_job(spark.read.parquet(args.fill_kpis), args.out)
     elif args.job == "attributes":
         jobs.attribute_job(spark.read.parquet(args.kpi_day), spark.read.parquet(args.kpi_km), args.out)
     elif args.job == "stream":
-        from . import schemas as S
         from .sources.readers import kafka_values
-        from .streaming.detectors import run_detectors, stream_signals
+        from .streaming.detectors import rate_cap, run_detectors, stream_signals
         options = dict(o.split("=", 1) for o in args.option)
         raw = read_stream(spark, args.source_format, args.source,
-                          schema=None if args.source_format == "kafka" else S.ENVELOPE, **options)
+                          schema=None if args.source_format == "kafka" else S.ENVELOPE,
+                          max_per_trigger=rate_cap(args.partitions) if args.partitions else None, **options)
         if args.source_format == "kafka":
             raw = kafka_values(raw)
         trigger = {"availableNow": True} if args.available_now else None
-        queries = run_detectors(stream_signals(raw), args.out, args.checkpoint_dir, trigger=trigger)
+        queries = run_detectors(stream_signals(raw), args.out, args.checkpoint_dir, args.watermark, trigger=trigger)
         for q in queries:
             q.awaitTermination()
     return 0

@@ -35,6 +35,7 @@ def _base(events: DataFrame) -> DataFrame:
     sec = F.timestamp_diff("SECOND", F.lit(EPOCH).cast("timestamp_ntz"), F.col("ts"))
     return events.select(
         vin_of(F.col("user_id")).alias("vin"),
+        F.col("event_id"),
         F.col("ts"),
         F.col("event_type").alias("et"),
         F.col("value").alias("v"),
@@ -118,6 +119,25 @@ def envelopes_from(events: DataFrame) -> DataFrame:
     )
 
 
+def dirty_envelopes_from(events: DataFrame) -> DataFrame:
+    """Uploads as :func:`envelopes_from` makes them, one reading each, some of them broken.
+
+    By the event's number: every 5th has no usable send time, every 7th no JSON payload,
+    every 11th a reading without a usable time, every 13th one with a
+    value that is no number, every 17th no vehicle; all others are sound, with quoted
+    values and nine fraction digits.
+    """
+    b = _base(events)
+    n = F.col("event_id")
+    ts = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    reading = F.to_json(F.array(F.struct(
+        F.when(n % 11 == 0, F.lit("noon")).otherwise(F.concat(ts, F.lit("999Z"))).alias("ts"), F.lit(S.INJECTION).alias("stype"),
+        F.when(n % 13 == 0, F.lit("high")).otherwise((F.floor("v") * 0.25).cast("string")).alias("value"))))
+    send = F.date_format(F.timestamp_add("SECOND", F.lit(1), F.col("ts")), "yyyyMMddHHmmssSSS")
+    return b.select(F.when(n % 17 != 0, F.col("vin")).alias("FR"), F.when(n % 5 == 0, F.lit("yesterday")).otherwise(send).alias("TS"),
+                    F.when(n % 7 == 0, F.lit("[{")).otherwise(reading).alias("DT"))
+
+
 def derive(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """All fixtures of one scale factor as lazy projections of ``events``."""
     events = read_table(spark, sf_dir, "events")
@@ -129,6 +149,7 @@ def derive(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         "processed_fills": processed_fills_from(fills),
         "km_checkpoint": km_checkpoint_from(events),
         "envelopes": envelopes_from(events),
+        "dirty_envelopes": dirty_envelopes_from(events),
     }
 
 
@@ -136,12 +157,20 @@ _LOCK = threading.Lock()
 _LOADED: dict[tuple[str, str], dict[str, DataFrame]] = {}
 
 
-def _stamp(sf_dir: str) -> str:
-    """Identity of the derived tables: input file and the deriving code."""
-    st = os.stat(os.path.join(sf_dir, "events.parquet"))
-    with open(__file__, "rb") as f:
-        code = hashlib.sha1(f.read()).hexdigest()
-    key = f"{os.path.abspath(sf_dir)}:{st.st_size}:{st.st_mtime_ns}:{code}"
+def _stamp(spark: SparkSession, sf_dir: str) -> str:
+    """Identity of the derived tables: input and all code that derives and writes them."""
+    from .functions import timefmt
+    from .operators import etl
+    from .sources import sinks
+
+    code = hashlib.sha1()
+    for path in (__file__, S.__file__, timefmt.__file__, etl.__file__, sinks.__file__):
+        with open(path, "rb") as f:
+            code.update(f.read())
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(os.path.join(sf_dir, "events.parquet"))
+    st = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(path)
+    key = f"{sf_dir}:{st.getLen()}:{st.getModificationTime()}:{code.hexdigest()}"
     return hashlib.sha1(key.encode()).hexdigest()[:16]
 
 
@@ -173,7 +202,7 @@ def load(spark: SparkSession, sf_dir: str, materialize: bool = True) -> dict[str
     from .session import path_exists, shared_dir
     from .sources.sinks import write_by_date
 
-    root = os.path.join(shared_dir(spark), f"fixtures-{_stamp(sf_dir)}")
+    root = os.path.join(shared_dir(spark), f"fixtures-{_stamp(spark, sf_dir)}")
     key = (spark.sparkContext.applicationId, root)
     with _LOCK:
         if key in _LOADED:
@@ -193,7 +222,8 @@ def load(spark: SparkSession, sf_dir: str, materialize: bool = True) -> dict[str
             if name == "signals":
                 schema = T.StructType(S.SIGNAL.fields + [
                     T.StructField(c, T.IntegerType()) for c in ("year", "month", "day")])
-                back = spark.read.schema(schema).parquet(path).select("vin", "ts", "stype", "value")
+                out["signals_by_day"] = spark.read.schema(schema).parquet(path)
+                back = out["signals_by_day"].select("vin", "ts", "stype", "value")
             else:
                 back = spark.read.schema(df.schema).parquet(path)
             out[name] = back

@@ -7,8 +7,6 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..schemas import RPM, SPEED
-
 
 def of_type(df: DataFrame, *stypes: str) -> DataFrame:
     """keep readings of the given signal types (``IN`` list, pushed down)."""
@@ -49,7 +47,8 @@ def in_range(df: DataFrame, start=None, end=None, ts_col: str = "ts",
         if start is not None:
             out = out.where(day >= F.to_date(_ts_lit(start)))
         if end is not None:
-            out = out.where(day <= F.to_date(_ts_lit(end)))
+            # the day of the last instant before the exclusive end: midnight admits no further folder
+            out = out.where(day <= F.to_date(_ts_lit(end) - F.expr("INTERVAL '0.000001' SECOND")))
     return out
 
 
@@ -57,7 +56,7 @@ def default_range(args=None, today: _dt.date | None = None) -> tuple[_dt.date, _
     """``(yesterday, today)`` unless two arguments are given."""
     if args and len(args) >= 2:
         return (_dt.date.fromisoformat(str(args[0])[:10]), _dt.date.fromisoformat(str(args[1])[:10]))
-    today = today or _dt.date.today()
+    today = today or _dt.datetime.now(_dt.timezone.utc).date()  # sessions run in UTC
     return today - _dt.timedelta(days=1), today
 
 
@@ -69,21 +68,3 @@ def is_idle(speed: str = "speed", rpm: str = "rpm") -> Column:
 def is_driving(speed: str = "speed", rpm: str = "rpm") -> Column:
     """engine on, vehicle moving."""
     return (F.col(speed) > 0) & (F.col(rpm) > 0)
-
-
-def engine_running(df: DataFrame) -> DataFrame:
-    """rotation-speed samples of a running engine."""
-    return df.where((F.col("stype") == RPM) & (F.col("value") > 0))
-
-
-def moving(df: DataFrame) -> DataFrame:
-    return df.where((F.col("stype") == SPEED) & (F.col("value") > 0))
-
-
-def drive_state(wide: DataFrame) -> DataFrame:
-    """add boolean ``idle``/``driving``/``aircon_on`` columns to second rows."""
-    return wide.withColumns({
-        "idle": is_idle(),
-        "driving": is_driving(),
-        "aircon_on": F.col("aircon_on_votes") > 0,
-    })

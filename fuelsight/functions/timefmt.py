@@ -9,10 +9,15 @@ from pyspark.sql import functions as F
 ISO_FORMAT = "yyyy-MM-dd HH:mm:ss[.SSSSSS]"
 COMPACT_FORMAT = "yyyyMMddHHmmss[.SSSSSS]"
 
+# a fraction's first six digits (after a dot, or after the 14 digits of the compact form) and what follows them
+EXTRA_DIGITS = "^([0-9]{20}|[0-9-]+[T ][0-9:]+[.][0-9]{6})[0-9]+$"
+
 
 def parse_ts(c: Column | str) -> Column:
     """Parse ``yyyy-MM-dd HH:mm:ss[.ffffff]`` (also with ``T``) or ``yyyyMMddHHmmss[SSS]``.
 
+    Fraction digits beyond the sixth are cut, and a trailing ``Z`` is dropped.
+
     The spelling is picked from the fifth character (``-`` = ISO), so each
     value is parsed once.  The compact form has no separator before the
     fraction, which the pattern parser cannot read, so a dot is inserted
@@ -26,7 +31,7 @@ def parse_ts(c: Column | str) -> Column:
 
 def parse_ts_sql(x: str) -> str:
     """SQL text of :func:`parse_ts` for an expression ``x``."""
-    s = f"trim(CAST({x} AS STRING))"
+    s = f"regexp_replace(regexp_replace(trim(CAST({x} AS STRING)), 'Z$', ''), '{EXTRA_DIGITS}', '$1')"
     return (f"CAST(CASE WHEN substr({s}, 5, 1) = '-' "
             f"THEN try_to_timestamp(translate({s}, 'T', ' '), '{ISO_FORMAT}') "
             f"ELSE try_to_timestamp(CASE WHEN length({s}) > 14 "
@@ -36,7 +41,7 @@ def parse_ts_sql(x: str) -> str:
 
 def parse_ts_column(c: Column) -> Column:
     """:func:`parse_ts` for an arbitrary column expression."""
-    s = F.trim(c.cast("string"))
+    s = F.regexp_replace(F.regexp_replace(F.trim(c.cast("string")), "Z$", ""), EXTRA_DIGITS, "$1")
     compact = F.when(F.length(s) > 14, F.concat(F.substring(s, 1, 14), F.lit("."), F.substring(s, 15, 1 << 20))) \
         .otherwise(s)
     return F.when(F.substring(s, 5, 1) == "-",

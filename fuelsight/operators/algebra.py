@@ -15,6 +15,9 @@ OTHER_INPUTS = {
 }
 
 
+OTHER_SCALE = {"day": 1.0, "km": 100.0}
+
+
 def other_fuel(kpi: DataFrame, grain: str = "day") -> DataFrame:
     """A11 (D005) / A12 (KM005): total - idle - driving - air-con.
 
@@ -22,14 +25,15 @@ def other_fuel(kpi: DataFrame, grain: str = "day") -> DataFrame:
     aggregate, one shuffle (``GroupedData.pivot`` would plan two) — replaces
     the 4-way self-join; keys missing any of the four inputs give no row.
     The result may be negative (air-con seconds overlap idle/driving ones)
-    and is kept.
+    and is kept.  KM001 counts each injection 100-fold (A9) and the other codes do not,
+    so the 100-km total is divided by that factor first (D33).
     """
     key, codes, out_code = OTHER_INPUTS[grain]
     total, idle, driving, aircon = codes
     wide = (kpi.where(F.col("data_key").isin(*codes))
             .groupBy("vin", key)
             .agg(*[F.sum(F.when(F.col("data_key") == c, F.col("data_value"))).alias(c) for c in codes]))
-    value = F.col(total) - F.col(idle) - F.col(driving) - F.col(aircon)
+    value = F.col(total) / OTHER_SCALE[grain] - F.col(idle) - F.col(driving) - F.col(aircon)
     return (wide.where(F.col(total).isNotNull() & F.col(idle).isNotNull()
                        & F.col(driving).isNotNull() & F.col(aircon).isNotNull())
             .select("vin", key, F.lit(out_code).alias("data_key"), value.alias("data_value")))

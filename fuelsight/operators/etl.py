@@ -26,6 +26,37 @@ def explode_envelopes(envelopes: DataFrame) -> DataFrame:
                     F.col("_r.value").alias("value"), "send_ts"))
 
 
+def split_envelopes(envelopes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Usable readings of all uploads (as :func:`explode_envelopes`), and what cannot be used.
+
+    The second frame has one row for each upload whose payload cannot be read and for
+    each reading of the others that lacks something: ``vin``, ``send_time`` and
+    ``payload`` as they came (of a reading: its JSON), and ``reason`` — the first
+    that holds of ``payload`` (no JSON array, or an empty one), ``vin``, ``send_time``, ``time``,
+    ``stype`` and ``value``.  Every reading of every upload is in one of the two.
+    """
+    if "DT" not in envelopes.columns:
+        parsed = F.from_json(F.col("value"), S.ENVELOPE)
+        envelopes = envelopes.select(parsed.alias("_e"), F.col("value").alias("_raw")).select("_e.*", "_raw")
+    else:
+        envelopes = envelopes.withColumn("_raw", F.col("DT"))
+    items = F.from_json(F.col("DT"), "array<string>")
+    items = F.when(F.size(items) > 0, items).otherwise(F.array(F.lit(None).cast("string")))
+    rows = envelopes.select("FR", "TS", "_raw", F.explode(items).alias("_item"))
+    m = F.from_json(F.col("_item"), "map<string,string>")  # numbers may be quoted
+    rows = rows.withColumn("_r", F.struct(m["ts"].alias("ts"), m["stype"].alias("stype"), m["value"].try_cast("double").alias("value")))
+    rows = rows.select("FR", "TS", F.coalesce("_item", "_raw").alias("_raw"), F.col("_item").isNull().alias("_no_item"), parse_ts(F.col("TS")).alias("_send"),
+                       parse_ts(F.col("_r.ts")).alias("_ts"), F.col("_r.stype").alias("_stype"), F.col("_r.value").alias("_value"))
+    reason = (F.when(F.col("_no_item"), "payload").when(F.col("FR").isNull(), "vin").when(F.col("_send").isNull(), "send_time")
+              .when(F.col("_ts").isNull(), "time").when(F.col("_stype").isNull(), "stype").when(F.col("_value").isNull(), "value"))
+    rows = rows.withColumn("reason", reason)
+    good = rows.where(F.col("reason").isNull()).select(
+        F.col("FR").alias("vin"), F.col("_ts").alias("ts"), F.col("_stype").alias("stype"), F.col("_value").alias("value"), F.col("_send").alias("send_ts"))
+    bad = rows.where(F.col("reason").isNotNull()).select(
+        F.col("FR").alias("vin"), F.col("TS").alias("send_time"), F.col("_raw").alias("payload"), "reason")
+    return good, bad
+
+
 def drop_future_readings(readings: DataFrame) -> DataFrame:
     """Keep readings strictly older than their envelope's send time.
 

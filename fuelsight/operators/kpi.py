@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from .. import schemas as S
 from ..functions.predicates import in_range, is_driving, is_idle, of_type
 from .asof import DEFAULT_CHUNK_SECONDS, asof_running_max
-from .incremental import after_checkpoint
+from .incremental import after_checkpoint, last_bucket
 from .wide import _sum_of, km_bucket, micros_sql, second_of, tenth_of, to_second_rows
 
 STATES = {"idle": is_idle, "driving": is_driving}
@@ -196,6 +196,8 @@ def daily_kpis(signals: DataFrame, rate: DataFrame | Column | float | None = Non
         _sum_of(S.INJECTION).alias("fuel"),
         F.expr(f"count(CASE WHEN stype = '{S.AIRCON}' AND value != 0 THEN 1 END)").alias("ac_votes"),
         F.expr(f"count(CASE WHEN {inj} THEN 1 END)").alias("n_inj"),
+        F.expr(f"count(CASE WHEN {inj} THEN value END)").alias("n_value"),
+        F.expr(f"count(CASE WHEN {odo} THEN 1 END)").alias("n_odo"),
         F.expr(tenth_max).alias("dedup_fuel"),
         F.expr(f"max(CASE WHEN {odo} THEN value END)").alias("odo_max"),
         F.expr(f"min(CASE WHEN {odo} THEN value END)").alias("odo_min"),
@@ -203,7 +205,8 @@ def daily_kpis(signals: DataFrame, rate: DataFrame | Column | float | None = Non
     idle, driving, ac_on = "speed = 0 AND rpm > 0", "speed > 0 AND rpm > 0", "ac_votes > 0"
     per_day = per_sec.groupBy("vin", "day").agg(
         F.sum("n_inj").alias("n_inj"),
-        F.sum("dedup_fuel").alias("total"),
+        F.sum("n_odo").alias("n_odo"),
+        F.expr("CASE WHEN sum(n_value) > 0 THEN sum(dedup_fuel) END").alias("total"),  # null like the separate form
         F.expr(f"count(CASE WHEN {idle} THEN 1 END)").alias("n_idle"),
         F.expr(f"sum(CASE WHEN {idle} THEN fuel END)").alias("idle"),
         F.expr(f"count(CASE WHEN {driving} THEN 1 END)").alias("n_driving"),
@@ -222,7 +225,7 @@ def daily_kpis(signals: DataFrame, rate: DataFrame | Column | float | None = Non
         fact(S.D_IDLE_FUEL, F.col("idle"), F.col("n_idle") > 0),
         fact(S.D_DRIVING_FUEL, F.col("driving"), F.col("n_driving") > 0),
         fact(S.D_AIRCON_FUEL, F.col("aircon") * factor, F.col("n_ac") > 0),
-        fact(S.D_MILEAGE, F.col("mileage"), F.col("mileage").isNotNull()),
+        fact(S.D_MILEAGE, F.col("mileage"), F.col("n_odo") > 0),
     )
     return (per_day.select("vin", F.col("day").alias("now_date"), F.inline(facts))
             .where(F.col("p"))
@@ -245,6 +248,23 @@ def daily_kpis_separate(signals: DataFrame, rate: DataFrame | None = None) -> Da
     return out
 
 
+def resumed_km_kpis(signals: DataFrame, checkpoint: DataFrame, chunk_seconds: int = DEFAULT_CHUNK_SECONDS) -> DataFrame:
+    """KM001-KM004 of the buckets that are new and complete.
+
+    All four codes use readings from the restart time on and the as-of bucket, and leave
+    out each vehicle's newest, still open bucket, so a run after the checkpoint
+    has advanced adds none of them twice.
+    """
+    types = [S.SPEED, S.RPM, S.INJECTION, S.AIRCON, S.ODOMETER]
+    sig = after_checkpoint(of_type(signals, *types), checkpoint, S.INJECTION)
+    newest = (of_type(sig, S.ODOMETER).groupBy("vin")
+              .agg((F.floor(F.max("value") / 100) * 100).cast("int").alias("_newest")))
+    done = last_bucket(checkpoint, S.INJECTION).select("vin", F.col("km").alias("_done"))
+    rows = km_kpis(sig, None, bucket="asof").join(newest, "vin").join(done, "vin", "left")
+    return (rows.where((F.col("mileage") < F.col("_newest")) & (F.col("mileage") >= F.coalesce("_done", F.lit(0))))
+            .drop("_newest", "_done"))
+
+
 def km_kpis(signals: DataFrame, checkpoint: DataFrame | None = None, bucket: str = "same_second") -> DataFrame:
     """KM001-KM004 in one long fact table.
 

@@ -2,43 +2,40 @@
 
 ``rank() over (partition by g order by x)`` as a window sends a whole group to
 one task; with few groups (three fuel grades) that is a third of the data per
-task.  Here the rank is ``1 + #rows of the group with a smaller x``, computed
-from a range-partitioned table of distinct (g, x) counts:
-
-* range partitioning on (g, x) splits even a huge group into contiguous
-  slices of bounded size (equal keys land in one slice);
-* per slice and group, a running sum gives the rows before each key inside
-  the slice; per group, a running sum over the slice totals (a table of
-  partitions x groups rows) gives the rows in earlier slices;
-* the rank is joined back on (g, x).
-
-The sliced table is checkpointed to the shared folder so the partition id
-of each key is fixed once (the range bounds come from sampling).
+task.  Here:
+
+* the rows are range-partitioned on (g, x), which cuts even a huge group into
+  contiguous slices (equal keys land in one slice), and written once to the shared folder, so
+  every later step reads the same rows: the input is evaluated once, and
+  its values, e.g. sums of doubles, cannot differ between two evaluations;
+* per slice and group, a local ``rank()``;
+* per group, a running sum over the slice sizes (a table of partitions x
+  groups rows) gives the rows in earlier slices, which is added.
+
+No row is joined by its value, so none gets lost; rows without a group are a group
+of their own.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..session import shared_dir
+from ..session import scratch_path
 
 
 def rank_within(df: DataFrame, group: str, order: str, out: str = "rank",
                 num_slices: int | None = None) -> DataFrame:
+    """``df`` with the rank of ``order`` within ``group`` (bigint, ties share a rank)."""
     spark = df.sparkSession
-    shared_dir(spark)
     n = num_slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    counts = df.groupBy(group, order).agg(F.count(F.lit(1)).alias("_n"))
-    sliced = (counts.repartitionByRange(n, group, order)
-              .withColumn("_slice", F.spark_partition_id())
-              .checkpoint(eager=True))
-    w_local = (Window.partitionBy("_slice", group).orderBy(order)
-               .rowsBetween(Window.unboundedPreceding, -1))
-    local = sliced.withColumn("_before", F.coalesce(F.sum("_n").over(w_local), F.lit(0)))
-    totals = sliced.groupBy("_slice", group).agg(F.sum("_n").alias("_tot"))
-    w_off = Window.partitionBy(group).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("_slice", group, F.coalesce(F.sum("_tot").over(w_off), F.lit(0)).alias("_off"))
-    ranks = (local.join(offsets, ["_slice", group])
-             .select(group, order, (F.lit(1) + F.col("_off") + F.col("_before")).cast("int").alias(out)))
-    return df.join(ranks, [group, order], "inner")
+    path = scratch_path(spark, "ranked")
+    df.repartitionByRange(n, group, order).withColumn("_slice", F.spark_partition_id()).write.parquet(path)
+    rows = spark.read.schema(T.StructType([*df.schema, T.StructField("_slice", T.IntegerType())])).parquet(path)
+    local = rows.withColumn("_rank", F.rank().over(Window.partitionBy("_slice", group).orderBy(order)))
+    totals = rows.groupBy("_slice", group).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(group).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(F.col("_slice").alias("_s"), F.col(group).alias("_g"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    joined = local.join(offsets, (F.col("_slice") == F.col("_s")) & F.col(group).eqNullSafe(F.col("_g")), "left")
+    return joined.withColumn(out, (F.col("_rank") + F.col("_off")).cast("bigint")).drop("_slice", "_rank", "_s", "_g", "_off")

@@ -16,15 +16,17 @@ from pyspark.sql import functions as F
 
 from .. import fixtures as FX
 from .. import schemas as S
+from ..functions.predicates import in_range
 from ..functions.timefmt import date_of_parts, date_string, epoch_millis, parse_ts, register_functions
 from ..operators import algebra, fills, incremental, kpi
 from ..operators.etl import drop_future_readings, explode_envelopes
 from ..operators.wide import epoch, epoch_micros, to_second_rows
 from ..session import scratch_path
-from ..sources.readers import read_range
+from ..sources.readers import read_range, read_signals
 from ..sources.sinks import JSON_TS_OPTIONS, etl_job, to_json_lines, write_by_date, write_kpi
-from ..streaming.detectors import fuel_summary, low_fuel_windows
-from ..streaming.refuel import refuel_events
+from ..streaming.detectors import fuel_summary, low_fuel_alerts, low_fuel_windows, run_detectors, stream_signals
+from ..streaming.refuel import refuel_events, refuel_events_stream
+from .jobs import fill_job, km_job
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -234,14 +236,170 @@ def q_write_by_date(spark, sf_dir):
 def q_etl_clean(spark, sf_dir):
     envelopes = _fx(spark, sf_dir)["envelopes"]
     raw, clean = scratch_path(spark, "raw-zone"), scratch_path(spark, "clean-zone")
-    etl_job(envelopes, raw, clean)
+    etl_job(envelopes, raw, clean, scratch_path(spark, "corrupt"))
     return spark.read.parquet(clean).select("vin", "ts", "stype", "value")
 
 
-def q_kpi_sink(spark, sf_dir):
-    path = scratch_path(spark, "kpi-day")
-    write_kpi(kpi.daily_kpis(_signals(spark, sf_dir)), "day", target=path)
-    return spark.read.parquet(path)
+def q_etl_corrupt(spark, sf_dir):
+    """Rows in = rows out: the clean and the corrupt zone of an ETL run, run twice under one load name."""
+    envelopes = _fx(spark, sf_dir)["dirty_envelopes"]
+    raw, clean, corrupt = (scratch_path(spark, n) for n in ("raw-zone", "clean-zone", "corrupt"))
+    for _ in range(2):
+        etl_job(envelopes, raw, clean, corrupt, load="first")
+    good = spark.read.parquet(clean).select("vin", F.lit("clean").alias("reason"))
+    return (good.unionByName(spark.read.parquet(corrupt).select("vin", "reason"))
+            .groupBy("vin", "reason").agg(F.count("*").alias("n")))
+
+
+def _sink(kind, make):
+    def q(spark, sf_dir):
+        path = scratch_path(spark, f"kpi-{kind}")
+        write_kpi(make(spark, sf_dir), kind, target=path)
+        return spark.read.parquet(path)
+    return q
+
+
+def q_read_json(spark, sf_dir):
+    """The signal table as JSON lines in both spellings, values quoted, read back."""
+    path = scratch_path(spark, "signals-json")
+    ts = F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    old = F.struct(F.col("vin").alias("VIN"), ts.alias("timestamp"), "stype", F.col("value").cast("string").alias("value"))
+    new = F.struct("vin", ts.alias("ts"), "stype", "value")
+    line = F.when(F.col("stype") == S.SPEED, F.to_json(old)).otherwise(F.to_json(new))
+    _signals(spark, sf_dir).select(line.alias("value")).write.text(path)
+    return read_signals(spark, path, "json")
+
+
+RANGE = ("2024-01-05", "2024-01-15")
+
+
+def q_daily_range(spark, sf_dir):
+    """Daily KPIs of a range, from date folders that are pruned."""
+    rows = in_range(_fx(spark, sf_dir)["signals_by_day"], *RANGE, partitioned=True)
+    return kpi.daily_kpis(rows, start=RANGE[0], end=RANGE[1])
+
+
+def q_signals_range(spark, sf_dir):
+    return in_range(_fx(spark, sf_dir)["signals_by_day"], *RANGE, partitioned=True).select("vin", "ts", "stype", "value")
+
+
+def _aircon(state):
+    def q(spark, sf_dir):
+        return kpi.aircon_by_day(to_second_rows(_signals(spark, sf_dir)), None, state)
+    return q
+
+
+def q_total_km_open(spark, sf_dir):
+    return kpi.total_fuel_by_km(_signals(spark, sf_dir), complete_only=False)
+
+
+def q_km_job(spark, sf_dir):
+    """The 100-km job run twice: the second run, after the advanced checkpoint, adds nothing."""
+    fx = _fx(spark, sf_dir)
+    out, marks = scratch_path(spark, "kpi-km"), scratch_path(spark, "checkpoint")
+    fx["km_checkpoint"].write.parquet(f"{marks}/run=start")
+    for _ in range(2):
+        km_job(fx["signals"], spark.read.parquet(marks), out, marks)
+    return spark.read.parquet(out).select("vin", "mileage", "data_key", "data_value")
+
+
+def q_fill_job(spark, sf_dir):
+    """The fill job run twice."""
+    fx = _fx(spark, sf_dir)
+    out, marks = scratch_path(spark, "kpi-fill"), scratch_path(spark, "marks")
+    fx["processed_fills"].write.parquet(f"{marks}/run=start")
+    for _ in range(2):
+        fill_job(fx["signals"], fx["fills"], spark.read.parquet(marks), out, marks)
+    return spark.read.parquet(out).select("vin", "gas_id", "fill_grade", "fill_date", "data_key", "data_value")
+
+
+def q_ranking_null_grade(spark, sf_dir):
+    fx = _fx(spark, sf_dir)
+    cost = fills.cost_per_km(fx["signals"], fx["fills"], fx["processed_fills"])
+    return fills.economy_ranking(cost.withColumn("fill_grade", F.when(F.col("gas_id") % 4 != 0, F.col("fill_grade"))))
+
+
+def q_read_range_default(spark, sf_dir):
+    ev = FX.read_table(spark, sf_dir, "events")
+    table = ev.select(FX.vin_of(F.col("user_id")).alias("vin"), F.to_date("ts").cast("timestamp_ntz").alias("ts"),
+                      F.col("event_id").alias("version"), "value")
+    return read_range(table, "2024-01-05", "2024-01-25")
+
+
+def q_refuel_nulls(spark, sf_dir):
+    """Tank levels with null and NaN values and null times in between: the same events."""
+    sig = _signals(spark, sf_dir)
+    levels = sig.where(F.col("stype") == S.FUEL_LEVEL)
+    bad = [levels.withColumn("value", F.lit(None).cast("double")), levels.withColumn("value", F.lit(float("nan"))),
+           levels.withColumn("ts", F.lit(None).cast("timestamp_ntz"))]
+    for b in bad:
+        sig = sig.unionByName(b)
+    return refuel_events(sig, step=None)
+
+
+def _stream(spark, df, name):
+    """``df`` as files read by a stream."""
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.readStream.schema(df.schema).parquet(path)
+
+
+def _streamed(spark, df, name):
+    """The rows that a streaming query appends to a file sink until its source is exhausted."""
+    out = scratch_path(spark, f"{name}-out")
+    q = (df.writeStream.format("parquet").outputMode("append").option("path", out)
+         .option("checkpointLocation", scratch_path(spark, f"{name}-offsets")).trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.schema(df.schema).parquet(out)
+
+
+def _closing(spark, sf_dir):
+    """All signals and, per vehicle, one much later reading, after which all windows are closed."""
+    sig = _signals(spark, sf_dir)
+    last = FX.read_table(spark, sf_dir, "events").agg(F.timestamp_add("DAY", F.lit(60), F.max("ts")).alias("ts"))
+    later = last.select(F.lit("closing").alias("vin"), "ts", F.explode(F.array(F.lit(S.FUEL_LEVEL), F.lit(S.SPEED))).alias("stype"), F.lit(50.0).alias("value"))
+    return sig.unionByName(later)
+
+
+def q_low_fuel_stream(spark, sf_dir):
+    src = _stream(spark, _closing(spark, sf_dir), "low-fuel-in")
+    return _streamed(spark, low_fuel_windows(src, "6 hours", "2 hours", 20.0, watermark="1 hour"), "low-fuel")
+
+
+def q_fuel_summary_stream(spark, sf_dir):
+    src = _stream(spark, _closing(spark, sf_dir), "summary-in")
+    return _streamed(spark, fuel_summary(src, "1 day", watermark="1 hour"), "summary")
+
+
+def q_refuel_stream(spark, sf_dir):
+    src = _stream(spark, _signals(spark, sf_dir), "refuel-in")
+    return _streamed(spark, refuel_events_stream(src, step=None), "refuel")
+
+
+def q_run_detectors(spark, sf_dir):
+    """The runner over an envelope stream; its refuel alerts."""
+    raw = _stream(spark, _fx(spark, sf_dir)["envelopes"], "envelopes-in")
+    out = scratch_path(spark, "alerts")
+    for q in run_detectors(stream_signals(raw), out, scratch_path(spark, "offsets"), "1 day", trigger={"availableNow": True}, refuel_step=None):
+        q.awaitTermination()
+    return spark.read.parquet(f"{out}/refuel").select("vin", "fuel_mass", "fill_amount", "fill_start_time", "fill_end_time")
+
+
+def q_low_fuel_short(spark, sf_dir):
+    """The reference's window and slide."""
+    return low_fuel_windows(_signals(spark, sf_dir), threshold=20.0)
+
+
+def q_fuel_summary_short(spark, sf_dir):
+    return fuel_summary(_signals(spark, sf_dir))
+
+
+def q_alert_payload(spark, sf_dir):
+    out = low_fuel_alerts(low_fuel_windows(_signals(spark, sf_dir), "6 hours", "2 hours", 20.0))
+    body = F.from_json("payload", "msgType string, vin string, msgPara array<struct<type: string, value: double>>")
+    return out.select("window_start", body.alias("b")).select(
+        "window_start", F.col("b.msgType").alias("msg_type"), F.col("b.vin").alias("vin"),
+        F.col("b.msgPara")[0]["type"].alias("para_type"), F.col("b.msgPara")[0]["value"].alias("para_value"))
 
 
 def q_json_lines(spark, sf_dir):
@@ -294,8 +452,30 @@ QUERIES: dict[str, Query] = {
     "read_range": q_read_range,
     "write_by_date_roundtrip": q_write_by_date,
     "etl_clean_zone": q_etl_clean,
-    "kpi_sink_roundtrip": q_kpi_sink,
+    "kpi_sink_roundtrip": _sink("day", q_daily_kpis),
+    "km_sink_roundtrip": _sink("km", q_km_kpis),
+    "fill_sink_roundtrip": _sink("fill", _per_fill(fills.fill_kpis)),
+    "attr_sink_roundtrip": _sink("attr", q_lifetime),
     "json_lines": q_json_lines,
+    "read_json_signals": q_read_json,
+    "etl_corrupt_rows": q_etl_corrupt,
+    "read_range_default_keys": q_read_range_default,
+    "signals_range": q_signals_range,
+    "daily_kpis_range": q_daily_range,
+    "aircon_fuel_day_off": _aircon("off"),
+    "aircon_fuel_day_all": _aircon("all"),
+    "total_fuel_km_open": q_total_km_open,
+    "km_job_rerun": q_km_job,
+    "fill_job_rerun": q_fill_job,
+    "economy_ranking_null_grade": q_ranking_null_grade,
+    "refuel_events_nulls": q_refuel_nulls,
+    "refuel_events_stream": q_refuel_stream,
+    "low_fuel_windows_stream": q_low_fuel_stream,
+    "fuel_summary_stream": q_fuel_summary_stream,
+    "detector_refuel_alerts": q_run_detectors,
+    "low_fuel_windows_short": q_low_fuel_short,
+    "fuel_summary_short": q_fuel_summary_short,
+    "low_fuel_alert_payload": q_alert_payload,
 }
 
 

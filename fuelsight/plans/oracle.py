@@ -150,7 +150,7 @@ kk AS (
   UNION ALL {AIRCON_KM})"""
 
 
-def _other(src: str, key: str, codes: list[str], out: str) -> str:
+def _other(src: str, key: str, codes: list[str], out: str, scale: int = 1) -> str:
     a, b, c, d = codes
     return f"""piv AS (
   SELECT vin, {key},
@@ -159,13 +159,13 @@ def _other(src: str, key: str, codes: list[str], out: str) -> str:
     sum(CASE WHEN data_key = '{c}' THEN data_value END) AS c,
     sum(CASE WHEN data_key = '{d}' THEN data_value END) AS d
   FROM {src} WHERE data_key IN ('{a}', '{b}', '{c}', '{d}') GROUP BY vin, {key})
-SELECT vin, {key}, '{out}' AS data_key, a - b - c - d AS data_value FROM piv
+SELECT vin, {key}, '{out}' AS data_key, a / {scale} - b - c - d AS data_value FROM piv
 WHERE a IS NOT NULL AND b IS NOT NULL AND c IS NOT NULL AND d IS NOT NULL"""
 
 
-def _window_sql(width_h: int, slide_h: int) -> str:
-    n = width_h // slide_h
-    slide_us = slide_h * 3600 * 1_000_000
+def _window_sql(width: int, slide: int, unit_s: int = 3600) -> str:
+    n = width // slide
+    slide_us = slide * unit_s * 1_000_000
     return f"""lv AS (SELECT vin, ts, value FROM signals WHERE stype = 'fuelLevel'),
 lw AS (
   SELECT vin, value,
@@ -180,7 +180,7 @@ ENVELOPE_ROWS = """ex AS (
   FROM signals s JOIN ev e ON s.vin = e.vin AND s.ts = e.ts)"""
 
 
-def _refuel(steps: bool) -> str:
+def _refuel(steps: bool, source: str = "FROM signals s") -> str:
     """Recursive walk over each vehicle's ordered tank levels (the T8 rule)."""
     if steps:
         src = """lvs AS (
@@ -190,8 +190,8 @@ lvn AS (SELECT *, row_number() OVER (PARTITION BY vin ORDER BY ts) AS rn,
                count(*) OVER (PARTITION BY vin) AS cnt FROM lvs),
 lv AS (SELECT vin, ts, value, rn FROM lvn WHERE rn < cnt)"""
     else:
-        src = """lv AS (SELECT vin, ts, value, row_number() OVER (PARTITION BY vin ORDER BY ts) AS rn
-       FROM signals WHERE stype = 'fuelLevel')"""
+        src = f"""lv AS (SELECT vin, ts, value, row_number() OVER (PARTITION BY vin ORDER BY ts) AS rn
+       {source} WHERE stype = 'fuelLevel')"""
     return src + """,
 st(vin, rn, n, f, f_t, l3, l2, l, l_t, ev) AS (
   SELECT vin, rn, 1, value, ts, cast(NULL AS double), cast(NULL AS double), value, ts, false FROM lv WHERE rn = 1
@@ -239,7 +239,7 @@ FROM sec_asof WHERE speed > 0 AND rpm > 0 GROUP BY vin, km""",
     "daily_kpis": f"{KPI_DAY_CTE}\nSELECT * FROM kd",
     "km_kpis": f"{KPI_KM_CTE}\nSELECT * FROM kk",
     "other_fuel_day": f"{KPI_DAY_CTE},\n" + _other("kd", "now_date", ["D001", "D002", "D003", "D004"], "D005"),
-    "other_fuel_km": f"{KPI_KM_CTE},\n" + _other("kk", "mileage", ["KM001", "KM002", "KM003", "KM004"], "KM005"),
+    "other_fuel_km": f"{KPI_KM_CTE},\n" + _other("kk", "mileage", ["KM001", "KM002", "KM003", "KM004"], "KM005", 100),
     "lifetime_totals": f"""{KPI_DAY_CTE}
 SELECT vin, CASE data_key WHEN 'D006' THEN 'C001' WHEN 'D001' THEN 'C002' WHEN 'D003' THEN 'C003'
                           WHEN 'D002' THEN 'C004' WHEN 'D004' THEN 'C005' END AS attribute_type,
@@ -261,7 +261,7 @@ FROM km_checkpoint WHERE stype = 'InsFuelInjection' GROUP BY vin, stype""",
     "cost_per_km": f"{COST_CTE}\nSELECT * FROM cost",
     "economy_ranking": f"""{COST_CTE}
 SELECT vin, gas_id, fill_grade, fill_date, data_value AS cost_per_km,
-       cast(rank() OVER (PARTITION BY fill_grade ORDER BY data_value) AS int) AS rank
+       rank() OVER (PARTITION BY fill_grade ORDER BY data_value) AS rank
 FROM cost WHERE data_value IS NOT NULL""",
     "average_speed": _rows(["drivingMileage", "rotationlSpeed"]) + f""",
 sagg AS (
@@ -327,7 +327,84 @@ FROM t""",
 }
 
 
-RECURSIVE = {"refuel_events", "refuel_events_steps"}
+
+
+def _ranged(body: str, start: str, end: str) -> str:
+    """``body`` over the signals of a range."""
+    cte = f"rsig AS (SELECT * FROM signals WHERE ts >= timestamp '{start}' AND ts < timestamp '{end}'),\n"
+    return cte + body.replace("FROM signals", "FROM rsig")
+
+
+def _aircon_state(cond: str) -> str:
+    return (f"{SEC_DAY}\nSELECT vin, day AS now_date, 'D004' AS data_key, cast(sum(fuel) AS double) AS data_value "
+            f"FROM sec WHERE {cond} GROUP BY vin, day")
+
+
+def _km_resumed() -> str:
+    """KM001-KM005 of the buckets completed after the checkpoint, all by the as-of bucket."""
+    types = ", ".join(f"'{t}'" for t in KM_TYPES)
+    codes = [("KM002", "speed = 0 AND rpm > 0"), ("KM003", "speed > 0 AND rpm > 0"), ("KM004", "aircon_on_votes > 0")]
+    parts = "".join(f"\n  UNION ALL SELECT vin, km, '{c}', cast(sum(fuel) AS double) FROM sec_asof WHERE {w} GROUP BY vin, km" for c, w in codes)
+    sec = _sec(KM_TYPES, True).replace("FROM signals", "FROM kin")
+    last = "(PARTITION BY vin ORDER BY {} RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    return f"""{RESTART},
+kin AS (SELECT s.* FROM signals s JOIN restart r ON s.vin = r.vin WHERE s.ts >= r.restart_ts AND s.stype IN ({types})),
+{sec},
+sec_asof AS (
+  SELECT *, coalesce(max(odo) OVER {last.format('sec')}, 0) AS kmx FROM (SELECT *, CASE WHEN has_odo THEN km END AS odo FROM sec)),
+tagged AS (
+  SELECT vin, stype, value, cast(floor(max(CASE WHEN stype = 'drivingMileage' THEN value END) OVER {last.format('ts')} / 100) * 100 AS int) AS km FROM kin),
+newest AS (SELECT vin, cast(floor(max(value) / 100) * 100 AS int) AS newest_km FROM kin WHERE stype = 'drivingMileage' GROUP BY vin),
+raw_facts AS (
+  SELECT vin, km AS mileage, 'KM001' AS data_key, sum(value * 100) AS data_value FROM tagged
+  WHERE stype = 'InsFuelInjection' AND km IS NOT NULL GROUP BY vin, km{parts.replace('km,', 'kmx,').replace('vin, km ', 'vin, kmx ').replace('BY vin, km', 'BY vin, kmx')}),
+kr AS (SELECT f.* FROM raw_facts f JOIN newest n ON f.vin = n.vin LEFT JOIN done d ON f.vin = d.vin
+       WHERE f.mileage < n.newest_km AND f.mileage >= coalesce(d.per100, 0) * 100)"""
+
+
+SQL |= {
+    "km_sink_roundtrip": SQL["km_kpis"],
+    "fill_sink_roundtrip": SQL["fill_kpis"],
+    "attr_sink_roundtrip": SQL["lifetime_totals"],
+    "read_json_signals": "SELECT vin, ts, stype, value FROM signals",
+    "etl_corrupt_rows": """d AS (
+  SELECT CASE WHEN event_id % 17 <> 0 THEN concat('VIN', lpad(cast(user_id AS varchar), 5, '0')) END AS vin,
+    CASE WHEN event_id % 7 = 0 THEN 'payload' WHEN event_id % 17 = 0 THEN 'vin' WHEN event_id % 5 = 0 THEN 'send_time'
+         WHEN event_id % 11 = 0 THEN 'time' WHEN event_id % 13 = 0 THEN 'value' ELSE 'clean' END AS reason
+  FROM events)
+SELECT vin, reason, count(*) AS n FROM d GROUP BY vin, reason""",
+    "read_range_default_keys": """SELECT vin, ts, max(event_id) AS version, arg_max(value, event_id) AS value
+FROM (SELECT concat('VIN', lpad(cast(user_id AS varchar), 5, '0')) AS vin, date_trunc('day', ts)::timestamp AS ts, event_id, value FROM events) t
+WHERE ts >= timestamp '2024-01-05' AND ts < timestamp '2024-01-25' GROUP BY vin, ts""",
+    "signals_range": "SELECT vin, ts, stype, value FROM signals WHERE ts >= timestamp '2024-01-05' AND ts < timestamp '2024-01-15'",
+    "daily_kpis_range": _ranged(f"{KPI_DAY_CTE}\nSELECT * FROM kd", "2024-01-05", "2024-01-15"),
+    "aircon_fuel_day_off": _aircon_state("aircon_on_votes = 0"),
+    "aircon_fuel_day_all": _aircon_state("true"),
+    "total_fuel_km_open": f"{_km_total(False)}\nSELECT vin, km AS mileage, 'KM001' AS data_key, v AS data_value FROM kagg",
+    "km_job_rerun": f"{_km_resumed()},\n" + _other("kr", "mileage", ["KM001", "KM002", "KM003", "KM004"], "KM005", 100)
+    + "\nUNION ALL SELECT vin, mileage, data_key, data_value FROM kr",
+    "fill_job_rerun": SQL["fill_kpis"],
+    "economy_ranking_null_grade": f"""{COST_CTE},
+ng AS (SELECT * REPLACE (CASE WHEN gas_id % 4 <> 0 THEN fill_grade END AS fill_grade) FROM cost)
+SELECT vin, gas_id, fill_grade, fill_date, data_value AS cost_per_km, rank() OVER (PARTITION BY fill_grade ORDER BY data_value) AS rank
+FROM ng WHERE data_value IS NOT NULL""",
+    "refuel_events_nulls": SQL["refuel_events"],
+    "refuel_events_stream": SQL["refuel_events"],
+    "low_fuel_windows_stream": SQL["low_fuel_windows"],
+    "fuel_summary_stream": SQL["fuel_summary"],
+    "detector_refuel_alerts": _refuel(False, "FROM signals s SEMI JOIN (SELECT vin, ts FROM ev WHERE et <> 'click') k ON s.vin = k.vin AND s.ts = k.ts")
+    .replace(", cast(0 AS double) AS gps_latitude, cast(0 AS double) AS gps_longitude", "")
+    .replace(",\n       cast(0 AS double) AS gps_latitude, cast(0 AS double) AS gps_longitude", ""),
+    "low_fuel_windows_short": _window_sql(30, 10, 1) + """
+SELECT vin, window_start, window_start + INTERVAL 30 SECOND AS window_end, avg(value) AS avg_level
+FROM lw GROUP BY vin, window_start HAVING avg(value) < 20""",
+    "fuel_summary_short": SQL["fuel_summary"].replace("date_trunc('day', ts)", "time_bucket(INTERVAL 5 SECOND, ts)").replace("INTERVAL 1 DAY", "INTERVAL 5 SECOND"),
+    "low_fuel_alert_payload": _window_sql(6, 2) + """
+SELECT window_start, 'lowFuel' AS msg_type, vin, 'currentFuel' AS para_type, avg(value) AS para_value
+FROM lw GROUP BY vin, window_start HAVING avg(value) < 20""",
+}
+
+RECURSIVE = {"refuel_events", "refuel_events_steps", "refuel_events_nulls", "refuel_events_stream", "detector_refuel_alerts"}
 
 
 def oracle_sql() -> dict[str, str]:

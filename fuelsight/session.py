@@ -28,30 +28,26 @@ def local_session(cores: int | str = "*", partitions: int = 8, app: str = "fuels
     )
 
 
-_FALLBACK: dict[str, str] = {}
-
-
 def shared_dir(spark: SparkSession) -> str:
-    """Folder shared by all executors, taken from ``spark.checkpoint.dir``.
+    """Folder shared by all executors: the context's checkpoint folder.
 
-    On a cluster the operator names it; only where it is unset (tests, local
-    runs) a fresh scratch folder is chosen once per application and made the
-    context's checkpoint directory.
+    Spark takes it from ``spark.checkpoint.dir``, or the application names it
+    with ``setCheckpointDir``; staged tables and ``checkpoint()`` then share one
+    place.  Only on a local master (tests) is a fresh scratch folder chosen
+    where neither is given; elsewhere that would be a different disk for each
+    executor, so it is an error.
     """
+    sc = spark.sparkContext
+    own = sc._jsc.sc().getCheckpointDir()
+    if not own.isEmpty():
+        return own.get()
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
-        app = spark.sparkContext.applicationId
-        path = _FALLBACK.get(app)
-        if path is None:
-            path = _FALLBACK[app] = tempfile.mkdtemp(prefix="fuelsight-ckpt-")
-            try:
-                spark.conf.set("spark.checkpoint.dir", path)
-            except Exception:  # noqa: BLE001 - core conf may be read-only at runtime
-                pass
-    jsc = spark.sparkContext._jsc
-    if jsc.sc().getCheckpointDir().isEmpty():
-        spark.sparkContext.setCheckpointDir(path)
-    return path
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("no shared folder: set spark.checkpoint.dir (or call setCheckpointDir)")
+        path = tempfile.mkdtemp(prefix="fuelsight-ckpt-")
+    sc.setCheckpointDir(path)
+    return sc._jsc.sc().getCheckpointDir().get()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -66,6 +62,23 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a staged table that is no longer needed."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def stream_conf(executors: int = 1000, cores_per_executor: int = 4) -> dict[str, str]:
+    """Like :func:`cluster_conf` for the streaming detectors.
+
+    Every shuffle partition of a stateful query is a state store that each
+    micro-batch opens and commits, so there are a fraction of a store per core,
+    not three partitions.
+    """
+    return {**cluster_conf(executors, cores_per_executor),
+            "spark.sql.shuffle.partitions": str(max(8, executors * cores_per_executor // 8))}
+
+
 def cluster_conf(executors: int = 1000, cores_per_executor: int = 4) -> dict[str, str]:
     """Settings we recommend for the 100 TB runs (pass to ``SparkSession.builder.config``).
 

@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .. import schemas as S
 from ..functions.predicates import range_predicate
 from ..functions.timefmt import parse_ts
 
@@ -13,15 +12,31 @@ from ..functions.timefmt import parse_ts
 def read_signals(spark: SparkSession, path: str, fmt: str = "parquet", **options) -> DataFrame:
     """Scan a signal table with an explicit schema (no inference pass).
 
-    JSON lines may spell ``ts`` either way; it is parsed once with
-    :func:`parse_ts`.  Rows that do not parse keep a null ``ts`` and can be
-    routed to a side output by the caller.
+    Text formats may spell time and keys either way (``VIN``/``vin``,
+    ``timestamp``/``ts``) and quote numbers; each field is parsed once.  Rows that do not
+    parse keep nulls: :func:`split_corrupt` parts them from the others.
+    ``year``, ``month`` and ``day`` folders, where the path has them, stay columns, so
+    ``in_range(partitioned=True)`` prunes.
     """
+    parts = "" if not date_partitioned(spark, path) else ", year int, month int, day int"
     if fmt == "parquet":
-        return spark.read.options(**options).parquet(path)
-    raw = spark.read.options(**options).schema(
-        "vin string, ts string, stype string, value double").format(fmt).load(path)
-    return raw.select("vin", parse_ts(F.col("ts")).alias("ts"), "stype", "value")
+        return spark.read.options(**options).schema("vin string, ts timestamp_ntz, stype string, value double" + parts).parquet(path)
+    keys = [c.strip().split()[0] for c in parts.split(",") if c.strip()]
+    if fmt == "json":
+        # a JSON line is read as text first: key spellings differ in case only, which a column name cannot
+        raw = spark.read.options(**options).schema("value string" + parts).text(path)
+        return parse_signals(raw, "value", keys)
+    raw = spark.read.options(**options).schema("vin string, ts string, stype string, value string" + parts).format(fmt).load(path)
+    return raw.select("vin", parse_ts(F.col("ts")).alias("ts"), "stype", F.col("value").try_cast("double").alias("value"), *keys)
+
+
+def date_partitioned(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` has ``year=`` folders (a listing of one level)."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p) or not fs.getFileStatus(p).isDirectory():
+        return False
+    return any(s.getPath().getName().startswith("year=") for s in fs.listStatus(p))
 
 
 def split_corrupt(signals: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -36,7 +51,7 @@ def split_corrupt(signals: DataFrame) -> tuple[DataFrame, DataFrame]:
     return signals.where(ok), signals.where(~ok | ok.isNull())
 
 
-def parse_signals(df: DataFrame, col: str = "value") -> DataFrame:
+def parse_signals(df: DataFrame, col: str = "value", keep: list[str] | tuple[str, ...] = ()) -> DataFrame:
     """JSON signal strings -> typed columns (``from_json``, one pass).
 
     Accepts both ``VIN``/``vin`` and ``timestamp``/``ts`` key spellings.
@@ -47,6 +62,7 @@ def parse_signals(df: DataFrame, col: str = "value") -> DataFrame:
         parse_ts(F.coalesce(m["ts"], m["timestamp"])).alias("ts"),
         m["stype"].alias("stype"),
         m["value"].try_cast("double").alias("value"),
+        *keep,
     )
 
 
@@ -67,6 +83,8 @@ def read_table(spark: SparkSession, name: str, url: str | None = None, fmt: str
         reader = reader.option("query", query)
     else:
         reader = reader.option("dbtable", name)
+    if partition_column is None and query is None:
+        raise ValueError("name a partition_column with bounds: without one the whole table comes through one task")
     if partition_column is not None:
         reader = (reader.option("partitionColumn", partition_column)
                   .option("lowerBound", str(lower_bound)).option("upperBound", str(upper_bound))
@@ -74,15 +92,17 @@ def read_table(spark: SparkSession, name: str, url: str | None = None, fmt: str
     return reader.load()
 
 
-def read_range(df: DataFrame, start=None, end=None, keys: tuple[str, ...] = ("vin",),
+def read_range(df: DataFrame, start=None, end=None, keys: tuple[str, ...] | None = None,
                date_col: str = "ts", version_col: str = "version", latest: bool = True) -> DataFrame:
     """Rows of a versioned key-range table with ``start <= date < end``.
 
     The date bound is a real filter on the range column (D28), so on a
     partitioned source it prunes files.  With ``latest`` only the newest
-    version of each key survives: ``max_by`` over a struct of the other
-    columns, a grouped aggregate with a partial step (no window, no sort).
+    version of each key (``vin`` and the date, unless named) survives: ``max_by`` over a struct of the other
+    columns, so a row stays whole; a grouped aggregate with a partial step.
+    The struct makes it a sort-based aggregate.
     """
+    keys = keys or ("vin", date_col)
     rows = df.where(range_predicate(start, end, date_col))
     if not latest:
         return rows
@@ -128,8 +148,3 @@ def register_views(spark: SparkSession, tables: dict[str, DataFrame]) -> list[st
     for name, df in tables.items():
         df.createOrReplaceTempView(name)
     return list(tables)
-
-
-def envelope_column(c: Column) -> Column:
-    """M1: parse an envelope JSON string."""
-    return F.from_json(c, S.ENVELOPE)

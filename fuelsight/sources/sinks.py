@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.timefmt import add_date_parts
-from ..operators.etl import drop_future_readings, explode_envelopes
+from ..operators.etl import drop_future_readings, split_envelopes
 
 # Timestamps written to JSON keep all six fraction digits (the default
 # writer would cut them to milliseconds).
@@ -39,13 +39,28 @@ def write_by_date(df: DataFrame, path: str, ts_col: str = "ts", fmt: str = "parq
     writer.format(fmt).save(path)
 
 
-def etl_job(envelopes: DataFrame, raw_path: str, clean_path: str, fmt: str = "parquet") -> None:
-    """Raw zone (envelopes by send date) + cleaned zone (readings by reading date)."""
+def etl_job(envelopes: DataFrame, raw_path: str, clean_path: str, corrupt_path: str, fmt: str = "parquet",
+            load: str | None = None) -> None:
+    """Raw zone (envelopes by send date) + cleaned zone (readings by reading date).
+
+    What cannot be read goes to ``corrupt_path`` with its reason (:func:`split_envelopes`), so
+    the readings in equal those in the cleaned zone, the future ones (E2) and the
+    corrupt ones.  ``load`` names this run's input (an upload batch, a day): its rows go
+    under ``load=<name>`` in all three zones, and running it again replaces just
+    them.  Without a name each run appends.
+    """
     from ..functions.timefmt import parse_ts
+    good, bad = split_envelopes(envelopes)
     raw = envelopes.withColumn("send_ts", parse_ts(F.col("TS")))
-    write_by_date(raw, raw_path, "send_ts", fmt)
-    clean = drop_future_readings(explode_envelopes(envelopes)).drop("send_ts")
-    write_by_date(clean, clean_path, "ts", fmt)
+    clean = drop_future_readings(good).drop("send_ts")
+    if load is None:
+        write_by_date(raw, raw_path, "send_ts", fmt)
+        write_by_date(clean, clean_path, "ts", fmt)
+        bad.write.mode("append").format(fmt).save(corrupt_path)
+        return
+    write_by_date(raw, f"{raw_path}/load={load}", "send_ts", fmt, mode="overwrite")
+    write_by_date(clean, f"{clean_path}/load={load}", "ts", fmt, mode="overwrite")
+    bad.write.mode("overwrite").format(fmt).save(f"{corrupt_path}/load={load}")
 
 
 # --- fixed values: names of the KPI tables the reporting side reads ---
@@ -55,18 +70,20 @@ KPI_TABLES = {
     "fill": "t_fuel_fill_attr",
     "attr": "t_car_attr_current",
 }
+# --- fixed value: the reference writer's pool size ---
+JDBC_CONNECTIONS = 3
 
 
 def write_kpi(df: DataFrame, kind: str, target: str | None = None, fmt: str = "parquet",
               mode: str = "append", url: str | None = None, batch_size: int = 1000,
-              isolation_level: str = "READ_COMMITTED", num_connections: int | None = None,
+              isolation_level: str = "READ_COMMITTED", num_connections: int = JDBC_CONNECTIONS,
               partition_by: tuple[str, ...] = (), **options) -> None:
     """Write a KPI fact table.
 
     ``fmt='jdbc'`` uses Spark's JDBC writer: each partition opens one
     connection and inserts in batches of ``batch_size`` inside one
-    transaction (S14); ``num_connections`` caps parallel writers by
-    coalescing; ``mode='truncate'`` empties the table and keeps its schema
+    transaction (S14); ``num_connections`` caps parallel JDBC writers by
+    coalescing (facts are few: one row per vehicle and day or bucket); ``mode='truncate'`` empties the table and keeps its schema
     (S15).  Other formats write files to ``target``; with ``partition_by``
     and ``mode='replace'`` only the partitions present in ``df`` are
     rewritten (dynamic overwrite), which makes a rerun of the same day
@@ -75,9 +92,8 @@ def write_kpi(df: DataFrame, kind: str, target: str | None = None, fmt: str = "p
     target = target or KPI_TABLES[kind]
     truncate = mode == "truncate"
     mode = "overwrite" if truncate else mode
-    if num_connections:
-        df = df.coalesce(num_connections)
     if fmt == "jdbc":
+        df = df.coalesce(num_connections)
         (df.write.format("jdbc").mode(mode)
          .option("url", url).option("dbtable", target)
          .option("batchsize", str(batch_size)).option("isolationLevel", isolation_level)

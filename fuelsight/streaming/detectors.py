@@ -13,7 +13,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from .. import schemas as S
 from ..operators.etl import drop_future_readings, explode_envelopes
-from .refuel import refuel_events_stream, refuel_payload
+from ..sources.sinks import write_alerts
+from .refuel import refuel_events_stream, refuel_payload, unusable_levels
 
 # --- fixed values: the reference detector's window, slide and threshold ---
 LOW_FUEL_WINDOW = "30 seconds"
@@ -80,33 +81,57 @@ def fuel_summary(signals: DataFrame, step: str = MICRO_BATCH, watermark: str | N
 
 def stream_signals(raw: DataFrame) -> DataFrame:
     """T5: envelope stream -> readings (E1) -> drop readings newer than their upload."""
-    return drop_future_readings(explode_envelopes(raw)).drop("send_ts")
+    return drop_future_readings(explode_envelopes(raw))
 
 
-def run_detectors(signals_stream: DataFrame, out_dir: str, checkpoint_dir: str,
+def late_readings(signals: DataFrame, delay: str) -> DataFrame:
+    """Tank levels uploaded more than ``delay`` after they were read.
+
+    A window is closed once the stream has seen readings that are ``delay`` newer, so these are
+    the readings that a closed window may miss; the upload's send time tells.
+    """
+    late = F.col("send_ts") - F.expr(f"INTERVAL {delay}") > F.col("ts")
+    return signals.where((F.col("stype") == S.FUEL_LEVEL) & late)
+
+
+def run_detectors(signals_stream: DataFrame, out_dir: str, checkpoint_dir: str, watermark: str,
                   trigger: dict | None = None, low_fuel: dict | None = None,
                   refuel_step: str | None = MICRO_BATCH) -> list[StreamingQuery]:
-    """Two queries over one readings stream, each writing its
-    alerts per micro-batch (``foreachBatch``) to its own table folder.
+    """Queries over one readings stream, each writing its
+    rows per micro-batch (``foreachBatch``) to its own table folder: ``low_fuel``, ``refuel``,
+    ``late`` (if the stream has send times) and ``unusable`` levels.
+
+    ``watermark`` is how long the low-fuel windows wait for late readings.  It
+    follows the newest reading of the whole fleet, so it has to cover the latest usual
+    upload; what comes later than that still is in ``late`` (:func:`late_readings`).
 
     ``trigger`` defaults to the reference's 5-second micro-batch; tests pass
     ``{'availableNow': True}``.  Offsets and state live under
     ``checkpoint_dir`` (a shared folder), so a restarted query resumes.
     """
     trigger = trigger or {"processingTime": MICRO_BATCH}
-    low_fuel = {"watermark": "1 minute", **(low_fuel or {})}
+    low_fuel = {**(low_fuel or {}), "watermark": watermark}
 
     def sink(name: str):
         # one folder per epoch, overwritten: a micro-batch replayed after a
         # failure replaces its own output instead of appending it twice
         def write(batch: DataFrame, epoch_id: int) -> None:
-            batch.write.mode("overwrite").parquet(f"{out_dir}/{name}/epoch={epoch_id}")
+            batch.persist()
+            if not batch.isEmpty():  # no folder for an epoch without rows
+                write_alerts(batch, f"{out_dir}/{name}/epoch={epoch_id}", mode="overwrite")
+            batch.unpersist()
         return write
 
-    lf = low_fuel_alerts(low_fuel_windows(signals_stream, **low_fuel))
-    q1 = (lf.writeStream.outputMode("append").foreachBatch(sink("low_fuel"))
-          .option("checkpointLocation", f"{checkpoint_dir}/low_fuel").trigger(**trigger).start())
-    rf = refuel_payload(refuel_events_stream(signals_stream, refuel_step))
-    q2 = (rf.writeStream.outputMode("append").foreachBatch(sink("refuel"))
-          .option("checkpointLocation", f"{checkpoint_dir}/refuel").trigger(**trigger).start())
-    return [q1, q2]
+    def start(df: DataFrame, name: str) -> StreamingQuery:
+        return (df.writeStream.outputMode("append").foreachBatch(sink(name))
+                .option("checkpointLocation", f"{checkpoint_dir}/{name}").trigger(**trigger).start())
+
+    readings = signals_stream.drop("send_ts")
+    queries = [
+        start(low_fuel_alerts(low_fuel_windows(readings, **low_fuel)), "low_fuel"),
+        start(refuel_payload(refuel_events_stream(readings, refuel_step)), "refuel"),
+        start(unusable_levels(readings), "unusable"),
+    ]
+    if "send_ts" in signals_stream.columns:
+        queries.append(start(late_readings(signals_stream, watermark), "late"))
+    return queries

@@ -30,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas as S
@@ -121,11 +121,21 @@ def _events_frame(vin: str, events: list) -> pd.DataFrame:
     })
 
 
+def usable_level() -> Column:
+    """A tank level that the machine can compare: a vehicle, a time and a number."""
+    return F.col("vin").isNotNull() & F.col("ts").isNotNull() & F.col("value").isNotNull() & ~F.isnan("value")
+
+
+def unusable_levels(signals: DataFrame) -> DataFrame:
+    """Side output: the tank-level readings that the detector leaves out."""
+    return signals.where((F.col("stype") == S.FUEL_LEVEL) & ~usable_level())
+
+
 def level_samples(df: DataFrame, step: str | None) -> DataFrame:
     """Tank-level readings as (vin, t_us, level); with ``step`` already reduced
     on Spark to the last reading of each (vehicle, step) — a grouped aggregate
     with a partial step, so the Python side sees at most one row per step."""
-    lv = df.where(F.col("stype") == S.FUEL_LEVEL).select(
+    lv = df.where((F.col("stype") == S.FUEL_LEVEL) & usable_level()).select(
         "vin", epoch_micros("ts").alias("t_us"),
         F.col("value").alias("level"))
     us = _step_us(step)
@@ -181,7 +191,7 @@ def refuel_events(signals: DataFrame, step: str | None = "5 seconds") -> DataFra
 def refuel_events_stream(signals_stream: DataFrame, step: str | None = "5 seconds") -> DataFrame:
     """T8 streaming form: same machine, state kept per vehicle between micro-batches."""
     us = _step_us(step)
-    lv = signals_stream.where(F.col("stype") == S.FUEL_LEVEL).select(
+    lv = signals_stream.where((F.col("stype") == S.FUEL_LEVEL) & usable_level()).select(
         "vin", epoch_micros("ts").alias("t_us"),
         F.col("value").alias("level"))
 

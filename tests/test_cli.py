@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
@@ -16,14 +18,14 @@ def test_cli_jobs_chain(spark):
     fx = FX.load(spark, SF_SMALL)
     root = tempfile.mkdtemp(prefix="cli-")
     p = {n: os.path.join(root, n) for n in ("signals", "fills", "marks", "ckpt", "rate", "day", "km", "ckpt2",
-                                            "fill", "marks2", "rank", "attr", "env", "raw", "clean")}
+                                            "fill", "marks2", "rank", "attr", "env", "raw", "clean", "bad")}
     fx["signals"].write.parquet(p["signals"])
     fx["fills"].write.parquet(p["fills"])
     fx["processed_fills"].write.parquet(p["marks"])
     fx["km_checkpoint"].write.parquet(p["ckpt"])
     FX.derive(spark, SF_SMALL)["envelopes"].write.parquet(p["env"])
 
-    assert main(["etl", "--envelopes", p["env"], "--raw", p["raw"], "--clean", p["clean"]]) == 0
+    assert main(["etl", "--envelopes", p["env"], "--raw", p["raw"], "--clean", p["clean"], "--corrupt", p["bad"]]) == 0
     assert main(["aircon-rate", "--signals", p["signals"], "--out", p["rate"]]) == 0
     assert main(["daily", "--signals", p["signals"], "--out", p["day"], "--start", "2024-01-01",
                  "--end", "2024-02-01", "--rate", p["rate"]]) == 0
@@ -46,5 +48,18 @@ def test_cli_stream_on_files(spark):
     FX.derive(spark, SF_SMALL)["envelopes"].repartition(2).write.parquet(env)
     out, ckpt = os.path.join(root, "alerts"), os.path.join(root, "ckpt")
     assert main(["stream", "--source-format", "parquet", "--source", env, "--out", out,
-                 "--checkpoint-dir", ckpt, "--available-now"]) == 0
+                 "--checkpoint-dir", ckpt, "--available-now", "--watermark", "1 day"]) == 0
     assert spark.read.parquet(os.path.join(out, "refuel")).count() > 0
+
+
+def test_cli_json_signals_and_half_a_range(spark):
+    root = tempfile.mkdtemp(prefix="cli-json-")
+    sig = os.path.join(root, "signals")
+    ts = F.date_format("ts", "yyyyMMddHHmmssSSS")
+    line = F.to_json(F.struct(F.col("vin").alias("VIN"), ts.alias("timestamp"), "stype", F.col("value").cast("string").alias("value")))
+    FX.load(spark, SF_SMALL)["signals"].select(line.alias("value")).write.text(sig)
+    out = os.path.join(root, "day")
+    assert main(["--format", "json", "daily", "--signals", sig, "--out", out, "--start", "2024-01-01", "--end", "2024-02-01", "--rate", "0.1"]) == 0
+    assert spark.read.parquet(out).where(F.col("data_key") == "D001").count() > 0
+    with pytest.raises(SystemExit):
+        main(["daily", "--signals", sig, "--out", out, "--start", "2024-01-01"])

@@ -87,12 +87,29 @@ def test_write_by_date_roundtrip_and_partition_pruning(spark):
 def test_etl_job_writes_two_zones(spark):
     env = FX.derive(spark, SF_SMALL)["envelopes"]
     raw, clean = tempfile.mkdtemp(prefix="raw-"), tempfile.mkdtemp(prefix="clean-")
-    etl_job(env, raw, clean)
+    etl_job(env, raw, clean, tempfile.mkdtemp(prefix="bad-"))
     assert spark.read.parquet(raw).count() == env.count()
     expected = drop_future_readings(explode_envelopes(env)).count()
     assert spark.read.parquet(clean).count() == expected
 
 
+def test_etl_keeps_what_it_cannot_read(spark):
+    good = '[{"ts": "2024-01-01 00:00:00.123456789Z", "stype": "fuelLevel", "value": "3.5"}]'
+    rows = [("V1", "20240101000001000", good), ("V1", "garbage", good), ("V1", "20240101000001000", "[{"), ("V1", "20240101000001000", None),
+            (None, "20240101000001000", good), ("V1", "20240101000001000", good.replace("3.5", "x")),
+            ("V1", "20240101000001000", good.replace("2024-01-01", "noon"))]
+    env = spark.createDataFrame(rows, S.ENVELOPE)
+    raw, clean, bad = (tempfile.mkdtemp(prefix=f"{n}-") + "/t" for n in ("raw", "clean", "bad"))
+    for _ in range(2):  # the same load again replaces its rows
+        etl_job(env, raw, clean, bad, load="a")
+    read = spark.read.parquet(clean).collect()
+    assert [(r.vin, r.ts, r.value) for r in read] == [("V1", T("2024-01-01 00:00:00.123456"), 3.5)]
+    reasons = sorted(r.reason for r in spark.read.parquet(bad).collect())
+    assert reasons == ["payload", "payload", "send_time", "time", "value", "vin"]
+    etl_job(env, raw, clean, bad, load="b")
+    assert spark.read.parquet(clean).count() == 2
+
+
 def test_write_kpi_append_and_truncate(spark):
     kd = kpi.daily_kpis(FX.load(spark, SF_SMALL)["signals"])
     path = tempfile.mkdtemp(prefix="kpi-") + "/day"
@@ -117,6 +134,9 @@ def test_read_range_keeps_newest_version(spark):
     got = sorted((r.vin, r.data) for r in read_range(df, "2024-01-05", "2024-01-07", ("vin", "ts")).collect())
     assert got == [("V1", "new"), ("V2", "only")]
     assert read_range(df, "2024-01-05", "2024-01-07", latest=False).count() == 3
+    # the default key is (vin, date): one row per vehicle and date, not one per vehicle
+    more = df.unionByName(df.withColumn("ts", F.col("ts") + F.expr("INTERVAL 1 DAY")))
+    assert read_range(more, "2024-01-04", "2024-01-09").count() == 5
 
 
 def test_split_corrupt_rows(spark):

@@ -105,6 +105,13 @@ def test_distributed_rank_equals_window_rank(spark):
         sorted(map(tuple, plain.select("id", "r").collect()))
 
 
+def test_rank_keeps_rows_without_a_group(spark):
+    df = spark.createDataFrame([(1, None, 2.0), (2, None, 1.0), (3, "92", 5.0), (4, "92", 5.0), (5, "92", 6.0)], "id long, g string, x double")
+    got = rank_within(df, "g", "x", "r", num_slices=3)
+    assert dict(got.dtypes)["r"] == "bigint"
+    assert sorted((r.id, r.r) for r in got.collect()) == [(1, 2), (2, 1), (3, 1), (4, 1), (5, 3)]
+
+
 def test_chunked_lead_equals_plain_lead(spark):
     from fuelsight.operators.asof import next_time
     import datetime as dt

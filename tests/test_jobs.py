@@ -32,7 +32,7 @@ def test_km_job_resumes_without_repeating_buckets(spark):
     fx = FX.load(spark, SF_SMALL)
     root = tempfile.mkdtemp(prefix="km-")
     out, ck = os.path.join(root, "kpi_km"), os.path.join(root, "checkpoint")
-    fx["km_checkpoint"].write.parquet(ck)
+    fx["km_checkpoint"].write.parquet(f"{ck}/run=start")
     jobs.km_job(fx["signals"], spark.read.parquet(ck), out, ck)
     first = spark.read.parquet(out).where(F.col("data_key") == S.KM_TOTAL_FUEL)
     n_first = first.count()
@@ -40,16 +40,28 @@ def test_km_job_resumes_without_repeating_buckets(spark):
     jobs.km_job(fx["signals"], spark.read.parquet(ck), out, ck)
     total = spark.read.parquet(out).where(F.col("data_key") == S.KM_TOTAL_FUEL)
     assert total.count() == n_first
-    assert total.groupBy("vin", "mileage").count().where("count > 1").count() == 0
-    other = spark.read.parquet(out).where(F.col("data_key") == S.KM_OTHER_FUEL)
-    assert other.groupBy("vin", "mileage").count().where("count > 1").count() == 0
+    # all five codes: the second run adds nothing, and no bucket is there twice
+    all_codes = spark.read.parquet(out)
+    assert {r[0] for r in all_codes.select("data_key").distinct().collect()} == {f"KM00{i}" for i in range(1, 6)}
+    assert all_codes.groupBy("vin", "mileage", "data_key").count().where("count > 1").count() == 0
+
+
+def test_km_job_broken_off_before_its_marks_is_repeated(spark):
+    fx = FX.load(spark, SF_SMALL)
+    root = tempfile.mkdtemp(prefix="km-broken-")
+    out, ck = os.path.join(root, "kpi_km"), os.path.join(root, "checkpoint")
+    fx["km_checkpoint"].write.parquet(f"{ck}/run=start")
+    jobs.km_job(fx["signals"], spark.read.parquet(ck), out, os.path.join(root, "lost"))  # its marks do not arrive
+    n = spark.read.parquet(out).count()
+    jobs.km_job(fx["signals"], spark.read.parquet(ck), out, ck)
+    assert spark.read.parquet(out).count() == n
 
 
 def test_fill_job_processes_each_interval_once(spark):
     fx = FX.load(spark, SF_SMALL)
     root = tempfile.mkdtemp(prefix="fill-")
     out, marks = os.path.join(root, "kpi_fill"), os.path.join(root, "marks")
-    fx["processed_fills"].write.parquet(marks)
+    fx["processed_fills"].write.parquet(f"{marks}/run=start")
     jobs.fill_job(fx["signals"], fx["fills"], spark.read.parquet(marks), out, marks)
     n = spark.read.parquet(out).count()
     assert n > 0

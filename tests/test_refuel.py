@@ -8,7 +8,7 @@ import tempfile
 import numpy as np
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL, SF_MID
+from conftest import SF_MID, SF_SMALL, T
 from fuelsight import fixtures as FX
 from fuelsight import schemas as S
 from fuelsight.streaming.refuel import RefuelMachine, refuel_events, refuel_events_stream
@@ -146,3 +146,16 @@ def test_compact_state_equals_list_buffer(levels):
         fed = fed[:-1]
     stepped = run(levels, step_us=2, spacing_us=1)
     assert [e[:2] for e in stepped] == [e[:2] for e in _literal_rule(fed, list(range(len(fed))))]
+
+
+def test_a_null_level_does_not_blind_a_vehicle(spark, signals_df):
+    from fuelsight.streaming.refuel import unusable_levels
+    levels = [20, 20, 20, 20, 40, 40.5, 40.6, 40.7]
+    rows = [("V1", f"2024-01-01 00:{i:02d}:00", S.FUEL_LEVEL, float(x)) for i, x in enumerate(levels, 10)]
+    clean = signals_df(rows)
+    bad = spark.createDataFrame([("V1", T("2024-01-01 00:00:00"), S.FUEL_LEVEL, None), ("V1", None, S.FUEL_LEVEL, 20.0),
+                                 ("V1", T("2024-01-01 00:12:30"), S.FUEL_LEVEL, float("nan"))], S.SIGNAL)
+    want = [tuple(r) for r in refuel_events(clean, step=None).collect()]
+    assert len(want) == 1
+    assert [tuple(r) for r in refuel_events(clean.unionByName(bad), step=None).collect()] == want
+    assert unusable_levels(clean.unionByName(bad)).count() == 3

@@ -2,14 +2,61 @@
 
 from __future__ import annotations
 
-from fuelsight.session import cluster_conf, scratch_path, shared_dir
+import pytest
 
+from fuelsight.session import cluster_conf, path_exists, remove_path, scratch_path, shared_dir, stream_conf
 
-def test_shared_dir_is_the_sessions_checkpoint_dir(spark):
-    configured = spark.conf.get("spark.checkpoint.dir")
-    assert shared_dir(spark) == configured
-    assert scratch_path(spark, "x").startswith(configured)
-    assert spark.sparkContext.getCheckpointDir() is not None
+
+def test_shared_dir_is_the_contexts_checkpoint_folder(spark):
+    folder = shared_dir(spark)
+    assert folder == spark.sparkContext._jsc.sc().getCheckpointDir().get()
+    assert spark.conf.get("spark.checkpoint.dir") in folder
+    assert scratch_path(spark, "x").startswith(folder)
+
+
+class _Context:
+    """A session without a shared folder."""
+
+    def __init__(self, master):
+        self.master, self.chosen = master, None
+        self.sparkContext = self._jsc = self
+        self.conf = self
+
+    def sc(self):
+        return self
+
+    def getCheckpointDir(self):
+        chosen = self.chosen
+
+        class Option:
+            isEmpty = staticmethod(lambda: chosen is None)
+            get = staticmethod(lambda: chosen)
+        return Option
+
+    def setCheckpointDir(self, path):
+        self.chosen = path
+
+    def get(self, key, default):
+        return default
+
+
+def test_no_machine_local_folder_on_a_cluster():
+    with pytest.raises(RuntimeError):
+        shared_dir(_Context("yarn"))
+    with pytest.raises(RuntimeError):
+        shared_dir(_Context("local-cluster[2,1,1024]"))
+    assert shared_dir(_Context("local[4]"))
+
+
+def test_staged_tables_are_removed(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    spark.range(3).write.parquet(path)
+    remove_path(spark, path)
+    assert not path_exists(spark, path)
+
+
+def test_stream_conf_has_few_state_stores():
+    assert int(stream_conf(1000, 4)["spark.sql.shuffle.partitions"]) == 500
 
 
 def test_cluster_conf_is_accepted(spark):

@@ -65,9 +65,8 @@ def test_run_detectors_end_to_end(spark):
     env.repartition(3).write.mode("overwrite").parquet(src)
     raw = spark.readStream.schema(S.ENVELOPE).option("maxFilesPerTrigger", 1).parquet(src)
     out, ckpt = tempfile.mkdtemp(prefix="alerts-"), tempfile.mkdtemp(prefix="ckpt-")
-    queries = run_detectors(stream_signals(raw), out, ckpt, trigger={"availableNow": True},
-                            low_fuel={"window": "6 hours", "slide": "2 hours", "threshold": 20.0,
-                                      "watermark": "1 hour"})
+    queries = run_detectors(stream_signals(raw), out, ckpt, "1 hour", trigger={"availableNow": True},
+                            low_fuel={"window": "6 hours", "slide": "2 hours", "threshold": 20.0})
     for q in queries:
         q.awaitTermination(300)
     refuel = spark.read.parquet(os.path.join(out, "refuel"))
@@ -75,6 +74,20 @@ def test_run_detectors_end_to_end(spark):
     assert spark.read.parquet(os.path.join(out, "low_fuel")).count() > 0
 
 
+def test_late_and_unusable_levels_are_kept(spark):
+    rows = [("V1", "20240101100001000", "2024-01-01 10:00:00", "5"), ("V1", "20240101120000000", "2024-01-01 10:00:02", "6"),
+            ("V1", "20240101100009000", "2024-01-01 10:00:04", "none")]
+    env = [(v, t, json.dumps([{"ts": r, "stype": S.FUEL_LEVEL, "value": None if x == "none" else float(x)}])) for v, t, r, x in rows]
+    src = tempfile.mkdtemp(prefix="late-")
+    spark.createDataFrame(env, S.ENVELOPE).write.mode("overwrite").parquet(src)
+    out, ckpt = tempfile.mkdtemp(prefix="late-out-"), tempfile.mkdtemp(prefix="late-ckpt-")
+    for q in run_detectors(stream_signals(spark.readStream.schema(S.ENVELOPE).parquet(src)), out, ckpt, "1 hour", trigger={"availableNow": True}):
+        q.awaitTermination(300)
+    assert [r.value for r in spark.read.parquet(f"{out}/late").collect()] == [6.0]
+    assert spark.read.parquet(f"{out}/unusable").count() == 1
+    assert not os.path.exists(f"{out}/refuel")  # no folder for an epoch without rows
+
+
 def test_fuel_summary_stream_equals_batch(spark):
     sig = FX.load(spark, SF_SMALL)["signals"]
     closing = spark.createDataFrame([("ZZZ", T("2024-03-01 00:00:00"), S.FUEL_LEVEL, 50.0)], S.SIGNAL)
