@@ -65,6 +65,41 @@ def signals_from_events(events: DataFrame) -> DataFrame:
     return b.select("vin", "ts", F.inline(arr))
 
 
+def dense_signals_from(events: DataFrame) -> DataFrame:
+    """A denser and dirtier signal table: five instants per event, 0, 100, 150, 1000 and 1100 ms after it.
+
+    Injection at all five (two share a tenth of a second; null where event number + instant
+    is divisible by 9); speed, rotation and supply factor at 0 and 1000 ms only; the odometer at 0 ms of even
+    events, so many seconds have none (null for every 14th event); a level at 0 ms (null for every 10th event);
+    air-con at 0 ms, for every 3rd event with its opposite at the same instant (a tie).
+    """
+    b = _base(events)
+    hour = F.floor(F.col("s") / 3600) % 144
+    n = F.col("event_id")
+    level = F.when(hour < 96, 60).otherwise(60 - (hour - 96))
+    supply = F.element_at(F.array(*[F.lit(float(x)) for x in (0, 1, 2, 4, 8)]), F.col("k") % 5 + 1)
+    rows = []
+
+    def add(ms: int, stype: str, value, present=None, null=None):
+        value = value.cast("double") if null is None else F.when(~null, value.cast("double"))
+        row = F.struct(F.lit(ms).alias("ms"), F.lit(stype).alias("stype"), value.alias("value"))
+        rows.append(row if present is None else F.when(present, row))
+
+    for j, ms in enumerate((0, 100, 150, 1000, 1100)):
+        add(ms, S.INJECTION, F.floor("v") * 0.25 + j * 0.5, null=(n + j) % 9 == 0)
+    for ms in (0, 1000):
+        add(ms, S.SPEED, F.when(F.col("et") == "error", 0).otherwise(F.col("k")))
+        add(ms, S.RPM, F.when(F.col("et") == "signup", 0).otherwise(800 + 20 * F.col("k")))
+        add(ms, S.FUEL_SUPPLY, supply)
+    add(0, S.ODOMETER, F.floor(F.col("s") / 360) + F.col("u") * 10, present=n % 2 == 0, null=n % 14 == 0)
+    add(0, S.FUEL_LEVEL, level, null=n % 10 == 0)
+    add(0, S.AIRCON, F.col("k") % 2)
+    add(0, S.AIRCON, 1 - F.col("k") % 2, present=n % 3 == 0)
+    out = b.select("vin", "ts", F.explode(F.array_compact(F.array(*rows))).alias("r"))
+    micros = F.col("r.ms") * 1000
+    return out.select("vin", F.timestamp_add("MICROSECOND", micros, F.col("ts")).alias("ts"), "r.stype", "r.value")
+
+
 def fills_from_events(events: DataFrame) -> DataFrame:
     """Refuelling records: one per ``purchase`` event."""
     b = _base(events).where(F.col("et") == "purchase")
@@ -145,6 +180,7 @@ def derive(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {
         "events": events,
         "signals": signals_from_events(events),
+        "dense_signals": dense_signals_from(events),
         "fills": fills,
         "processed_fills": processed_fills_from(fills),
         "km_checkpoint": km_checkpoint_from(events),
@@ -214,16 +250,16 @@ def load(spark: SparkSession, sf_dir: str, materialize: bool = True) -> dict[str
                 continue
             path = os.path.join(root, name)
             if not path_exists(spark, os.path.join(path, "_SUCCESS")):
-                if name == "signals":
+                if name.endswith("signals"):
                     _publish(spark, lambda p, d=df: write_by_date(d, p, "ts", mode="overwrite",
                                                                   sort_by=("vin", "ts")), path)
                 else:
                     _publish(spark, lambda p, d=df: d.write.mode("overwrite").parquet(p), path)
-            if name == "signals":
+            if name.endswith("signals"):
                 schema = T.StructType(S.SIGNAL.fields + [
                     T.StructField(c, T.IntegerType()) for c in ("year", "month", "day")])
-                out["signals_by_day"] = spark.read.schema(schema).parquet(path)
-                back = out["signals_by_day"].select("vin", "ts", "stype", "value")
+                out[f"{name}_by_day"] = spark.read.schema(schema).parquet(path)
+                back = out[f"{name}_by_day"].select("vin", "ts", "stype", "value")
             else:
                 back = spark.read.schema(df.schema).parquet(path)
             out[name] = back

@@ -54,6 +54,9 @@ def asof_running_max(df: DataFrame, keys: list[str], ts: str, value: str, out: s
     # each chunk's own max: a partial aggregate straight off the scan, so this
     # branch shuffles one small row per (key, chunk, map task), not readings
     summary = d.groupBy(*part).agg(F.max(value).alias("_chunk_max"))
+    # dealt by (key, chunk) even where the input is dealt by the key already (e.g. after a join on it): that
+    # would satisfy the window as well, with all of a hot key in one task
+    d = d.repartition(*[F.col(c) for c in part])
     w_in = (Window.partitionBy(*part).orderBy(F.col(ts))
             .rangeBetween(Window.unboundedPreceding, Window.currentRow))
     d = d.withColumn("_in_chunk", F.max(value).over(w_in))

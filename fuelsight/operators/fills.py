@@ -101,7 +101,22 @@ def interval_readings(signals: DataFrame, fills: DataFrame, marks: DataFrame | N
                       stypes: list[str], strategy: str = "range") -> DataFrame:
     """I3 + J3: readings of ``stypes`` inside intervals between unprocessed fills."""
     fresh = new_fills(fills, marks) if marks is not None else fills
-    return assign_fill_interval(of_type(signals, *stypes), fill_intervals(fresh), strategy)
+    intervals = fill_intervals(fresh)
+    return assign_fill_interval(of_type(within_days(signals, fresh), *stypes), intervals, strategy)
+
+
+def within_days(signals: DataFrame, fresh: DataFrame) -> DataFrame:
+    """Date-partitioned signals from the first to the last of some fills only.
+
+    A few open intervals then read a few folders, not all history: the bounds are scalar
+    subqueries on the partition columns.  Signals without date folders are returned as they are.
+    """
+    if not {"year", "month", "day"} <= set(signals.columns):
+        return signals
+    day = F.make_date("year", "month", "day")
+    first = fresh.agg(F.to_date(F.min("fill_start_time")).alias("d")).scalar()
+    last = fresh.agg(F.to_date(F.max("fill_start_time")).alias("d")).scalar()
+    return signals.where((day >= first) & (day <= last))
 
 
 def fill_fact(df: DataFrame, code: str, value) -> DataFrame:

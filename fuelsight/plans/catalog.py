@@ -31,8 +31,15 @@ from .jobs import fill_job, km_job
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+class Dense(str):
+    """A scale factor's folder whose queries run on the dense signal table instead."""
+
+
 def _fx(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return FX.load(spark, sf_dir)
+    fx = FX.load(spark, str(sf_dir))
+    if isinstance(sf_dir, Dense):
+        fx = {**fx, "signals": fx["dense_signals"], "signals_by_day": fx["dense_signals_by_day"]}
+    return fx
 
 
 def _signals(spark, sf_dir):
@@ -147,7 +154,7 @@ def q_fuel_prices(spark, sf_dir):
 def _assign(strategy):
     def q(spark, sf_dir):
         fx = _fx(spark, sf_dir)
-        return fills.interval_readings(fx["signals"], fx["fills"], fx["processed_fills"],
+        return fills.interval_readings(fx["signals_by_day"], fx["fills"], fx["processed_fills"],
                                        [S.INJECTION], strategy)
     return q
 
@@ -155,7 +162,7 @@ def _assign(strategy):
 def _per_fill(fn):
     def q(spark, sf_dir):
         fx = _fx(spark, sf_dir)
-        return fn(fx["signals"], fx["fills"], fx["processed_fills"])
+        return fn(fx["signals_by_day"], fx["fills"], fx["processed_fills"])
     return q
 
 
@@ -479,6 +486,21 @@ QUERIES: dict[str, Query] = {
 }
 
 
+#: These also run on the dense, dirty signal table.
+DENSE = ["idle_fuel_day", "idle_fuel_km", "driving_fuel_day", "driving_fuel_km", "driving_fuel_km_asof", "aircon_rate", "aircon_fuel_day",
+         "aircon_fuel_km", "total_fuel_day", "mileage_day", "total_fuel_km", "total_fuel_km_full", "daily_kpis", "daily_kpis_range", "km_kpis",
+         "other_fuel_day", "other_fuel_km", "lifetime_totals", "avg_fuel_per_100km", "after_checkpoint", "assign_fill_interval",
+         "assign_fill_interval_asof", "cost_per_km", "economy_ranking", "average_speed", "fuel_heating", "fill_kpis", "km_job_rerun",
+         "low_fuel_windows", "low_fuel_windows_short", "fuel_summary", "fuel_summary_short", "refuel_events", "refuel_events_steps"]
+
+
+def _on_dense(query: Query) -> Query:
+    return lambda spark, sf_dir: query(spark, Dense(sf_dir))
+
+
+QUERIES |= {f"{name}_dense": _on_dense(QUERIES[name]) for name in DENSE}
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The daily KPI job: D001-D004 and D006 for every vehicle-day."""
     return q_daily_kpis(spark, sf_dir)

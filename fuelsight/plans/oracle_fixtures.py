@@ -8,7 +8,7 @@ from __future__ import annotations
 
 BASE = """
 ev AS (
-  SELECT concat('VIN', lpad(cast(user_id AS varchar), 5, '0')) AS vin, ts, event_type AS et, value AS v,
+  SELECT concat('VIN', lpad(cast(user_id AS varchar), 5, '0')) AS vin, ts, event_id AS id, event_type AS et, value AS v,
          cast(json_extract_string(props, '$.k') AS int) AS k, user_id AS u,
          cast(floor(epoch(ts) - epoch(timestamp '2024-01-01')) AS bigint) AS s
   FROM events),
@@ -40,10 +40,29 @@ km_checkpoint AS (
   WHERE cast(right(vin, 5) AS int) % 2 = 0)"""
 
 
-def with_fixtures(body: str, recursive: bool = False) -> str:
+def _dense() -> str:
+    def part(ms: int, stype: str, value: str, where: str = "true", null: str = "false") -> str:
+        return (f"SELECT vin, ts + INTERVAL {ms} MILLISECOND AS ts, '{stype}' AS stype, "
+                f"CASE WHEN NOT ({null}) THEN cast({value} AS double) END AS value FROM r WHERE {where}")
+
+    parts = [part(ms, "InsFuelInjection", f"floor(v) * 0.25 + {j} * 0.5", null=f"(id + {j}) % 9 = 0") for j, ms in enumerate((0, 100, 150, 1000, 1100))]
+    for ms in (0, 1000):
+        parts += [part(ms, "drivingSpeed", "CASE WHEN et = 'error' THEN 0 ELSE k END"),
+                  part(ms, "rotationlSpeed", "CASE WHEN et = 'signup' THEN 0 ELSE 800 + 20 * k END"),
+                  part(ms, "fuelSupplyC-1", "CASE k % 5 WHEN 0 THEN 0 WHEN 1 THEN 1 WHEN 2 THEN 2 WHEN 3 THEN 4 ELSE 8 END")]
+    parts += [part(0, "drivingMileage", "floor(s / 360) + u * 10", "id % 2 = 0", "id % 14 = 0"),
+              part(0, "fuelLevel", "CASE WHEN h < 96 THEN 60 ELSE 60 - (h - 96) END", null="id % 10 = 0"),
+              part(0, "airConditioningState", "k % 2"), part(0, "airConditioningState", "1 - k % 2", "id % 3 = 0")]
+    return "signals AS (\n  " + "\n  UNION ALL ".join(parts) + ")"
+
+
+DENSE_FILLS = FILLS.replace(SIGNALS[len(BASE) + 2:], _dense())
+
+
+def with_fixtures(body: str, recursive: bool = False, dense: bool = False) -> str:
     """Prefix a query body (which may add its own CTEs after a comma)."""
-    body = body.strip()
+    body, views = body.strip(), (DENSE_FILLS if dense else FILLS).strip()
     head = "WITH RECURSIVE " if recursive else "WITH "
     if body.upper().startswith("SELECT"):
-        return head + FILLS.strip() + "\n" + body
-    return head + FILLS.strip() + ",\n" + body
+        return head + views + "\n" + body
+    return head + views + ",\n" + body

@@ -60,7 +60,7 @@ def low_fuel_alerts(windows: DataFrame) -> DataFrame:
 
 def fuel_summary(signals: DataFrame, step: str = MICRO_BATCH, watermark: str | None = None) -> DataFrame:
     """Per vehicle and step: mean level (over level rows only), last level
-    (the latest reading; ``max_by`` keeps it a hash aggregate), and
+    (the latest reading that has one; ``max_by`` keeps it a hash aggregate), and
     ``is_drive`` = moving samples outnumber standing ones (D25)."""
     rows = signals.where(F.col("stype").isin(S.FUEL_LEVEL, S.SPEED))
     ts = F.col("ts")
@@ -71,7 +71,7 @@ def fuel_summary(signals: DataFrame, step: str = MICRO_BATCH, watermark: str | N
     vote = F.when(F.col("stype") == S.SPEED, F.when(F.col("value") > 0, 1).otherwise(-1)).otherwise(0)
     agg = rows.groupBy("vin", F.window(ts, step).alias("w")).agg(
         F.avg(F.when(is_level, F.col("value"))).alias("mean_level"),
-        F.max_by(F.col("value"), F.when(is_level, F.col("ts"))).alias("last_level"),
+        F.max_by(F.col("value"), F.when(is_level & F.col("value").isNotNull(), F.col("ts"))).alias("last_level"),
         F.sum(vote).alias("_votes"),
     )
     return agg.select("vin", F.col("w.start").cast("timestamp_ntz").alias("window_start"),

@@ -60,3 +60,36 @@ def test_fill_interval_join_has_day_equi_key(spark):
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     join_line = next(line for line in plan.splitlines() if "Join" in line and "_day" in line)
     assert "vin" in join_line
+
+
+def _no_broadcast(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+
+
+def _reset(spark):
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_window_after_the_checkpoint_join_is_dealt_by_chunk(spark):
+    fx = FX.load(spark, SF_SMALL)
+    _no_broadcast(spark)
+    try:
+        plan = kpi.total_fuel_by_km(fx["signals"], fx["km_checkpoint"])._jdf.queryExecution().executedPlan().toString()
+    finally:
+        _reset(spark)
+    window = plan.index("Window [max(")
+    below = plan[window:plan.index("SortMergeJoin", window)]
+    assert "Exchange hashpartitioning(vin" in below and "_chunk" in below[below.index("Exchange hashpartitioning"):][:80]
+
+
+def test_fill_kpis_read_only_the_folders_of_the_open_intervals(spark):
+    fx = FX.load(spark, SF_SMALL)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "100000")
+    try:
+        plan = fills.fill_kpis(fx["signals_by_day"], fx["fills"], fx["processed_fills"])._jdf.queryExecution().toString()
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    scans = [x for x in plan.split("FileScan parquet")[1:] if "ReadSchema: struct<vin:string,ts:timestamp_ntz" in x]
+    assert scans and all("make_date" in x.split("PartitionFilters: [")[1].split("PushedFilters")[0] for x in scans)
