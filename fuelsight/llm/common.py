@@ -7,14 +7,16 @@ the words of that definition without a regular expression.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import contextlib
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fuelsight.session import scratch_path
+from fuelsight.session import scratch_path, shared_dir
 
 #: Texts of one Arrow batch are worked on in pieces of about this many bytes (a longer text alone).
 CHUNK_BYTES = 4 << 20
@@ -35,6 +37,40 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` written once to the shared checkpoint folder.
+
+    Like :func:`materialize`, but Spark can remove the files when nothing refers to
+    them any more (``spark.cleaner.referenceTracking.cleanCheckpoints``).
+    """
+    shared_dir(df.sparkSession)  # names the folder where the session has none, as in tests
+    return df.checkpoint()
+
+
+FILTER_BITS = 1 << 22
+
+
+def key_filter(keys: DataFrame) -> Callable[[Column], Column]:
+    """A test that is true for all hashes in the one (long) column of ``keys`` and for few others.
+
+    A bitmap of fixed size, so it is small whatever the number of keys; the more there
+    are, the less it spares the exact join that has to follow.
+    """
+    bit = F.pmod(F.col(keys.columns[0]), F.lit(FILTER_BITS))
+    words = keys.select((bit / 64).cast("long").alias("w"), F.expr(f"shiftleft(1L, cast(pmod({keys.columns[0]}, 64) as int))").alias("b"))
+    bitmap = [0] * (FILTER_BITS // 64)
+    for r in words.groupBy("w").agg(F.bit_or("b").alias("b")).collect():  # at most FILTER_BITS / 64 rows
+        bitmap[r.w] = r.b
+    packed = F.split(F.lit(",".join(map(str, bitmap))), ",").cast("array<bigint>")  # folded into a literal once
+
+    def test(key: Column) -> Column:
+        at = F.pmod(key, F.lit(FILTER_BITS))
+        word = F.get(packed, (at / 64).cast("int"))
+        return F.call_function("shiftrightunsigned", word, F.pmod(key, F.lit(64)).cast("int")).bitwiseAND(F.lit(1)) == 1
+
+    return test
+
+
 def text_bytes(df: DataFrame, text_col: str = "text") -> int:
     """UTF-8 bytes of all texts (one aggregate)."""
     return df.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
@@ -45,6 +81,19 @@ def binary_list(column: pa.Array) -> list[bytes]:
     return [b or b"" for b in column.cast(pa.binary()).to_pylist()]
 
 
+def released(work):
+    """``work`` for mapInArrow that gives freed memory back at its end: workers live on, and their C library keeps it."""
+
+    def run(batches):
+        try:
+            yield from work(batches)
+        finally:
+            with contextlib.suppress(OSError, AttributeError):  # not glibc
+                ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+    return run
+
+
 def chunks(texts: list[bytes], limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:
     """Row ranges of at most ``limit`` bytes (one row at least)."""
     start = size = 0

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fuelsight.llm.common import binary_list, chunks, materialize, table
+from fuelsight.llm.common import binary_list, chunks, materialize, released, table
 
 WINDOW = 13
 BLOCK_BYTES = 16 << 20
@@ -176,7 +176,7 @@ def _pass(docs: DataFrame, test, text_col: str, state_col: str, keep: list[str])
             made = pa.array([_pack(s) for s in states], _ARROW)
             yield pa.RecordBatch.from_arrays([b.column(c) for c in order] + [made], names=[*order, state_col])
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(released(run), schema)
 
 
 def annotate(docs: DataFrame, bench: DataFrame, keep: list[str], text_col: str = "text", item_col: str = "item_id",

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fuelsight.llm.common import binary_list, chunks, materialize, table
+from fuelsight.llm.common import binary_list, chunks, materialize, released, table
 
 FEATURES = 1 << 14
 MAX_LANGUAGES = 64
@@ -108,7 +108,7 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> tu
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(used), pa.string()), pa.array(used), pa.array(n[used], pa.int64())], names=["lang", "feature", "n"])
 
     labelled = docs.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("body")).filter("lang is not null")
-    sums = labelled.mapInArrow(count, "lang string, feature long, n long").groupBy("lang", "feature").agg(F.sum("n").alias("n"))
+    sums = labelled.mapInArrow(released(count), "lang string, feature long, n long").groupBy("lang", "feature").agg(F.sum("n").alias("n"))
     sums = materialize(sums, "trigrams")
     langs = sorted(r.lang for r in sums.select("lang").distinct().limit(MAX_LANGUAGES + 1).collect())
     if len(langs) > MAX_LANGUAGES:
@@ -140,7 +140,7 @@ def evidence(pages: DataFrame, langs: list[str], model: np.ndarray) -> DataFrame
                                              names=["page_id", "declared", "host", "domain", "address", "text"])
 
     slim = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html")
-    return slim.mapInArrow(work, "page_id long, declared string, host string, domain string, address string, text array<double>")
+    return slim.mapInArrow(released(work), "page_id long, declared string, host string, domain string, address string, text array<double>")
 
 
 def _softmax(logs: Column) -> Column:

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fuelsight.llm.common import binary_list, chunks, table
+from fuelsight.llm.common import binary_list, chunks, released, table
 from fuelsight.llm.subwords import subwords, vocabulary_path
 
 CAPACITY = 4096
@@ -175,7 +175,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capaci
                     yield from rows(packer.drain(pool_tokens // 2))
         yield from rows(packer.rest())
 
-    return docs.select(id_col, text_col).mapInArrow(run, schema)
+    return docs.select(id_col, text_col).mapInArrow(released(run), schema)
 
 
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,7 +14,7 @@ from itertools import repeat
 import numpy as np
 
 VOCABULARY = "word_bpe_49k.json"
-CACHE_WORDS = 1_200_000
+CACHE_WORDS = 800_000
 _JOINED = 400
 
 
@@ -24,6 +24,15 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
     return public_tokenizers.path(name)
 
 
+def lowered(text: bytes) -> bytes:
+    """``text`` in lower case (ASCII) where the ids stay the same.
+
+    The tokenizer composes characters and then lower-cases them.  A letter can be
+    lower-cased before only if no combining mark (U+0300 to U+036F, which begin with these bytes) may follow.
+    """
+    return text if b"\xcc" in text or b"\xcd" in text else text.lower()
+
+
 class Subwords:
     """``ids(texts)`` gives the subword ids of UTF-8 texts as one array and the number of ids of each text."""
 
@@ -37,7 +46,6 @@ class Subwords:
 
     def clear(self) -> None:
         self.known: dict[bytes, int] = {}
-        self.stems: dict[bytes, int] = {}
         self.flat = np.zeros(1 << 16, np.uint32)
         self.n_flat = 0
         self.begin = np.zeros(1 << 15, np.int64)
@@ -64,29 +72,16 @@ class Subwords:
         self.n_flat += len(ids)
 
     def learn(self, words: list[bytes]) -> None:
-        """Adds words that are not known yet; those that differ by capitals only (in ASCII) are encoded once."""
+        """Adds words that are not known yet."""
         n = len(self.known)
         while n + len(words) > len(self.begin):
             self.begin = np.concatenate([self.begin, np.zeros_like(self.begin)])
             self.length = np.concatenate([self.length, np.zeros_like(self.length)])
-        fresh, first, again, like = [], [], [], []
-        for k, w in enumerate(words, n):
-            stem = w.lower() if w.isascii() else w
-            seen = self.stems.setdefault(stem, k)
-            if seen == k:
-                fresh.append(stem)
-                first.append(k)
-            else:
-                again.append(k)
-                like.append(seen)
-        special = [i for i, w in enumerate(fresh) if b"\0" in w]
-        for i in special:
-            self._place(np.array([first[i]]), *self.encode([fresh[i]]))
-        for i in reversed(special):
-            del fresh[i], first[i]
-        self._place(np.array(first, np.int64), *self.encode(fresh))
-        self.begin[again] = self.begin[like]
-        self.length[again] = self.length[like]
+        plain = [i for i, w in enumerate(words) if b"\0" not in w]
+        self._place(n + np.array(plain, np.int64), *self.encode([words[i] for i in plain]))
+        if len(plain) < len(words):
+            for i in sorted(set(range(len(words))) - set(plain)):
+                self._place(np.array([n + i]), *self.encode([words[i]]))
         self.known.update(zip(words, range(n, n + len(words)), strict=True))
 
     def _numbers(self, words: list[bytes]) -> np.ndarray:
@@ -95,8 +90,14 @@ class Subwords:
     def ids(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         words, counts = [], [0]
         for t in texts:
-            words += t.split()
+            words += lowered(t).split()
             counts.append(len(words))
+        ids, lengths = self.word_ids(words)
+        edges = np.concatenate([[0], np.cumsum(lengths)])[counts]
+        return ids, np.diff(edges)
+
+    def word_ids(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all words, one after the other, and how many each has."""
         numbers = self._numbers(words)
         missing = np.flatnonzero(numbers < 0)
         if len(missing):
@@ -111,8 +112,7 @@ class Subwords:
         ends = np.cumsum(lengths)
         at = np.repeat(self.begin[numbers] - (ends - lengths), lengths)
         at += np.arange(len(at))
-        edges = np.concatenate([[0], ends])[counts]
-        return self.flat[at], np.diff(edges)
+        return self.flat[at], lengths
 
 
 _WORKER: dict[str, Subwords] = {}

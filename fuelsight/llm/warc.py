@@ -42,7 +42,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fuelsight.llm.common import binary_list, materialize, table
+from fuelsight.llm.common import binary_list, materialize, released, table
 from fuelsight.session import scratch_path
 
 LEAST_REVISIT = 1000
@@ -57,7 +57,7 @@ _CAPTURE = "key string, page string, archive string, offset long, length long"
 
 def file_system(uri: str) -> tuple[pafs.FileSystem, str]:
     """pyarrow's file system and path for a folder named as Spark names it."""
-    return pafs.FileSystem.from_uri(re.sub(r"^s3[an]:", "s3:", uri))
+    return pafs.FileSystem.from_uri(re.sub(r"^file:/+", "/", re.sub(r"^s3[an]:", "s3:", uri)))
 
 
 def key_of(url: str | None) -> str:
@@ -146,7 +146,7 @@ def write(pages: DataFrame, folder: str, least: int = LEAST_REVISIT) -> DataFram
             if out is not None:
                 out.close()
 
-    return materialize(rows.mapInArrow(store, _CAPTURE), "captures")
+    return materialize(rows.mapInArrow(released(store), _CAPTURE), "captures")
 
 
 def _batch(rows: list[tuple], types: list, names: list[str]) -> pa.RecordBatch:
@@ -189,7 +189,7 @@ def build_index(captures: DataFrame, folder: str, block_lines: int = BLOCK_LINES
         yield _batch([(name, *e) for e in entries], [pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64()],
                      ["file", "first", "last", "offset", "length", "lines"])
 
-    return materialize(ordered.mapInArrow(store, "file string, first string, last string, offset long, length long, lines long"), "blocks")
+    return materialize(ordered.mapInArrow(released(store), "file string, first string, last string, offset long, length long, lines long"), "blocks")
 
 
 class _Reader:
@@ -246,7 +246,7 @@ def read_all(blocks: DataFrame, folder: str, with_payload: bool = True) -> DataF
             for file, offset, length in zip(*[c.to_pylist() for c in b.columns], strict=True):
                 yield from _records(reader, reader.block(file, offset, length), with_payload)
 
-    return blocks.select("file", "offset", "length").repartition("file", "offset").mapInArrow(work, _RECORD)
+    return blocks.select("file", "offset", "length").repartition("file", "offset").mapInArrow(released(work), _RECORD)
 
 
 def lookup(urls: DataFrame, blocks: DataFrame, folder: str, url_col: str = "url", with_payload: bool = True) -> DataFrame:
@@ -283,8 +283,8 @@ def lookup(urls: DataFrame, blocks: DataFrame, folder: str, url_col: str = "url"
                     k -= 1
                 yield from _records(reader, lines, with_payload)
 
-    routed = urls.select(F.col(url_col)).mapInArrow(route, "file string, key string").distinct()
-    return routed.repartition("file", "key").sortWithinPartitions("file", "key").mapInArrow(find, _RECORD)
+    routed = urls.select(F.col(url_col)).mapInArrow(released(route), "file string, key string").distinct()
+    return routed.repartition("file", "key").sortWithinPartitions("file", "key").mapInArrow(released(find), _RECORD)
 
 
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
