@@ -37,12 +37,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fuelsight.llm.common import Words, binary_list, chunks, rolling, table, text_bytes
+from fuelsight.llm.common import Words, binary_list, chunks, released, rolling, table, text_bytes
 
 WINDOW = 20
-GRAM = 4
-BUCKET_BYTES = 2 << 20
-PIECE_BYTES = 8 << 20
+GRAM = 3
+BUCKET_BYTES = 3 << 20
+PIECE_BYTES = 6 << 20
 #: A bucket is divided if it gets more than this many times ``BUCKET_BYTES`` (about 3 are usual, as windows overlap).
 DIVIDE = 12
 _NO_ID = -(1 << 63)
@@ -183,7 +183,7 @@ def _spans(owner, ids, ties, start, count):
 def _block(ids, ties, starts, counts, text: bytes) -> bytes:
     raw = np.array([len(ids)], "<i8").tobytes() + ids.astype("<i8").tobytes()
     raw += ties.astype("<i4").tobytes() + starts.astype("<i4").tobytes() + counts.astype("<i4").tobytes() + text
-    return np.array([len(raw)], "<i8").tobytes() + pa.compress(raw, codec="zstd", asbytes=True)
+    return np.array([len(raw)], "<i8").tobytes() + pa.Codec("zstd", compression_level=6).compress(raw, asbytes=True)
 
 
 def _unblock(block: bytes):
@@ -261,7 +261,7 @@ def repeated(slim: DataFrame, window: int = WINDOW, bucket_bytes: int = BUCKET_B
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), pa.array(n, pa.int64())], names=["bucket", "n"])
 
     limit = DIVIDE * bucket_bytes
-    heavy = slim.mapInArrow(measure, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).filter(F.col("n") > limit)
+    heavy = slim.mapInArrow(released(measure), "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).filter(F.col("n") > limit)
     divided = {r.bucket: math.ceil(r.n / (3 * bucket_bytes)) for r in heavy.collect()}  # few: each holds many buckets' share
 
     def ship(batches):
@@ -287,8 +287,8 @@ def repeated(slim: DataFrame, window: int = WINDOW, bucket_bytes: int = BUCKET_B
         if blocks:
             yield _flag_batch(list(_count_bucket(blocks, window)))
 
-    shipped = slim.mapInArrow(ship, "bucket long, block binary").repartition("bucket").sortWithinPartitions("bucket")
-    flags = shipped.mapInArrow(count, "id long, tie int, spans array<int>")
+    shipped = slim.mapInArrow(released(ship), "bucket long, block binary").repartition("bucket").sortWithinPartitions("bucket")
+    flags = shipped.mapInArrow(released(count), "id long, tie int, spans array<int>")
     return flags.groupBy("id", "tie").agg(F.flatten(F.collect_list("spans")).alias("spans"))  # a document's spans: bounded by its length
 
 
@@ -322,7 +322,7 @@ def remove(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wind
                 made.append({"n_words": n, "n_removed": n - len(left), "text": b" ".join(left).decode("utf-8", "replace")})
             yield pa.RecordBatch.from_arrays([b.column(c) for c in carried] + [pa.array(made, cut)], names=[*carried, "_cut"])
 
-    out = joined.mapInArrow(work, schema)
+    out = joined.mapInArrow(released(work), schema)
     return out.select(*[F.col(a).alias(c) for c, a in names.items()], F.col("_cut").alias(made))
 
 
