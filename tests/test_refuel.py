@@ -159,3 +159,17 @@ def test_a_null_level_does_not_blind_a_vehicle(spark, signals_df):
     assert len(want) == 1
     assert [tuple(r) for r in refuel_events(clean.unionByName(bad), step=None).collect()] == want
     assert unusable_levels(clean.unionByName(bad)).count() == 3
+
+
+def test_chunked_replay_equals_one_pass(spark, signals_df):
+    """Random levels that seldom reset, in chunks of four minutes, so that entry states matter over many chunks."""
+    rng = np.random.default_rng(11)
+    rows, want = [], []
+    for v in range(6):
+        levels = np.cumsum(rng.choice([0.0, 0.0, 0.5, 1.5, 4.0, -0.5], 200, p=[0.5, 0.2, 0.1, 0.1, 0.05, 0.05])) + 20
+        times = np.cumsum(rng.integers(1, 20, 200))
+        rows += [(f"V{v}", f"2024-01-01 {t // 3600:02d}:{t // 60 % 60:02d}:{t % 60:02d}", S.FUEL_LEVEL, float(x)) for t, x in zip(times, levels)]
+        machine = RefuelMachine()
+        want += [(f"V{v}", *e[:2]) for e in machine.push(times.astype("int64"), levels, None)]
+    got = refuel_events(signals_df(rows), step=None, chunk_seconds=240).collect()
+    assert len(want) > 5 and sorted((r.vin, r.fuel_mass, r.fill_amount) for r in got) == sorted(want)
