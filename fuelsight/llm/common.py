@@ -47,7 +47,7 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-FILTER_BITS = 1 << 22
+FILTER_BITS = 1 << 20
 
 
 def key_filter(keys: DataFrame) -> Callable[[Column], Column]:

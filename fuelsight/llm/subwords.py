@@ -14,7 +14,7 @@ from itertools import repeat
 import numpy as np
 
 VOCABULARY = "word_bpe_49k.json"
-CACHE_WORDS = 800_000
+CACHE_WORDS = 600_000
 _JOINED = 400
 
 
