@@ -24,7 +24,7 @@ Earlier means: a smaller document id, or the same id and an earlier start.
 Defined cases: a null or empty text has no words and gives an empty text; a
 null id counts as the smallest; rows with the same id are one document
 for the order, so windows at the same start of two such rows leave each other
-alone; an empty table gives no rows; other columns pass through ``remove``,
+alone, and they are told apart by a 64-bit hash of the text and its length in bytes; an empty table gives no rows; other columns pass through ``remove``,
 whatever their names.
 """
 
@@ -46,6 +46,18 @@ PIECE_BYTES = 6 << 20
 #: A bucket is divided if it gets more than this many times ``BUCKET_BYTES`` (about 3 are usual, as windows overlap).
 DIVIDE = 12
 _NO_ID = -(1 << 63)
+_LOW = (1 << 64) - 1
+
+
+def _tie(key: int, size: int) -> int:
+    """What tells rows of one id apart, as one number: the text's length in bytes and its 64-bit hash."""
+    return (size << 64) | (key & _LOW)
+
+
+def _untie(tie: int) -> tuple[int, int]:
+    """Hash (signed) and length of a tie."""
+    key = tie & _LOW
+    return key - (1 << 64) if key >> 63 else key, tie >> 64
 
 
 def _packed(w: Words) -> tuple[bytes, np.ndarray]:
@@ -109,7 +121,8 @@ class Piece:
 
     def __init__(self, ids, ties, texts, buckets: int, divided: dict[int, int], window: int):
         order = sorted(range(len(ids)), key=lambda i: (ids[i], ties[i]))
-        self.ids, self.ties = np.array([ids[i] for i in order], np.int64), np.array([ties[i] for i in order], np.int32)
+        self.ids, both = np.array([ids[i] for i in order], np.int64), [_untie(ties[i]) for i in order]
+        self.ties, self.lengths = np.array([k for k, _ in both], np.int64), np.array([n for _, n in both], np.int64)
         w = self.words = Words([texts[i] for i in order])
         self.owner = np.repeat(np.arange(len(order)), np.diff(w.first))
         self.known = np.zeros(len(w.start), bool)
@@ -162,42 +175,43 @@ class Piece:
             s, e = self.at[first].tolist(), self.at[first + count + self.window - 1].tolist()
             text = b"".join([self.text[a:b] for a, b in zip(s, e, strict=True)])
             owner = self.owner[first]
-            yield int(self.bucket[runs[0]]), _block(self.ids[owner], self.ties[owner], self.start[first], count, text)
+            yield int(self.bucket[runs[0]]), _block(self.ids[owner], self.ties[owner], self.lengths[owner], self.start[first], count, text)
 
     def repeated(self):
         """``(id, tie, spans)`` for documents with windows known to be repeated; spans: start and number of windows, in turn."""
         first, count = _runs(self.known, self.owner)
         if len(first):
             owner, start = self.owner[first], self.start[first]
-            yield from _spans(owner, self.ids, self.ties, start, count)
+            yield from _spans(owner, self.ids, self.ties, self.lengths, start, count)
 
 
-def _spans(owner, ids, ties, start, count):
+def _spans(owner, ids, ties, lengths, start, count):
     edges = np.flatnonzero(np.diff(owner)) + 1
     pairs = np.stack([start, count], 1)
     for k in np.split(np.arange(len(owner)), edges):
         d = owner[k[0]]
-        yield int(ids[d]), int(ties[d]), pairs[k].ravel().tolist()
+        yield int(ids[d]), _tie(int(ties[d]), int(lengths[d])), pairs[k].ravel().tolist()
 
 
-def _block(ids, ties, starts, counts, text: bytes) -> bytes:
-    raw = np.array([len(ids)], "<i8").tobytes() + ids.astype("<i8").tobytes()
-    raw += ties.astype("<i4").tobytes() + starts.astype("<i4").tobytes() + counts.astype("<i4").tobytes() + text
+def _block(ids, ties, lengths, starts, counts, text: bytes) -> bytes:
+    raw = np.array([len(ids)], "<i8").tobytes() + ids.astype("<i8").tobytes() + ties.astype("<i8").tobytes()
+    raw += lengths.astype("<i4").tobytes() + starts.astype("<i4").tobytes() + counts.astype("<i4").tobytes() + text
     return np.array([len(raw)], "<i8").tobytes() + pa.Codec("zstd", compression_level=6).compress(raw, asbytes=True)
 
 
 def _unblock(block: bytes):
     raw = pa.decompress(block[8:], decompressed_size=int(np.frombuffer(block[:8], "<i8")[0]), codec="zstd", asbytes=True)
     n = int(np.frombuffer(raw[:8], "<i8")[0])
-    small = np.frombuffer(raw, "<i4", 3 * n, 8 + 8 * n).astype(np.int64)
-    return np.frombuffer(raw, "<i8", n, 8), small[:n], small[n : 2 * n], small[2 * n :], raw[8 + 20 * n :]
+    large = np.frombuffer(raw, "<i8", 2 * n, 8)
+    small = np.frombuffer(raw, "<i4", 3 * n, 8 + 16 * n).astype(np.int64)
+    return large[:n], large[n:], small[:n], small[n : 2 * n], small[2 * n :], raw[8 + 28 * n :]
 
 
 def _count_bucket(blocks: list[bytes], window: int):
     """``(id, tie, spans)`` of the windows of one bucket that also start earlier."""
     parts = [_unblock(b) for b in blocks]
-    ids, ties, starts, counts = (np.concatenate([p[k] for p in parts]) for k in range(4))
-    text = b"".join([p[4] for p in parts])
+    ids, ties, lengths, starts, counts = (np.concatenate([p[k] for p in parts]) for k in range(5))
+    text = b"".join([p[5] for p in parts])
     w = Words([text])
     first = np.concatenate([[0], np.cumsum(counts + window - 1)])[:-1]
     run = np.repeat(np.arange(len(ids)), counts)
@@ -232,25 +246,27 @@ def _count_bucket(blocks: list[bytes], window: int):
     mask[known] = True
     at0, n = _runs(mask, run)
     owner = run[at0]
-    yield from _spans(owner, ids, ties, start[at0], n)
+    yield from _spans(owner, ids, ties, lengths, start[at0], n)
 
 
-_FLAGS = pa.schema([("id", pa.int64()), ("tie", pa.int32()), ("spans", pa.list_(pa.int32()))])
+_FLAGS = pa.schema([("id", pa.int64()), ("tie", pa.int64()), ("size", pa.int32()), ("spans", pa.list_(pa.int32()))])
 
 
 def _flag_batch(rows: list[tuple]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(_FLAGS.types)], schema=_FLAGS)
+    flat = [(d, *_untie(tie), spans) for d, tie, spans in rows]
+    return pa.RecordBatch.from_arrays([pa.array([r[k] for r in flat], t) for k, t in enumerate(_FLAGS.types)], schema=_FLAGS)
 
 
 def _pieces(batches, buckets: int, divided: dict[int, int], window: int):
     for b in batches:
-        texts, ids, ties = binary_list(b.column("body")), b.column("id").to_pylist(), b.column("tie").to_pylist()
+        texts, ids = binary_list(b.column("body")), b.column("id").to_pylist()
+        ties = [_tie(k, n) for k, n in zip(b.column("tie").to_pylist(), b.column("size").to_pylist(), strict=True)]
         for i, j in chunks(texts, PIECE_BYTES):
             yield Piece(ids[i:j], ties[i:j], texts[i:j], buckets, divided, window)
 
 
 def repeated(slim: DataFrame, window: int = WINDOW, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
-    """``(id, tie, spans)`` for documents with windows that also start earlier; of ``(id, tie, body)``."""
+    """``(id, tie, size, spans)`` for documents with windows that also start earlier; of ``(id, tie, size, body)``."""
     spark = slim.sparkSession
     wide = int(spark.conf.get("spark.sql.shuffle.partitions"))
     buckets = max(4 * wide, math.ceil(text_bytes(slim, "body") / bucket_bytes))
@@ -288,8 +304,8 @@ def repeated(slim: DataFrame, window: int = WINDOW, bucket_bytes: int = BUCKET_B
             yield _flag_batch(list(_count_bucket(blocks, window)))
 
     shipped = slim.mapInArrow(released(ship), "bucket long, block binary").repartition("bucket").sortWithinPartitions("bucket")
-    flags = shipped.mapInArrow(released(count), "id long, tie int, spans array<int>")
-    return flags.groupBy("id", "tie").agg(F.flatten(F.collect_list("spans")).alias("spans"))  # a document's spans: bounded by its length
+    flags = shipped.mapInArrow(released(count), "id long, tie long, size int, spans array<int>")
+    return flags.groupBy("id", "tie", "size").agg(F.flatten(F.collect_list("spans")).alias("spans"))  # a document's spans: bounded by its length
 
 
 def remove(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, bucket_bytes: int = BUCKET_BYTES,
@@ -299,9 +315,10 @@ def remove(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wind
     names = {c: f"c{i}" for i, c in enumerate(keep)}
     key = F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(_NO_ID))
     body = F.col(f"`{text_col}`")
-    wide = docs.select(*[F.col(f"`{c}`").alias(a) for c, a in names.items()], key.alias("id"), F.hash(body).alias("tie"), body.alias("body"))
-    found = repeated(wide.select("id", "tie", "body"), window, bucket_bytes)
-    joined = wide.join(found, ["id", "tie"], "left")
+    wide = docs.select(*[F.col(f"`{c}`").alias(a) for c, a in names.items()], key.alias("id"), F.xxhash64(body).alias("tie"),
+                       F.coalesce(F.octet_length(body), F.lit(0)).alias("size"), body.alias("body"))
+    found = repeated(wide.select("id", "tie", "size", "body"), window, bucket_bytes)
+    joined = wide.join(found, ["id", "tie", "size"], "left")
     cut = pa.struct([("n_words", pa.int64()), ("n_removed", pa.int64()), ("text", pa.string())])
     carried = list(names.values())
     schema = joined.select(*carried, F.expr("cast(null as struct<n_words:long,n_removed:long,text:string>)").alias("_cut")).schema

@@ -74,6 +74,15 @@ def test_null_and_repeated_ids(spark):
     assert got(d) == brute(docs)
 
 
+def test_rows_of_one_id_with_one_short_hash(spark):
+    """Two texts without an id and with the same 32-bit hash: what repeats in one is not cut from the other."""
+    text = " ".join(f"t{i}" for i in range(30))
+    docs = [(None, text), (None, "x58511 " + text), (None, "y82784")]
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    assert len({r.h for r in d.select(F.hash("text").alias("h")).collect()}) == 2
+    assert got(d) == brute(docs)
+
+
 def test_collisions_of_the_hash_are_told_apart(monkeypatch):
     """With one hash for every word, only the words themselves can tell windows apart."""
     monkeypatch.setattr(C.Words, "_hashes", lambda self, data: np.zeros(len(self.start), np.uint64))
