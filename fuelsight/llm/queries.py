@@ -7,6 +7,8 @@ from fuelsight.llm.chat import op8_chat_formatting
 from fuelsight.llm.decontaminate import op1_benchmark_decontamination
 from fuelsight.llm.jaccard import op9_ngram_jaccard_join
 from fuelsight.llm.language import op4_language_id
+from fuelsight.llm.middle import ORACLE as MIDDLE_ORACLE
+from fuelsight.llm.middle import op12_fill_in_middle
 from fuelsight.llm.packing import op3_packing
 from fuelsight.llm.quality import op2_quality_rules
 from fuelsight.llm.scoring import op10_lm_scoring
@@ -27,10 +29,12 @@ QUERIES = {
     "op8_chat_formatting": op8_chat_formatting,
     "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
     "op10_lm_scoring": op10_lm_scoring,
+    "op12_fill_in_middle": op12_fill_in_middle,
 }
 
 ORACLE: dict[str, str] = {
     "op5_sharding": sharding_oracle(),
     "op8_chat_formatting": CHAT_ORACLE,
     "op6_warc": WARC_ORACLE,
+    "op12_fill_in_middle": MIDDLE_ORACLE,
 }
