@@ -15,6 +15,7 @@ from fuelsight.llm.scoring import op10_lm_scoring
 from fuelsight.llm.sharding import op5_sharding
 from fuelsight.llm.sharding import oracle as sharding_oracle
 from fuelsight.llm.substrings import op7_substring_dedup
+from fuelsight.llm.toxicity import op13_toxicity
 from fuelsight.llm.warc import ORACLE as WARC_ORACLE
 from fuelsight.llm.warc import op6_warc
 
@@ -30,6 +31,7 @@ QUERIES = {
     "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
     "op10_lm_scoring": op10_lm_scoring,
     "op12_fill_in_middle": op12_fill_in_middle,
+    "op13_toxicity": op13_toxicity,
 }
 
 ORACLE: dict[str, str] = {

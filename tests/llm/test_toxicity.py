@@ -1,0 +1,132 @@
+from __future__ import annotations
+
+import math
+import random
+import zlib
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from fuelsight.llm import toxicity as X
+
+SMALL, MID = "/root/testdata/sf0.001", "/root/testdata/sf0.1"
+
+
+def plain_features(text):
+    """Distinct words, neighbours and pairs with one word between, as strings, by the definition."""
+    clean = "".join(c if ord(c) > 127 or c.isalnum() else " " for c in "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text))
+    w = clean.split(" ")
+    w = [x for x in w if x]
+    return {(a,) for a in w} | {(a, 1, b) for a, b in zip(w, w[1:])} | {(a, 2, b) for a, b in zip(w, w[2:])}
+
+
+def plain_ftrl(rows, rounds, r):
+    """The published update, with dictionaries and without hashing."""
+    z, n = {}, {}
+
+    def weight(f):
+        if abs(z.get(f, 0)) <= r.l1:
+            return 0.0
+        return -(z[f] - math.copysign(r.l1, z[f])) / ((r.beta + math.sqrt(n[f])) / r.alpha + r.l2)
+
+    def margin(text):
+        return sum(weight(f) for f in plain_features(text) | {"bias"})
+
+    for _ in range(rounds):
+        for text, y in rows:
+            g = (1 / (1 + math.exp(-margin(text))) - y) * (r.positive if y else 1.0)
+            for f in plain_features(text) | {"bias"}:
+                w, before = weight(f), n.get(f, 0.0)
+                z[f] = z.get(f, 0.0) + g - (math.sqrt(before + g * g) - math.sqrt(before)) / r.alpha * w
+                n[f] = before + g * g
+    return lambda text: 1 / (1 + math.exp(-margin(text)))
+
+
+def corpus(n, seed=3):
+    rng = random.Random(seed)
+    good, bad = [f"w{i}" for i in range(40)], ["Vile", "nasty!"]
+    docs = []
+    for i in range(n):
+        words = [rng.choice(good) for _ in range(rng.randint(1, 12))]
+        toxic = rng.random() < 0.3
+        if toxic:
+            words.insert(rng.randrange(len(words) + 1), rng.choice(bad))
+        docs.append((i, " ".join(words), int(toxic)))
+    return docs
+
+
+def frames(spark, docs):
+    d = spark.createDataFrame([(i, t, 9, "x") for i, t, _ in docs], "doc_id long, text string, toxic int, score string").repartition(3)
+    labels = spark.createDataFrame([(i, y) for i, _, y in docs if y is not None], "doc_id long, toxic int")
+    return d, labels
+
+
+def test_equals_the_plain_update(spark):
+    rates = X.Rates(l1=2.0)
+    docs = corpus(300)
+    d, labels = frames(spark, docs)
+    order = {r.doc_id: r.turn for r in d.select("doc_id", F.xxhash64("doc_id", F.lit(2)).alias("turn")).collect()}
+    rows = [(t, y) for i, t, y in sorted(docs, key=lambda r: order[r[0]]) if zlib.crc32(str(i).encode()) % 5]
+    want = plain_ftrl(rows, 1, rates)
+    train = X.training_rows(d, labels)[0].orderBy("turn").collect()
+    assert [(r.text, r.toxic) for r in train] == rows
+    z, n = np.zeros(X._SIZE + X._BLOCK), np.zeros(X._SIZE + X._BLOCK)
+    model = X.Ftrl(z, n, rates)
+    for text, y in rows:
+        model.learn(np.append(X.distinct(*X.features([text.encode()]))[1], X._SIZE), y)
+    w = rates.weights(z, n)
+    got = X.score(d, (np.flatnonzero(w[: X._SIZE]), w[np.flatnonzero(w[: X._SIZE])], w[X._SIZE])).collect()
+    texts = {i: t for i, t, _ in docs}
+    for r in got:
+        assert abs(r.score - want(texts[r.doc_id])) < 1e-9
+    spread = X.score(d, X.train(d, labels, rounds=1, rates=rates)).collect()  # states travel in single precision
+    assert max(abs(a.score - want(texts[a.doc_id])) for a in spread) < 1e-3
+
+
+def test_shards_find_the_words(spark):
+    docs = corpus(1500)
+    d, labels = frames(spark, docs)
+    assert X.training_rows(d, labels, shard_rows=200)[1] > 3
+    got = {r.doc_id: r.score for r in X.score(d, X.train(d, labels, shard_rows=300, rates=X.Rates(l1=3.0))).collect()}
+    held = [(got[i], y) for i, _, y in docs if zlib.crc32(str(i).encode()) % 5 == 0]
+    assert sum((s >= 0.5) == bool(y) for s, y in held) / len(held) > 0.97
+
+
+def test_held_out_labels_are_not_used(spark):
+    docs = corpus(200)
+    d, labels = frames(spark, docs)
+    other = labels.withColumn("toxic", F.when(X.held_out(), 1 - F.col("toxic")).otherwise(F.col("toxic")))
+    a, b = X.train(d, labels), X.train(d, other)
+    assert all(np.array_equal(x, y) for x, y in zip(a, b, strict=True))
+
+
+def test_edge_cases(spark):
+    docs = corpus(60) + [(1000, None, 1), (1001, "", 0), (1002, "word " * 400_000, 0), (None, "vile", 1), (1003, "vile", None), (5, "again", 0)]
+    d, labels = frames(spark, docs)
+    labels = labels.unionByName(spark.createDataFrame([(7, None), (7, 1), (99999, 1)], "doc_id long, toxic int"))
+    model = X.train(d, labels)
+    rows = X.score(d, model).collect()
+    assert len(rows) == len(docs) and all(0 <= r.score <= 1 for r in rows)
+    bias = X.probability(np.array(model[2]))
+    assert all(abs(r.score - bias) < 1e-12 for r in rows if r.doc_id in (1000, 1001))
+    assert X.score(d.limit(0), model).count() == 0
+    assert all(r.score == 0 for r in X.score(d, X.train(d, labels.limit(0))).collect())
+    assert all(r.score == 0 for r in X.score(d, X.train(d.limit(0), labels)).collect())
+
+
+def test_features_of_a_piece_do_not_cross_texts():
+    one = [X.distinct(*X.features([t]))[1] for t in (b"a b c", b"", b"B, a")]
+    owner, at = X.distinct(*X.features([b"a b c", b"", b"B, a"]))
+    assert [at[owner == i].tolist() for i in range(3)] == [x.tolist() for x in one]
+    assert [len(x) for x in one] == [len(plain_features(t)) for t in ("a b c", "", "B, a")]
+
+
+def test_held_out_accuracy_on_the_tables(spark):
+    rows = (X.op13_toxicity(spark, MID).where("held_out").join(spark.read.parquet(f"{MID}/labels.parquet"), "doc_id").collect())
+    right = sum(r.predicted == r.toxic for r in rows) / len(rows)
+    ranks = sorted(rows, key=lambda r: r.score)
+    positive = [k for k, r in enumerate(ranks) if r.toxic]
+    auc = (sum(positive) / len(positive) - (len(positive) - 1) / 2) / (len(rows) - len(positive))
+    assert len(rows) > 500 and right > 0.95 and auc > 0.95
+    small = X.op13_toxicity(spark, SMALL)
+    assert small.columns == ["doc_id", "held_out", "score", "predicted"] and small.count() == 200
