@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from fuelsight.llm.alignment import op11_tokenizer_alignment
 from fuelsight.llm.chat import ORACLE as CHAT_ORACLE
 from fuelsight.llm.chat import op8_chat_formatting
 from fuelsight.llm.decontaminate import op1_benchmark_decontamination
@@ -30,6 +31,7 @@ QUERIES = {
     "op8_chat_formatting": op8_chat_formatting,
     "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
     "op10_lm_scoring": op10_lm_scoring,
+    "op11_tokenizer_alignment": op11_tokenizer_alignment,
     "op12_fill_in_middle": op12_fill_in_middle,
     "op13_toxicity": op13_toxicity,
 }
