@@ -96,21 +96,27 @@ class Tokenizers:
             cuts.append(m.start() + 2)
             at = m.start() + _PART
         ends = [c - 1 for c in cuts[1:]] + [len(text)]
-        return [text[a:b].decode("utf-8", "replace") for a, b in zip(cuts, ends, strict=True)]
-
-    def encode(self, text: bytes) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of A and of B, both empty where one of them does not spell space + text."""
-        none = np.zeros(0, np.int32)
-        if not text:
-            return none, none
-        parts = self.parts(text)
-        a = [self.encode_a(p) for p in parts]
-        if b"".join(map(self.a_bytes.__getitem__, chain.from_iterable(a))) != b" " + text:
-            return none, none
-        b = self.b.encode(parts, num_threads=1)
-        if b"".join(map(self.b_bytes.__getitem__, chain.from_iterable(b))) != b" " + text:
-            return none, none
-        return tuple(np.fromiter(chain.from_iterable(x), np.int32, sum(map(len, x))) for x in (a, b))
+        return [text[a:b].decode() for a, b in zip(cuts, ends, strict=True)]
+
+    def encode(self, texts: list[bytes]) -> tuple[np.ndarray, ...]:
+        """Ids of A and of B of all texts and how many each text has, none where one of the two does not spell space + text."""
+        parts, ends = [], []
+        for t in texts:
+            try:
+                parts += self.parts(t) if t else []
+            except UnicodeDecodeError:  # A would spell something else
+                pass
+            ends.append(len(parts))
+        a, b = [self.encode_a(p) for p in parts], self.b.encode(parts, num_threads=1)
+        for lo, hi, text in zip([0, *ends], ends, texts, strict=False):
+            # entries of A stand for every byte, so A spells whatever is UTF-8
+            if hi > lo and b"".join(map(self.b_bytes.__getitem__, chain.from_iterable(b[lo:hi]))) != b" " + text:
+                a[lo:hi], b[lo:hi] = [()] * (hi - lo), [()] * (hi - lo)
+        out = []
+        for ids in (a, b):
+            lengths = np.fromiter(map(len, ids), np.int64, len(ids))
+            out += [np.fromiter(chain.from_iterable(ids), np.int32, lengths.sum()), np.diff(np.cumsum(np.append(0, lengths))[[0, *ends]])]
+        return tuple(out)
 
 
 _WORKER: dict[tuple[str, str, str], Tokenizers] = {}
@@ -151,11 +157,7 @@ class Aligned:
 
     def __init__(self, texts: list[bytes], tok: Tokenizers):
         self.tok = tok
-        found = [tok.encode(t) for t in texts]
-        self.n_a, self.n_b = (np.array([len(x[k]) for x in found], np.int64) for k in (0, 1))
-        empty = [np.zeros(0, np.int32)]
-        self.a, self.b = (np.concatenate(empty + [x[k] for x in found]) for k in (0, 1))
-        del found
+        self.a, self.n_a, self.b, self.n_b = tok.encode(texts)
         self.first_a, self.first_b = (np.cumsum(np.append(0, n)) for n in (self.n_a, self.n_b))
         lanes = -(-self.n_a // LANE)
         step = np.arange(lanes.sum()) - np.repeat(np.cumsum(lanes) - lanes, lanes)
@@ -177,11 +179,10 @@ class Aligned:
         """Each text's groups written out: ``a1,a2|b1;a3|b2,b3``."""
         n, total = self.tok.n_written, len(self.a) + len(self.b)
         code = np.zeros(total, np.int32)
-        group_a = np.searchsorted(self.cut_a, np.arange(len(self.a)))  # the group of each token
-        group_b = np.searchsorted(self.cut_b, np.arange(len(self.b)))
         last_a, last_b = np.zeros(len(self.a), bool), np.zeros(len(self.b), bool)
         last_a[self.cut_a] = True
         last_b[self.cut_b] = True
+        group_a, group_b = (np.cumsum(x) - x for x in (last_a, last_b))  # the group of each token
         before_b = np.append(0, self.cut_b + 1)  # B tokens before a group
         code[np.arange(len(self.a)) + before_b[group_a]] = self.a + n * last_a
         code[np.arange(len(self.b)) + (self.cut_a + 1)[group_b]] = self.b + 2 * n * last_b
@@ -191,20 +192,11 @@ class Aligned:
 
     def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """``(text, pair, number)``: the distinct linked id pairs of each text, in order."""
+        size = len(self.tok.a_bytes) * len(self.tok.b_bytes)
         code = self.a[self.link_a].astype(np.int64) * len(self.tok.b_bytes) + self.b[self.link_b]
-        codes, which = sorted_distinct(code)
-        key = np.sort(self.owner[self.link_a] * np.int64(max(len(codes), 1)) + which)
+        key = np.sort(self.owner[self.link_a] * np.int64(size) + code)
         at = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else key
-        return key[at] // max(len(codes), 1), codes[key[at] % max(len(codes), 1)], np.diff(np.append(at, len(key)))
-
-
-def sorted_distinct(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct values and each element's place among them."""
-    order = np.argsort(x, kind="stable")
-    new = np.append(True, x[order][1:] != x[order][:-1]) if len(x) else np.zeros(0, bool)
-    place = np.zeros(len(x), np.int64)
-    place[order] = np.cumsum(new) - 1
-    return x[order][new], place
+        return key[at] // size, key[at] % size, np.diff(np.append(at, len(key)))
 
 
 def _files() -> tuple[str, str, str]:
@@ -251,7 +243,9 @@ def _chunked(files: tuple[str, str, str]):
                 x = Aligned(texts[lo:hi], tokenizers(files))
                 hashes = [hashlib.sha256(g).hexdigest() if n else "" for g, n in zip(x.groups(), x.n_a, strict=True)]
                 owner, pair, number = x.pairs()
-                pairs, place = sorted_distinct(pair)
+                pairs = np.sort(pair)
+                pairs = pairs[np.append(True, pairs[1:] != pairs[:-1])] if len(pairs) else pairs
+                place = np.searchsorted(pairs, pair)
                 counts = np.bincount(place, number, len(pairs)).astype(np.int64)
                 ends = np.searchsorted(owner, np.arange(hi - lo), side="right")
                 lists = [ids.slice(lo, hi - lo), *(pa.array(getattr(x, c), pa.int64()) for c in _LONGS), pa.array(hashes, pa.string()),
