@@ -25,7 +25,8 @@ from ..session import scratch_path
 from ..sources.readers import read_range, read_signals
 from ..sources.sinks import JSON_TS_OPTIONS, etl_job, to_json_lines, write_by_date, write_kpi
 from ..streaming.detectors import fuel_summary, low_fuel_alerts, low_fuel_windows, run_detectors, stream_signals
-from ..streaming.refuel import refuel_events, refuel_events_stream
+from ..streaming.refuel import refuel_events_stream
+from ..streaming.replay import refuel_events
 from .jobs import fill_job, km_job
 
 Query = Callable[[SparkSession, str], DataFrame]

@@ -18,8 +18,7 @@ reading of each step, as the streaming job did per micro-batch.  The newest
 step stays open (in the state) until a reading of a later step arrives; the
 batch replay leaves it open as well, so both forms emit the same events.
 
-Batch replay runs the machine over (vehicle, chunk of time) pieces in parallel and mends the
-pieces whose entry state was guessed wrong (:func:`refuel_events`).  The streaming form uses
+Batch replay composes summaries of (vehicle, chunk of time) pieces (:mod:`.replay`).  The streaming form uses
 ``applyInPandasWithState`` with the same machine; ``read_stream(max_per_trigger=...)`` bounds a micro-batch.
 """
 
@@ -29,13 +28,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..operators.wide import epoch_micros
-from ..session import scratch_path
 
 OUT_SCHEMA = ("vin string, fuel_mass double, fill_amount double, "
               "fill_start_time timestamp_ntz, fill_end_time timestamp_ntz, "
@@ -149,109 +146,6 @@ def level_samples(df: DataFrame, step: str | None) -> DataFrame:
             .drop("_step"))
 
 
-_CHUNK_STATE = ["n", "f", "f_t", "l3", "l2", "l", "l_t"]
-_CHUNK_FIELDS = pa.schema([
-    ("vin", pa.string()), ("chunk", pa.int64()), ("n", pa.int64()), ("f", pa.float64()), ("f_t", pa.int64()), ("l3", pa.float64()),
-    ("l2", pa.float64()), ("l", pa.float64()), ("l_t", pa.int64()),
-    ("entry", pa.struct([(c, pa.int64() if c in ("n", "f_t", "l_t") else pa.float64()) for c in _CHUNK_STATE])),
-    ("events", pa.list_(pa.struct([("fuel_mass", pa.float64()), ("fill_amount", pa.float64()), ("start_us", pa.int64()), ("end_us", pa.int64())])))])
-_CHUNK_SCHEMA = ("vin string, chunk long, n long, f double, f_t long, l3 double, l2 double, l double, l_t long, "
-                 "entry struct<n long, f double, f_t long, l3 double, l2 double, l double, l_t long>, events array<struct<fuel_mass double, fill_amount double, start_us long, end_us long>>")
-
-
-def _plain_state(m: RefuelMachine) -> tuple:
-    """The part of the state that later readings can see (an empty buffer has none)."""
-    if m.n == 0:
-        return (0, 0.0, 0, 0.0, 0.0, 0.0, 0)
-    return (m.n, m.f, m.f_t, m.l3 if m.n > 2 else 0.0, m.l2 if m.n > 1 else 0.0, m.l, m.l_t)
-
-
-def _replay_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row per (vehicle, chunk): its events and the state after it; rows arrive clustered by chunk and sorted by time."""
-    key, machine, events, done, entry = None, None, [], [], None
-
-    def close():
-        done.append((*key, *_plain_state(machine), entry,
-                     [{"fuel_mass": e[0], "fill_amount": e[1], "start_us": e[2], "end_us": e[3]} for e in events]))
-
-    def give():
-        out = pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*done), _CHUNK_FIELDS)], schema=_CHUNK_FIELDS)
-        done.clear()
-        return out
-
-    for b in batches:
-        vins, chunks = b.column("vin").to_pylist(), b.column("chunk").to_pylist()
-        t_us, levels = b.column("t_us").to_numpy(), b.column("level").to_numpy()
-        cuts = [i for i in range(1, len(vins)) if vins[i] != vins[i - 1] or chunks[i] != chunks[i - 1]]
-        for i, j in zip([0, *cuts] if vins else [], [*cuts, len(vins)]):
-            if (vins[i], chunks[i]) != key:
-                if key is not None:
-                    close()
-                key, events = (vins[i], chunks[i]), []
-                entry = {c: b.column(c)[i].as_py() for c in _CHUNK_STATE}
-                machine = RefuelMachine((*entry.values(), None, None, None))
-            events += machine.push(t_us[i:j], levels[i:j], None)
-        if len(done) > 1000:
-            yield give()
-    if key is not None:
-        close()
-    if done:
-        yield give()
-
-
-def refuel_events(signals: DataFrame, step: str | None = "5 seconds", chunk_seconds: int = 86_400) -> DataFrame:
-    """T8 batch replay: refuel events of every vehicle (D26: each emitted once).
-
-    The rule depends on all earlier readings, but the buffer is emptied often, and from
-    then on what came before does not matter.  So every (vehicle, chunk of time)
-    is replayed for itself from an empty buffer; a chunk whose predecessor turns
-    out to end with a different state is replayed again from that state, until no
-    entry state changes.  After ``k`` rounds the first ``k`` chunks of every vehicle are
-    right, and usually all of them after two.  A vehicle with a third of all
-    readings is spread over as many tasks as it has chunks, and a
-    task holds one Arrow batch, a seven-number state and a chunk's events.
-
-    The samples and each round's results are written to the shared folder; the
-    rounds run when this is called.
-    """
-    spark = signals.sparkSession
-
-    def stage(df: DataFrame, name: str) -> DataFrame:
-        path = scratch_path(spark, name)
-        df.write.parquet(path)
-        return spark.read.schema(df.schema).parquet(path)
-
-    samples = level_samples(signals, step)
-    if step is not None:  # the newest step of a vehicle stays open
-        newest = samples.groupBy("vin").agg(F.max("t_us").alias("_newest"))
-        samples = samples.join(newest, "vin").where(F.col("t_us") < F.col("_newest")).drop("_newest")
-    samples = stage(samples.withColumn("chunk", F.floor(F.col("t_us") / (chunk_seconds * 1_000_000))), "refuel-levels")
-
-    def replay(rows: DataFrame) -> DataFrame:
-        ordered = rows.repartition("vin", "chunk").sortWithinPartitions("vin", "chunk", "t_us", "level")
-        return stage(ordered.mapInArrow(_replay_chunks, _CHUNK_SCHEMA), "refuel-round")
-
-    empty = [F.lit(0 if c in ("n", "f_t", "l_t") else 0.0).cast("long" if c in ("n", "f_t", "l_t") else "double").alias(c) for c in _CHUNK_STATE]
-    latest = replay(samples.select("*", *empty))
-    before = Window.partitionBy("vin").orderBy("chunk")  # one row per vehicle and chunk, not its readings
-    while True:
-        ended = F.struct(*_CHUNK_STATE)
-        entry = latest.select("vin", "chunk", "entry", F.lag(ended).over(before).alias("_e"))
-        changed = stage(entry.where("_e IS NOT NULL AND _e <> entry").select("vin", "chunk", "_e.*"), "refuel-changed")
-        if changed.isEmpty():
-            break
-        again = replay(samples.join(changed, ["vin", "chunk"]))
-        latest = stage(latest.join(changed.select("vin", "chunk"), ["vin", "chunk"], "left_anti").unionByName(again), "refuel-latest")
-    return latest.select("vin", F.inline("events")).select(
-        "vin", "fuel_mass", "fill_amount", _wall("start_us").alias("fill_start_time"), _wall("end_us").alias("fill_end_time"),
-        F.lit(0.0).alias("gps_latitude"), F.lit(0.0).alias("gps_longitude"))
-
-
-def _wall(micros: str) -> Column:
-    """A wall-clock timestamp from its microseconds, not through the session's zone."""
-    return F.timestamp_add("MICROSECOND", F.col(micros), F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
-
-
 def refuel_events_stream(signals_stream: DataFrame, step: str | None = "5 seconds") -> DataFrame:
     """T8 streaming form: same machine, state kept per vehicle between micro-batches."""
     us = _step_us(step)

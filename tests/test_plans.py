@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from conftest import SF_SMALL
 from fuelsight import fixtures as FX
 from fuelsight.operators import algebra, fills, kpi
-from fuelsight.streaming.refuel import refuel_events
+from fuelsight.streaming.replay import refuel_events
 
 PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas", "PythonUDF")
 
@@ -50,19 +50,20 @@ def test_other_fuel_is_one_shuffle(spark):
     assert "Join" not in plan
 
 
-def test_refuel_replay_is_done_before_its_result_is_read(spark):
+def test_refuel_replay_shuffles_steps_then_readings_then_summaries(spark):
     plan = plan_of(refuel_events(FX.load(spark, SF_SMALL)["signals"], "5 seconds"))
-    assert "Python" not in plan and "InArrow" not in plan and "Sort [vin" not in plan
+    assert plan.count("MapInArrow") == 2 and plan.count("Exchange hashpartitioning") == 3
+    assert "Join" not in plan and "Window" not in plan
 
 
 def test_refuel_replay_spreads_a_hot_vehicle(spark, tmp_path):
     """One vehicle with all levels: its chunks are replayed by many tasks."""
-    from fuelsight.streaming import refuel
+    from fuelsight.streaming import replay
     levels = spark.range(20000).select(F.lit("V1").alias("vin"), (F.col("id") * 60_000_000).alias("t_us"), F.lit(1.0).alias("level"))
     dealt = levels.withColumn("chunk", F.floor(F.col("t_us") / 86_400_000_000)).repartition(8, "vin", "chunk")
     share = dealt.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0] / 20000
     assert share < 0.5
-    assert "repartition(\"vin\", \"chunk\")" in inspect.getsource(refuel.refuel_events)
+    assert "\"vin\", \"chunk\").sortWithin" in inspect.getsource(replay.chunk_summaries)
 
 
 def test_fill_interval_join_has_day_equi_key(spark):

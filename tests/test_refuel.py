@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from conftest import SF_MID, SF_SMALL, T
 from fuelsight import fixtures as FX
 from fuelsight import schemas as S
-from fuelsight.streaming.refuel import RefuelMachine, refuel_events, refuel_events_stream
+from fuelsight.streaming.refuel import RefuelMachine, refuel_events_stream
+from fuelsight.streaming.replay import refuel_events
 
 
 def run(levels, step_us=None, spacing_us=1_000_000):
