@@ -21,12 +21,13 @@ from ..functions.timefmt import date_of_parts, date_string, epoch_millis, parse_
 from ..operators import algebra, fills, incremental, kpi
 from ..operators.etl import drop_future_readings, explode_envelopes
 from ..operators.wide import epoch, epoch_micros, to_second_rows
-from ..session import scratch_path
+from ..session import scratch_path, stateful_conf
 from ..sources.readers import read_range, read_signals
 from ..sources.sinks import JSON_TS_OPTIONS, etl_job, to_json_lines, write_by_date, write_kpi
 from ..streaming.detectors import fuel_summary, low_fuel_alerts, low_fuel_windows, run_detectors, stream_signals
 from ..streaming.refuel import refuel_events_stream
 from ..streaming.replay import refuel_events
+from ..streaming.timed import low_fuel_panes, low_fuel_panes_stream, refuel_events_timed
 from .jobs import fill_job, km_job
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -384,6 +385,48 @@ def q_refuel_stream(spark, sf_dir):
     return _streamed(spark, refuel_events_stream(src, step=None), "refuel")
 
 
+def _arriving(spark, df, name, parts=4):
+    """``df`` as a stream whose readings come up to 12 hours late, each by its own delay, in some micro-batches of 8 files."""
+    path = scratch_path(spark, name)
+    late = F.pmod(F.xxhash64("vin", "ts"), F.lit(12 * 3600))
+    arrival = epoch_micros("ts") + late * 1_000_000
+    lo, hi = df.where("vin <> 'closing'").agg(F.min(arrival), F.max(arrival)).first()
+    step = (hi - lo) // parts + 1 if lo is not None else 1
+    part = F.least((arrival - F.lit(lo)) / step, F.lit(parts - 1)).cast("int")
+    for i in range(parts):
+        df.where(part == i).repartition(8).write.mode("append").parquet(path)
+    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 8).parquet(path)
+
+
+def _with_timers(spark, df, name):
+    """As :func:`_streamed`, with the state store that timers need."""
+    before = {k: spark.conf.get(k, None) for k in stateful_conf()}
+    for k, v in stateful_conf().items():
+        spark.conf.set(k, v)
+    try:
+        return _streamed(spark, df, name)
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def q_refuel_timed(step):
+    def run(spark, sf_dir):
+        src = _arriving(spark, _closing(spark, sf_dir), "late-levels")
+        return _with_timers(spark, refuel_events_timed(src, step, delay="13 hours"), "refuel-timed")
+    return run
+
+
+def q_low_fuel_panes(spark, sf_dir):
+    """360 windows overlap."""
+    return low_fuel_panes(_signals(spark, sf_dir), "6 hours", "1 minute", 20.0)
+
+
+def q_low_fuel_panes_stream(spark, sf_dir):
+    src = _arriving(spark, _closing(spark, sf_dir), "late-levels")
+    return _with_timers(spark, low_fuel_panes_stream(src, "6 hours", "2 hours", 20.0, delay="13 hours"), "low-fuel-panes")
+
+
 def q_run_detectors(spark, sf_dir):
     """The runner over an envelope stream; its refuel alerts."""
     raw = _stream(spark, _fx(spark, sf_dir)["envelopes"], "envelopes-in")
@@ -479,6 +522,10 @@ QUERIES: dict[str, Query] = {
     "refuel_events_nulls": q_refuel_nulls,
     "refuel_events_stream": q_refuel_stream,
     "low_fuel_windows_stream": q_low_fuel_stream,
+    "refuel_events_timed": q_refuel_timed(None),
+    "refuel_events_timed_steps": q_refuel_timed("5 seconds"),
+    "low_fuel_panes": q_low_fuel_panes,
+    "low_fuel_panes_stream": q_low_fuel_panes_stream,
     "fuel_summary_stream": q_fuel_summary_stream,
     "detector_refuel_alerts": q_run_detectors,
     "low_fuel_windows_short": q_low_fuel_short,
@@ -492,7 +539,7 @@ DENSE = ["idle_fuel_day", "idle_fuel_km", "driving_fuel_day", "driving_fuel_km",
          "aircon_fuel_km", "total_fuel_day", "mileage_day", "total_fuel_km", "total_fuel_km_full", "daily_kpis", "daily_kpis_range", "km_kpis",
          "other_fuel_day", "other_fuel_km", "lifetime_totals", "avg_fuel_per_100km", "after_checkpoint", "assign_fill_interval",
          "assign_fill_interval_asof", "cost_per_km", "economy_ranking", "average_speed", "fuel_heating", "fill_kpis", "km_job_rerun",
-         "low_fuel_windows", "low_fuel_windows_short", "fuel_summary", "fuel_summary_short", "refuel_events", "refuel_events_steps"]
+         "low_fuel_windows", "low_fuel_windows_short", "low_fuel_panes", "fuel_summary", "fuel_summary_short", "refuel_events", "refuel_events_steps"]
 
 
 def _on_dense(query: Query) -> Query:

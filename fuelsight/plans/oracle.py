@@ -391,6 +391,12 @@ FROM ng WHERE data_value IS NOT NULL""",
     "refuel_events_nulls": SQL["refuel_events"],
     "refuel_events_stream": SQL["refuel_events"],
     "low_fuel_windows_stream": SQL["low_fuel_windows"],
+    "refuel_events_timed": SQL["refuel_events"],
+    "refuel_events_timed_steps": SQL["refuel_events_steps"].replace(" WHERE rn < cnt", ""),  # time closes the newest step too
+    "low_fuel_panes": _window_sql(360, 1, 60) + """
+SELECT vin, window_start, window_start + INTERVAL 6 HOUR AS window_end, avg(value) AS avg_level
+FROM lw GROUP BY vin, window_start HAVING avg(value) < 20""",
+    "low_fuel_panes_stream": SQL["low_fuel_windows"],
     "fuel_summary_stream": SQL["fuel_summary"],
     "detector_refuel_alerts": _refuel(False, "FROM signals s SEMI JOIN (SELECT vin, ts FROM ev WHERE et <> 'click') k ON s.vin = k.vin AND s.ts = k.ts")
     .replace(", cast(0 AS double) AS gps_latitude, cast(0 AS double) AS gps_longitude", "")
@@ -410,7 +416,8 @@ DENSE_BODY = {
     "refuel_events_steps": _refuel(True).replace("stype = 'fuelLevel'", "stype = 'fuelLevel' AND value IS NOT NULL"),
 }
 
-RECURSIVE = {"refuel_events", "refuel_events_steps", "refuel_events_nulls", "refuel_events_stream", "detector_refuel_alerts"}
+RECURSIVE = {"refuel_events", "refuel_events_steps", "refuel_events_nulls", "refuel_events_stream", "refuel_events_timed", "refuel_events_timed_steps",
+             "detector_refuel_alerts"}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -75,10 +75,15 @@ def stream_conf(executors: int = 1000, cores_per_executor: int = 4) -> dict[str,
     micro-batch opens and commits, so there are a fraction of a store per core,
     not three partitions.
     """
-    return {**cluster_conf(executors, cores_per_executor),
+    return {**cluster_conf(executors, cores_per_executor), **stateful_conf(),
             "spark.sql.shuffle.partitions": str(max(8, executors * cores_per_executor // 8))}
 
 
+def stateful_conf() -> dict[str, str]:
+    """What the detectors with timers need: a state store that holds several states per vehicle, and keeps them off the heap."""
+    return {"spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"}
+
+
 def cluster_conf(executors: int = 1000, cores_per_executor: int = 4) -> dict[str, str]:
     """Settings we recommend for the 100 TB runs (pass to ``SparkSession.builder.config``).
 
