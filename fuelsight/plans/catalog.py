@@ -22,7 +22,8 @@ from ..operators import algebra, fills, incremental, kpi
 from ..operators.etl import drop_future_readings, explode_envelopes
 from ..operators.wide import epoch, epoch_micros, to_second_rows
 from ..session import scratch_path, stateful_conf
-from ..sources.readers import read_range, read_signals
+from ..sources.log import append_log, drain, ends, read_log
+from ..sources.readers import parse_signals, read_range, read_signals
 from ..sources.sinks import JSON_TS_OPTIONS, etl_job, to_json_lines, write_by_date, write_kpi
 from ..streaming.detectors import fuel_summary, low_fuel_alerts, low_fuel_windows, run_detectors, stream_signals
 from ..streaming.refuel import refuel_events_stream
@@ -427,6 +428,21 @@ def q_low_fuel_panes_stream(spark, sf_dir):
     return _with_timers(spark, low_fuel_panes_stream(src, "6 hours", "2 hours", 20.0, delay="13 hours"), "low-fuel-panes")
 
 
+def q_log_stream(spark, sf_dir):
+    """Tank levels through the log source: appended to four partitions, read back in at least four capped batches."""
+    levels = _signals(spark, sf_dir).where(F.col("stype") == S.FUEL_LEVEL)
+    log, out = scratch_path(spark, "log"), scratch_path(spark, "log-out")
+    value = F.to_json(F.struct("vin", "ts", "stype", "value"), JSON_TS_OPTIONS)
+    append_log(levels, log, F.substring("vin", -5, 5).cast("int") % 4, F.col("vin"), value, ("ts", "vin"), segment_rows=5000)
+    cap = max(ends(log).values(), default=0) // 4 + 1
+    rows = parse_signals(read_log(spark, log, group="levels", max_per_partition=cap), "value", ["partition", "offset"])
+    q = (rows.writeStream.format("parquet").option("path", out).option("checkpointLocation", scratch_path(spark, "log-offsets"))
+         .trigger(processingTime="0 seconds").start())
+    drain(q, log)
+    q.stop()
+    return spark.read.schema(rows.schema).parquet(out)
+
+
 def q_run_detectors(spark, sf_dir):
     """The runner over an envelope stream; its refuel alerts."""
     raw = _stream(spark, _fx(spark, sf_dir)["envelopes"], "envelopes-in")
@@ -522,6 +538,7 @@ QUERIES: dict[str, Query] = {
     "refuel_events_nulls": q_refuel_nulls,
     "refuel_events_stream": q_refuel_stream,
     "low_fuel_windows_stream": q_low_fuel_stream,
+    "log_stream": q_log_stream,
     "refuel_events_timed": q_refuel_timed(None),
     "refuel_events_timed_steps": q_refuel_timed("5 seconds"),
     "low_fuel_panes": q_low_fuel_panes,

@@ -391,6 +391,9 @@ FROM ng WHERE data_value IS NOT NULL""",
     "refuel_events_nulls": SQL["refuel_events"],
     "refuel_events_stream": SQL["refuel_events"],
     "low_fuel_windows_stream": SQL["low_fuel_windows"],
+    "log_stream": """SELECT cast(right(vin, 5) AS int) % 4 AS "partition",
+  row_number() OVER (PARTITION BY cast(right(vin, 5) AS int) % 4 ORDER BY ts, vin) - 1 AS "offset", vin, ts, stype, value
+FROM signals WHERE stype = 'fuelLevel'""",
     "refuel_events_timed": SQL["refuel_events"],
     "refuel_events_timed_steps": SQL["refuel_events_steps"].replace(" WHERE rn < cnt", ""),  # time closes the newest step too
     "low_fuel_panes": _window_sql(360, 1, 60) + """
