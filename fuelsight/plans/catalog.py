@@ -23,6 +23,7 @@ from ..operators.etl import drop_future_readings, explode_envelopes
 from ..operators.wide import epoch, epoch_micros, to_second_rows
 from ..session import scratch_path, stateful_conf
 from ..sources.log import append_log, drain, ends, read_log
+from ..sources.ranges import read_runs, write_run
 from ..sources.readers import parse_signals, read_range, read_signals
 from ..sources.sinks import JSON_TS_OPTIONS, etl_job, to_json_lines, write_by_date, write_kpi
 from ..streaming.detectors import fuel_summary, low_fuel_alerts, low_fuel_windows, run_detectors, stream_signals
@@ -428,6 +429,27 @@ def q_low_fuel_panes_stream(spark, sf_dir):
     return _with_timers(spark, low_fuel_panes_stream(src, "6 hours", "2 hours", 20.0, delay="13 hours"), "low-fuel-panes")
 
 
+def _in_runs(spark, sf_dir):
+    """The hourly versions of :func:`q_read_range` as a key-ordered table of three runs."""
+    ev = FX.read_table(spark, sf_dir, "events")
+    hours = F.floor(epoch_micros("ts") / 3_600_000_000)
+    table = ev.select(FX.vin_of(F.col("user_id")).alias("vin"), F.timestamp_add("HOUR", hours, epoch()).alias("bucket_ts"),
+                      F.col("event_id").alias("version"), "value")
+    path = scratch_path(spark, "runs")
+    for i in range(3):  # three loads, each with a third of the versions
+        write_run(table.where(F.col("version") % 3 == i), path, ts_col="bucket_ts")
+    return path
+
+
+def q_read_runs(spark, sf_dir):
+    return read_runs(spark, _in_runs(spark, sf_dir), "2024-01-05", "2024-01-25")
+
+
+def q_read_runs_keys(spark, sf_dir):
+    """A scan from vehicle to vehicle, as the table store's key range."""
+    return read_runs(spark, _in_runs(spark, sf_dir), "2024-01-05", "2024-01-25", key_from="VIN00020", key_to="VIN00060")
+
+
 def q_log_stream(spark, sf_dir):
     """Tank levels through the log source: appended to four partitions, read back in at least four capped batches."""
     levels = _signals(spark, sf_dir).where(F.col("stype") == S.FUEL_LEVEL)
@@ -539,6 +561,8 @@ QUERIES: dict[str, Query] = {
     "refuel_events_stream": q_refuel_stream,
     "low_fuel_windows_stream": q_low_fuel_stream,
     "log_stream": q_log_stream,
+    "read_runs": q_read_runs,
+    "read_runs_keys": q_read_runs_keys,
     "refuel_events_timed": q_refuel_timed(None),
     "refuel_events_timed_steps": q_refuel_timed("5 seconds"),
     "low_fuel_panes": q_low_fuel_panes,

@@ -391,6 +391,8 @@ FROM ng WHERE data_value IS NOT NULL""",
     "refuel_events_nulls": SQL["refuel_events"],
     "refuel_events_stream": SQL["refuel_events"],
     "low_fuel_windows_stream": SQL["low_fuel_windows"],
+    "read_runs": SQL["read_range"],
+    "read_runs_keys": f"""SELECT * FROM ({SQL["read_range"]}) WHERE vin >= 'VIN00020' AND vin < 'VIN00060'""",
     "log_stream": """SELECT cast(right(vin, 5) AS int) % 4 AS "partition",
   row_number() OVER (PARTITION BY cast(right(vin, 5) AS int) % 4 ORDER BY ts, vin) - 1 AS "offset", vin, ts, stype, value
 FROM signals WHERE stype = 'fuelLevel'""",
