@@ -22,6 +22,7 @@ from ..operators import algebra, fills, incremental, kpi
 from ..operators.etl import drop_future_readings, explode_envelopes
 from ..operators.wide import epoch, epoch_micros, to_second_rows
 from ..session import scratch_path, stateful_conf
+from ..sources.commits import Store
 from ..sources.log import append_log, drain, ends, read_log
 from ..sources.ranges import read_runs, write_run
 from ..sources.readers import parse_signals, read_range, read_signals
@@ -30,6 +31,7 @@ from ..streaming.detectors import fuel_summary, low_fuel_alerts, low_fuel_window
 from ..streaming.refuel import refuel_events_stream
 from ..streaming.replay import refuel_events
 from ..streaming.timed import low_fuel_panes, low_fuel_panes_stream, refuel_events_timed
+from . import commit_jobs
 from .jobs import fill_job, km_job
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -324,6 +326,55 @@ def q_fill_job(spark, sf_dir):
     return spark.read.parquet(out).select("vin", "gas_id", "fill_grade", "fill_date", "data_key", "data_value")
 
 
+def _broken_off(store, marks, job):
+    """A run whose last write fails, then two that do not: the first changes nothing, the second finds nothing new."""
+    def fail(name, text):
+        raise InterruptedError(name)
+
+    commit_jobs.start_marks(store, *marks)
+    store.put_new, put_new = fail, store.put_new
+    try:
+        job()
+    except InterruptedError:
+        pass
+    store.put_new = put_new
+    for _ in range(2):
+        job()
+
+
+def q_km_commit(spark, sf_dir):
+    fx, store = _fx(spark, sf_dir), Store(spark, scratch_path(spark, "km-store"))
+    _broken_off(store, (commit_jobs.KM_MARKS, fx["km_checkpoint"]), lambda: commit_jobs.km_commit_job(fx["signals"], store))
+    return store.read(commit_jobs.KM_FACTS).select("vin", "mileage", "data_key", "data_value")
+
+
+def q_fill_commit(spark, sf_dir):
+    fx, store = _fx(spark, sf_dir), Store(spark, scratch_path(spark, "fill-store"))
+    _broken_off(store, (commit_jobs.FILL_MARKS, fx["processed_fills"]), lambda: commit_jobs.fill_commit_job(fx["signals"], fx["fills"], store))
+    return store.read(commit_jobs.FILL_FACTS).select("vin", "gas_id", "fill_grade", "fill_date", "data_key", "data_value")
+
+
+def q_lifetime_incremental(spark, sf_dir):
+    """Totals after all days with doubled values, then each half of the days replaced by the right ones."""
+    facts, store = kpi.daily_kpis(_signals(spark, sf_dir)), Store(spark, scratch_path(spark, "attr-store"))
+    commit_jobs.lifetime_commit_job(facts.withColumn("data_value", F.col("data_value") * 2), store)
+    for half in range(2):
+        commit_jobs.lifetime_commit_job(facts.where(F.dayofmonth("now_date") % 2 == half), store)
+    return commit_jobs.lifetime_of(store)
+
+
+def q_attr_upsert(spark, sf_dir):
+    """The newest value of each vehicle's attributes after three merges, which come in the wrong order."""
+    ev, store = FX.read_table(spark, sf_dir, "events"), Store(spark, scratch_path(spark, "upsert-store"))
+    rows = ev.select(FX.vin_of(F.col("user_id")).alias("vin"), F.col("event_type").alias("attribute_type"), F.col("value").alias("attribute_value"),
+                     F.col("event_id").alias("version"))
+    for i in (2, 0, 1):
+        tx = store.begin()
+        tx.upsert("attr", rows.where(F.col("version") % 3 == i), ("vin", "attribute_type"), "version")
+        tx.commit()
+    return store.read("attr")
+
+
 def q_ranking_null_grade(spark, sf_dir):
     fx = _fx(spark, sf_dir)
     cost = fills.cost_per_km(fx["signals"], fx["fills"], fx["processed_fills"])
@@ -560,6 +611,10 @@ QUERIES: dict[str, Query] = {
     "refuel_events_nulls": q_refuel_nulls,
     "refuel_events_stream": q_refuel_stream,
     "low_fuel_windows_stream": q_low_fuel_stream,
+    "km_commit_job": q_km_commit,
+    "fill_commit_job": q_fill_commit,
+    "lifetime_incremental": q_lifetime_incremental,
+    "attr_upsert": q_attr_upsert,
     "log_stream": q_log_stream,
     "read_runs": q_read_runs,
     "read_runs_keys": q_read_runs_keys,

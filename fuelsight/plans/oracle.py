@@ -384,6 +384,10 @@ WHERE ts >= timestamp '2024-01-05' AND ts < timestamp '2024-01-25' GROUP BY vin,
     "km_job_rerun": f"{_km_resumed()},\n" + _other("kr", "mileage", ["KM001", "KM002", "KM003", "KM004"], "KM005", 100)
     + "\nUNION ALL SELECT vin, mileage, data_key, data_value FROM kr",
     "fill_job_rerun": SQL["fill_kpis"],
+    "fill_commit_job": SQL["fill_kpis"],
+    "lifetime_incremental": SQL["lifetime_totals"],
+    "attr_upsert": """SELECT {VIN} AS vin, event_type AS attribute_type, arg_max(value, event_id) AS attribute_value, max(event_id) AS version
+FROM events GROUP BY ALL""".replace("{VIN}", "concat('VIN', lpad(cast(user_id as varchar),5,'0'))"),
     "economy_ranking_null_grade": f"""{COST_CTE},
 ng AS (SELECT * REPLACE (CASE WHEN gas_id % 4 <> 0 THEN fill_grade END AS fill_grade) FROM cost)
 SELECT vin, gas_id, fill_grade, fill_date, data_value AS cost_per_km, rank() OVER (PARTITION BY fill_grade ORDER BY data_value) AS rank
@@ -415,6 +419,8 @@ SELECT window_start, 'lowFuel' AS msg_type, vin, 'currentFuel' AS para_type, avg
 FROM lw GROUP BY vin, window_start HAVING avg(value) < 20""",
 }
 
+SQL["km_commit_job"] = SQL["km_job_rerun"]
+
 #: On the dense table levels may be null: the walk and the last level of a step leave those out.
 DENSE_BODY = {
     "refuel_events": _refuel(False).replace("stype = 'fuelLevel'", "stype = 'fuelLevel' AND value IS NOT NULL"),
