@@ -18,7 +18,7 @@ from .. import fixtures as FX
 from .. import schemas as S
 from ..functions.predicates import in_range
 from ..functions.timefmt import date_of_parts, date_string, epoch_millis, parse_ts, register_functions
-from ..operators import algebra, fills, incremental, kpi
+from ..operators import algebra, fills, incremental, kpi, zones
 from ..operators.etl import drop_future_readings, explode_envelopes
 from ..operators.wide import epoch, epoch_micros, to_second_rows
 from ..session import scratch_path, stateful_conf
@@ -363,6 +363,14 @@ def q_lifetime_incremental(spark, sf_dir):
     return commit_jobs.lifetime_of(store)
 
 
+def q_after_checkpoint_zoned(spark, sf_dir):
+    """The readings arrive in two loads; the resume reads the parts that the zone map names."""
+    fx, store = _fx(spark, sf_dir), Store(spark, scratch_path(spark, "signal-store"))
+    for half in range(2):
+        zones.add_signals(store, fx["signals"].where(F.dayofmonth("ts") % 2 == half), buckets=8)
+    return zones.after_checkpoint_zoned(store, fx["km_checkpoint"], S.INJECTION, buckets=8)
+
+
 def q_attr_upsert(spark, sf_dir):
     """The newest value of each vehicle's attributes after three merges, which come in the wrong order."""
     ev, store = FX.read_table(spark, sf_dir, "events"), Store(spark, scratch_path(spark, "upsert-store"))
@@ -615,6 +623,7 @@ QUERIES: dict[str, Query] = {
     "fill_commit_job": q_fill_commit,
     "lifetime_incremental": q_lifetime_incremental,
     "attr_upsert": q_attr_upsert,
+    "after_checkpoint_zoned": q_after_checkpoint_zoned,
     "log_stream": q_log_stream,
     "read_runs": q_read_runs,
     "read_runs_keys": q_read_runs_keys,

@@ -419,6 +419,7 @@ SELECT window_start, 'lowFuel' AS msg_type, vin, 'currentFuel' AS para_type, avg
 FROM lw GROUP BY vin, window_start HAVING avg(value) < 20""",
 }
 
+SQL["after_checkpoint_zoned"] = SQL["after_checkpoint"]
 SQL["km_commit_job"] = SQL["km_job_rerun"]
 
 #: On the dense table levels may be null: the walk and the last level of a step leave those out.
