@@ -23,9 +23,10 @@ from ..operators.etl import drop_future_readings, explode_envelopes
 from ..operators.wide import epoch, epoch_micros, to_second_rows
 from ..session import scratch_path, stateful_conf
 from ..sources.commits import Store
+from ..sources.discovery import discover, field_types, read_lines
 from ..sources.log import append_log, drain, ends, read_log
 from ..sources.ranges import read_runs, write_run
-from ..sources.readers import parse_signals, read_range, read_signals
+from ..sources.readers import parse_signals, read_range, read_signals, read_sql
 from ..sources.sinks import JSON_TS_OPTIONS, etl_job, to_json_lines, write_by_date, write_kpi
 from ..streaming.detectors import fuel_summary, low_fuel_alerts, low_fuel_windows, run_detectors, stream_signals
 from ..streaming.refuel import refuel_events_stream
@@ -371,6 +372,35 @@ def q_after_checkpoint_zoned(spark, sf_dir):
     return zones.after_checkpoint_zoned(store, fx["km_checkpoint"], S.INJECTION, buckets=8)
 
 
+def _dirty_lines(spark, sf_dir):
+    """Tank levels as JSON lines: by their minute broken, with the level quoted, no number, null, or lacking."""
+    levels = _signals(spark, sf_dir).where(F.col("stype") == S.FUEL_LEVEL)
+    minute, text = F.minute("ts"), F.col("value").cast("string")
+    level = (F.when(minute % 10 == 1, F.concat(F.lit(', "level": "'), text, F.lit('"'))).when(minute % 10 == 2, F.lit(', "level": "n/a"'))
+             .when(minute % 10 == 3, F.lit(', "level": null')).when(minute % 10 == 4, F.lit("")).otherwise(F.concat(F.lit(', "level": '), text)))
+    line = F.concat(F.lit('{"vin": "'), "vin", F.lit('", "minute": '), minute, F.lit(', "even": '), (minute % 2 == 0).cast("string"), level,
+                    F.when(minute % 10 == 0, F.lit("")).otherwise(F.lit("}")))
+    return levels.select(line.alias("value"))
+
+
+def q_schema_fields(spark, sf_dir):
+    return field_types(_dirty_lines(spark, sf_dir))
+
+
+def q_schema_typed(spark, sf_dir):
+    lines = _dirty_lines(spark, sf_dir)
+    rows, _ = read_lines(lines, discover(lines))
+    return rows.select("vin", "minute", "even", "level", F.size("drift").alias("drifted"))
+
+
+def q_sql_parameters(spark, sf_dir):
+    """The newest reading and the number of readings of a type from a time on, asked in SQL."""
+    return read_sql(spark, """SELECT vin, count(*) AS n, max(ts) AS newest, max(IDENTIFIER(:measure)) AS highest FROM IDENTIFIER(:source)
+        WHERE stype = :stype AND ts >= CAST(:start AS TIMESTAMP_NTZ) AND value >= :least GROUP BY vin""",
+                    {"measure": "value", "source": "fleet_signals", "stype": S.SPEED, "start": "2024-01-10 00:00:00", "least": 20.0},
+                    {"fleet_signals": _signals(spark, sf_dir)})
+
+
 def q_attr_upsert(spark, sf_dir):
     """The newest value of each vehicle's attributes after three merges, which come in the wrong order."""
     ev, store = FX.read_table(spark, sf_dir, "events"), Store(spark, scratch_path(spark, "upsert-store"))
@@ -623,6 +653,9 @@ QUERIES: dict[str, Query] = {
     "fill_commit_job": q_fill_commit,
     "lifetime_incremental": q_lifetime_incremental,
     "attr_upsert": q_attr_upsert,
+    "schema_fields": q_schema_fields,
+    "schema_typed": q_schema_typed,
+    "sql_parameters": q_sql_parameters,
     "after_checkpoint_zoned": q_after_checkpoint_zoned,
     "log_stream": q_log_stream,
     "read_runs": q_read_runs,

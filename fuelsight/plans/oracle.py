@@ -384,6 +384,17 @@ WHERE ts >= timestamp '2024-01-05' AND ts < timestamp '2024-01-25' GROUP BY vin,
     "km_job_rerun": f"{_km_resumed()},\n" + _other("kr", "mileage", ["KM001", "KM002", "KM003", "KM004"], "KM005", 100)
     + "\nUNION ALL SELECT vin, mileage, data_key, data_value FROM kr",
     "fill_job_rerun": SQL["fill_kpis"],
+    "schema_fields": """dl AS (SELECT minute(ts) AS m, minute(ts) % 10 AS d, value FROM signals WHERE stype = 'fuelLevel' AND minute(ts) % 10 <> 0)
+SELECT 'vin' AS key, 'string' AS type, count(*) AS n FROM dl HAVING count(*) > 0
+UNION ALL SELECT 'minute', 'whole', count(*) FROM dl HAVING count(*) > 0
+UNION ALL SELECT 'even', 'boolean', count(*) FROM dl HAVING count(*) > 0
+UNION ALL SELECT 'level', CASE d WHEN 1 THEN 'numeric_string' WHEN 2 THEN 'string' WHEN 3 THEN 'null' ELSE 'number' END, count(*)
+  FROM dl WHERE d <> 4 GROUP BY 2""",
+    "schema_typed": """SELECT vin, cast(minute(ts) AS bigint) AS minute, minute(ts) % 2 = 0 AS even,
+  CASE WHEN minute(ts) % 10 NOT IN (2, 3, 4) THEN value END AS level, cast(minute(ts) % 10 = 2 AS int) AS drifted
+FROM signals WHERE stype = 'fuelLevel' AND minute(ts) % 10 <> 0""",
+    "sql_parameters": """SELECT vin, count(*) AS n, max(ts) AS newest, max(value) AS highest FROM signals
+WHERE stype = 'drivingSpeed' AND ts >= timestamp '2024-01-10' AND value >= 20 GROUP BY vin""",
     "fill_commit_job": SQL["fill_kpis"],
     "lifetime_incremental": SQL["lifetime_totals"],
     "attr_upsert": """SELECT {VIN} AS vin, event_type AS attribute_type, arg_max(value, event_id) AS attribute_value, max(event_id) AS version

@@ -148,3 +148,13 @@ def register_views(spark: SparkSession, tables: dict[str, DataFrame]) -> list[st
     for name, df in tables.items():
         df.createOrReplaceTempView(name)
     return list(tables)
+
+
+def read_sql(spark: SparkSession, query: str, args: dict | None = None, tables: dict[str, DataFrame] | None = None) -> DataFrame:
+    """An ad-hoc query with named parameters over registered views.
+
+    ``:name`` in the query stands for a value of ``args``, typed and never spliced into the text, so a quote in it stays a
+    character; ``IDENTIFIER(:name)`` stands for a table or column name.  ``tables`` are registered as views first.
+    """
+    register_views(spark, tables or {})
+    return spark.sql(query, args=args or {})
