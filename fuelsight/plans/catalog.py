@@ -31,7 +31,7 @@ from ..sources.sinks import JSON_TS_OPTIONS, etl_job, to_json_lines, write_by_da
 from ..streaming.detectors import fuel_summary, low_fuel_alerts, low_fuel_windows, run_detectors, stream_signals
 from ..streaming.refuel import refuel_events_stream
 from ..streaming.replay import refuel_events
-from ..streaming.timed import low_fuel_panes, low_fuel_panes_stream, refuel_events_timed
+from ..streaming.timed import low_fuel_panes, low_fuel_panes_stream, refuel_events_timed, run_detectors_once
 from . import commit_jobs
 from .jobs import fill_job, km_job
 
@@ -489,13 +489,13 @@ def _arriving(spark, df, name, parts=4):
     return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 8).parquet(path)
 
 
-def _with_timers(spark, df, name):
-    """As :func:`_streamed`, with the state store that timers need."""
+def _with_timers(spark, run):
+    """``run()`` with the state store that timers need."""
     before = {k: spark.conf.get(k, None) for k in stateful_conf()}
     for k, v in stateful_conf().items():
         spark.conf.set(k, v)
     try:
-        return _streamed(spark, df, name)
+        return run()
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
@@ -504,7 +504,7 @@ def _with_timers(spark, df, name):
 def q_refuel_timed(step):
     def run(spark, sf_dir):
         src = _arriving(spark, _closing(spark, sf_dir), "late-levels")
-        return _with_timers(spark, refuel_events_timed(src, step, delay="13 hours"), "refuel-timed")
+        return _with_timers(spark, lambda: _streamed(spark, refuel_events_timed(src, step, delay="13 hours"), "refuel-timed"))
     return run
 
 
@@ -515,7 +515,8 @@ def q_low_fuel_panes(spark, sf_dir):
 
 def q_low_fuel_panes_stream(spark, sf_dir):
     src = _arriving(spark, _closing(spark, sf_dir), "late-levels")
-    return _with_timers(spark, low_fuel_panes_stream(src, "6 hours", "2 hours", 20.0, delay="13 hours"), "low-fuel-panes")
+    rows = low_fuel_panes_stream(src, "6 hours", "2 hours", 20.0, delay="13 hours")
+    return _with_timers(spark, lambda: _streamed(spark, rows, "low-fuel-panes"))
 
 
 def _in_runs(spark, sf_dir):
@@ -563,6 +564,24 @@ def q_run_detectors(spark, sf_dir):
     return spark.read.parquet(f"{out}/refuel").select("vin", "fuel_mass", "fill_amount", "fill_start_time", "fill_end_time")
 
 
+def q_detectors_once(spark, sf_dir):
+    """Both detectors over one scan of the envelope stream; a far later upload closes what is open."""
+    closing = """[{"ts": "2100-01-01 00:00:00", "stype": "fuelLevel", "value": 50.0}]"""
+    env = _fx(spark, sf_dir)["envelopes"]
+    last = spark.createDataFrame([("closing", "21000101000001000", closing)], env.schema)
+    raw, out = _stream(spark, env.unionByName(last), "envelopes-in"), scratch_path(spark, "alerts")
+
+    def run():
+        run_detectors_once(stream_signals(raw), out, scratch_path(spark, "offsets"), "1 day", {"availableNow": True}, "6 hours", "2 hours", 20.0, None).awaitTermination()
+
+    _with_timers(spark, run)
+    refuel = spark.read.parquet(f"{out}/refuel").select("vin", F.lit("refuel").alias("kind"), F.col("fill_start_time").alias("start_ts"),
+                                                        F.col("fill_end_time").alias("end_ts"), F.col("fuel_mass").alias("value"))
+    low = spark.read.parquet(f"{out}/low_fuel").select("vin", F.lit("low_fuel").alias("kind"), F.col("window_start").alias("start_ts"),
+                                                       F.col("window_end").alias("end_ts"), F.col("msg_para")[0]["value"].alias("value"))
+    return refuel.unionByName(low)
+
+
 def q_low_fuel_short(spark, sf_dir):
     """The reference's window and slide."""
     return low_fuel_windows(_signals(spark, sf_dir), threshold=20.0)
@@ -664,6 +683,7 @@ QUERIES: dict[str, Query] = {
     "refuel_events_timed_steps": q_refuel_timed("5 seconds"),
     "low_fuel_panes": q_low_fuel_panes,
     "low_fuel_panes_stream": q_low_fuel_panes_stream,
+    "detectors_one_scan": q_detectors_once,
     "fuel_summary_stream": q_fuel_summary_stream,
     "detector_refuel_alerts": q_run_detectors,
     "low_fuel_windows_short": q_low_fuel_short,

@@ -430,6 +430,12 @@ SELECT window_start, 'lowFuel' AS msg_type, vin, 'currentFuel' AS para_type, avg
 FROM lw GROUP BY vin, window_start HAVING avg(value) < 20""",
 }
 
+_SENT = "signals s SEMI JOIN (SELECT vin, ts FROM ev WHERE et <> 'click') k ON s.vin = k.vin AND s.ts = k.ts"
+SQL["detectors_one_scan"] = (
+    _refuel(False, f"FROM {_SENT}").rsplit("\nSELECT vin, l3", 1)[0] + ",\n"
+    + _window_sql(6, 2).replace("lv AS", "wv AS").replace("FROM lv,", "FROM wv,").replace("FROM signals WHERE", f"FROM {_SENT} WHERE") + """
+SELECT vin, 'refuel' AS kind, f_t AS start_ts, l_t AS end_ts, l3 AS value FROM st WHERE ev
+UNION ALL SELECT vin, 'low_fuel', window_start, window_start + INTERVAL 6 HOUR, avg(value) FROM lw GROUP BY vin, window_start HAVING avg(value) < 20""")
 SQL["after_checkpoint_zoned"] = SQL["after_checkpoint"]
 SQL["km_commit_job"] = SQL["km_job_rerun"]
 
@@ -440,7 +446,7 @@ DENSE_BODY = {
 }
 
 RECURSIVE = {"refuel_events", "refuel_events_steps", "refuel_events_nulls", "refuel_events_stream", "refuel_events_timed", "refuel_events_timed_steps",
-             "detector_refuel_alerts"}
+             "detectors_one_scan", "detector_refuel_alerts"}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -16,11 +16,13 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor
+from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
 
 from .. import schemas as S
 from ..operators.wide import epoch_micros
-from .refuel import OUT_SCHEMA, RefuelMachine, _events_frame, _step_us, usable_level
+from ..sources.sinks import write_alerts
+from .detectors import LOW_FUEL_SLIDE, LOW_FUEL_THRESHOLD, LOW_FUEL_WINDOW, MICRO_BATCH, low_fuel_alerts
+from .refuel import OUT_SCHEMA, RefuelMachine, _events_frame, _step_us, refuel_payload, usable_level
 
 _MACHINE = "n long, f double, f_t long, l3 double, l2 double, l double, l_t long"
 
@@ -30,11 +32,9 @@ def _frame(rows: list[tuple], columns: list[str]) -> pd.DataFrame:
 
 
 def _alarm(handle, state, due: int) -> None:
-    """One timer per vehicle: the earliest time at which there is something to do."""
+    """A timer at the earliest time at which there is something to do; a later one that is set already only finds less left."""
     at = state.get()[0] if state.exists() else None
     if at is None or due < at:
-        if at is not None:
-            handle.deleteTimer(at)
         handle.registerTimer(due)
         state.update((due,))
 
@@ -49,7 +49,7 @@ class RefuelProcessor(StatefulProcessor):
         self.handle = handle
         self.machine = handle.getValueState("machine", _MACHINE)
         self.waiting = handle.getListState("waiting", "t long, level double")
-        self.alarm = handle.getValueState("alarm", "at long")
+        self.alarm = handle.getValueState("refuel_alarm", "at long")
 
     def _due(self, t: int) -> int:
         """The watermark (ms) from which on a reading of ``t`` (us) can be taken: none of its time, or of its step, can still come."""
@@ -128,7 +128,7 @@ class PaneProcessor(StatefulProcessor):
         self.handle = handle
         self.panes = handle.getMapState("panes", "pane long", "total double, number long, odd long")
         self.next = handle.getValueState("next", "start long")  # the first window (in panes) that has not been judged
-        self.alarm = handle.getValueState("alarm", "at long")
+        self.alarm = handle.getValueState("panes_alarm", "at long")
 
     def _first(self, pane: int) -> int:
         """The earliest window that holds a pane."""
@@ -235,3 +235,94 @@ def low_fuel_panes_stream(signals_stream: DataFrame, window: str, slide: str, th
     found = lv.withWatermark("_ets", delay).groupBy("vin").transformWithStateInPandas(
         PaneProcessor(pane, per_window, per_slide, threshold), "vin string, start long, avg_level double", "Append", "EventTime")
     return _bounds(found, pane, window)
+
+
+_FOUND = ["kind", "vin", "start_us", "end_us", "value", "amount"]
+
+
+class DetectorProcessor(StatefulProcessor):
+    """Both detectors on one pass of a vehicle's levels; ``late`` and ``unusable`` ones go through as they are."""
+
+    def __init__(self, refuel: RefuelProcessor, panes: PaneProcessor):
+        self.refuel, self.panes = refuel, panes
+
+    def init(self, handle) -> None:
+        self.refuel.init(handle)
+        self.panes.init(handle)
+
+    def _rows(self, vin: str, refuels: Iterator[pd.DataFrame], windows: Iterator[pd.DataFrame]) -> pd.DataFrame:
+        rows: list[tuple] = []
+        for part in refuels:
+            start, end = (part[c].astype("datetime64[us]").astype("int64") for c in ("fill_start_time", "fill_end_time"))
+            rows += [("refuel", vin, s, e, m, a) for s, e, m, a in zip(start, end, part["fuel_mass"], part["fill_amount"], strict=True)]
+        pane, per_window = self.panes.pane_us, self.panes.per_window
+        for part in windows:
+            rows += [("low_fuel", vin, s * pane, (s + per_window) * pane, x, None) for s, x in zip(part["start"], part["avg_level"], strict=True)]
+        return _frame(rows, _FOUND)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        usable = []
+        for part in rows:
+            aside = part[part["kind"] != "level"]
+            yield _frame([(k, key[0], None if pd.isna(t) else int(t), None if pd.isna(u) else int(u), x, None)
+                          for k, t, u, x in zip(aside["kind"], aside["t_us"], aside["sent_us"], aside["value"], strict=True)], _FOUND)
+            usable.append(part[part["kind"] == "level"])
+        yield self._rows(key[0], self.refuel.handleInputRows(key, (p.assign(level=p["value"]) for p in usable), timerValues),
+                         self.panes.handleInputRows(key, iter(usable), timerValues))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        yield self._rows(key[0], self.refuel.handleExpiredTimer(key, timerValues, expiredTimerInfo),
+                         self.panes.handleExpiredTimer(key, timerValues, expiredTimerInfo))
+
+
+def run_detectors_once(signals_stream: DataFrame, out_dir: str, checkpoint_dir: str, delay: str, trigger: dict | None = None,
+                       window: str = LOW_FUEL_WINDOW, slide: str = LOW_FUEL_SLIDE, threshold: float = LOW_FUEL_THRESHOLD,
+                       refuel_step: str | None = MICRO_BATCH) -> StreamingQuery:
+    """T9 with one scan: the tables of :func:`fuelsight.streaming.detectors.run_detectors` from one query.
+
+    The stream is read and parsed once, both detectors share one keyed state, and each micro-batch is dealt to the tables
+    ``low_fuel``, ``refuel``, ``late`` and ``unusable``, a folder per epoch that a repeated batch replaces.  A reading sent more than
+    ``delay`` after it was read is ``late`` (if the stream has send times), and not in the other tables.
+    """
+    micros = epoch_micros("ts")
+    known = F.col("vin").isNotNull() & F.col("ts").isNotNull() & F.col("value").isNotNull() & ~F.isnan("value")
+    kind = F.when(~known, "unusable")
+    sent = F.lit(None).cast("long")
+    if "send_ts" in signals_stream.columns:
+        sent = epoch_micros("send_ts")
+        kind = kind.when(F.col("send_ts") - F.expr(f"INTERVAL {delay}") > F.col("ts"), "late")
+    pane, per_window, per_slide = _pane_sizes(window, slide)
+    lv = signals_stream.where(F.col("stype") == S.FUEL_LEVEL).select(
+        "vin", kind.otherwise("level").alias("kind"), micros.alias("t_us"), sent.alias("sent_us"), _pane_of(pane).alias("pane"), "value",
+        # what only passes through has no event time, so the watermark does not drop it
+        F.when(kind.isNull(), F.col("ts").cast("timestamp")).alias("_ets"))
+    processor = DetectorProcessor(RefuelProcessor(_step_us(refuel_step), None), PaneProcessor(pane, per_window, per_slide, threshold))
+    found = lv.withWatermark("_ets", delay).groupBy("vin").transformWithStateInPandas(
+        processor, "kind string, vin string, start_us long, end_us long, value double, amount double", "Append", "EventTime")
+
+    def wall(name: str) -> Column:
+        return F.timestamp_add("MICROSECOND", F.col(name), F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
+
+    def tables(rows: DataFrame) -> dict[str, DataFrame]:
+        def of(k: str) -> DataFrame:
+            return rows.where(F.col("kind") == k)
+
+        reading = [wall("start_us").alias("ts"), F.lit(S.FUEL_LEVEL).alias("stype"), "value"]
+        return {
+            "low_fuel": low_fuel_alerts(of("low_fuel").select("vin", wall("start_us").alias("window_start"), wall("end_us").alias("window_end"),
+                                                              F.col("value").alias("avg_level"))),
+            "refuel": refuel_payload(of("refuel").select(
+                "vin", F.col("value").alias("fuel_mass"), F.col("amount").alias("fill_amount"), wall("start_us").alias("fill_start_time"),
+                wall("end_us").alias("fill_end_time"), F.lit(0.0).alias("gps_latitude"), F.lit(0.0).alias("gps_longitude"))),
+            "unusable": of("unusable").select("vin", *reading),
+            "late": of("late").select("vin", *reading, wall("end_us").alias("send_ts"))}
+
+    def write(batch: DataFrame, epoch_id: int) -> None:
+        batch.persist()
+        for name, rows in tables(batch).items():
+            if not rows.isEmpty():  # no folder for an epoch without rows
+                write_alerts(rows, f"{out_dir}/{name}/epoch={epoch_id}", mode="overwrite")
+        batch.unpersist()
+
+    return (found.writeStream.outputMode("append").foreachBatch(write).option("checkpointLocation", checkpoint_dir)
+            .trigger(**(trigger or {"processingTime": MICRO_BATCH})).start())

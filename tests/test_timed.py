@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 import os
 import tempfile
 
@@ -13,7 +14,8 @@ from fuelsight import schemas as S
 from fuelsight.session import stateful_conf
 from fuelsight.streaming.detectors import low_fuel_windows
 from fuelsight.streaming.replay import refuel_events
-from fuelsight.streaming.timed import low_fuel_panes, low_fuel_panes_stream, refuel_events_timed
+from fuelsight.streaming.detectors import low_fuel_alerts, stream_signals
+from fuelsight.streaming.timed import low_fuel_panes, low_fuel_panes_stream, refuel_events_timed, run_detectors_once
 
 START = dt.datetime(2024, 1, 1)
 
@@ -134,3 +136,39 @@ def test_panes_of_odd_values_and_empty_tables(stateful):
     assert sorted(tuple(r) for r in low_fuel_panes(readings(stateful, rows), "30 minutes", "10 minutes", 20.0).collect()) == want
     assert run(low_fuel_panes_stream(stream_of(stateful, [rows, CLOSING]), "30 minutes", "10 minutes", 20.0, "1 hour")) == want
     assert low_fuel_panes(readings(stateful, rows).limit(0), "30 minutes", "10 minutes", 20.0).count() == 0
+
+
+def envelope(vin, sent, levels):
+    """An upload: ``levels`` as (minute, level), level None for text that is no number."""
+    at = START + dt.timedelta(minutes=sent)
+    body = [{"ts": str(START + dt.timedelta(minutes=m)), "stype": S.FUEL_LEVEL, "value": x} for m, x in levels]
+    return vin, at.strftime("%Y%m%d%H%M%S") + "000", json.dumps(body)
+
+
+def test_all_detectors_with_one_scan(stateful):
+    rows = walk(6, 3, 240)
+    uploads = [envelope(v, m + 1, [(m, x)]) for v, m, x in rows]
+    uploads += [envelope("V0", 500, [(10, 1.0)]), envelope("V1", 30, [(29, None)]), envelope("closing", 90_001, [(90_000, 50.0)])]
+    src = tempfile.mkdtemp(prefix="once-src-")
+    for i, lo in enumerate(range(0, len(uploads), 250)):
+        path = os.path.join(src, f"b={i}")
+        stateful.createDataFrame(sorted(uploads, key=lambda u: u[1])[lo : lo + 250], S.ENVELOPE).coalesce(1).write.parquet(path)
+        for name in os.listdir(path):
+            os.utime(os.path.join(path, name), (1_700_000_000 + i, 1_700_000_000 + i))
+    stream = stream_signals(stateful.readStream.schema(S.ENVELOPE).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(src))
+    out = tempfile.mkdtemp(prefix="once-out-")
+    q = run_detectors_once(stream, out, tempfile.mkdtemp(), "1 hour", {"availableNow": True}, "30 minutes", "10 minutes", 29.0, None)
+    assert q.awaitTermination(300) and q.exception() is None
+    assert {len(p["sources"]) for p in q.recentProgress} == {1}
+    assert sum(p["numInputRows"] for p in q.recentProgress) == len(uploads)  # every upload is read once
+    sig = readings(stateful, rows)
+    want = sorted(tuple(r) for r in refuel_events(sig, None).collect())
+    got = stateful.read.parquet(f"{out}/refuel").drop("epoch", "payload")
+    assert sorted(tuple(r) for r in got.collect()) == want and len(want) > 1
+    windows = low_fuel_alerts(low_fuel_windows(sig, "30 minutes", "10 minutes", 29.0))
+    low = stateful.read.parquet(f"{out}/low_fuel").drop("epoch")
+    assert sorted((r.vin, r.window_start) for r in low.collect()) == sorted((r.vin, r.window_start) for r in windows.collect())
+    late = stateful.read.parquet(f"{out}/late").collect()
+    assert [(r.vin, r.value, r.ts) for r in late] == [("V0", 1.0, START + dt.timedelta(minutes=10))]
+    unusable = stateful.read.parquet(f"{out}/unusable").collect()
+    assert [(r.vin, r.value, r.ts) for r in unusable] == [("V1", None, START + dt.timedelta(minutes=29))]
