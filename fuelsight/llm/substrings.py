@@ -37,12 +37,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fuelsight.llm.common import Words, binary_list, chunks, released, rolling, table, text_bytes
+from fuelsight.llm.common import CHUNK_BYTES, Words, binary_list, chunks, released, rolling, table, text_bytes
 
 WINDOW = 20
 GRAM = 3
 BUCKET_BYTES = 3 << 20
 PIECE_BYTES = 6 << 20
+#: Bytes of texts for each task of the counting.
+PART_BYTES = 16 << 20
 #: A bucket is divided if it gets more than this many times ``BUCKET_BYTES`` (about 3 are usual, as windows overlap).
 DIVIDE = 12
 _NO_ID = -(1 << 63)
@@ -72,18 +74,21 @@ def _packed(w: Words) -> tuple[bytes, np.ndarray]:
     return data.tobytes(), at
 
 
-def _same(text: bytes, at: np.ndarray, p: np.ndarray, q: np.ndarray, window: int) -> np.ndarray:
-    """Whether the windows at ``p`` (ascending) and ``q`` have the same words; neighbours are compared together."""
+def _same(text, begin: np.ndarray, end: np.ndarray, run: np.ndarray, p: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Whether the windows ``p`` (ascending) and ``q`` have the same words; neighbours of one run are compared together."""
     out = np.ones(len(p), bool)
     if not len(p):
         return out
-    cut = np.flatnonzero((np.diff(p) != 1) | (np.diff(q) != 1)) + 1
+    new = (np.diff(p) != 1) | (np.diff(q) != 1)
+    for x in (p, q):
+        new |= run[x[1:]] != run[x[:-1]]
+    cut = np.flatnonzero(new) + 1
     first, last = np.concatenate([[0], cut]), np.concatenate([cut, [len(p)]]) - 1
-    a, b, c, d = at[p[first]], at[p[last] + window], at[q[first]], at[q[last] + window]
+    a, b, c, d = begin[p[first]], end[p[last]], begin[q[first]], end[q[last]]
     for i, j, s, e, x, y in zip(first.tolist(), last.tolist(), a.tolist(), b.tolist(), c.tolist(), d.tolist(), strict=True):
         if text[s:e] != text[x:y]:
             for k in range(i, j + 1):
-                out[k] = text[at[p[k]] : at[p[k] + window]] == text[at[q[k]] : at[q[k] + window]]
+                out[k] = text[begin[p[k]] : end[p[k]]] == text[begin[q[k]] : end[q[k]]]
     return out
 
 
@@ -117,46 +122,61 @@ def _runs(mask: np.ndarray, *keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Piece:
-    """Some documents: which windows repeat an earlier one here, and the super-k-mers of the others by bucket."""
+    """Some documents: which windows repeat an earlier one here, and the super-k-mers of the others by bucket.
 
-    def __init__(self, ids, ties, texts, buckets: int, divided: dict[int, int], window: int):
+    A piece that is only ``measured`` finds the same super-k-mers but takes equal hashes for equal windows, and packs no words.
+    """
+
+    def __init__(self, ids, ties, texts, buckets: int, divided: dict[int, int], window: int, measured: bool = False):
         order = sorted(range(len(ids)), key=lambda i: (ids[i], ties[i]))
         self.ids, both = np.array([ids[i] for i in order], np.int64), [_untie(ties[i]) for i in order]
         self.ties, self.lengths = np.array([k for k, _ in both], np.int64), np.array([n for _, n in both], np.int64)
-        w = self.words = Words([texts[i] for i in order])
-        self.owner = np.repeat(np.arange(len(order)), np.diff(w.first))
+        w = Words([texts[i] for i in order])
+        self.owner = np.repeat(np.arange(len(order), dtype=np.int32), np.diff(w.first))
         self.known = np.zeros(len(w.start), bool)
         self.first = self.count = self.bucket = np.zeros(0, np.int64)
-        grid = rolling(w.hash, window)
-        if not len(grid):
-            return
         valid = _starts(w, window)
-        at = np.flatnonzero(valid)
-        if not len(at):
+        if not valid.any():
             return
-        self.text, self.at = _packed(w)
+        self.start = (np.arange(len(w.start)) - w.first[self.owner]).astype(np.int32)
+        self.window = window
+        if measured:
+            self.at = np.concatenate([[0], np.cumsum(w.end - w.start + 1)])
+        else:
+            self.text, self.at = _packed(w)
+        hashes = w.hash
+        del w
+        grid = rolling(hashes, window)
+        p, q = self._repeats(grid, valid[: len(grid)])
+        if not measured:
+            same = _same(self.text, self.at, self.at[window:], self.owner, p, q)
+            p = p[same]
+        self.known[p] = True
+        del p, q
+        least = _least(rolling(hashes, GRAM), window - GRAM + 1)
+        del hashes
+        bucket = (least % np.uint64(buckets)).astype(np.int32)
+        part = np.zeros(len(grid), np.int32)
+        for k, n in divided.items():
+            chosen = bucket == k
+            part[chosen] = (grid[chosen] >> np.uint64(20)) % np.uint64(n)
+        del grid
+        self.first, self.count = _runs((valid & ~self.known)[: len(least)], least, part)
+        self.bucket = bucket[self.first] + buckets * part[self.first].astype(np.int64)
+
+    def _repeats(self, grid: np.ndarray, valid: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Windows (ascending) that start later than one with the same hash, and the earliest of those."""
+        at = np.flatnonzero(valid).astype(np.int32)
         by = at[np.argsort(grid[at], kind="stable")]  # equal windows side by side, in the order of the documents
-        same = np.concatenate([[False], grid[by[1:]] == grid[by[:-1]]])
-        leader = by[np.maximum.accumulate(np.where(same, 0, np.arange(len(by))))]
+        key = grid[by]
+        same = np.concatenate([[False], key[1:] == key[:-1]])
+        del at, key
+        leader = by[np.maximum.accumulate(np.where(same, np.int32(0), np.arange(len(by), dtype=np.int32)))]
         p, q = by[same], leader[same]
-        start = np.arange(len(w.start)) - w.first[self.owner]
-        later = (self.ids[self.owner[p]] > self.ids[self.owner[q]]) | (start[p] > start[q])
+        later = (self.ids[self.owner[p]] > self.ids[self.owner[q]]) | (self.start[p] > self.start[q])
         p, q = p[later], q[later]
         back = np.argsort(p)
-        p, q = p[back], q[back]
-        self.known[p[_same(self.text, self.at, p, q, window)]] = True
-        least = _least(rolling(w.hash, GRAM), window - GRAM + 1)
-        bucket = (least % np.uint64(buckets)).astype(np.int64)
-        send = valid & ~self.known
-        send = send[: len(grid)]
-        part = np.zeros(len(grid), np.int64)
-        for k, n in divided.items():
-            chosen = bucket == k
-            part[chosen] = (grid[chosen] >> np.uint64(20)) % np.uint64(n)
-        self.first, self.count = _runs(send, least, part)
-        self.bucket = bucket[self.first] + buckets * part[self.first]
-        self.start = start
-        self.window = window
+        return p[back], q[back]
 
     def sizes(self) -> tuple[np.ndarray, np.ndarray]:
         """Bytes for each bucket met."""
@@ -207,46 +227,73 @@ def _unblock(block: bytes):
     return large[:n], large[n:], small[:n], small[n : 2 * n], small[2 * n :], raw[8 + 28 * n :]
 
 
+def _bucket_windows(blocks: list[bytes], window: int):
+    """A bucket's runs (ids, ties, lengths, starts, counts), its words, and hash, run, first and last byte of every window.
+
+    Some blocks at a time, so that only what stays of a word is held for the whole bucket.
+    """
+    runs, keys, of, begin, end, text = [], [], [], [], [], bytearray()
+    n_runs = 0
+    while blocks:
+        some, size = [], 0
+        while blocks and size < CHUNK_BYTES:
+            some.append(_unblock(blocks.pop()))
+            size += len(some[-1][5])
+        counts = np.concatenate([p[4] for p in some])
+        words = Words([b"".join([p[5] for p in some])])
+        at = np.concatenate([[0], np.cumsum(words.end - words.start + 1)]) + len(text)
+        first = np.concatenate([[0], np.cumsum(counts + window - 1)])[:-1]
+        word = np.repeat(first - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
+        keys.append(rolling(words.hash, window)[word])
+        of.append(np.repeat(np.arange(n_runs, n_runs + len(counts), dtype=np.int32), counts))
+        begin.append(at[word])
+        end.append(at[word + window])
+        n_runs += len(counts)
+        for p in some:
+            text += p[5]
+        runs.append([np.concatenate([p[k] for p in some]) for k in range(5)])
+    return [np.concatenate([r[k] for r in runs]) for k in range(5)], text, *(np.concatenate(x) for x in (keys, of, begin, end))
+
+
 def _count_bucket(blocks: list[bytes], window: int):
-    """``(id, tie, spans)`` of the windows of one bucket that also start earlier."""
-    parts = [_unblock(b) for b in blocks]
-    ids, ties, lengths, starts, counts = (np.concatenate([p[k] for p in parts]) for k in range(5))
-    text = b"".join([p[5] for p in parts])
-    w = Words([text])
-    first = np.concatenate([[0], np.cumsum(counts + window - 1)])[:-1]
-    run = np.repeat(np.arange(len(ids)), counts)
-    place = np.arange(len(run)) - np.repeat(np.cumsum(counts) - counts, counts)
-    word, start, doc = first[run] + place, starts[run] + place, ids[run]
-    key = rolling(w.hash, window)[word]
+    """``(id, tie, spans)`` of the windows of one bucket that also start earlier; uses up ``blocks``."""
+    (ids, ties, lengths, starts, counts), text, key, run, begin, end = _bucket_windows(blocks, window)
+    before = np.cumsum(counts) - counts
+
+    def place(i):  # windows to their documents and starts
+        return ids[run[i]], starts[run[i]] + (i - before[run[i]])
+
     by = np.argsort(key)
     twice = np.zeros(len(by), bool)
     equal = key[by[1:]] == key[by[:-1]]
     twice[1:] |= equal
     twice[:-1] |= equal
     by = by[twice]
-    by = by[np.lexsort((start[by], doc[by], key[by]))]
+    doc, start = place(by)
+    order = np.lexsort((start, doc, key[by]))
+    by, doc, start = by[order], doc[order], start[order]
     head = np.concatenate([[True], key[by[1:]] != key[by[:-1]]]) if len(by) else np.zeros(0, bool)
-    lead = by[np.maximum.accumulate(np.where(head, np.arange(len(by)), 0))]
-    later = (doc[by] > doc[lead]) | (start[by] > start[lead])
-    p, q = by[later], lead[later]
+    lead = np.maximum.accumulate(np.where(head, np.arange(len(by)), 0))
+    later = (doc > doc[lead]) | (start > start[lead])
+    p, q = by[later], by[lead[later]]
     order = np.argsort(p)
     p, q = p[order], q[order]
-    at = np.concatenate([[0], np.cumsum(w.end - w.start + 1)])
-    same = _same(text, at, word[p], word[q], window)
+    same = _same(text, begin, end, run, p, q)
     known = p[same]
     if not same.all():  # two sequences with one hash: those windows are grouped by their words
-        groups: dict[bytes, list[int]] = {}
-        for i in by[np.isin(key[by], key[p[~same]])].tolist():
-            groups.setdefault(text[at[word[i]] : at[word[i] + window]], []).append(i)
-        extra = [i for g in groups.values() for i in g if (doc[i], start[i]) > (doc[g[0]], start[g[0]])]
+        groups: dict[bytes, list[tuple]] = {}
+        odd = np.isin(key[by], key[p[~same]])
+        for i, d, s in zip(by[odd].tolist(), doc[odd].tolist(), start[odd].tolist(), strict=True):
+            groups.setdefault(bytes(text[begin[i] : end[i]]), []).append((i, d, s))
+        extra = [i for g in groups.values() for i, d, s in g if (d, s) > g[0][1:]]
         known = np.unique(np.concatenate([known, np.array(extra, np.int64)]))
     if not len(known):
         return
-    mask = np.zeros(len(word), bool)
+    mask = np.zeros(len(run), bool)
     mask[known] = True
     at0, n = _runs(mask, run)
     owner = run[at0]
-    yield from _spans(owner, ids, ties, lengths, start[at0], n)
+    yield from _spans(owner, ids, ties, lengths, place(at0)[1], n)
 
 
 _FLAGS = pa.schema([("id", pa.int64()), ("tie", pa.int64()), ("size", pa.int32()), ("spans", pa.list_(pa.int32()))])
@@ -257,23 +304,26 @@ def _flag_batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([r[k] for r in flat], t) for k, t in enumerate(_FLAGS.types)], schema=_FLAGS)
 
 
-def _pieces(batches, buckets: int, divided: dict[int, int], window: int):
+def _pieces(batches, buckets: int, divided: dict[int, int], window: int, measured: bool = False):
     for b in batches:
         texts, ids = binary_list(b.column("body")), b.column("id").to_pylist()
         ties = [_tie(k, n) for k, n in zip(b.column("tie").to_pylist(), b.column("size").to_pylist(), strict=True)]
         for i, j in chunks(texts, PIECE_BYTES):
-            yield Piece(ids[i:j], ties[i:j], texts[i:j], buckets, divided, window)
+            yield Piece(ids[i:j], ties[i:j], texts[i:j], buckets, divided, window, measured)
 
 
 def repeated(slim: DataFrame, window: int = WINDOW, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """``(id, tie, size, spans)`` for documents with windows that also start earlier; of ``(id, tie, size, body)``."""
     spark = slim.sparkSession
     wide = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    buckets = max(4 * wide, math.ceil(text_bytes(slim, "body") / bucket_bytes))
+    size = text_bytes(slim, "body")
+    buckets = max(4 * wide, math.ceil(size / bucket_bytes))
+    parts = max(wide, math.ceil(size / PART_BYTES))
 
     def measure(batches):
-        for p in _pieces(batches, buckets, {}, window):
+        for p in _pieces(batches, buckets, {}, window, measured=True):
             found, n = p.sizes()
+            del p  # not beside the next piece
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), pa.array(n, pa.int64())], names=["bucket", "n"])
 
     limit = DIVIDE * bucket_bytes
@@ -286,7 +336,10 @@ def repeated(slim: DataFrame, window: int = WINDOW, bucket_bytes: int = BUCKET_B
             flags = list(p.repeated())
             for i in range(0, len(flags), 512):  # known already: these only pass through
                 rows.append((-1 - i // 512 - 31 * int(p.ids[0] & 0xFFFF), _flag_batch(flags[i : i + 512]).serialize().to_pybytes()))
-            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())], names=["bucket", "block"])
+            del p, flags
+            made = pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())], names=["bucket", "block"])
+            del rows
+            yield made
 
     def count(batches):
         bucket, blocks = None, []
@@ -303,9 +356,9 @@ def repeated(slim: DataFrame, window: int = WINDOW, bucket_bytes: int = BUCKET_B
         if blocks:
             yield _flag_batch(list(_count_bucket(blocks, window)))
 
-    shipped = slim.mapInArrow(released(ship), "bucket long, block binary").repartition("bucket").sortWithinPartitions("bucket")
+    shipped = slim.mapInArrow(released(ship), "bucket long, block binary").repartition(parts, "bucket").sortWithinPartitions("bucket")
     flags = shipped.mapInArrow(released(count), "id long, tie long, size int, spans array<int>")
-    return flags.groupBy("id", "tie", "size").agg(F.flatten(F.collect_list("spans")).alias("spans"))  # a document's spans: bounded by its length
+    return flags.groupBy("id", "tie", "size").agg(F.flatten(F.collect_set("spans")).alias("spans"))  # rows that repeat a document have equal spans
 
 
 def remove(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, bucket_bytes: int = BUCKET_BYTES,

@@ -83,6 +83,17 @@ def test_rows_of_one_id_with_one_short_hash(spark):
     assert got(d) == brute(docs)
 
 
+def test_many_rows_of_one_document(spark):
+    """A third of all rows repeat one document: each gets the spans of its text once."""
+    text = " ".join(f"t{i}" for i in range(60))
+    docs = [(1, "a " + text)] + [(2, text)] * 2000 + [(3, "b " + text)] * 50 + [(i, f"c{i}") for i in range(4, 2000)]
+    d = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    assert got(d) == brute(docs)
+    slim = d.select(F.col("doc_id").alias("id"), F.xxhash64("text").alias("tie"), F.octet_length("text").alias("size"), F.col("text").alias("body"))
+    found = {r.id: len(r.spans) for r in S.repeated(slim).collect()}
+    assert set(found) == {2, 3} and max(found.values()) < 1000
+
+
 def test_collisions_of_the_hash_are_told_apart(monkeypatch):
     """With one hash for every word, only the words themselves can tell windows apart."""
     monkeypatch.setattr(C.Words, "_hashes", lambda self, data: np.zeros(len(self.start), np.uint64))
