@@ -29,7 +29,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fuelsight.llm.common import checkpointed, table
+from fuelsight.llm.common import checkpointed, materialize, table
 
 WINDOW = 8
 MIN_WORDS = 20
@@ -169,9 +169,10 @@ def judge(docs: DataFrame, text_col: str = "text", keep: list[str] | None = None
     """``keep`` columns (all), ``_q`` (counts) and ``_p`` (probability, ``base_failed`` and ``kept``).
 
     The counts are taken once and written, with ``keep``, to the shared folder: the rates need all of them first.
+    Whole rows go there as compressed Parquet, as a checkpoint would hold their texts as they are.
     """
     counted = base_counts(docs, text_col).select(*(docs.columns if keep is None else keep), "_q")
-    counted = checkpointed(counted)
+    counted = materialize(counted, "counts", "zstd") if keep is None else checkpointed(counted)  # whole texts compress well
     rules = votes(F.col("_q"))
     rows = counted.select(*[rules[r].alias(r) for r in RULES]).groupBy(*RULES).count().collect()  # at most 3 ** len(RULES) rows
     patterns = sorted((tuple(r[:-1]), r[-1]) for r in rows)
