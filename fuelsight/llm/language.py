@@ -21,7 +21,7 @@ Tables: trigram counts have ``FEATURES`` rows per language, and there may be
 pages is summed up before the shuffle, and its pages are joined with one row
 (split by the adaptive skew join).
 
-Defined cases: null html or url give no evidence; without any evidence the prior
+Defined cases: null html or url give no evidence; a page is scanned in linear time, whatever is left open in it; without any evidence the prior
 over all pages decides (ties: the first language by name); repeated rows count each; without labelled documents
 the language is null; an empty table gives no rows; other columns do not matter.
 """
@@ -46,10 +46,12 @@ TEXT_GRAMS = 30
 GRAM_PRIOR, VALUE_PRIOR, HOST_PRIOR, DOMAIN_PRIOR = 0.5, 1.0, 3.0, 3.0
 
 _LETTERS = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c > 127 else 32 for c in range(256))
-_HIDDEN = re.compile(rb"(?is)<(script|style|noscript|template)\b.*?</\1\s*>|<!--.*?-->")
-_TAG = re.compile(rb"(?s)<[^>]*>")
-_HTML_LANG = re.compile(rb"""(?is)<html\b[^>]*?\blang\s*=\s*["']?([a-z]{2,3})\b""")
-_META_LANG = re.compile(rb"""(?is)<meta\b[^>]*?(?:content-language|og:locale)["'][^>]*?content\s*=\s*["']?([a-z]{2,3})\b""")
+_OPENS = re.compile(rb"(?i)<(script|style|noscript|template)\b")
+_CLOSES = {name: re.compile(rb"(?i)</" + name + rb"\s*>") for name in (b"script", b"style", b"noscript", b"template")}
+_HTML, _META = re.compile(rb"(?i)<html\b"), re.compile(rb"(?i)<meta\b")
+_LANG = re.compile(rb"""(?i)\blang\s*=\s*["']?([a-z]{2,3})\b""")
+_STATES = re.compile(rb"""(?i)(?:content-language|og:locale)["']""")
+_CONTENT = re.compile(rb"""(?i)content\s*=\s*["']?([a-z]{2,3})\b""")
 _SEGMENT = re.compile(r"^/([a-z]{2,3})(?:[-_][a-zA-Z]{2,4})?(?:/|$)")
 
 
@@ -63,14 +65,61 @@ def grams(text: bytes) -> np.ndarray:
 
 
 def visible(page: bytes) -> bytes:
-    """The text of a page: no scripts, styles, comments and tags; entities resolved."""
-    text = _TAG.sub(b" ", _HIDDEN.sub(b" ", page))
+    """The text of a page: no scripts, styles, comments and tags; entities resolved.
+
+    One pass from ``<`` to ``<``.  What is looked for once and never found is not looked for again, so the time
+    is linear in the page.  An element or comment without an end is taken as a tag, a tag without an end as text.
+    """
+    out, at, missing = [], 0, set()
+
+    def end_of(what: bytes, start: int) -> int:
+        """Where the first ``what`` (an element's name, or plain bytes) after ``start`` ends, or -1."""
+        if what in missing:
+            return -1
+        if what in _CLOSES:
+            found = _CLOSES[what].search(page, start)
+            end = found.end() if found else -1
+        else:
+            end = page.find(what, start)
+            end += len(what) if end >= 0 else 0
+        if end < 0:
+            missing.add(what)
+        return end
+
+    while (start := page.find(b"<", at)) >= 0:
+        end, hides = -1, _OPENS.match(page, start)
+        if hides:
+            end = end_of(hides[1].lower(), start)
+        elif page.startswith(b"<!--", start):
+            end = end_of(b"-->", start + 4)
+        if end < 0:
+            end = end_of(b">", start + 1)
+        if end < 0:
+            break
+        out.append(page[at:start])
+        at = end
+    text = b" ".join([*out, page[at:]])
     return entities.unescape(text.decode("utf-8", "replace")).encode() if b"&" in text else text
 
 
+def _tags(page: bytes, name: re.Pattern):
+    """First and last position of each tag; one without an end goes to the end of the page."""
+    found = name.search(page)
+    while found:
+        end = page.find(b">", found.end())
+        yield found.end(), len(page) if end < 0 else end
+        found = name.search(page, end) if end >= 0 else None
+
+
 def declared(page: bytes) -> str | None:
-    found = _HTML_LANG.search(page) or _META_LANG.search(page)
-    return found[1].decode().lower() if found else None
+    for start, end in _tags(page, _HTML):
+        if found := _LANG.search(page, start, end):
+            return found[1].decode().lower()
+    for start, end in _tags(page, _META):
+        states = _STATES.search(page, start, end)
+        if states and (found := _CONTENT.search(page, states.end(), end)):
+            return found[1].decode().lower()
+    return None
 
 
 def address(url: str | None) -> tuple[str | None, str | None, str | None]:
@@ -159,7 +208,7 @@ def fuse(found: DataFrame, langs: list[str]) -> DataFrame:
     for name in ("declared", "address", "host", "domain"):
         by = rows.filter(F.col(name).isNotNull()).groupBy(name).agg(*sums).select(name, vector.alias(f"by_{name}"))
         rows = rows.join(by, name, "left")
-    values = {name: rows.filter(F.col(name).isNotNull()).agg(F.approx_count_distinct(name)).first()[0] + 1 for name in ("declared", "address")}
+    values = {name: rows.filter(F.col(name).isNotNull()).agg(F.count_distinct(name)).first()[0] + 1 for name in ("declared", "address")}
     rows = rows.withColumn("all", everywhere)
 
     def stands_with(name: str) -> Column:

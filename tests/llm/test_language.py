@@ -1,6 +1,7 @@
 """Language identification: the fused posterior against plain Python, accuracy on held-out texts, and what each evidence does."""
 
 import math
+import time
 import zlib
 from collections import defaultdict
 
@@ -94,3 +95,21 @@ def test_empty_tables(spark):
     pages = spark.createDataFrame([(1, "http://a.b/", "x")], "page_id long, url string, html string")
     assert G.identify(pages.limit(0), docs).count() == 0
     assert [(r.page_id, r.lang) for r in G.identify(pages, docs.limit(0)).collect()] == [(1, None)]
+
+
+@pytest.mark.parametrize("unit", [b"<!--", b"<meta ", b"<script>", b"<html lang ", b"<", b"<!-- <script>", b"</script <style>", b"<style></style "])
+def test_hostile_pages_take_linear_time(unit):
+    """Four megabytes of tags, comments or elements without an end."""
+    page = unit * (4_000_000 // len(unit))
+    start = time.process_time()
+    G.visible(page), G.declared(page)
+    assert time.process_time() - start < 3
+
+
+def test_what_is_left_open_in_a_page():
+    assert G.visible(b"a<!-- b <i>c</i> d").split() == [b"a", b"c", b"d"]  # a comment without an end is a tag
+    assert G.visible(b"a<script>b</i> c <style>x</style>d").split() == [b"a", b"b", b"c", b"d"]
+    assert G.visible(b"a <b").split() == [b"a", b"<b"] and G.visible(b"") == b""
+    assert G.declared(b"<html <html lang=fr") == "fr" and G.declared(b"<html ><p lang=de>") is None
+    assert G.declared(b'<meta name=x content="en"><meta property="og:locale" content="it_IT">') is None
+    assert G.declared(b'<meta property="og:locale" content="it">') == "it"
