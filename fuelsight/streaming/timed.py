@@ -14,7 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
 
@@ -209,20 +209,41 @@ def _pane_of(pane_us: int) -> Column:
     return F.floor(epoch_micros("ts") / pane_us)
 
 
+#: Windows' starts are dealt to tasks in stretches of so many windows' lengths.
+STRETCH = 4
+
+
 def low_fuel_panes(signals: DataFrame, window: str, slide: str, threshold: float) -> DataFrame:
-    """T6 in batch by panes: readings are added up per pane first, and only panes are dealt to the windows that hold them.
+    """T6 in batch by panes: readings are added up per pane first, and a mean is taken only where the panes of a window change.
 
     The rows of :func:`fuelsight.streaming.detectors.low_fuel_windows` of known vehicles (a window with a level that is not a number, or infinite, is not below).  With a window of 360 slides that one copies
-    each reading 360 times before its partial aggregate; here a shuffle by (vehicle, pane) comes first, and a pane is copied.
+    each reading 360 times before its partial aggregate.  Here a pane marks the first window that holds it and the first that does not; the windows from a mark to the next hold
+    the same panes, so they share one mean, and only those below the threshold are written out.  A vehicle is dealt in stretches of ``STRETCH`` windows' length.
     """
     pane, per_window, per_slide = _pane_sizes(window, slide)
     panes = _levels(signals).groupBy("vin", _pane_of(pane).alias("pane")).agg(F.sum("value").alias("total"), F.count("value").alias("number"))
+    long = -(-STRETCH * per_window // per_slide) * per_slide  # panes of a stretch: whole slides, and a pane is in two of them at most
     first = F.ceil((F.col("pane") - per_window + 1) / per_slide) * per_slide
-    starts = F.sequence(first, F.floor(F.col("pane") / per_slide) * per_slide, F.lit(per_slide).cast("long"))
-    dealt = panes.where(F.lit(per_window >= per_slide) | (F.floor(F.col("pane") / per_slide) * per_slide + per_window > F.col("pane")))
-    rows = dealt.select("vin", "total", "number", F.explode(starts).alias("start"))
-    means = rows.groupBy("vin", "start").agg((F.sum("total") / F.sum("number")).alias("avg_level")).where(F.col("avg_level") < threshold)
-    return _bounds(means, pane, window)
+    last = F.floor(F.col("pane") / per_slide) * per_slide
+    held = panes.withColumn("first", first).withColumn("last", last).where("first <= last")
+    held = held.withColumn("part", F.explode(F.sequence(F.floor(F.col("first") / long), F.floor(F.col("last") / long))))
+    enters = F.greatest(F.col("first"), F.col("part") * long)
+    leaves = F.least(F.col("last") + per_slide, (F.col("part") + 1) * long)
+
+    def row(at: Column, total: Column, number: Column, mark: bool) -> Column:
+        return F.struct(at.alias("at"), total.alias("total"), number.alias("number"), F.lit(mark).alias("mark"))
+
+    none, zero = F.lit(None).cast("double"), F.lit(0).cast("long")
+    rows = held.select("vin", "part", F.inline(F.array(row(F.col("pane"), F.col("total"), F.col("number"), False), row(enters, none, zero, True),
+                                                       row(leaves, none, zero, True))))
+    rows = rows.repartition("vin", "part").groupBy("vin", "part", "at").agg(F.sum("total").alias("total"), F.sum("number").alias("number"), F.max("mark").alias("mark"))
+    mine = Window.partitionBy("vin", "part").orderBy("at")
+    window_at = mine.rangeBetween(0, per_window - 1)
+    marks = rows.withColumn("total", F.sum("total").over(window_at)).withColumn("number", F.sum("number").over(window_at)).where("mark")
+    means = marks.select("vin", "at", F.lead("at").over(mine).alias("next"), F.when(F.col("number") > 0, F.col("total") / F.col("number")).alias("avg_level"))
+    means = means.where((F.col("avg_level") < threshold) & F.col("next").isNotNull())
+    starts = F.sequence(F.col("at"), F.col("next") - per_slide, F.lit(per_slide).cast("long"))
+    return _bounds(means.select("vin", F.explode(starts).alias("start"), "avg_level"), pane, window)
 
 
 def low_fuel_panes_stream(signals_stream: DataFrame, window: str, slide: str, threshold: float, delay: str) -> DataFrame:

@@ -129,6 +129,29 @@ def test_state_does_not_grow_with_the_overlap(stateful):
     assert max(sizes) <= 16  # panes, and a few rows of timers
 
 
+def test_sparse_panes_are_not_dealt_to_their_windows(stateful):
+    """A reading in 360 windows makes a few rows, not 360, before the threshold is asked; those below it all come out."""
+    rows = [("A", 0, 50.0), ("A", 100, 5.0), ("A", 90 * 24 * 60, 5.0), ("B", -1441, 5.0), ("B", 700, 60.0)]
+    df = readings(stateful, rows)
+    got = low_fuel_panes(df, "6 hours", "1 minute", 20.0)
+    want = sorted(tuple(r) for r in low_fuel_windows(df, "6 hours", "1 minute", 20.0).collect())
+    assert sorted(tuple(r) for r in got.collect()) == want and len(want) == 100 + 360 + 360
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    above = plan.split("Window ")[0]
+    assert "Aggregate" not in above and "Generate explode(sequence(" in above
+
+
+@pytest.mark.parametrize("window,slide", [("30 minutes", "10 minutes"), ("50 minutes", "20 minutes"), ("6 hours", "1 minute")])
+def test_panes_equal_windows_over_many_stretches(stateful, window, slide):
+    rng = np.random.default_rng(7)
+    rows = [(f"V{i % 3}", int(m), float(rng.integers(0, 60))) for i, m in enumerate(rng.integers(-3000, 3000, 300))]
+    df = readings(stateful, rows)
+    want = sorted(tuple(r) for r in low_fuel_windows(df, window, slide, 29.0).collect())
+    got = sorted(tuple(r) for r in low_fuel_panes(df, window, slide, 29.0).collect())
+    assert [r[:3] for r in got] == [r[:3] for r in want]
+    assert [r[3] for r in got] == pytest.approx([r[3] for r in want])
+
+
 def test_panes_of_odd_values_and_empty_tables(stateful):
     rows = [("V", 0, 5.0), ("V", 1, float("nan")), ("V", 2, None), ("W", 0, 4.0), ("W", 40, float("inf")), (None, 1, 3.0)]
     usable = [r for r in rows if r[0] is not None]
