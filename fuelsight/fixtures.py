@@ -12,6 +12,7 @@ import hashlib
 import os
 import threading
 import uuid
+from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -190,7 +191,7 @@ def derive(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 
 _LOCK = threading.Lock()
-_LOADED: dict[tuple[str, str], dict[str, DataFrame]] = {}
+_LOADED: dict[tuple[str, str], _Written] = {}
 
 
 def _stamp(spark: SparkSession, sf_dir: str) -> str:
@@ -223,11 +224,53 @@ def _publish(spark: SparkSession, write, path: str) -> None:
         fs.rename(jvm.org.apache.hadoop.fs.Path(tmp), dst)
 
 
-def load(spark: SparkSession, sf_dir: str, materialize: bool = True) -> dict[str, DataFrame]:
+class _Written(Mapping):
+    """The fixtures by name: a derived table is written when it is first asked for, and only that one."""
+
+    def __init__(self, spark: SparkSession, derived: dict[str, DataFrame], root: str):
+        self._spark, self._derived, self._root = spark, derived, root
+        self._back: dict[str, DataFrame] = {"events": derived["events"]}
+        self._names = [*derived, *(f"{n}_by_day" for n in derived if n.endswith("signals"))]
+
+    def __getitem__(self, name: str) -> DataFrame:
+        with _LOCK:
+            if name not in self._back:
+                if name not in self._names:
+                    raise KeyError(name)
+                self._write(name.removesuffix("_by_day"))
+            return self._back[name]
+
+    def __iter__(self):
+        return iter(self._names)
+
+    def __len__(self) -> int:
+        return len(self._names)
+
+    def _write(self, name: str) -> None:
+        from .session import path_exists
+        from .sources.sinks import write_by_date
+
+        df, path = self._derived[name], os.path.join(self._root, name)
+        by_day = name.endswith("signals")
+        if not path_exists(self._spark, os.path.join(path, "_SUCCESS")):
+            if by_day:
+                _publish(self._spark, lambda p: write_by_date(df, p, "ts", mode="overwrite", sort_by=("vin", "ts")), path)
+            else:
+                _publish(self._spark, lambda p: df.write.mode("overwrite").parquet(p), path)
+        if by_day:
+            schema = T.StructType(S.SIGNAL.fields + [
+                T.StructField(c, T.IntegerType()) for c in ("year", "month", "day")])
+            self._back[f"{name}_by_day"] = self._spark.read.schema(schema).parquet(path)
+            self._back[name] = self._back[f"{name}_by_day"].select("vin", "ts", "stype", "value")
+        else:
+            self._back[name] = self._spark.read.schema(df.schema).parquet(path)
+
+
+def load(spark: SparkSession, sf_dir: str, materialize: bool = True) -> Mapping[str, DataFrame]:
     """All fixtures of one scale factor.
 
-    With ``materialize`` the derived tables are written once per session to
-    the shared folder the way the ETL lays out its cleaned zone — signals
+    With ``materialize`` a derived table is written once per session, when it is first
+    asked for, to the shared folder the way the ETL lays out its cleaned zone — signals
     partitioned by ``year/month/day`` and sorted by (vin, ts) inside each
     file — and read back from there, so KPI queries scan a signal table with
     partition pruning and ``stype`` filters pushed into Parquet instead of
@@ -235,33 +278,11 @@ def load(spark: SparkSession, sf_dir: str, materialize: bool = True) -> dict[str
     """
     if not materialize:
         return derive(spark, sf_dir)
-    from .session import path_exists, shared_dir
-    from .sources.sinks import write_by_date
+    from .session import shared_dir
 
     root = os.path.join(shared_dir(spark), f"fixtures-{_stamp(spark, sf_dir)}")
     key = (spark.sparkContext.applicationId, root)
     with _LOCK:
-        if key in _LOADED:
-            return dict(_LOADED[key])
-        derived = derive(spark, sf_dir)
-        out = {"events": derived["events"]}
-        for name, df in derived.items():
-            if name == "events":
-                continue
-            path = os.path.join(root, name)
-            if not path_exists(spark, os.path.join(path, "_SUCCESS")):
-                if name.endswith("signals"):
-                    _publish(spark, lambda p, d=df: write_by_date(d, p, "ts", mode="overwrite",
-                                                                  sort_by=("vin", "ts")), path)
-                else:
-                    _publish(spark, lambda p, d=df: d.write.mode("overwrite").parquet(p), path)
-            if name.endswith("signals"):
-                schema = T.StructType(S.SIGNAL.fields + [
-                    T.StructField(c, T.IntegerType()) for c in ("year", "month", "day")])
-                out[f"{name}_by_day"] = spark.read.schema(schema).parquet(path)
-                back = out[f"{name}_by_day"].select("vin", "ts", "stype", "value")
-            else:
-                back = spark.read.schema(df.schema).parquet(path)
-            out[name] = back
-        _LOADED[key] = out
-        return dict(out)
+        if key not in _LOADED:
+            _LOADED[key] = _Written(spark, derive(spark, sf_dir), root)
+        return _LOADED[key]

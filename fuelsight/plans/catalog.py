@@ -9,7 +9,7 @@ library on it.  The DuckDB twins live in :mod:`.oracle`.
 from __future__ import annotations
 
 import os
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,11 +42,25 @@ class Dense(str):
     """A scale factor's folder whose queries run on the dense signal table instead."""
 
 
-def _fx(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+class _OnDense(Mapping):
+    """Fixtures with the dense signal table as the signals."""
+
+    def __init__(self, fx: Mapping[str, DataFrame]):
+        self._fx = fx
+
+    def __getitem__(self, name: str) -> DataFrame:
+        return self._fx[f"dense_{name}" if name.startswith("signals") else name]
+
+    def __iter__(self):
+        return iter(self._fx)
+
+    def __len__(self) -> int:
+        return len(self._fx)
+
+
+def _fx(spark: SparkSession, sf_dir: str) -> Mapping[str, DataFrame]:
     fx = FX.load(spark, str(sf_dir))
-    if isinstance(sf_dir, Dense):
-        fx = {**fx, "signals": fx["dense_signals"], "signals_by_day": fx["dense_signals_by_day"]}
-    return fx
+    return _OnDense(fx) if isinstance(sf_dir, Dense) else fx
 
 
 def _signals(spark, sf_dir):

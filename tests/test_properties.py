@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+
 from pyspark.sql import functions as F
 
-from conftest import SF_MID
+from conftest import SF_MID, SF_SMALL
 from fuelsight import fixtures as FX
 from fuelsight import schemas as S
 from fuelsight.operators import fills, kpi
@@ -39,3 +42,11 @@ def test_bucket_totals_add_up_to_the_fuel_sum(spark):
     for bucket in ("same_second", "asof"):
         wide = to_second_rows(sig, with_km=True, bucket=bucket)
         assert abs(wide.agg(F.sum("fuel")).first()[0] - total) < 1e-6
+
+
+def test_only_the_fixtures_asked_for_are_written(spark, tmp_path):
+    shutil.copy(f"{SF_SMALL}/events.parquet", tmp_path / "events.parquet")
+    fx = FX.load(spark, str(tmp_path))
+    assert fx["signals"].count() == 7 * fx["events"].count() and fx["signals_by_day"].columns[-1] == "day"
+    assert os.listdir(fx._root) == ["signals"]
+    assert FX.load(spark, str(tmp_path)) is fx and set(fx) > {"events", "dense_signals_by_day", "envelopes"}
