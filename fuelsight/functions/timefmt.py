@@ -39,9 +39,13 @@ def parse_ts_sql(x: str) -> str:
             f"END AS TIMESTAMP_NTZ)")
 
 
-def parse_ts_column(c: Column) -> Column:
-    """:func:`parse_ts` for an arbitrary column expression."""
-    s = F.regexp_replace(F.regexp_replace(F.trim(c.cast("string")), "Z$", ""), EXTRA_DIGITS, "$1")
+def clean_ts(c: Column) -> Column:
+    """A time's text without what :func:`parse_ts` leaves out."""
+    return F.regexp_replace(F.regexp_replace(F.trim(c.cast("string")), "Z$", ""), EXTRA_DIGITS, "$1")
+
+
+def parse_clean_ts(s: Column) -> Column:
+    """The time of a text that :func:`clean_ts` made; ``s`` stands here several times, so it should be a column that has been worked out."""
     compact = F.when(F.length(s) > 14, F.concat(F.substring(s, 1, 14), F.lit("."), F.substring(s, 15, 1 << 20))) \
         .otherwise(s)
     return F.when(F.substring(s, 5, 1) == "-",
@@ -49,6 +53,11 @@ def parse_ts_column(c: Column) -> Column:
         .otherwise(F.try_to_timestamp(compact, F.lit(COMPACT_FORMAT))).cast("timestamp_ntz")
 
 
+def parse_ts_column(c: Column) -> Column:
+    """:func:`parse_ts` for an arbitrary column expression."""
+    return parse_clean_ts(clean_ts(c))
+
+
 def add_date_parts(df: DataFrame, ts_col: str = "ts") -> DataFrame:
     """``year``, ``month``, ``day`` partition columns of a timestamp."""
     t = F.col(ts_col)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas as S
-from ..functions.timefmt import parse_ts
+from ..functions.timefmt import clean_ts, parse_clean_ts, parse_ts
 
 
 def explode_envelopes(envelopes: DataFrame) -> DataFrame:
@@ -19,11 +19,13 @@ def explode_envelopes(envelopes: DataFrame) -> DataFrame:
     """
     if "DT" not in envelopes.columns:
         envelopes = envelopes.select(F.from_json(F.col("value"), S.ENVELOPE).alias("_e")).select("_e.*")
-    readings = F.from_json(F.col("DT"), S.PAYLOAD)
-    return (envelopes.select(F.col("FR").alias("vin"), parse_ts(F.col("TS")).alias("send_ts"),
-                             F.explode(readings).alias("_r"))
-            .select("vin", parse_ts(F.col("_r.ts")).alias("ts"), F.col("_r.stype").alias("stype"),
-                    F.col("_r.value").alias("value"), "send_ts"))
+    # times are parsed in the array, below the generator, so a later filter on them does not parse them again; an outer one, since
+    # of the other Spark asks the array's size first, by parsing it once more: ``_here`` leaves out the row of an upload without readings
+    readings = F.transform(F.from_json(F.col("DT"), S.PAYLOAD), lambda r: F.struct(clean_ts(r["ts"]).alias("ts"), r["stype"].alias("stype"), r["value"].alias("value")))
+    readings = F.transform(readings, lambda r: F.struct(parse_clean_ts(r["ts"]).alias("ts"), r["stype"].alias("stype"), r["value"].alias("value"),
+                                                             F.lit(True).alias("_here")))
+    return (envelopes.select(F.col("FR").alias("vin"), parse_ts(F.col("TS")).alias("send_ts"), readings.alias("_readings"))
+            .select("vin", "send_ts", F.inline_outer("_readings")).where("_here").select("vin", "ts", "stype", "value", "send_ts"))
 
 
 def split_envelopes(envelopes: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -42,11 +44,13 @@ def split_envelopes(envelopes: DataFrame) -> tuple[DataFrame, DataFrame]:
         envelopes = envelopes.withColumn("_raw", F.col("DT"))
     items = F.from_json(F.col("DT"), "array<string>")
     items = F.when(F.size(items) > 0, items).otherwise(F.array(F.lit(None).cast("string")))
-    rows = envelopes.select("FR", "TS", "_raw", F.explode(items).alias("_item"))
-    m = F.from_json(F.col("_item"), "map<string,string>")  # numbers may be quoted
-    rows = rows.withColumn("_r", F.struct(m["ts"].alias("ts"), m["stype"].alias("stype"), m["value"].try_cast("double").alias("value")))
-    rows = rows.select("FR", "TS", F.coalesce("_item", "_raw").alias("_raw"), F.col("_item").isNull().alias("_no_item"), parse_ts(F.col("TS")).alias("_send"),
-                       parse_ts(F.col("_r.ts")).alias("_ts"), F.col("_r.stype").alias("_stype"), F.col("_r.value").alias("_value"))
+    # an item is parsed once, in the array (never an empty one): above the generator the two filters would each parse it again for every column they need
+    fields = F.transform(items, lambda i: F.struct(i.alias("_item"), F.from_json(i, "map<string,string>").alias("m")))  # numbers may be quoted
+    fields = F.transform(fields, lambda r: F.struct(r["_item"].alias("_item"), clean_ts(r["m"]["ts"]).alias("_ts"), r["m"]["stype"].alias("_stype"),
+                                                    r["m"]["value"].try_cast("double").alias("_value")))
+    fields = F.transform(fields, lambda r: F.struct(r["_item"].alias("_item"), parse_clean_ts(r["_ts"]).alias("_ts"), r["_stype"].alias("_stype"), r["_value"].alias("_value")))
+    rows = envelopes.select("FR", "TS", "_raw", parse_ts(F.col("TS")).alias("_send"), fields.alias("_fields")).select("FR", "TS", "_raw", "_send", F.inline_outer("_fields"))
+    rows = rows.select("FR", "TS", F.coalesce("_item", "_raw").alias("_raw"), F.col("_item").isNull().alias("_no_item"), "_send", "_ts", "_stype", "_value")
     reason = (F.when(F.col("_no_item"), "payload").when(F.col("FR").isNull(), "vin").when(F.col("_send").isNull(), "send_time")
               .when(F.col("_ts").isNull(), "time").when(F.col("_stype").isNull(), "stype").when(F.col("_value").isNull(), "value"))
     rows = rows.withColumn("reason", reason)

@@ -15,7 +15,7 @@ from fuelsight import schemas as S
 from fuelsight.functions.predicates import default_range, in_range
 from fuelsight.functions.timefmt import add_date_parts, date_of_parts, epoch_millis, parse_ts, register_functions
 from fuelsight.operators import kpi
-from fuelsight.operators.etl import drop_future_readings, explode_envelopes
+from fuelsight.operators.etl import drop_future_readings, explode_envelopes, split_envelopes
 from fuelsight.sources.readers import parse_signals, read_range, read_signals
 from fuelsight.sources.sinks import etl_job, to_json_lines, write_by_date, write_kpi
 
@@ -61,6 +61,23 @@ def test_explode_and_drop_future(spark):
     assert explode_envelopes(text).count() == 2
 
 
+def test_envelopes_are_parsed_once(spark):
+    """Filters on parsed times do not parse uploads a second time; null, empty and odd payloads keep their meaning."""
+    env = spark.createDataFrame([("V1", "20240101100002000", p) for p in (
+        None, "[]", "[{", "[null]", '[{"ts": "2024-01-01T10:00:01.1234567Z", "stype": "a", "value": 1.0}, {"ts": "noon", "stype": "b"}]')], S.ENVELOPE)
+    rows = explode_envelopes(env)
+    got = [tuple(r)[1:4] for r in rows.collect()]
+    assert sorted(got, key=str) == sorted([(None, None, None), (T("2024-01-01 10:00:01.123456"), "a", 1.0), (None, "b", None)], key=str)
+    kept = drop_future_readings(rows)
+    assert [r.stype for r in kept.collect()] == ["a"]
+    good, bad = split_envelopes(env)
+    assert [r.stype for r in good.collect()] == ["a"]
+    assert sorted(r.reason for r in bad.collect()) == ["payload", "payload", "payload", "payload", "time"]
+    for df, parses in ((kept, 1), (drop_future_readings(good), 3), (bad, 3)):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("from_json(") == parses
+
+
 def test_parse_signal_strings(spark):
     df = spark.createDataFrame([('{"VIN":"V1","timestamp":"20240101100000","stype":"fuelLevel","value":5}',)],
                                "value string")
