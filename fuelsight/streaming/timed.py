@@ -118,6 +118,10 @@ def refuel_events_timed(signals_stream: DataFrame, step: str | None = "5 seconds
         RefuelProcessor(_step_us(step), _millis(idle)), OUT_SCHEMA, "Append", "EventTime")
 
 
+#: From so many panes on, a vehicle's panes are read from the state at once.
+MANY = 8
+
+
 class PaneProcessor(StatefulProcessor):
     """T6 per vehicle: one (sum, count) per pane that has readings; a window adds the panes that enter and takes off those that leave."""
 
@@ -140,16 +144,22 @@ class PaneProcessor(StatefulProcessor):
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         found: dict[int, list] = {}
         for part in rows:
-            for pane, group in part.groupby("pane")["value"]:
-                values = group.to_numpy(dtype=np.float64)
-                plain = np.isfinite(values)
-                one = found.setdefault(int(pane), [0.0, 0, 0])
-                one[0] += math.fsum(values[plain])
+            at, values = part["pane"].to_numpy(dtype=np.int64), part["value"].to_numpy(dtype=np.float64)
+            order = np.argsort(at, kind="stable")
+            at, values = at[order], values[order]
+            edges = np.flatnonzero(np.diff(at)) + 1
+            for pane, some in zip(at[[0, *edges]].tolist() if len(at) else [], np.split(values, edges), strict=False):
+                plain = np.isfinite(some)
+                one = found.setdefault(pane, [0.0, 0, 0])
+                one[0] += math.fsum(some[plain])
                 one[1] += int(plain.sum())
                 one[2] += int((~plain).sum())
+        # each question to the state is a round trip: none if it is empty, and one for all panes if many are touched
+        held = self.panes.exists() if found else False
+        known = {k[0]: tuple(v) for k, v in self.panes.iterator()} if held and len(found) > MANY else None
         for pane, (total, number, odd) in found.items():
-            if self.panes.containsKey((pane,)):
-                t, n, o = self.panes.getValue((pane,))
+            if held and (pane in known if known is not None else self.panes.containsKey((pane,))):
+                t, n, o = self.panes.getValue((pane,)) if known is None else known[pane]
                 total, number, odd = total + t, number + n, odd + o
             self.panes.updateValue((pane,), (total, number, odd))
         if found:
@@ -178,10 +188,13 @@ class PaneProcessor(StatefulProcessor):
             if low == high and high < len(panes):  # nothing until the window that holds the next pane
                 following = max(following, self._first(panes[high][0]))
             start = following
-        for pane, *_ in panes:
-            if pane < start:
-                self.panes.removeKey((pane,))
         rest = [p for p in panes if p[0] >= start]
+        if rest:
+            for pane, *_ in panes:
+                if pane < start:
+                    self.panes.removeKey((pane,))
+        elif panes:
+            self.panes.clear()
         self.next.update((start,))
         if rest:
             start = max(start, self._first(rest[0][0]))

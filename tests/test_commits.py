@@ -152,3 +152,4 @@ def test_lifetime_totals_equal_the_full_recompute(spark):
         assert all(after[d] == before[d] for d in days if d not in some and d in before)
         assert rows_of(J.lifetime_of(store)) == rows_of(algebra.lifetime_totals(current))
         assert rows_of(store.read(J.DAY_FACTS)) == rows_of(current)
+    facts.unpersist()  # the session's other tests read the same table
