@@ -31,72 +31,85 @@ def _frame(rows: list[tuple], columns: list[str]) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=columns)
 
 
-def _alarm(handle, state, due: int) -> None:
+def _alarm(handle, at: int | None, due: int) -> int:
     """A timer at the earliest time at which there is something to do; a later one that is set already only finds less left."""
-    at = state.get()[0] if state.exists() else None
     if at is None or due < at:
         handle.registerTimer(due)
-        state.update((due,))
+        return due
+    return at
 
 
 class RefuelProcessor(StatefulProcessor):
-    """T8 per vehicle: readings wait in a buffer until the watermark has passed them (with ``step_us``: the end of their step)."""
+    """T8 per vehicle: readings wait in a buffer until the watermark has passed them (with ``step_us``: the end of their step).
+
+    Each question to the state is a round trip to the JVM, so a vehicle's machine, buffer and alarm are one value: read once and
+    written once for its rows of a micro-batch, and for a timer.
+    """
 
     def __init__(self, step_us: int | None, idle_ms: int | None):
         self.step_us, self.idle_ms = step_us, idle_ms
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.machine = handle.getValueState("machine", _MACHINE)
-        self.waiting = handle.getListState("waiting", "t long, level double")
-        self.alarm = handle.getValueState("refuel_alarm", "at long")
-
-    def _due(self, t: int) -> int:
+        self.held = handle.getValueState("refuel", f"{_MACHINE}, at long, t binary, level binary")
+
+    def _load(self) -> tuple[tuple | None, int | None, np.ndarray, np.ndarray]:
+        held = self.held.get()
+        if held is None:
+            return None, None, np.zeros(0, np.int64), np.zeros(0)
+        *machine, at, t, level = held
+        return None if machine[0] is None else tuple(machine), at, np.frombuffer(t, np.int64), np.frombuffer(level, np.float64)
+
+    def _store(self, machine: tuple | None, at: int | None, t: np.ndarray, level: np.ndarray) -> None:
+        if machine is None and at is None and not len(t):
+            self.held.clear()
+        else:
+            self.held.update((*(machine or [None] * 7), at, t.tobytes(), level.tobytes()))
+
+    def _due(self, t):
         """The watermark (ms) from which on a reading of ``t`` (us) can be taken: none of its time, or of its step, can still come."""
         return -(-t // 1000) if self.step_us is None else -(-(t // self.step_us + 1) * self.step_us // 1000)
 
     def _settle(self, watermark: int) -> list:
         """Takes every reading that the watermark allows; the others wait on."""
-        rows = sorted(self.waiting.get()) if self.waiting.exists() else []
-        ready = [r for r in rows if self._due(r[0]) <= watermark]
+        state, at, t, level = self._load()
+        at = None
+        order = np.lexsort((level, t))
+        t, level = t[order], level[order]
+        n = int((self._due(t) <= watermark).sum())  # a time's due time grows with it
         events: list = []
-        if ready:
-            machine = RefuelMachine((*self.machine.get(), None, None, None) if self.machine.exists() else None)
+        if n:
+            machine = RefuelMachine(None if state is None else (*state, None, None, None))
+            ready = list(zip(t[:n].tolist(), level[:n].tolist(), strict=True))
             if self.step_us is not None:  # the last reading of each step
                 ready = list({t // self.step_us: (t, x) for t, x in ready}.values())
-            for t, x in ready:
-                machine._feed(t, x, events)
-            self.machine.update(machine.state()[:7])
-            rest = [r for r in rows if self._due(r[0]) > watermark]
-            if rest:
-                self.waiting.put(rest)
-            else:
-                self.waiting.clear()
-            rows = rest
-        if rows:
-            _alarm(self.handle, self.alarm, min(self._due(t) for t, _ in rows))
-        elif self.idle_ms is not None and self.machine.exists():
-            last = self.machine.get()[6] // 1000 + self.idle_ms
+            for one, x in ready:
+                machine._feed(one, x, events)
+            state, t, level = machine.state()[:7], t[n:], level[n:]
+        if len(t):
+            at = _alarm(self.handle, at, self._due(int(t[0])))
+        elif self.idle_ms is not None and state is not None:
+            last = state[6] // 1000 + self.idle_ms
             if last <= watermark:
-                self.machine.clear()
+                state = None
             else:
-                _alarm(self.handle, self.alarm, last)
+                at = _alarm(self.handle, at, last)
+        self._store(state, at, t, level)
         return events
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        earliest = None
-        for part in rows:
-            t, level = part["t_us"].to_numpy(dtype=np.int64), part["level"].to_numpy(dtype=np.float64)
-            if len(t):
-                self.waiting.appendList(list(zip(t.tolist(), level.tolist(), strict=True)))
-                earliest = int(t.min()) if earliest is None else min(earliest, int(t.min()))
+        parts = [(part["t_us"].to_numpy(dtype=np.int64), part["level"].to_numpy(dtype=np.float64)) for part in rows]
+        earliest = min((int(t.min()) for t, _ in parts if len(t)), default=None)
         if earliest is not None:
-            _alarm(self.handle, self.alarm, max(self._due(earliest), timerValues.getCurrentWatermarkInMs()))
-        yield _events_frame(key[0], [])
+            machine, at, t, level = self._load()
+            at = _alarm(self.handle, at, max(self._due(earliest), timerValues.getCurrentWatermarkInMs()))
+            self._store(machine, at, np.concatenate([t, *(p[0] for p in parts)]), np.concatenate([level, *(p[1] for p in parts)]))
+        yield from ()
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self.alarm.clear()
-        yield _events_frame(key[0], self._settle(timerValues.getCurrentWatermarkInMs()))
+        events = self._settle(timerValues.getCurrentWatermarkInMs())
+        if events:
+            yield _events_frame(key[0], events)
 
 
 def _millis(duration: str | None) -> int | None:
@@ -118,21 +131,31 @@ def refuel_events_timed(signals_stream: DataFrame, step: str | None = "5 seconds
         RefuelProcessor(_step_us(step), _millis(idle)), OUT_SCHEMA, "Append", "EventTime")
 
 
-#: From so many panes on, a vehicle's panes are read from the state at once.
-MANY = 8
-
-
 class PaneProcessor(StatefulProcessor):
-    """T6 per vehicle: one (sum, count) per pane that has readings; a window adds the panes that enter and takes off those that leave."""
+    """T6 per vehicle: one (sum, count) per pane that has readings; a window adds the panes that enter and takes off those that leave.
+
+    A vehicle's panes, its next window and its alarm are one value of the state, as in :class:`RefuelProcessor`.
+    """
 
     def __init__(self, pane_us: int, per_window: int, per_slide: int, threshold: float):
         self.pane_us, self.per_window, self.per_slide, self.threshold = pane_us, per_window, per_slide, threshold
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.panes = handle.getMapState("panes", "pane long", "total double, number long, odd long")
-        self.next = handle.getValueState("next", "start long")  # the first window (in panes) that has not been judged
-        self.alarm = handle.getValueState("panes_alarm", "at long")
+        # ``next``: the first window (in panes) that has not been judged
+        self.held = handle.getValueState("panes", "next long, at long, pane binary, total binary, number binary, odd binary")
+
+    def _load(self) -> tuple[int | None, int | None, dict[int, tuple[float, int, int]]]:
+        held = self.held.get()
+        if held is None:
+            return None, None, {}
+        pane, total, number, odd = (np.frombuffer(b, t).tolist() for b, t in zip(held[2:], (np.int64, np.float64, np.int64, np.int64), strict=True))
+        return held[0], held[1], dict(zip(pane, zip(total, number, odd, strict=True), strict=True))
+
+    def _store(self, following: int | None, at: int | None, panes: dict[int, tuple[float, int, int]]) -> None:
+        columns = list(zip(*panes.values(), strict=True)) or [(), (), ()]
+        self.held.update((following, at, np.array(list(panes), np.int64).tobytes(), np.array(columns[0], np.float64).tobytes(),
+                          np.array(columns[1], np.int64).tobytes(), np.array(columns[2], np.int64).tobytes()))
 
     def _first(self, pane: int) -> int:
         """The earliest window that holds a pane."""
@@ -154,26 +177,24 @@ class PaneProcessor(StatefulProcessor):
                 one[0] += math.fsum(some[plain])
                 one[1] += int(plain.sum())
                 one[2] += int((~plain).sum())
-        # each question to the state is a round trip: none if it is empty, and one for all panes if many are touched
-        held = self.panes.exists() if found else False
-        known = {k[0]: tuple(v) for k, v in self.panes.iterator()} if held and len(found) > MANY else None
-        for pane, (total, number, odd) in found.items():
-            if held and (pane in known if known is not None else self.panes.containsKey((pane,))):
-                t, n, o = self.panes.getValue((pane,)) if known is None else known[pane]
-                total, number, odd = total + t, number + n, odd + o
-            self.panes.updateValue((pane,), (total, number, odd))
         if found:
-            start = max(self._first(min(found)), self.next.get()[0] if self.next.exists() else self._first(min(found)))
-            _alarm(self.handle, self.alarm, max(self._end_ms(start), timerValues.getCurrentWatermarkInMs()))
-        yield _frame([], ["vin", "start", "avg_level"])
+            following, alarm, panes = self._load()
+            for pane, (total, number, odd) in found.items():
+                t, n, o = panes.get(pane, (0.0, 0, 0))
+                panes[pane] = (total + t, number + n, odd + o)
+            start = self._first(min(found))
+            start = start if following is None else max(start, following)
+            alarm = _alarm(self.handle, alarm, max(self._end_ms(start), timerValues.getCurrentWatermarkInMs()))
+            self._store(following, alarm, panes)
+        yield from ()
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self.alarm.clear()
         watermark = timerValues.getCurrentWatermarkInMs()
-        panes = sorted((k[0], *v) for k, v in self.panes.iterator())
+        before, _, held = self._load()
+        panes = sorted((k, *v) for k, v in held.items())
         start = self._first(panes[0][0]) if panes else 0
-        if self.next.exists():
-            start = max(start, self.next.get()[0])
+        if before is not None:
+            start = max(start, before)
         out, low, high, total, number, odd = [], 0, 0, 0.0, 0, 0
         while low < len(panes) and self._end_ms(start) <= watermark:
             while high < len(panes) and panes[high][0] < start + self.per_window:
@@ -188,18 +209,13 @@ class PaneProcessor(StatefulProcessor):
             if low == high and high < len(panes):  # nothing until the window that holds the next pane
                 following = max(following, self._first(panes[high][0]))
             start = following
-        rest = [p for p in panes if p[0] >= start]
-        if rest:
-            for pane, *_ in panes:
-                if pane < start:
-                    self.panes.removeKey((pane,))
-        elif panes:
-            self.panes.clear()
-        self.next.update((start,))
+        rest = {p: (t, n, o) for p, t, n, o in panes if p >= start}
+        alarm = None
         if rest:
-            start = max(start, self._first(rest[0][0]))
-            _alarm(self.handle, self.alarm, self._end_ms(start))
-        yield _frame(out, ["vin", "start", "avg_level"])
+            alarm = _alarm(self.handle, None, self._end_ms(max(start, self._first(min(rest)))))
+        self._store(start, alarm, rest)
+        if out:
+            yield _frame(out, ["vin", "start", "avg_level"])
 
 
 def _levels(signals: DataFrame) -> DataFrame:
@@ -284,7 +300,7 @@ class DetectorProcessor(StatefulProcessor):
         self.refuel.init(handle)
         self.panes.init(handle)
 
-    def _rows(self, vin: str, refuels: Iterator[pd.DataFrame], windows: Iterator[pd.DataFrame]) -> pd.DataFrame:
+    def _rows(self, vin: str, refuels: Iterator[pd.DataFrame], windows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows: list[tuple] = []
         for part in refuels:
             start, end = (part[c].astype("datetime64[us]").astype("int64") for c in ("fill_start_time", "fill_end_time"))
@@ -292,21 +308,23 @@ class DetectorProcessor(StatefulProcessor):
         pane, per_window = self.panes.pane_us, self.panes.per_window
         for part in windows:
             rows += [("low_fuel", vin, s * pane, (s + per_window) * pane, x, None) for s, x in zip(part["start"], part["avg_level"], strict=True)]
-        return _frame(rows, _FOUND)
+        if rows:
+            yield _frame(rows, _FOUND)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         usable = []
         for part in rows:
             aside = part[part["kind"] != "level"]
-            yield _frame([(k, key[0], None if pd.isna(t) else int(t), None if pd.isna(u) else int(u), x, None)
-                          for k, t, u, x in zip(aside["kind"], aside["t_us"], aside["sent_us"], aside["value"], strict=True)], _FOUND)
+            if len(aside):
+                yield _frame([(k, key[0], None if pd.isna(t) else int(t), None if pd.isna(u) else int(u), x, None)
+                              for k, t, u, x in zip(aside["kind"], aside["t_us"], aside["sent_us"], aside["value"], strict=True)], _FOUND)
             usable.append(part[part["kind"] == "level"])
-        yield self._rows(key[0], self.refuel.handleInputRows(key, (p.assign(level=p["value"]) for p in usable), timerValues),
-                         self.panes.handleInputRows(key, iter(usable), timerValues))
+        yield from self._rows(key[0], self.refuel.handleInputRows(key, (p.assign(level=p["value"]) for p in usable), timerValues),
+                              self.panes.handleInputRows(key, iter(usable), timerValues))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        yield self._rows(key[0], self.refuel.handleExpiredTimer(key, timerValues, expiredTimerInfo),
-                         self.panes.handleExpiredTimer(key, timerValues, expiredTimerInfo))
+        yield from self._rows(key[0], self.refuel.handleExpiredTimer(key, timerValues, expiredTimerInfo),
+                              self.panes.handleExpiredTimer(key, timerValues, expiredTimerInfo))
 
 
 def run_detectors_once(signals_stream: DataFrame, out_dir: str, checkpoint_dir: str, delay: str, trigger: dict | None = None,

@@ -8,6 +8,7 @@ import os
 import tempfile
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from fuelsight import schemas as S
@@ -15,7 +16,7 @@ from fuelsight.session import stateful_conf
 from fuelsight.streaming.detectors import low_fuel_windows
 from fuelsight.streaming.replay import refuel_events
 from fuelsight.streaming.detectors import low_fuel_alerts, stream_signals
-from fuelsight.streaming.timed import low_fuel_panes, low_fuel_panes_stream, refuel_events_timed, run_detectors_once
+from fuelsight.streaming.timed import PaneProcessor, RefuelProcessor, low_fuel_panes, low_fuel_panes_stream, refuel_events_timed, run_detectors_once
 
 START = dt.datetime(2024, 1, 1)
 
@@ -195,3 +196,60 @@ def test_all_detectors_with_one_scan(stateful):
     assert [(r.vin, r.value, r.ts) for r in late] == [("V0", 1.0, START + dt.timedelta(minutes=10))]
     unusable = stateful.read.parquet(f"{out}/unusable").collect()
     assert [(r.vin, r.value, r.ts) for r in unusable] == [("V1", None, START + dt.timedelta(minutes=29))]
+
+
+class Held:
+    """A value of the state that counts the questions put to it."""
+
+    def __init__(self):
+        self.value, self.calls = None, 0
+
+    def get(self):
+        self.calls += 1
+        return self.value
+
+    def update(self, value):
+        self.calls, self.value = self.calls + 1, value
+
+    def clear(self):
+        self.calls, self.value = self.calls + 1, None
+
+
+class Handle:
+    def __init__(self):
+        self.held, self.timers = Held(), []
+
+    def getValueState(self, name, schema):
+        return self.held
+
+    def registerTimer(self, at):
+        self.timers.append(at)
+
+
+class Watermark:
+    def __init__(self, ms):
+        self.ms = ms
+
+    def getCurrentWatermarkInMs(self):
+        return self.ms
+
+
+@pytest.mark.parametrize("kind", ["refuel", "panes"])
+def test_the_state_is_asked_once_for_all_rows_of_a_vehicle(kind):
+    minutes = np.arange(50, dtype=np.int64)
+    if kind == "refuel":
+        one = RefuelProcessor(None, None)
+        part = pd.DataFrame({"t_us": minutes[::-1] * 60_000_000, "level": [40.0] * 20 + [20.0] * 30})
+    else:
+        one = PaneProcessor(60_000_000, 30, 10, 30.0)
+        part = pd.DataFrame({"pane": minutes[::-1], "value": [40.0] * 20 + [20.0] * 30})
+    handle = Handle()
+    one.init(handle)
+    assert list(one.handleInputRows(("V",), iter([part[:25], part[25:]]), Watermark(0))) == []
+    assert handle.held.calls == 2 and len(handle.timers) == 1
+    rows = pd.concat(one.handleExpiredTimer(("V",), Watermark(3_600_000), None))
+    assert handle.held.calls == 4
+    if kind == "refuel":
+        assert rows[["fuel_mass", "fill_amount"]].values.tolist() == [[40.0, 20.0]]
+    else:
+        assert rows[["start", "avg_level"]].values.tolist() == [[-20, 20.0], [-10, 20.0], [0, 20.0], [10, (20 * 20 + 10 * 40) / 30]]
