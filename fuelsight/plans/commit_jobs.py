@@ -44,8 +44,10 @@ def fill_commit_job(signals: DataFrame, fill_records: DataFrame, store: Store) -
     """FF001-FF003 of the intervals closed since the marks, and the new marks."""
     tx = store.begin()
     marks = tx.read(FILL_MARKS)
-    tx.append(FILL_FACTS, fills.fill_kpis(signals, fill_records, marks))
+    facts = fills.fill_kpis(signals, fill_records, marks)
     closed = fills.fill_intervals(fills.new_fills(fill_records, marks))
+    # without an interval there is nothing to join: the readings would be shuffled to find that out
+    tx.append(FILL_FACTS, facts.limit(0) if closed.isEmpty() else facts)
     tx.append(FILL_MARKS, closed.groupBy("vin").agg(F.max("start_ts").alias("fill_ts")))
     return tx.commit()
 

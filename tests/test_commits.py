@@ -90,6 +90,23 @@ def test_fill_job_processes_each_interval_once(spark):
     assert len(rows_of(store.read(J.FILL_FACTS, version=2))) == len(first) and store.versions() == [1, 2, 3]
 
 
+def test_a_fill_run_without_new_intervals_leaves_the_readings_alone(spark):
+    fx, store = FX.load(spark, SF_SMALL), new_store(spark)
+    J.start_marks(store, J.FILL_MARKS, fx["processed_fills"])
+    J.fill_commit_job(fx["signals"], fx["fills"], store)
+    first = rows_of(store.read(J.FILL_FACTS))
+    sizes = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")  # as with more intervals than are broadcast
+    for name in sizes:
+        spark.conf.set(name, "-1")
+    try:
+        broken = fx["signals"].withColumn("ts", F.raise_error("a reading was read").cast("timestamp_ntz"))
+        J.fill_commit_job(broken, fx["fills"], store)
+    finally:
+        for name in sizes:
+            spark.conf.unset(name)
+    assert first and rows_of(store.read(J.FILL_FACTS)) == first and store.versions() == [1, 2, 3]
+
+
 def test_of_two_runs_one_commits(spark):
     store = new_store(spark)
     a, b = store.begin(), store.begin()
