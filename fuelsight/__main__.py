@@ -129,7 +129,7 @@ def main(argv: list[str] | None = None) -> int:
         if args.source_format == "kafka":
             raw = kafka_values(raw)
         trigger = {"availableNow": True} if args.available_now else None
-        queries = run_detectors(stream_signals(raw), args.out, args.checkpoint_dir, args.watermark, trigger=trigger)
+        queries = run_detectors(stream_signals(raw, [S.FUEL_LEVEL]), args.out, args.checkpoint_dir, args.watermark, trigger=trigger)
         for q in queries:
             q.awaitTermination()
     return 0

@@ -9,19 +9,23 @@ from .. import schemas as S
 from ..functions.timefmt import clean_ts, parse_clean_ts, parse_ts
 
 
-def explode_envelopes(envelopes: DataFrame) -> DataFrame:
+def explode_envelopes(envelopes: DataFrame, stypes: list[str] | None = None) -> DataFrame:
     """One row per reading of each upload (D21: ``DT`` is a JSON array).
 
     Accepts either parsed columns ``FR, TS, DT`` or one JSON string column
     ``value`` holding the whole envelope (as read from Kafka or text files).
     Output: ``vin, ts, stype, value, send_ts``; timestamps in either
-    spelling are parsed once.
+    spelling are parsed once.  With ``stypes`` only readings of these types are
+    wanted: the others leave the array before their times are parsed.
     """
     if "DT" not in envelopes.columns:
         envelopes = envelopes.select(F.from_json(F.col("value"), S.ENVELOPE).alias("_e")).select("_e.*")
     # times are parsed in the array, below the generator, so a later filter on them does not parse them again; an outer one, since
     # of the other Spark asks the array's size first, by parsing it once more: ``_here`` leaves out the row of an upload without readings
-    readings = F.transform(F.from_json(F.col("DT"), S.PAYLOAD), lambda r: F.struct(clean_ts(r["ts"]).alias("ts"), r["stype"].alias("stype"), r["value"].alias("value")))
+    items = F.from_json(F.col("DT"), S.PAYLOAD)
+    if stypes is not None:
+        items = F.filter(items, lambda r: r["stype"].isin(*stypes))
+    readings = F.transform(items, lambda r: F.struct(clean_ts(r["ts"]).alias("ts"), r["stype"].alias("stype"), r["value"].alias("value")))
     readings = F.transform(readings, lambda r: F.struct(parse_clean_ts(r["ts"]).alias("ts"), r["stype"].alias("stype"), r["value"].alias("value"),
                                                              F.lit(True).alias("_here")))
     return (envelopes.select(F.col("FR").alias("vin"), parse_ts(F.col("TS")).alias("send_ts"), readings.alias("_readings"))

@@ -504,7 +504,7 @@ def _arriving(spark, df, name, parts=4):
 
 
 def _with_timers(spark, run):
-    """``run()`` with the state store that timers need."""
+    """``run()`` with the state store that timers need, which keeps state off the heap."""
     before = {k: spark.conf.get(k, None) for k in stateful_conf()}
     for k, v in stateful_conf().items():
         spark.conf.set(k, v)
@@ -573,8 +573,13 @@ def q_run_detectors(spark, sf_dir):
     """The runner over an envelope stream; its refuel alerts."""
     raw = _stream(spark, _fx(spark, sf_dir)["envelopes"], "envelopes-in")
     out = scratch_path(spark, "alerts")
-    for q in run_detectors(stream_signals(raw), out, scratch_path(spark, "offsets"), "1 day", trigger={"availableNow": True}, refuel_step=None):
-        q.awaitTermination()
+
+    def run():
+        levels = stream_signals(raw, [S.FUEL_LEVEL])
+        for q in run_detectors(levels, out, scratch_path(spark, "offsets"), "1 day", trigger={"availableNow": True}, refuel_step=None):
+            q.awaitTermination()
+
+    _with_timers(spark, run)  # three open windows per level until the watermark passes: kept off the heap
     return spark.read.parquet(f"{out}/refuel").select("vin", "fuel_mass", "fill_amount", "fill_start_time", "fill_end_time")
 
 
@@ -586,7 +591,7 @@ def q_detectors_once(spark, sf_dir):
     raw, out = _stream(spark, env.unionByName(last), "envelopes-in"), scratch_path(spark, "alerts")
 
     def run():
-        run_detectors_once(stream_signals(raw), out, scratch_path(spark, "offsets"), "1 day", {"availableNow": True}, "6 hours", "2 hours", 20.0, None).awaitTermination()
+        run_detectors_once(stream_signals(raw, [S.FUEL_LEVEL]), out, scratch_path(spark, "offsets"), "1 day", {"availableNow": True}, "6 hours", "2 hours", 20.0, None).awaitTermination()
 
     _with_timers(spark, run)
     refuel = spark.read.parquet(f"{out}/refuel").select("vin", F.lit("refuel").alias("kind"), F.col("fill_start_time").alias("start_ts"),

@@ -79,9 +79,9 @@ def fuel_summary(signals: DataFrame, step: str = MICRO_BATCH, watermark: str | N
                       "last_level", (F.col("_votes") > 0).alias("is_drive"))
 
 
-def stream_signals(raw: DataFrame) -> DataFrame:
-    """T5: envelope stream -> readings (E1) -> drop readings newer than their upload."""
-    return drop_future_readings(explode_envelopes(raw))
+def stream_signals(raw: DataFrame, stypes: list[str] | None = None) -> DataFrame:
+    """T5: envelope stream -> readings (E1) -> drop readings newer than their upload (E2); ``stypes`` as in E1 (the detectors need tank levels only)."""
+    return drop_future_readings(explode_envelopes(raw, stypes))
 
 
 def late_readings(signals: DataFrame, delay: str) -> DataFrame:

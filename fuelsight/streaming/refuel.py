@@ -163,7 +163,8 @@ def refuel_events_stream(signals_stream: DataFrame, step: str | None = "5 second
         order = np.argsort(t, kind="stable")
         events = machine.push(t[order], x[order], us)
         state.update(machine.state())
-        yield _events_frame(key[0], events)
+        if events:  # an empty frame per vehicle and micro-batch costs more than the rule
+            yield _events_frame(key[0], events)
 
     return lv.groupBy("vin").applyInPandasWithState(
         update, OUT_SCHEMA, STATE_SCHEMA, "append", "NoTimeout")

@@ -181,3 +181,13 @@ def test_parse_ts_round_trips_both_spellings(spark):
     for r in out:
         assert r.iso == r.ts and r.iso_t == r.ts
         assert r.compact == r.ts.replace(microsecond=r.ts.microsecond // 1000 * 1000)
+
+
+def test_readings_of_other_types_leave_before_their_times_are_parsed(spark):
+    env = FX.load(spark, SF_SMALL)["envelopes"]
+    nothing = spark.createDataFrame([("V", "20240101000001000", None), ("V", "20240101000001000", "[]"), ("V", "20240101000001000", "[{"),
+                                     ("V", "20240101000001000", '[null, {"ts": "noon", "stype": "fuelLevel"}, {"ts": "2024-01-01 00:00:00"}]')], env.schema)
+    env = env.unionByName(nothing)
+    all_of_it = explode_envelopes(env).where(F.col("stype") == S.FUEL_LEVEL)
+    levels = explode_envelopes(env, [S.FUEL_LEVEL])
+    assert levels.count() > 4 and levels.exceptAll(all_of_it).count() == 0 and all_of_it.exceptAll(levels).count() == 0
