@@ -35,15 +35,16 @@ def restart_times(signals: DataFrame, checkpoint: DataFrame, stype: str) -> Data
             .groupBy("vin").agg(F.min("reach_ts").alias("restart_ts")))
 
 
-def after_checkpoint(signals: DataFrame, checkpoint: DataFrame, stype: str) -> DataFrame:
+def after_checkpoint(signals: DataFrame, checkpoint: DataFrame, stype: str, starts: DataFrame | None = None) -> DataFrame:
     """Readings at or after each vehicle's restart time.
 
     The restart table has one row per vehicle; no static broadcast hint is
     given — AQE turns the join into a broadcast only when the measured size of
     that side is under the adaptive threshold, and splits a hot vehicle's
-    partition (skew join) otherwise.
+    partition (skew join) otherwise.  ``starts``: the restart times, where they have been
+    written already; their size is known then, and small ones need no shuffle of the readings.
     """
-    starts = restart_times(signals, checkpoint, stype)
+    starts = restart_times(signals, checkpoint, stype) if starts is None else starts
     return (signals.join(starts, "vin", "inner")
             .where(F.col("ts") >= F.col("restart_ts"))
             .drop("restart_ts"))

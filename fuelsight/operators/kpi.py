@@ -248,15 +248,17 @@ def daily_kpis_separate(signals: DataFrame, rate: DataFrame | None = None) -> Da
     return out
 
 
-def resumed_km_kpis(signals: DataFrame, checkpoint: DataFrame, chunk_seconds: int = DEFAULT_CHUNK_SECONDS) -> DataFrame:
+def resumed_km_kpis(signals: DataFrame, checkpoint: DataFrame, chunk_seconds: int = DEFAULT_CHUNK_SECONDS,
+                    starts: DataFrame | None = None) -> DataFrame:
     """KM001-KM004 of the buckets that are new and complete.
 
     All four codes use readings from the restart time on and the as-of bucket, and leave
     out each vehicle's newest, still open bucket, so a run after the checkpoint
-    has advanced adds none of them twice.
+    has advanced adds none of them twice.  The readings from the restart times (``starts``, see
+    :func:`after_checkpoint`) on are joined once for each of their five uses.
     """
     types = [S.SPEED, S.RPM, S.INJECTION, S.AIRCON, S.ODOMETER]
-    sig = after_checkpoint(of_type(signals, *types), checkpoint, S.INJECTION)
+    sig = after_checkpoint(of_type(signals, *types), checkpoint, S.INJECTION, starts)
     newest = (of_type(sig, S.ODOMETER).groupBy("vin")
               .agg((F.floor(F.max("value") / 100) * 100).cast("int").alias("_newest")))
     done = last_bucket(checkpoint, S.INJECTION).select("vin", F.col("km").alias("_done"))

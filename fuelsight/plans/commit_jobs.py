@@ -11,10 +11,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas as S
-from ..operators import algebra, fills, kpi
+from ..operators import algebra, fills
 from ..session import remove_path
 from ..sources.commits import Store
-from .jobs import _stage
+from .jobs import _resumed, _stage
 
 KM_FACTS, KM_MARKS = "kpi_km", "km_marks"
 FILL_FACTS, FILL_MARKS = "kpi_fill", "fill_marks"
@@ -31,12 +31,13 @@ def start_marks(store: Store, table: str, marks: DataFrame) -> None:
 def km_commit_job(signals: DataFrame, store: Store) -> int:
     """KM001-KM005 of the buckets completed since the marks, and the new marks; the version that shows them."""
     tx = store.begin()
-    run, path = _stage(kpi.resumed_km_kpis(signals, tx.read(KM_MARKS)), "kpi-km-run")
+    run, paths = _resumed(signals, tx.read(KM_MARKS))
     tx.append(KM_FACTS, run.unionByName(algebra.other_fuel(run, "km")))
     tx.append(KM_MARKS, run.where(F.col("data_key") == S.KM_TOTAL_FUEL).groupBy("vin")
               .agg((F.max("mileage") / 100 + 1).cast("int").alias("per100")).select("vin", F.lit(S.INJECTION).alias("stype"), "per100"))
     version = tx.commit()
-    remove_path(signals.sparkSession, path)
+    for path in paths:
+        remove_path(signals.sparkSession, path)
     return version
 
 

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from .. import schemas as S
 from ..functions.predicates import default_range, in_range
 from ..operators import algebra, fills, kpi
+from ..operators.incremental import restart_times
 from ..session import remove_path, scratch_path
 from ..sources.sinks import write_kpi
 
@@ -57,6 +58,13 @@ def daily_job(signals: DataFrame, out: str, start=None, end=None, rate: DataFram
     remove_path(signals.sparkSession, path)
 
 
+def _resumed(signals: DataFrame, marks: DataFrame) -> tuple[DataFrame, list[str]]:
+    """KM001-KM004 of a run (staged) and the paths to remove.  The restart times, one row per vehicle, are staged first."""
+    starts, starts_path = _stage(restart_times(signals, marks, S.INJECTION), "km-starts")
+    run, path = _stage(kpi.resumed_km_kpis(signals, marks, starts=starts), "kpi-km-run")
+    return run, [path, starts_path]
+
+
 def km_job(signals: DataFrame, checkpoint: DataFrame, out: str, checkpoint_out: str, **sink) -> None:
     """KM001-KM005 of the buckets completed since the checkpoint.
 
@@ -66,13 +74,14 @@ def km_job(signals: DataFrame, checkpoint: DataFrame, out: str, checkpoint_out:
     when a run broke off between the two, its repetition starts from the same checkpoint and replaces both.
     """
     run_id = _state_id(checkpoint, "per100")
-    run, path = _stage(kpi.resumed_km_kpis(signals, checkpoint), "kpi-km-run")
+    run, paths = _resumed(signals, checkpoint)
     write_kpi(run.unionByName(algebra.other_fuel(run, "km")), "km", target=_run_target(out, run_id, sink), **_replacing(sink))
     advanced = (run.where(F.col("data_key") == S.KM_TOTAL_FUEL)
                 .groupBy("vin").agg((F.max("mileage") / 100 + 1).cast("int").alias("per100"))
                 .select("vin", F.lit(S.INJECTION).alias("stype"), "per100"))
     advanced.write.mode("overwrite").parquet(f"{checkpoint_out}/run={run_id}")
-    remove_path(signals.sparkSession, path)
+    for path in paths:
+        remove_path(signals.sparkSession, path)
 
 
 def _state_id(marks: DataFrame, value: str) -> str:

@@ -13,6 +13,7 @@ from conftest import SF_SMALL
 from fuelsight import fixtures as FX
 from fuelsight.operators import algebra, kpi
 from fuelsight.plans import commit_jobs as J
+from fuelsight.plans import jobs
 from fuelsight.sources import commits as C
 
 
@@ -170,3 +171,18 @@ def test_lifetime_totals_equal_the_full_recompute(spark):
         assert rows_of(J.lifetime_of(store)) == rows_of(algebra.lifetime_totals(current))
         assert rows_of(store.read(J.DAY_FACTS)) == rows_of(current)
     facts.unpersist()  # the session's other tests read the same table
+
+
+def test_a_km_run_computes_the_restart_times_once(spark, monkeypatch):
+    """They are staged, one row per vehicle, so that the readings' joins know their size."""
+    fx, store, staged = FX.load(spark, SF_SMALL), new_store(spark), []
+    J.start_marks(store, J.KM_MARKS, fx["km_checkpoint"])
+
+    def stage(df, name, real=jobs._stage):
+        staged.append((name, df._jdf.queryExecution().optimizedPlan().toString()))
+        return real(df, name)
+
+    monkeypatch.setattr(jobs, "_stage", stage)
+    J.km_commit_job(fx["signals"], store)
+    (first, _), (second, plan) = staged
+    assert (first, second) == ("km-starts", "kpi-km-run") and "restart_ts" in plan and "reach_ts" not in plan
